@@ -12,8 +12,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loanscope.operators import reports
-from loanscope.plans.warehouse import fixture_warehouse
+from loanscope.operators import cubes, reports
+from loanscope.plans.warehouse import Warehouse, fixture_warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,7 +22,31 @@ def _t(name: str) -> Query:
     return lambda spark, sf_dir: fixture_warehouse(spark, sf_dir).table(name)
 
 
+def _w(fn: Callable[[Warehouse], DataFrame]) -> Query:
+    return lambda spark, sf_dir: fn(fixture_warehouse(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
+    # cubes
     "a1_main_cube": _t("main"),
-    "a13_by_action": lambda s, d: reports.by_action(fixture_warehouse(s, d).table("main")),
+    "a2_rate_cube": _t("rates"),
+    "a3_denial_cube": _t("denials"),
+    "a4_state_cube": _t("state"),
+    "a4_state_cube_payload": _w(lambda w: cubes.round_cells(w.table("state"))),
+    "a5_county_cube": _t("county"),
+    "a6_lender_cube": _t("lender"),
+    "a6_lender_cube_by_year": _t("lender_base"),
+    "a7_lender_states": _t("lender_states"),
+    "a8_quality_cube": _t("quality"),
+    "a9_inv_national": _t("inv_national"),
+    "a10_inv_state": _t("inv_state"),
+    "a11_inv_county": _t("inv_county"),
+    # national report
+    "a12_summary": _w(lambda w: reports.summary(w.table("lender_base"))),
+    "a13_by_action": _w(lambda w: reports.by_action(w.table("main"))),
+    "a14_by_type": _w(lambda w: reports.by_loan_type(w.table("main"))),
+    "a15_by_purpose": _w(lambda w: reports.by_loan_purpose(w.table("main"))),
+    "a16_rate_distribution": _t("rate_distribution"),
+    "a16_rate_distribution_separate": _w(lambda w: reports.rate_distribution(w.fact(), "separate")),
+    "a17_denial_reasons": _w(lambda w: reports.denial_reasons(w.table("denials"))),
 }

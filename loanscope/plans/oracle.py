@@ -31,8 +31,12 @@ def label_case(col: str, labels: Mapping[str, str]) -> str:
     return f"coalesce(CASE {col} {whens} END, {col})"
 
 
-def q(select_sql: str, *views: str) -> str:
-    return with_oracle_views(select_sql, *views)
+def q(select_sql: str, *views: str, extra: str = "") -> str:
+    """Prefix the fixture views (and optional extra CTEs) to a SELECT."""
+    sql = with_oracle_views(select_sql if not extra else "\x00", *views)
+    if extra:
+        sql = sql.replace("\n\x00", ",\n" + extra + "\n" + select_sql)
+    return sql
 
 
 ORACLES: dict[str, str] = {}
@@ -59,3 +63,123 @@ FROM lar GROUP BY {col}""")
 
 
 ORACLES["a13_by_action"] = _breakdown_sql("action_taken", ACTION_LABELS)
+
+from loanscope.schema import DTI_ORDER  # noqa: E402,F401
+
+RATE_BANDS_SQL = """CASE
+ WHEN {v} < 4 THEN 'Under 4%' WHEN {v} < 5 THEN '4-5%' WHEN {v} < 6 THEN '5-6%'
+ WHEN {v} < 7 THEN '6-7%' WHEN {v} < 8 THEN '7-8%' WHEN {v} < 9 THEN '8-9%'
+ WHEN {v} >= 9 THEN '9%+' {tail} END"""
+
+QUALITY_DIMS_SQL = f"""activity_year AS y, action_taken AS a, loan_type AS t, loan_purpose AS p,
+ CASE WHEN debt_to_income_ratio IN ('NA', 'Exempt', '') THEN 'NA'
+  WHEN debt_to_income_ratio = '<20%' THEN '<20' WHEN debt_to_income_ratio = '20%-<30%' THEN '20-30'
+  WHEN debt_to_income_ratio = '30%-<36%' THEN '30-36' WHEN debt_to_income_ratio = '50%-60%' THEN '50-60'
+  WHEN debt_to_income_ratio = '>60%' THEN '>60' ELSE '36-50' END AS d,
+ CASE WHEN combined_loan_to_value_ratio IN ('NA', 'Exempt', '') THEN 'NA'
+  WHEN {NUM('combined_loan_to_value_ratio')} < 60 THEN '<60'
+  WHEN {NUM('combined_loan_to_value_ratio')} < 80 THEN '60-80'
+  WHEN {NUM('combined_loan_to_value_ratio')} < 90 THEN '80-90'
+  WHEN {NUM('combined_loan_to_value_ratio')} < 97 THEN '90-97'
+  WHEN {NUM('combined_loan_to_value_ratio')} <= 100 THEN '97-100' ELSE '>100' END AS l,
+ purchaser_type AS pu,
+ CASE WHEN rate_spread IN ('NA', 'Exempt', '') THEN 'NA'
+  WHEN {NUM('rate_spread')} < 1.5 THEN '<1.5' WHEN {NUM('rate_spread')} < 3 THEN '1.5-3'
+  WHEN {NUM('rate_spread')} < 5 THEN '3-5' ELSE '>5' END AS rs,
+ lien_status AS li,
+ CASE WHEN balloon_payment = '1' OR interest_only_payment = '1' OR negative_amortization = '1'
+   OR other_non_amortizing_features = '1' THEN 'exotic'
+  WHEN balloon_payment IN ('1111', 'Exempt') THEN 'exempt' ELSE 'vanilla' END AS nm"""
+
+KNOWN_STATE = "state_code != '' AND state_code != 'NA'"
+KNOWN_COUNTY = "county_code != '' AND county_code != 'NA'"
+STATE_OF_PREFIX = "(SELECT STATEFP, max(STATE) AS STATE FROM county GROUP BY STATEFP)"
+
+ORACLES["a2_rate_cube"] = q(f"""SELECT activity_year AS y, loan_type AS t, loan_purpose AS p,
+ {RATE_BANDS_SQL.format(v=NUM('interest_rate'), tail='')} AS bucket, CAST(count(*) AS BIGINT) AS c
+FROM lar WHERE action_taken = '1' AND {VALID_RATE}
+GROUP BY 1, 2, 3, 4""")
+
+ORACLES["a3_denial_cube"] = q("""SELECT activity_year AS y, loan_type AS t, loan_purpose AS p,
+ denial_reason_1 AS reason, CAST(count(*) AS BIGINT) AS c
+FROM lar WHERE action_taken = '3' AND denial_reason_1 != '' AND denial_reason_1 != '10'
+GROUP BY 1, 2, 3, 4""")
+
+ORACLES["a4_state_cube"] = q(f"""SELECT activity_year AS y, state_code AS state, action_taken AS a,
+ loan_type AS t, loan_purpose AS p, {M4_SQL}
+FROM lar WHERE {KNOWN_STATE} GROUP BY 1, 2, 3, 4, 5""")
+
+ORACLES["a4_state_cube_payload"] = q(f"""SELECT y, state, a, t, p, c, CAST(round(s, 0) AS BIGINT) AS s,
+ round(r, 2) AS r, rc FROM (SELECT activity_year AS y, state_code AS state, action_taken AS a,
+ loan_type AS t, loan_purpose AS p, {M4_SQL}
+FROM lar WHERE {KNOWN_STATE} GROUP BY 1, 2, 3, 4, 5) x""")
+
+ORACLES["a5_county_cube"] = q(f"""SELECT activity_year AS y, county_code AS fips, action_taken AS a,
+ loan_type AS t, loan_purpose AS p, {M4_SQL}, coalesce(any_value(st.STATE), '') AS state
+FROM lar LEFT JOIN {STATE_OF_PREFIX} st ON substr(county_code, 1, 2) = st.STATEFP
+WHERE county_code IN (SELECT county_code FROM lar WHERE {KNOWN_COUNTY}
+  GROUP BY county_code ORDER BY count(*) DESC, county_code LIMIT 200)
+GROUP BY 1, 2, 3, 4, 5""", "lar", "county")
+
+ORACLES["a6_lender_cube"] = q(f"""SELECT lei, action_taken AS a, loan_type AS t, loan_purpose AS p, {M4_SQL}
+FROM lar GROUP BY 1, 2, 3, 4""")
+
+ORACLES["a6_lender_cube_by_year"] = q(f"""SELECT activity_year AS y, lei, action_taken AS a, loan_type AS t,
+ loan_purpose AS p, {M4_SQL}
+FROM lar GROUP BY 1, 2, 3, 4, 5""")
+
+ORACLES["a7_lender_states"] = q(f"""SELECT lei, state, count, rank FROM (
+ SELECT lei, state_code AS state, CAST(count(*) AS BIGINT) AS count,
+  CAST(row_number() OVER (PARTITION BY lei ORDER BY count(*) DESC, state_code) AS INTEGER) AS rank
+ FROM lar WHERE action_taken = '1' AND {KNOWN_STATE} GROUP BY lei, state_code) x
+WHERE rank <= 5""")
+
+ORACLES["a8_quality_cube"] = q(f"""SELECT {QUALITY_DIMS_SQL}, {M4_SQL}
+FROM lar GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9, 10""")
+
+ORACLES["a9_inv_national"] = q(f"""SELECT activity_year AS y, occupancy_type AS occ,
+ business_or_commercial_purpose AS bp, loan_purpose AS p, {M4_SQL}
+FROM lar WHERE action_taken = '1' GROUP BY 1, 2, 3, 4""")
+
+ORACLES["a10_inv_state"] = q(f"""SELECT activity_year AS y, state_code AS state, occupancy_type AS occ,
+ business_or_commercial_purpose AS bp, loan_purpose AS p, CAST(count(*) AS BIGINT) AS c,
+ sum({NUM('loan_amount')}) AS s
+FROM lar WHERE action_taken = '1' AND {KNOWN_STATE} GROUP BY 1, 2, 3, 4, 5""")
+
+ORACLES["a11_inv_county"] = q(f"""SELECT activity_year AS y, county_code AS fips, occupancy_type AS occ,
+ business_or_commercial_purpose AS bp, loan_purpose AS p, CAST(count(*) AS BIGINT) AS c,
+ sum({NUM('loan_amount')}) AS s, coalesce(any_value(st.STATE), '') AS state
+FROM lar LEFT JOIN {STATE_OF_PREFIX} st ON substr(county_code, 1, 2) = st.STATEFP
+WHERE action_taken = '1' AND county_code IN (SELECT county_code FROM lar
+  WHERE action_taken = '1' AND {KNOWN_COUNTY}
+  GROUP BY county_code ORDER BY count(*) DESC, county_code LIMIT 200)
+GROUP BY 1, 2, 3, 4, 5""", "lar", "county")
+
+# ---------------------------------------------------------------------------
+# National report
+# ---------------------------------------------------------------------------
+ORACLES["a12_summary"] = q(f"""SELECT CAST(count(*) AS BIGINT) AS total_apps,
+ CAST(sum(CASE WHEN action_taken = '1' THEN 1 ELSE 0 END) AS BIGINT) AS originated,
+ CAST(sum(CASE WHEN action_taken = '3' THEN 1 ELSE 0 END) AS BIGINT) AS denied,
+ CAST(count(DISTINCT lei) AS BIGINT) AS lender_count,
+ round(avg(CASE WHEN action_taken = '1' THEN {NUM('loan_amount')} END), 0) AS avg_loan,
+ round(sum(CASE WHEN action_taken = '1' THEN {NUM('loan_amount')} ELSE 0 END) / 1e9, 1) AS total_volume_b,
+ round(avg(CASE WHEN action_taken = '1' AND {VALID_RATE} THEN {NUM('interest_rate')} END), 3) AS avg_rate
+FROM lar""")
+
+ORACLES["a14_by_type"] = _breakdown_sql("loan_type", LOAN_TYPE_LABELS)
+ORACLES["a15_by_purpose"] = _breakdown_sql("loan_purpose", LOAN_PURPOSE_LABELS)
+
+ORACLES["a16_rate_distribution"] = q(f"""SELECT {RATE_BANDS_SQL.format(v=NUM('interest_rate'), tail="ELSE 'Exempt/NA'")} AS bucket,
+ CAST(count(*) AS BIGINT) AS count
+FROM lar WHERE action_taken = '1' GROUP BY 1""")
+
+ORACLES["a16_rate_distribution_separate"] = q(f"""SELECT CASE WHEN interest_rate IN ('Exempt', 'NA', '') THEN 'Exempt/NA' ELSE
+ {RATE_BANDS_SQL.format(v=NUM('interest_rate'), tail="ELSE 'Exempt/NA'")} END AS bucket,
+ CAST(count(*) AS BIGINT) AS count
+FROM lar WHERE action_taken = '1' GROUP BY 1""")
+
+ORACLES["a17_denial_reasons"] = q(f"""SELECT denial_reason_1 AS code, CAST(count(*) AS BIGINT) AS count,
+ {label_case('denial_reason_1', DENIAL_REASON_LABELS)} AS label
+FROM lar WHERE action_taken = '3' AND denial_reason_1 != '' AND denial_reason_1 != '10'
+GROUP BY denial_reason_1""")
