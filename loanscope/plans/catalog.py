@@ -50,3 +50,93 @@ QUERIES: dict[str, Query] = {
     "a16_rate_distribution_separate": _w(lambda w: reports.rate_distribution(w.fact(), "separate")),
     "a17_denial_reasons": _w(lambda w: reports.denial_reasons(w.table("denials"))),
 }
+
+# ---------------------------------------------------------------------------
+# Views (V1-V30).  Fixed parameter sets: one unfiltered and one filtered variant
+# where the survey asks for both; thresholds scaled to the fixture (lenders hold
+# about 600 applications, counties 5-632 originations at sf0.01).
+# ---------------------------------------------------------------------------
+from loanscope.operators.filters import Filters  # noqa: E402
+from loanscope.plans import views as V  # noqa: E402
+
+F_YT = Filters(year="2020", loan_type="1")
+F_AP = Filters(action="3", loan_purpose="31")
+F_COUNTY = Filters(year="2019", action="1", loan_type="2")
+F_QUAL = Filters(year="2022", dti="36-50", lien="1")
+F_QUAL_SERIES = Filters(year="2022", action="1", ltv="80-90", non_am="vanilla")
+F_INV = Filters(year="2021", loan_purpose="1")
+LENDER_MIN_APPS = 500
+STATE_MIN_APPS = 500
+COUNTY_MIN_ORIG = 100
+LENDER_SEARCH = "0000001"
+STATE_SEARCH = "w"
+COMPARE = ["CA", "TX", "ZZ", "NY", "PR"]
+
+
+def _v(fn) -> Query:
+    return lambda spark, sf_dir: fn(fixture_warehouse(spark, sf_dir))
+
+
+QUERIES.update({
+    "v1_national_summary": _v(lambda w: V.national_summary(w.table("main"))),
+    "v1_national_summary_f": _v(lambda w: V.national_summary(w.table("main"), F_YT)),
+    "v1_national_summary_action": _v(lambda w: V.national_summary(w.table("main"), F_AP)),
+    "v2_outcome_series": _v(lambda w: V.outcome_series(w.table("main"))),
+    "v2_outcome_series_f": _v(lambda w: V.outcome_series(w.table("main"), F_YT)),
+    "v3_outcome_table": _v(lambda w: V.outcome_table(w.table("main"))),
+    "v3_outcome_table_f": _v(lambda w: V.outcome_table(w.table("main"), F_YT)),
+    "v4_loan_type_series": _v(lambda w: V.loan_type_series(w.table("main"), F_AP)),
+    "v5_loan_purpose_series": _v(lambda w: V.loan_purpose_series(w.table("main"), F_YT)),
+    "v6_rate_histogram": _v(lambda w: V.rate_histogram(w.table("rates"))),
+    "v6_rate_histogram_f": _v(lambda w: V.rate_histogram(w.table("rates"), F_YT.replace(action="3"))),
+    "v7_top_denials": _v(lambda w: V.top_denials(w.table("denials"))),
+    "v7_top_denials_f": _v(lambda w: V.top_denials(w.table("denials"), F_YT)),
+    "v8_volume_trend": _v(lambda w: V.volume_trend(w.table("main"))),
+    "v8_volume_trend_f": _v(lambda w: V.volume_trend(w.table("main"), F_AP)),
+    "v9_rate_trend": _v(lambda w: V.rate_trend(w.table("main"), F_YT)),
+    "v10_lender_table": _v(lambda w: V.lender_table(w.table("lender_base"), w.table("lender_names"),
+                                                    w.table("lender_states"))),
+    "v10_lender_table_f": _v(lambda w: V.lender_table(w.table("lender_base"), w.table("lender_names"),
+                                                      w.table("lender_states"), F_YT)),
+    "v10_lender_table_search": _v(lambda w: V.lender_table(w.table("lender_base"), w.table("lender_names"),
+                                                           w.table("lender_states"), F_AP,
+                                                           search=LENDER_SEARCH)),
+    "v11_lender_summary": _v(lambda w: V.lender_summary(w.table("lender_base"))),
+    "v11_lender_summary_f": _v(lambda w: V.lender_summary(w.table("lender_base"), F_YT)),
+    "v12_top_lenders": _v(lambda w: V.top_lenders(w.table("lender_base"), w.table("lender_names"), F_YT)),
+    "v13_highest_denial_lenders": _v(lambda w: V.highest_denial_lenders(
+        w.table("lender_base"), w.table("lender_names"), min_apps=LENDER_MIN_APPS)),
+    "v14_state_table": _v(lambda w: V.state_table(w.table("state"))),
+    "v14_state_table_f": _v(lambda w: V.state_table(w.table("state"), F_YT)),
+    "v14_state_table_search": _v(lambda w: V.state_table(w.table("state"), F_AP, search=STATE_SEARCH)),
+    "v15_rank_states_originated": _v(lambda w: V.rank_states(w.table("state"), F_YT, "originated")),
+    "v15_rank_states_avg_loan": _v(lambda w: V.rank_states(w.table("state"), F_YT, "avg_loan")),
+    "v15_rank_states_deny_pct": _v(lambda w: V.rank_states(w.table("state"), Filters(year="2020"), "deny_pct",
+                                                           min_apps=STATE_MIN_APPS)),
+    "v15_rank_states_avg_rate": _v(lambda w: V.rank_states(w.table("state"), Filters(year="2020"),
+                                                           "avg_rate", min_apps=STATE_MIN_APPS)),
+    "v16_county_table": _v(lambda w: V.county_table(w.table("county"), w.table("county_dim"))),
+    "v16_county_table_f": _v(lambda w: V.county_table(w.table("county"), w.table("county_dim"), F_COUNTY)),
+    "v17_quality_summary": _v(lambda w: V.quality_summary(w.table("quality"))),
+    "v17_quality_summary_f": _v(lambda w: V.quality_summary(w.table("quality"), F_QUAL)),
+    "v19_quality_detail": _v(lambda w: V.quality_detail(w.table("quality"))),
+    "v19_quality_detail_f": _v(lambda w: V.quality_detail(w.table("quality"), F_QUAL)),
+    "v20_investor_summary": _v(lambda w: V.investor_summary(w.table("inv_national"))),
+    "v20_investor_summary_f": _v(lambda w: V.investor_summary(w.table("inv_national"), F_INV, "all3")),
+    "v21_investor_trend": _v(lambda w: V.investor_trend(w.table("inv_national"), Filters(loan_purpose="31"))),
+    "v22_investor_share_trend": _v(lambda w: V.investor_share_trend(w.table("inv_national"), lens="all3")),
+    "v23_investor_purpose_series": _v(lambda w: V.investor_purpose_series(w.table("inv_national"))),
+    "v24_occupancy_series": _v(lambda w: V.occupancy_series(w.table("inv_national"), Filters(year="2024"))),
+    "v25_investor_states": _v(lambda w: V.investor_states(w.table("inv_state"))),
+    "v25_investor_states_f": _v(lambda w: V.investor_states(w.table("inv_state"), F_INV, "all3", n=5)),
+    "v26_investor_counties": _v(lambda w: V.investor_counties(w.table("inv_county"), w.table("county_dim"),
+                                                              min_orig=COUNTY_MIN_ORIG)),
+    "v27_compare_states": _v(lambda w: V.compare_states(w.table("state"), COMPARE)),
+    "v27_compare_states_f": _v(lambda w: V.compare_states(w.table("state"), COMPARE, "avgRate", "1", "31")),
+    "v28_compare_table": _v(lambda w: V.compare_table(w.table("state"), COMPARE, "denyPct", loan_type="2")),
+    "v29_compare_preset": _v(lambda w: V.compare_preset(w.table("state"), "High Cost", "volume")),
+    "v30_lender_profile_cube": _v(lambda w: V.lender_profile_cube(w.table("lender"))),
+})
+for _dim in ("dti", "ltv", "purchaser", "spread", "lien", "non_am"):
+    QUERIES[f"v18_quality_series_{_dim}"] = (
+        lambda d: _v(lambda w: V.quality_series(w.table("quality"), F_QUAL_SERIES, d)))(_dim)

@@ -183,3 +183,404 @@ ORACLES["a17_denial_reasons"] = q(f"""SELECT denial_reason_1 AS code, CAST(count
  {label_case('denial_reason_1', DENIAL_REASON_LABELS)} AS label
 FROM lar WHERE action_taken = '3' AND denial_reason_1 != '' AND denial_reason_1 != '10'
 GROUP BY denial_reason_1""")
+
+# ---------------------------------------------------------------------------
+# Views (V1-V30), stated over the fact rows
+# ---------------------------------------------------------------------------
+from loanscope.plans import catalog as _cat  # noqa: E402
+from loanscope.schema import (  # noqa: E402
+    INVESTOR_PURPOSE_ORDER, LIEN_LABELS, LTV_ORDER, NON_AM_LABELS, NON_AM_ORDER, OCCUPANCY_LABELS,
+    OCCUPANCY_ORDER, PURCHASER_LABELS, RATE_BUCKET_ORDER, SPREAD_ORDER, STATE_NAMES, STATE_PRESETS,
+)
+
+LAR_DIMS = {"year": "activity_year", "action": "action_taken", "loan_type": "loan_type",
+            "loan_purpose": "loan_purpose"}
+Q_DIMS = {"year": "y", "action": "a", "loan_type": "t", "loan_purpose": "p", "dti": "d", "ltv": "l",
+          "purchaser": "pu", "spread": "rs", "lien": "li", "non_am": "nm"}
+INV_DIMS = {"year": "activity_year", "loan_purpose": "loan_purpose"}
+RATE_DIMS = {"year": "activity_year", "loan_type": "loan_type", "loan_purpose": "loan_purpose"}
+QLAR = f"qlar AS (SELECT {QUALITY_DIMS_SQL}, loan_amount, interest_rate FROM lar)"
+NAMES = "names AS (SELECT lei, arg_max(name, year) AS name FROM filers GROUP BY lei)"
+COUNTY_NAMES = ("cnames AS (SELECT STATEFP || COUNTYFP AS fips, max(COUNTYNAME) AS county_name "
+                "FROM county GROUP BY 1)")
+
+
+def where_sql(f, dims, ignore=()) -> str:
+    terms = [f"{col} = '{getattr(f, d)}'" for d, col in dims.items()
+             if d not in ignore and getattr(f, d) is not None]
+    return " AND ".join(terms) or "TRUE"
+
+
+def ordinal_case(col: str, order) -> str:
+    whens = " ".join(f"WHEN '{c}' THEN {i}" for i, c in enumerate(order))
+    return f"coalesce(CASE {col} {whens} END, 999)"
+
+
+def ratio(n: str, d: str) -> str:
+    return f"CAST({n} AS DOUBLE) / nullif(CAST({d} AS DOUBLE), 0)"
+
+
+def cnt(cond: str) -> str:
+    return f"CAST(coalesce(sum(CASE WHEN {cond} THEN 1 ELSE 0 END), 0) AS BIGINT)"
+
+
+def compact_sql(mask: str = "TRUE", a: str = "action_taken") -> str:
+    """R2 over fact rows, restricted to rows matching ``mask``."""
+    apps, orig, den = (f"sum(CASE WHEN {mask} THEN 1 ELSE 0 END)",
+                       f"sum(CASE WHEN {mask} AND {a} = '1' THEN 1 ELSE 0 END)",
+                       f"sum(CASE WHEN {mask} AND {a} = '3' THEN 1 ELSE 0 END)")
+    vr = f"{mask} AND {a} = '1' AND {VALID_RATE}"
+    return f"""CAST(coalesce({apps}, 0) AS BIGINT) AS apps, CAST(coalesce({orig}, 0) AS BIGINT) AS originated,
+ CAST(coalesce({den}, 0) AS BIGINT) AS denied,
+ coalesce(sum(CASE WHEN {mask} AND {a} = '1' THEN {NUM('loan_amount')} END), CAST(0 AS DOUBLE)) AS volume,
+ {ratio(f"sum(CASE WHEN {mask} THEN {NUM('loan_amount')} END)", apps)} AS avg_loan,
+ {ratio(f"sum(CASE WHEN {vr} THEN {NUM('interest_rate')} END)", f"sum(CASE WHEN {vr} THEN 1 ELSE 0 END)")} AS avg_rate,
+ {ratio(orig, apps)} * 100e0 AS orig_pct, {ratio(den, apps)} * 100e0 AS deny_pct"""
+
+
+def series_sql(src_select: str, views=("lar",), labels=None, order=None, ctes: str = "") -> str:
+    """R4 over fact rows: ``src_select`` yields (code, y) per row."""
+    ord_expr = ordinal_case("code", order) if order is not None else "tot DESC"
+    lab = label_case("r.code", labels) if labels else "r.code"
+    extra = (ctes + ",\n" if ctes else "") + f"""src AS ({src_select}),
+per AS (SELECT code, y, count(*) AS v FROM src GROUP BY code, y),
+ys AS (SELECT DISTINCT y FROM per),
+cs AS (SELECT code, sum(v) AS tot FROM per GROUP BY code),
+ranked AS (SELECT code, CAST(row_number() OVER (ORDER BY {ord_expr}, code) - 1 AS INTEGER) AS pos FROM cs)"""
+    return q(f"""SELECT r.code, {lab} AS label, ys.y, CAST(coalesce(per.v, 0) AS BIGINT) AS c, r.pos
+FROM ranked r CROSS JOIN ys LEFT JOIN per ON per.code = r.code AND per.y = ys.y""", *views, extra=extra)
+
+
+def state_name_sql(col: str) -> str:
+    whens = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in STATE_NAMES.items())
+    return f"coalesce(CASE {col} {whens} END, '')"
+
+
+# V1 ------------------------------------------------------------------------
+def _v1(f) -> str:
+    in_f = where_sql(f, {"action": "action_taken"})
+    apps = f"sum(CASE WHEN {in_f} THEN 1 ELSE 0 END)"
+    vr = f"action_taken = '1' AND {VALID_RATE}"
+    return q(f"""SELECT CAST(coalesce({apps}, 0) AS BIGINT) AS apps, {cnt("action_taken = '1'")} AS originated,
+ {ratio(f"coalesce(sum(CASE WHEN action_taken = '1' THEN 1 ELSE 0 END), 0)", f"coalesce({apps}, 0)")} * 100e0 AS orig_pct,
+ coalesce(sum(CASE WHEN action_taken = '1' THEN {NUM('loan_amount')} END), CAST(0 AS DOUBLE)) / 1e9 AS volume_b,
+ {ratio(f"sum(CASE WHEN {in_f} THEN {NUM('loan_amount')} END)", f"coalesce({apps}, 0)")} AS avg_loan,
+ {ratio(f"sum(CASE WHEN {vr} THEN {NUM('interest_rate')} END)", f"sum(CASE WHEN {vr} THEN 1 ELSE 0 END)")} AS avg_rate
+FROM lar WHERE {where_sql(f, LAR_DIMS, {"action"})}""")
+
+
+ORACLES["v1_national_summary"] = _v1(_cat.Filters())
+ORACLES["v1_national_summary_f"] = _v1(_cat.F_YT)
+ORACLES["v1_national_summary_action"] = _v1(_cat.F_AP)
+
+
+# V2, V4, V5 ----------------------------------------------------------------
+def _main_series(f, col, ignore, labels) -> str:
+    return series_sql(f"SELECT {col} AS code, activity_year AS y FROM lar WHERE {where_sql(f, LAR_DIMS, ignore)}",
+                      labels=labels)
+
+
+ORACLES["v2_outcome_series"] = _main_series(_cat.Filters(), "action_taken", {"year", "action"}, ACTION_LABELS)
+ORACLES["v2_outcome_series_f"] = _main_series(_cat.F_YT, "action_taken", {"year", "action"}, ACTION_LABELS)
+ORACLES["v4_loan_type_series"] = _main_series(_cat.F_AP, "loan_type", {"year", "loan_type"}, LOAN_TYPE_LABELS)
+ORACLES["v5_loan_purpose_series"] = _main_series(_cat.F_YT, "loan_purpose", {"year", "loan_purpose"},
+                                                 LOAN_PURPOSE_LABELS)
+
+
+# V3 ------------------------------------------------------------------------
+def _v3(f) -> str:
+    return q(f"""SELECT action_taken AS code, {label_case('action_taken', ACTION_LABELS)} AS label,
+ CAST(count(*) AS BIGINT) AS count,
+ CAST(count(*) AS DOUBLE) / CAST(sum(count(*)) OVER () AS DOUBLE) * 100e0 AS pct,
+ {ratio(f"sum({NUM('loan_amount')})", "count(*)")} AS avg_loan
+FROM lar WHERE {where_sql(f, LAR_DIMS, {"action"})} GROUP BY action_taken""")
+
+
+ORACLES["v3_outcome_table"] = _v3(_cat.Filters())
+ORACLES["v3_outcome_table_f"] = _v3(_cat.F_YT)
+
+
+# V6, V7 --------------------------------------------------------------------
+def _v6(f) -> str:
+    band = RATE_BANDS_SQL.format(v=NUM("interest_rate"), tail="")
+    return q(f"""SELECT bucket, CAST(count(*) AS BIGINT) AS c, {ordinal_case('bucket', RATE_BUCKET_ORDER)} AS pos
+FROM (SELECT {band} AS bucket FROM lar WHERE action_taken = '1' AND {VALID_RATE}
+ AND {where_sql(f, RATE_DIMS)}) x GROUP BY bucket""")
+
+
+def _v7(f, n=8) -> str:
+    return q(f"""SELECT label, CAST(count(*) AS BIGINT) AS c FROM (
+ SELECT {label_case('denial_reason_1', DENIAL_REASON_LABELS)} AS label FROM lar
+ WHERE action_taken = '3' AND denial_reason_1 != '' AND denial_reason_1 != '10' AND {where_sql(f, RATE_DIMS)}) x
+GROUP BY label ORDER BY c DESC, label LIMIT {n}""")
+
+
+ORACLES["v6_rate_histogram"] = _v6(_cat.Filters())
+ORACLES["v6_rate_histogram_f"] = _v6(_cat.F_YT.replace(action="3"))
+ORACLES["v7_top_denials"] = _v7(_cat.Filters())
+ORACLES["v7_top_denials_f"] = _v7(_cat.F_YT)
+
+
+# V8, V9 --------------------------------------------------------------------
+def _v8(f) -> str:
+    return q(f"""SELECT activity_year AS y, CAST(count(*) AS BIGINT) AS apps, {cnt("action_taken = '1'")} AS originated,
+ {cnt("action_taken = '3'")} AS denied
+FROM lar WHERE {where_sql(f, LAR_DIMS, {"year"})} GROUP BY activity_year""")
+
+
+def _v9(f) -> str:
+    return q(f"""SELECT activity_year AS y,
+ {ratio(f"sum(CASE WHEN {VALID_RATE} THEN {NUM('interest_rate')} ELSE 0 END)", f"sum(CASE WHEN {VALID_RATE} THEN 1 ELSE 0 END)")} AS avg_rate
+FROM lar WHERE {where_sql(f, LAR_DIMS, {"year"})} GROUP BY activity_year""")
+
+
+ORACLES["v8_volume_trend"] = _v8(_cat.Filters())
+ORACLES["v8_volume_trend_f"] = _v8(_cat.F_AP)
+ORACLES["v9_rate_trend"] = _v9(_cat.F_YT)
+
+
+# V10-V13 -------------------------------------------------------------------
+TOPS = f"""tops AS (SELECT lei, string_agg(state, ', ' ORDER BY rank) AS top_states FROM (
+ SELECT lei, state_code AS state,
+  row_number() OVER (PARTITION BY lei ORDER BY count(*) DESC, state_code) AS rank
+ FROM lar WHERE action_taken = '1' AND {KNOWN_STATE} GROUP BY lei, state_code) t WHERE rank <= 5 GROUP BY lei)"""
+
+
+def _lender_stats(f) -> str:
+    return f"stats AS (SELECT lei, {compact_sql()} FROM lar WHERE {where_sql(f, LAR_DIMS)} GROUP BY lei)"
+
+
+def _v10(f, search=None, n=100) -> str:
+    tail = (f"WHERE contains(lower(coalesce(names.name, stats.lei)), '{search.lower()}')" if search
+            else f"ORDER BY apps DESC, lei LIMIT {n}")
+    return q(f"""SELECT stats.*, coalesce(names.name, stats.lei) AS name, coalesce(tops.top_states, '') AS top_states
+FROM stats LEFT JOIN names USING (lei) LEFT JOIN tops USING (lei) {tail}""", "lar", "filers",
+             extra=",\n".join([NAMES, TOPS, _lender_stats(f)]))
+
+
+ORACLES["v10_lender_table"] = _v10(_cat.Filters())
+ORACLES["v10_lender_table_f"] = _v10(_cat.F_YT)
+ORACLES["v10_lender_table_search"] = _v10(_cat.F_AP, search=_cat.LENDER_SEARCH)
+
+
+def _v11(f) -> str:
+    return q("""SELECT CAST(count(*) AS BIGINT) AS lenders, CAST(coalesce(sum(apps), 0) AS BIGINT) AS apps,
+ CAST(coalesce(sum(originated), 0) AS BIGINT) AS originated, CAST(coalesce(sum(volume), 0) AS DOUBLE) AS volume
+FROM stats""", extra=_lender_stats(f))
+
+
+ORACLES["v11_lender_summary"] = _v11(_cat.Filters())
+ORACLES["v11_lender_summary_f"] = _v11(_cat.F_YT)
+
+ORACLES["v12_top_lenders"] = q("""SELECT stats.lei, coalesce(names.name, stats.lei) AS name, apps, originated
+FROM stats LEFT JOIN names USING (lei) WHERE originated > 0 ORDER BY apps DESC, lei LIMIT 15""",
+                               "lar", "filers", extra=",\n".join([NAMES, _lender_stats(_cat.F_YT)]))
+
+ORACLES["v13_highest_denial_lenders"] = q(f"""SELECT stats.lei, coalesce(names.name, stats.lei) AS name, apps, deny_pct
+FROM stats LEFT JOIN names USING (lei) WHERE apps >= {_cat.LENDER_MIN_APPS} AND deny_pct IS NOT NULL
+ORDER BY deny_pct DESC, apps DESC, lei LIMIT 15""", "lar", "filers",
+                                          extra=",\n".join([NAMES, _lender_stats(_cat.Filters())]))
+
+
+# V14-V16 -------------------------------------------------------------------
+def _state_stats(f) -> str:
+    return (f"sstats AS (SELECT state_code AS state, {compact_sql()}, {state_name_sql('state_code')} AS state_name "
+            f"FROM lar WHERE {KNOWN_STATE} AND {where_sql(f, LAR_DIMS)} GROUP BY state_code)")
+
+
+def _v14(f, search=None) -> str:
+    cond = (f"WHERE contains(lower(state), '{search.lower()}') OR contains(lower(state_name), '{search.lower()}')"
+            if search else "")
+    return q(f"SELECT * FROM sstats {cond}", extra=_state_stats(f))
+
+
+ORACLES["v14_state_table"] = _v14(_cat.Filters())
+ORACLES["v14_state_table_f"] = _v14(_cat.F_YT)
+ORACLES["v14_state_table_search"] = _v14(_cat.F_AP, _cat.STATE_SEARCH)
+
+
+def _v15(f, metric, min_apps=None, n=10) -> str:
+    conds = ["TRUE"]
+    if metric != "originated":
+        conds.append(f"{metric} IS NOT NULL")
+    if metric in ("deny_pct", "avg_rate"):
+        conds.append(f"apps >= {min_apps}")
+    return q(f"""SELECT state, CAST({metric} AS DOUBLE) AS value FROM sstats WHERE {' AND '.join(conds)}
+ORDER BY {metric} DESC, apps DESC, state LIMIT {n}""", extra=_state_stats(f))
+
+
+ORACLES["v15_rank_states_originated"] = _v15(_cat.F_YT, "originated")
+ORACLES["v15_rank_states_avg_loan"] = _v15(_cat.F_YT, "avg_loan")
+ORACLES["v15_rank_states_deny_pct"] = _v15(_cat.Filters(year="2020"), "deny_pct", _cat.STATE_MIN_APPS)
+ORACLES["v15_rank_states_avg_rate"] = _v15(_cat.Filters(year="2020"), "avg_rate", _cat.STATE_MIN_APPS)
+
+
+def _v16(f, n=100, top_n=200) -> str:
+    mask = where_sql(f, {"action": "action_taken", "loan_type": "loan_type"})
+    orig_all = "sum(CASE WHEN action_taken = '1' THEN 1 ELSE 0 END)"
+    fha = "sum(CASE WHEN action_taken = '1' AND loan_type = '2' THEN 1 ELSE 0 END)"
+    extra = ",\n".join([
+        COUNTY_NAMES,
+        f"""cstats AS (SELECT county_code AS fips, {compact_sql(mask)}, {ratio(fha, orig_all)} * 100e0 AS fha_pct
+ FROM lar WHERE county_code IN (SELECT county_code FROM lar WHERE {KNOWN_COUNTY}
+   GROUP BY county_code ORDER BY count(*) DESC, county_code LIMIT {top_n})
+  AND {where_sql(f, LAR_DIMS, {"action", "loan_type"})} GROUP BY county_code)"""])
+    return q(f"""SELECT cstats.*, coalesce(st.STATE, '') AS state, coalesce(cnames.county_name, 'Unknown') AS name
+FROM cstats LEFT JOIN {STATE_OF_PREFIX} st ON substr(fips, 1, 2) = st.STATEFP LEFT JOIN cnames USING (fips)
+WHERE apps > 0 ORDER BY apps DESC, fips LIMIT {n}""", "lar", "county", extra=extra)
+
+
+ORACLES["v16_county_table"] = _v16(_cat.Filters())
+ORACLES["v16_county_table_f"] = _v16(_cat.F_COUNTY)
+
+
+# V17-V19 -------------------------------------------------------------------
+def _v17(f) -> str:
+    vr = VALID_RATE
+    return q(f"""SELECT CAST(count(*) AS BIGINT) AS count,
+ coalesce(sum({NUM('loan_amount')}), CAST(0 AS DOUBLE)) AS volume,
+ {ratio(f"coalesce(sum({NUM('loan_amount')}), 0)", "count(*)")} AS avg_loan,
+ {ratio(f"sum(CASE WHEN {vr} THEN {NUM('interest_rate')} ELSE 0 END)", f"sum(CASE WHEN {vr} THEN 1 ELSE 0 END)")} AS avg_rate
+FROM qlar WHERE {where_sql(f, Q_DIMS)}""", extra=QLAR)
+
+
+ORACLES["v17_quality_summary"] = _v17(_cat.Filters())
+ORACLES["v17_quality_summary_f"] = _v17(_cat.F_QUAL)
+
+_Q_SERIES = {"dti": ("d", DTI_ORDER, None), "ltv": ("l", LTV_ORDER, None),
+             "purchaser": ("pu", None, PURCHASER_LABELS), "spread": ("rs", SPREAD_ORDER, None),
+             "lien": ("li", None, LIEN_LABELS), "non_am": ("nm", NON_AM_ORDER, NON_AM_LABELS)}
+for _dim, (_col, _order, _labels) in _Q_SERIES.items():
+    ORACLES[f"v18_quality_series_{_dim}"] = series_sql(
+        f"SELECT {_col} AS code, y FROM qlar WHERE {where_sql(_cat.F_QUAL_SERIES, Q_DIMS, {'year', _dim})}",
+        labels=_labels, order=_order, ctes=QLAR)
+
+_DETAIL_DIMS = [("DTI", "d", DTI_ORDER, None), ("CLTV", "l", LTV_ORDER, None),
+                ("Purchaser", "pu", None, PURCHASER_LABELS), ("Rate Spread", "rs", SPREAD_ORDER, None),
+                ("Lien", "li", None, LIEN_LABELS), ("Non-Am", "nm", NON_AM_ORDER, NON_AM_LABELS)]
+
+
+def _v19(f) -> str:
+    parts, label_whens, ord_whens = [], [], []
+    for i, (name, col, order, labels) in enumerate(_DETAIL_DIMS):
+        parts.append(f"""SELECT '{name}' AS dim, {i} AS dim_pos, {col} AS code, CAST(count(*) AS BIGINT) AS count,
+ sum({NUM('loan_amount')}) AS volume,
+ sum(CASE WHEN {VALID_RATE} THEN {NUM('interest_rate')} ELSE 0 END) AS r,
+ sum(CASE WHEN {VALID_RATE} THEN 1 ELSE 0 END) AS rc
+FROM qlar WHERE {where_sql(f, Q_DIMS)} GROUP BY {col}""")
+        label_whens.append(f"WHEN '{name}' THEN {label_case('code', labels) if labels else 'code'}")
+        ord_whens.append(f"WHEN '{name}' THEN {ordinal_case('code', order) if order else '0'}")
+    per = "per AS (" + "\nUNION ALL\n".join(parts) + ")"
+    return q(f"""SELECT dim, code, CASE dim {' '.join(label_whens)} END AS bucket, count,
+ coalesce({ratio('count', 'sum(count) OVER (PARTITION BY dim)')} * 100e0, 0) AS pct, volume,
+ {ratio('r', 'rc')} AS avg_rate, dim_pos,
+ CAST(row_number() OVER (PARTITION BY dim ORDER BY CASE dim {' '.join(ord_whens)} END, count DESC, code) - 1 AS INTEGER) AS pos
+FROM per WHERE count > 0""", extra=",\n".join([QLAR, per]))
+
+
+ORACLES["v19_quality_detail"] = _v19(_cat.Filters())
+ORACLES["v19_quality_detail_f"] = _v19(_cat.F_QUAL)
+
+
+# V20-V26 -------------------------------------------------------------------
+def lens_sql(lens: str) -> str:
+    return ("occupancy_type = '3' AND business_or_commercial_purpose = '1'" if lens == "bp"
+            else "occupancy_type = '3'")
+
+
+def _inv_year(f, lens) -> str:
+    L = lens_sql(lens)
+    return f"""yr AS (SELECT activity_year AS y, sum(CASE WHEN {L} THEN 1 ELSE 0 END) AS inv_c,
+ coalesce(sum(CASE WHEN {L} THEN {NUM('loan_amount')} END), 0) AS inv_s,
+ sum(CASE WHEN {L} AND {VALID_RATE} THEN {NUM('interest_rate')} ELSE 0 END) AS inv_r,
+ sum(CASE WHEN {L} AND {VALID_RATE} THEN 1 ELSE 0 END) AS inv_rc, count(*) AS all_c
+ FROM lar WHERE action_taken = '1' AND {where_sql(f, INV_DIMS)} GROUP BY activity_year)"""
+
+
+def _v20(f, lens) -> str:
+    return q(f"""SELECT CAST(coalesce(sum(inv_c), 0) AS BIGINT) AS inv_c, CAST(coalesce(sum(all_c), 0) AS BIGINT) AS all_c,
+ coalesce({ratio('sum(inv_c)', 'sum(all_c)')} * 100e0, 0) AS share,
+ CAST(coalesce(sum(inv_s), 0) AS DOUBLE) AS volume,
+ CASE WHEN coalesce(sum(inv_s), 0) >= 1e12 THEN 'T' ELSE 'B' END AS volume_unit,
+ {ratio('coalesce(sum(inv_s), 0)', 'sum(inv_c)')} AS avg_loan, {ratio('sum(inv_r)', 'sum(inv_rc)')} AS avg_rate,
+ (SELECT y FROM yr WHERE inv_c > 0 ORDER BY inv_c DESC, y LIMIT 1) AS peak_year,
+ CAST(CASE WHEN max(inv_c) > 0 THEN max(inv_c) END AS BIGINT) AS peak_count
+FROM yr""", extra=_inv_year(f, lens))
+
+
+ORACLES["v20_investor_summary"] = _v20(_cat.Filters(), "bp")
+ORACLES["v20_investor_summary_f"] = _v20(_cat.F_INV, "all3")
+ORACLES["v21_investor_trend"] = q("SELECT y, CAST(inv_c AS BIGINT) AS inv_c, inv_s / 1e9 AS inv_volume_b FROM yr",
+                                  extra=_inv_year(_cat.Filters(loan_purpose="31"), "bp"))
+ORACLES["v22_investor_share_trend"] = q(f"SELECT y, {ratio('inv_c', 'all_c')} * 100e0 AS share FROM yr",
+                                        extra=_inv_year(_cat.Filters(), "all3"))
+ORACLES["v23_investor_purpose_series"] = series_sql(
+    f"SELECT loan_purpose AS code, activity_year AS y FROM lar WHERE action_taken = '1' AND {lens_sql('bp')}",
+    labels=LOAN_PURPOSE_LABELS, order=INVESTOR_PURPOSE_ORDER)
+ORACLES["v24_occupancy_series"] = series_sql(
+    "SELECT occupancy_type AS code, activity_year AS y FROM lar WHERE action_taken = '1' AND activity_year = '2024'",
+    labels=OCCUPANCY_LABELS, order=OCCUPANCY_ORDER)
+
+
+def _v25(f, lens, n) -> str:
+    L = lens_sql(lens)
+    return q(f"""SELECT state_code AS state, {state_name_sql('state_code')} AS state_name,
+ {cnt(L)} AS inv_c, CAST(count(*) AS BIGINT) AS all_c,
+ coalesce({ratio(f"sum(CASE WHEN {L} THEN 1 ELSE 0 END)", "count(*)")} * 100e0, 0) AS share,
+ coalesce(sum(CASE WHEN {L} THEN {NUM('loan_amount')} END), CAST(0 AS DOUBLE)) AS volume,
+ {ratio(f"coalesce(sum(CASE WHEN {L} THEN {NUM('loan_amount')} END), 0)", f"sum(CASE WHEN {L} THEN 1 ELSE 0 END)")} AS avg_loan
+FROM lar WHERE action_taken = '1' AND {KNOWN_STATE} AND {where_sql(f, INV_DIMS)}
+GROUP BY state_code ORDER BY inv_c DESC, state LIMIT {n}""")
+
+
+ORACLES["v25_investor_states"] = _v25(_cat.Filters(), "bp", 50)
+ORACLES["v25_investor_states_f"] = _v25(_cat.F_INV, "all3", 5)
+
+
+def _v26(f, lens, n=60, min_orig=1000, top_n=200) -> str:
+    L = lens_sql(lens)
+    return q(f"""SELECT fips, coalesce(st.STATE, '') AS state, inv_c, all_c, share, volume,
+ coalesce(cnames.county_name, 'Unknown') AS name FROM (
+ SELECT county_code AS fips, {cnt(L)} AS inv_c, CAST(count(*) AS BIGINT) AS all_c,
+  coalesce({ratio(f"sum(CASE WHEN {L} THEN 1 ELSE 0 END)", "count(*)")} * 100e0, 0) AS share,
+  coalesce(sum(CASE WHEN {L} THEN {NUM('loan_amount')} END), CAST(0 AS DOUBLE)) AS volume
+ FROM lar WHERE action_taken = '1' AND county_code IN (SELECT county_code FROM lar
+   WHERE action_taken = '1' AND {KNOWN_COUNTY} GROUP BY county_code ORDER BY count(*) DESC, county_code LIMIT {top_n})
+  AND {where_sql(f, INV_DIMS)} GROUP BY county_code) x
+LEFT JOIN {STATE_OF_PREFIX} st ON substr(fips, 1, 2) = st.STATEFP LEFT JOIN cnames USING (fips)
+WHERE all_c >= {min_orig} ORDER BY share DESC, fips LIMIT {n}""", "lar", "county", extra=COUNTY_NAMES)
+
+
+ORACLES["v26_investor_counties"] = _v26(_cat.Filters(), "bp", min_orig=_cat.COUNTY_MIN_ORIG)
+
+
+# V27-V30 -------------------------------------------------------------------
+_METRIC_SQL = {"originations": "originated", "applications": "apps", "volume": "volume", "avgLoan": "avg_loan",
+               "avgRate": "avg_rate", "origPct": "orig_pct", "denyPct": "deny_pct"}
+
+
+def _compare_long(states, metric, loan_type=None, loan_purpose=None) -> str:
+    order = {s: i for i, s in enumerate(dict.fromkeys(states))}
+    pos = "CASE state_code " + " ".join(f"WHEN '{s}' THEN {i}" for s, i in order.items()) + " END"
+    sel = ", ".join(f"'{s}'" for s in order)
+    conds = [f"state_code IN ({sel})", KNOWN_STATE]
+    if loan_type:
+        conds.append(f"loan_type = '{loan_type}'")
+    if loan_purpose:
+        conds.append(f"loan_purpose = '{loan_purpose}'")
+    return f"""cmp AS (SELECT state, pos, y, CAST({_METRIC_SQL[metric]} AS DOUBLE) AS value FROM (
+ SELECT state_code AS state, {pos} AS pos, activity_year AS y, {compact_sql()}
+ FROM lar WHERE {' AND '.join(conds)} GROUP BY state_code, activity_year) x)"""
+
+
+ORACLES["v27_compare_states"] = q("SELECT * FROM cmp", extra=_compare_long(_cat.COMPARE, "originations"))
+ORACLES["v27_compare_states_f"] = q("SELECT * FROM cmp", extra=_compare_long(_cat.COMPARE, "avgRate", "1", "31"))
+ORACLES["v28_compare_table"] = q(
+    "SELECT y, " + ", ".join(f"max(CASE WHEN state = '{s}' THEN value END) AS {s}" for s in ["CA", "TX", "NY", "PR"])
+    + " FROM cmp GROUP BY y", extra=_compare_long(_cat.COMPARE, "denyPct", loan_type="2"))
+ORACLES["v29_compare_preset"] = q("SELECT * FROM cmp", extra=_compare_long(STATE_PRESETS["High Cost"], "volume"))
+ORACLES["v30_lender_profile_cube"] = q(f"""SELECT lei AS l, action_taken AS a, loan_type AS t, loan_purpose AS p,
+ CAST(count(*) AS BIGINT) AS c, CAST(round(sum({NUM('loan_amount')}), 0) AS BIGINT) AS s,
+ round(sum(CASE WHEN {VALID_RATE} THEN {NUM('interest_rate')} ELSE 0 END), 2) AS r,
+ CAST(sum(CASE WHEN {VALID_RATE} THEN 1 ELSE 0 END) AS BIGINT) AS rc
+FROM lar GROUP BY 1, 2, 3, 4""")
