@@ -140,3 +140,50 @@ QUERIES.update({
 for _dim in ("dti", "ltv", "purchaser", "spread", "lien", "non_am"):
     QUERIES[f"v18_quality_series_{_dim}"] = (
         lambda d: _v(lambda w: V.quality_series(w.table("quality"), F_QUAL_SERIES, d)))(_dim)
+
+# ---------------------------------------------------------------------------
+# Sources (S3-S10): the fixture rows presented in both register layouts.
+# ---------------------------------------------------------------------------
+from pyspark.sql import functions as _F  # noqa: E402
+
+from loanscope.schema import LAR_TO_MLAR_RENAMES, QUERIED_COLUMNS  # noqa: E402
+from loanscope.sources import fixture as _fx  # noqa: E402
+from loanscope.sources import registers as _reg  # noqa: E402
+
+_MLAR_TO_LAR = {v: k for k, v in LAR_TO_MLAR_RENAMES.items()}
+LAR_EXTRA = {"derived_msa_md": "", "tract_population": "0"}
+
+
+def as_lar_layout(rows: DataFrame) -> DataFrame:
+    """The rows as a public register presents them: older names, another column
+    order, extra columns; most of the 85 columns absent."""
+    cols = [_F.col(c).alias(_MLAR_TO_LAR.get(c, c)) for c in reversed(rows.columns)]
+    return rows.select(*cols, *[_F.lit(v).alias(k) for k, v in LAR_EXTRA.items()])
+
+
+def as_mlar_layout(rows: DataFrame) -> DataFrame:
+    """The rows as the 85-column modified register (absent columns empty)."""
+    have = set(rows.columns)
+    return rows.select(*[(_F.col(c) if c in have else _F.lit("")).alias(c) for c in _reg.MLAR_COLUMNS])
+
+
+def union_of_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Years before 2022 in the public layout, later years in the modified
+    layout, each harmonised, then appended by name."""
+    lar = _fx.lar(spark, sf_dir)
+    old = _reg.harmonise(as_lar_layout(lar.where(_F.col("activity_year") < "2022")))
+    new = as_mlar_layout(lar.where(_F.col("activity_year") >= "2022"))
+    old = old.withColumn("source_file", _F.concat("activity_year", _F.lit("_lar.txt")))
+    new = new.withColumn("source_file", _F.concat("activity_year", _F.lit("_combined_mlar_header.txt")))
+    return old.unionByName(new)
+
+
+QUERIES.update({
+    "s3_harmonise": lambda s, d: _reg.harmonise(as_lar_layout(_fx.lar(s, d))),
+    "s4_union": lambda s, d: union_of_layouts(s, d).select(*QUERIED_COLUMNS, "source_file"),
+    "s6_audit": lambda s, d: _reg.ingest_audit(union_of_layouts(s, d)),
+    "s7_year_summary": _w(lambda w: _reg.year_summary(w.fact())),
+    "s8_total": _w(lambda w: _reg.total_rows(w.fact())),
+    "s9_county_dim": _w(lambda w: w.table("county_dim").drop("pos")),
+    "s10_lender_names": _t("lender_names"),
+})

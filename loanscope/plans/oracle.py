@@ -584,3 +584,20 @@ ORACLES["v30_lender_profile_cube"] = q(f"""SELECT lei AS l, action_taken AS a, l
  round(sum(CASE WHEN {VALID_RATE} THEN {NUM('interest_rate')} ELSE 0 END), 2) AS r,
  CAST(sum(CASE WHEN {VALID_RATE} THEN 1 ELSE 0 END) AS BIGINT) AS rc
 FROM lar GROUP BY 1, 2, 3, 4""")
+
+# ---------------------------------------------------------------------------
+# Sources (S3-S10)
+# ---------------------------------------------------------------------------
+from loanscope.schema import MLAR_COLUMNS, QUERIED_COLUMNS  # noqa: E402
+
+ORACLES["s3_harmonise"] = q("SELECT " + ", ".join(
+    (c if c in QUERIED_COLUMNS else f"'' AS {c}") for c in MLAR_COLUMNS) + " FROM lar")
+_SOURCE_FILE = ("CASE WHEN activity_year < '2022' THEN activity_year || '_lar.txt' "
+                "ELSE activity_year || '_combined_mlar_header.txt' END")
+ORACLES["s4_union"] = q("SELECT " + ", ".join(QUERIED_COLUMNS) + f", {_SOURCE_FILE} AS source_file FROM lar")
+ORACLES["s6_audit"] = q(f"SELECT {_SOURCE_FILE} AS source_file, CAST(count(*) AS BIGINT) AS rows FROM lar GROUP BY 1")
+ORACLES["s7_year_summary"] = q(f"""SELECT activity_year, CAST(count(*) AS BIGINT) AS apps,
+ {cnt("action_taken = '1'")} AS originated FROM lar GROUP BY activity_year""")
+ORACLES["s8_total"] = q("SELECT CAST(count(*) AS BIGINT) AS total FROM lar")
+ORACLES["s9_county_dim"] = q("SELECT STATEFP, STATE, COUNTYFP, COUNTYNAME FROM county", "county")
+ORACLES["s10_lender_names"] = q("SELECT lei, arg_max(name, year) AS name FROM filers GROUP BY lei", "filers")
