@@ -63,8 +63,14 @@ def with_county_name(df: DataFrame, county_dim: DataFrame, fips_col: str = "fips
 
 
 def with_lender_name(df: DataFrame, names: DataFrame, lei_col: str = "lei",
-                     out: str = "name", checked: bool = True) -> DataFrame:
-    """Lender name, falling back to the LEI.  ``names`` is (lei, name)."""
+                     out: str = "name", checked: bool = False) -> DataFrame:
+    """Lender name, falling back to the LEI.  ``names`` is (lei, name).
+
+    The name list grows with the number of filers, so no unconditional hint:
+    the planner broadcasts it when its file statistics are under
+    ``spark.sql.autoBroadcastJoinThreshold`` (and AQE re-checks at run time);
+    ``checked=True`` counts rows first and hints up to ``BROADCAST_ROW_LIMIT``.
+    """
     side = names.select(F.col("lei").alias("_lei"), F.col("name").alias("_name"))
     if checked:
         side = broadcast_checked(side)

@@ -67,19 +67,21 @@ def year_series(df: DataFrame, code: str, value: str = "c", year: str = "y",
     The dense fill is a pivot on the (bounded) set of years and back.
     """
     per = df.groupBy(F.col(code).alias("code"), F.col(year).alias("y")).agg(F.sum(value).alias("v"))
-    wide = per.groupBy("code").pivot("y").agg(F.first("v")).na.fill(0)
-    years = [c for c in wide.columns if c != "code"]
-    if not years:
-        return per.select("code", F.lit("").alias("label"), "y", F.col("v").cast("bigint").alias("c"),
-                          F.lit(0).alias("pos")).limit(0)
-    long = wide.unpivot(["code"], years, "y", "c").withColumn("c", F.col("c").cast("bigint"))
-    totals = long.groupBy("code").agg(F.sum("c").alias("_tot"))
+    # One row per code with its cells as a map; every code gets the full year list.
+    # Both are bounded by (codes x years), which a category series keeps small.
+    per_code = per.groupBy("code").agg(F.map_from_entries(F.collect_list(F.struct("y", "v"))).alias("m"),
+                                       F.sum("v").alias("_tot"))
+    everything = Window.partitionBy()
     rank_order = ([ordinal_of("code", order), F.asc("code")] if order is not None
                   else [F.desc("_tot"), F.asc("code")])
-    ranked = totals.withColumn("pos", F.row_number().over(Window.orderBy(*rank_order)) - 1)  # few codes
+    ranked = per_code.select(
+        "code", "m",
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.map_keys("m")).over(everything)))).alias("ys"),
+        (F.row_number().over(Window.orderBy(*rank_order)) - 1).cast("int").alias("pos"))
     lab = label_of("code", labels) if labels is not None else F.col("code")
-    return (long.join(ranked.select("code", "pos"), "code")
-            .select("code", lab.alias("label"), "y", "c", F.col("pos").cast("int").alias("pos")))
+    return (ranked.select("code", "m", "pos", F.explode("ys").alias("y"))
+            .select("code", lab.alias("label"), "y",
+                    F.coalesce(F.col("m")[F.col("y")], F.lit(0)).cast("bigint").alias("c"), "pos"))
 
 
 def wide_series(long: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loanscope.sources.tables import read_table
+from loanscope.sources.tables import ensure_parallelism, read_table
 
 # FIXED VALUES: fixture definitions (test-data specification).
 LAR_SQL = """SELECT
@@ -86,7 +86,9 @@ def with_oracle_views(select_sql: str, *views: str) -> str:
 
 def lar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 21-column application fixture (one row per line item)."""
-    return spark.sql(LAR_SQL, lineitem=read_table(spark, sf_dir, "lineitem"),
+    lineitem = ensure_parallelism(read_table(spark, sf_dir, "lineitem")
+                                  .select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
+    return spark.sql(LAR_SQL, lineitem=lineitem,
                      orders=read_table(spark, sf_dir, "orders"),
                      customer=read_table(spark, sf_dir, "customer"))
 

@@ -12,3 +12,13 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table; the scan prunes columns and pushes filters down."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan over at least ``min_partitions`` tasks (default: the cluster's
+    parallelism) when its files give fewer splits, e.g. one large single-row-group
+    file.  A scan that already has enough splits is returned unchanged, so at scale
+    (thousands of files) this adds nothing."""
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
