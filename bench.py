@@ -56,7 +56,7 @@ def main() -> None:
 
     # Views read the landed cubes of the same warehouse the catalogue would use.
     from loanscope.plans import warehouse as W
-    W._REGISTRY[(W._app_id(spark), sf_dir)] = wh
+    W._REGISTRY[(W._app_id(spark), id(spark), sf_dir)] = wh
     for key, fn in catalog.QUERIES.items():
         if re.match(r"v\d+_", key):
             timed(key, lambda f=fn: f(spark, sf_dir).collect())

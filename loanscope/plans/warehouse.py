@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import threading
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -75,6 +76,7 @@ class Warehouse:
         self.top_n = top_n
         self.max_records_per_file = max_records_per_file
         self._landed: set[str] = set()
+        self._fact_schema = None
         self._lock = threading.RLock()
 
     def path(self, name: str) -> str:
@@ -91,11 +93,15 @@ class Warehouse:
         """
         with self._lock:
             if "fact" not in self._landed:
-                (self.sources.fact().write.mode("overwrite")
+                src = self.sources.fact()
+                (src.write.mode("overwrite")
                  .option("maxRecordsPerFile", self.max_records_per_file)
                  .partitionBy("activity_year").parquet(self.path("fact")))
+                self._fact_schema = src.schema
                 self._landed.add("fact")
-        return self._read("fact")
+        # The explicit schema keeps activity_year text whatever the session's
+        # partition-type inference setting is.
+        return self.spark.read.schema(self._fact_schema).parquet(self.path("fact"))
 
     def table(self, name: str) -> DataFrame:
         """A landed cube or dimension, built from ``BUILDERS`` on first use."""
@@ -112,7 +118,7 @@ class Warehouse:
             self.table(name)
 
 
-_REGISTRY: dict[tuple[str, str], Warehouse] = {}
+_REGISTRY: dict[tuple[str, int, str], Warehouse] = {}
 _REGISTRY_LOCK = threading.Lock()
 
 
@@ -124,13 +130,13 @@ def _app_id(spark: SparkSession) -> str:
 
 
 def fixture_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The session's warehouse over the fixture views of ``sf_dir`` (one per application)."""
-    key = (_app_id(spark), sf_dir.rstrip("/"))
+    """The session's warehouse over the fixture views of ``sf_dir`` (one per session)."""
+    key = (_app_id(spark), id(spark), sf_dir.rstrip("/"))
     with _REGISTRY_LOCK:
         wh = _REGISTRY.get(key)
         if wh is None or wh.spark is not spark:
-            tag = hashlib.sha1(key[1].encode()).hexdigest()[:10]
-            root = join_path(shared_dir(spark), "loanscope", f"{key[0]}-{tag}")
+            tag = hashlib.sha1(key[2].encode()).hexdigest()[:10]
+            root = join_path(shared_dir(spark), "loanscope", f"{key[0]}-{tag}-{uuid.uuid4().hex[:8]}")
             wh = Warehouse(spark, root, fixture_sources(spark, sf_dir))
             _REGISTRY[key] = wh
         return wh
