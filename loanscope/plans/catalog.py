@@ -187,3 +187,15 @@ QUERIES.update({
     "s9_county_dim": _w(lambda w: w.table("county_dim").drop("pos")),
     "s10_lender_names": _t("lender_names"),
 })
+
+# ---------------------------------------------------------------------------
+# Parameterised SQL (S11) and distinct years
+# ---------------------------------------------------------------------------
+from loanscope.operators import rollup as _R  # noqa: E402
+from loanscope.plans import sql as _sql  # noqa: E402
+
+QUERIES.update({
+    "s11_parameterised_query": _w(lambda w: _sql.query(w.spark, _sql.TOP_COUNTIES_SQL, {"top_n": 200},
+                                                       fact=w.fact())),
+    "r8_distinct_years": _w(lambda w: _R.distinct_years(w.table("main"))),
+})

@@ -601,3 +601,8 @@ ORACLES["s7_year_summary"] = q(f"""SELECT activity_year, CAST(count(*) AS BIGINT
 ORACLES["s8_total"] = q("SELECT CAST(count(*) AS BIGINT) AS total FROM lar")
 ORACLES["s9_county_dim"] = q("SELECT STATEFP, STATE, COUNTYFP, COUNTYNAME FROM county", "county")
 ORACLES["s10_lender_names"] = q("SELECT lei, arg_max(name, year) AS name FROM filers GROUP BY lei", "filers")
+
+ORACLES["s11_parameterised_query"] = q("""SELECT county_code, count(*) AS c FROM lar
+WHERE county_code != '' AND county_code != 'NA'
+GROUP BY county_code ORDER BY c DESC, county_code LIMIT 200""")
+ORACLES["r8_distinct_years"] = q("SELECT DISTINCT activity_year AS y FROM lar")
