@@ -91,3 +91,29 @@ def with_top_states_text(df: DataFrame, lender_states: DataFrame, lei_col: str =
             .withColumn(out, F.coalesce(F.array_join(F.transform("_st", lambda s: s["state"]), ", "),
                                         F.lit("")))
             .drop("_lei", "_st"))
+
+
+def lender_dimension(names: DataFrame, lender_states: DataFrame) -> DataFrame:
+    """(lei, name, top_states): one row per lender known to either input.
+
+    ``names`` is (lei, name); ``lender_states`` the flat (lei, state, count, rank)
+    top-state table.  Built once and landed, so views do a single lookup.
+    """
+    tops = (lender_states.groupBy("lei")
+            .agg(F.sort_array(F.collect_list(F.struct("rank", "state"))).alias("_st"))
+            .select("lei", F.array_join(F.transform("_st", lambda s: s["state"]), ", ").alias("top_states")))
+    return names.select("lei", "name").join(tops, "lei", "full")
+
+
+def with_lender_dimension(df: DataFrame, dim: DataFrame, lei_col: str = "lei") -> DataFrame:
+    """J4 + J5 in one lookup: name (fallback: the LEI) and top states text (fallback: '').
+
+    The dimension grows with the number of lenders, so the planner decides the
+    broadcast from its file statistics (``spark.sql.autoBroadcastJoinThreshold``).
+    """
+    side = dim.select(F.col("lei").alias("_lei"), F.col("name").alias("_name"),
+                      F.col("top_states").alias("_tops"))
+    return (df.join(side, F.col(lei_col) == F.col("_lei"), "left")
+            .withColumn("name", F.coalesce(F.col("_name"), F.col(lei_col)))
+            .withColumn("top_states", F.coalesce(F.col("_tops"), F.lit("")))
+            .drop("_lei", "_name", "_tops"))

@@ -94,18 +94,15 @@ QUERIES.update({
     "v8_volume_trend": _v(lambda w: V.volume_trend(w.table("main"))),
     "v8_volume_trend_f": _v(lambda w: V.volume_trend(w.table("main"), F_AP)),
     "v9_rate_trend": _v(lambda w: V.rate_trend(w.table("main"), F_YT)),
-    "v10_lender_table": _v(lambda w: V.lender_table(w.table("lender_base"), w.table("lender_names"),
-                                                    w.table("lender_states"))),
-    "v10_lender_table_f": _v(lambda w: V.lender_table(w.table("lender_base"), w.table("lender_names"),
-                                                      w.table("lender_states"), F_YT)),
-    "v10_lender_table_search": _v(lambda w: V.lender_table(w.table("lender_base"), w.table("lender_names"),
-                                                           w.table("lender_states"), F_AP,
+    "v10_lender_table": _v(lambda w: V.lender_table(w.table("lender_base"), w.table("lender_dim"))),
+    "v10_lender_table_f": _v(lambda w: V.lender_table(w.table("lender_base"), w.table("lender_dim"), F_YT)),
+    "v10_lender_table_search": _v(lambda w: V.lender_table(w.table("lender_base"), w.table("lender_dim"), F_AP,
                                                            search=LENDER_SEARCH)),
     "v11_lender_summary": _v(lambda w: V.lender_summary(w.table("lender_base"))),
     "v11_lender_summary_f": _v(lambda w: V.lender_summary(w.table("lender_base"), F_YT)),
-    "v12_top_lenders": _v(lambda w: V.top_lenders(w.table("lender_base"), w.table("lender_names"), F_YT)),
+    "v12_top_lenders": _v(lambda w: V.top_lenders(w.table("lender_base"), w.table("lender_dim"), F_YT)),
     "v13_highest_denial_lenders": _v(lambda w: V.highest_denial_lenders(
-        w.table("lender_base"), w.table("lender_names"), min_apps=LENDER_MIN_APPS)),
+        w.table("lender_base"), w.table("lender_dim"), min_apps=LENDER_MIN_APPS)),
     "v14_state_table": _v(lambda w: V.state_table(w.table("state"))),
     "v14_state_table_f": _v(lambda w: V.state_table(w.table("state"), F_YT)),
     "v14_state_table_search": _v(lambda w: V.state_table(w.table("state"), F_AP, search=STATE_SEARCH)),

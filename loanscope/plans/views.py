@@ -19,7 +19,7 @@ from loanscope.functions.scalars import (label_of, literal_map, ordinal_of, safe
 from loanscope.operators import filters as P
 from loanscope.operators import rollup as R
 from loanscope.operators.filters import Filters
-from loanscope.operators.lookups import with_county_name, with_lender_name, with_top_states_text
+from loanscope.operators.lookups import with_county_name, with_lender_dimension
 from loanscope.operators.ranking import peak, top_n
 from loanscope.schema import (ACTION_LABELS, DENIAL_REASON_LABELS, DTI_ORDER, INVESTOR_PURPOSE_ORDER,
                               LIEN_LABELS, LOAN_PURPOSE_LABELS, LOAN_TYPE_LABELS, LTV_ORDER,
@@ -128,11 +128,12 @@ def lender_stats(lender_base: DataFrame, f: Filters = ALL) -> DataFrame:
     return R.aggregate_compact(P.slice_compact(lender_base, f), ["lei"])
 
 
-def lender_table(lender_base: DataFrame, names: DataFrame, lender_states: DataFrame,
+def lender_table(lender_base: DataFrame, lender_dim: DataFrame,
                  f: Filters = ALL, search: str | None = None, n: int = 100) -> DataFrame:
     """Per-lender stats with name and top states, by applications; a
-    search returns every lender whose name contains the text."""
-    stats = with_top_states_text(with_lender_name(lender_stats(lender_base, f), names), lender_states)
+    search returns every lender whose name contains the text.  ``lender_dim``
+    is ``lookups.lender_dimension(names, lender_states)``."""
+    stats = with_lender_dimension(lender_stats(lender_base, f), lender_dim)
     ordered = stats.orderBy(F.desc("apps"), F.asc("lei"))
     return P.search_lenders(ordered, search, n)
 
@@ -145,18 +146,18 @@ def lender_summary(lender_base: DataFrame, f: Filters = ALL) -> DataFrame:
         F.col("originated").cast("bigint").alias("originated"), F.col("volume").cast("double").alias("volume"))
 
 
-def top_lenders(lender_base: DataFrame, names: DataFrame, f: Filters = ALL, n: int = 15,
+def top_lenders(lender_base: DataFrame, lender_dim: DataFrame, f: Filters = ALL, n: int = 15,
                 rank_by: str = "apps") -> DataFrame:
     """Lenders with originations, first ``n`` by ``rank_by`` (the published chart ranks by apps)."""
-    stats = with_lender_name(lender_stats(lender_base, f).where(F.col("originated") > 0), names)
+    stats = with_lender_dimension(lender_stats(lender_base, f).where(F.col("originated") > 0), lender_dim)
     return top_n(stats, rank_by, n, "lei").select("lei", "name", "apps", "originated")
 
 
-def highest_denial_lenders(lender_base: DataFrame, names: DataFrame, f: Filters = ALL, n: int = 15,
+def highest_denial_lenders(lender_base: DataFrame, lender_dim: DataFrame, f: Filters = ALL, n: int = 15,
                            min_apps: int = 1000) -> DataFrame:
     """Highest denial shares among lenders with at least ``min_apps`` applications."""
     stats = P.min_sample(lender_stats(lender_base, f), "apps", min_apps).where(F.col("deny_pct").isNotNull())
-    return (with_lender_name(stats, names).orderBy(F.desc("deny_pct"), F.desc("apps"), F.asc("lei"))
+    return (with_lender_dimension(stats, lender_dim).orderBy(F.desc("deny_pct"), F.desc("apps"), F.asc("lei"))
             .limit(n).select("lei", "name", "apps", "deny_pct"))
 
 

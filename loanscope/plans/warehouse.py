@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loanscope.operators import cubes, ranking, reports
+from loanscope.operators import cubes, lookups, ranking, reports
 from loanscope.session import join_path, shared_dir
 from loanscope.sources import fixture, reference
 
@@ -53,6 +53,7 @@ BUILDERS: dict[str, Callable[["Warehouse"], DataFrame]] = {
     "investor_base": lambda w: cubes.investor_base_cube(w.fact()),
     "lender_states": lambda w: ranking.lender_top_states(cubes.lender_state_counts(w.fact())),
     "rate_distribution": lambda w: reports.rate_distribution(w.fact()),
+    "lender_dim": lambda w: lookups.lender_dimension(w.table("lender_names"), w.table("lender_states")),
     # rollups of landed cubes
     "main": lambda w: cubes.main_cube(w.table("quality")),
     "state": lambda w: cubes.state_cube(w.table("geo_base")),

@@ -19,6 +19,9 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     parallelism) when its files give fewer splits, e.g. one large single-row-group
     file.  A scan that already has enough splits is returned unchanged, so at scale
     (thousands of files) this adds nothing."""
-    spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no RDD API (Spark Connect): leave the layout to the planner
+        return df
+    return df.repartition(want) if have < want else df
