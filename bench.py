@@ -23,11 +23,17 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from loanscope.session import get_session, join_path, shared_dir  # noqa: E402
 
 
+def _event_log_conf() -> dict[str, str]:
+    """Optional Spark event log (BENCH_EVENT_LOG_DIR) for stage and task timings."""
+    d = os.environ.get("BENCH_EVENT_LOG_DIR")
+    return {"spark.eventLog.enabled": "true", "spark.eventLog.dir": d} if d else {}
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = get_session(f"local[{cpus}]", app_name="loanscope-bench", shuffle_partitions=max(8, 2 * cpus),
-                        conf={"spark.driver.memory": "16g"})
+                        conf={"spark.driver.memory": "16g", **_event_log_conf()})
     from loanscope.operators import reports
     from loanscope.plans import catalog
     from loanscope.plans.warehouse import BUILDERS, Warehouse, fixture_sources
