@@ -70,3 +70,19 @@ def load_payload(spark: SparkSession, written: dict[str, dict[str, str]], fmt: s
     """Read payload tables back."""
     rd = spark.read.json if fmt == "json" else spark.read.parquet
     return {p: {n: rd(path) for n, path in tables.items()} for p, tables in written.items()}
+
+
+def national_document(wh: Warehouse) -> DataFrame:
+    """The national report as one document (summary object, ordered arrays)."""
+    from pyspark.sql import functions as F
+
+    from loanscope.sources.sinks import payload_document
+    by_count = [F.desc("count"), F.asc("code")]
+    return payload_document({
+        "summary": (reports.summary(wh.table("lender_base")), []),
+        "by_action": (reports.by_action(wh.table("main")), by_count),
+        "by_loan_type": (reports.by_loan_type(wh.table("main")), by_count),
+        "by_loan_purpose": (reports.by_loan_purpose(wh.table("main")), by_count),
+        "rate_distribution": (wh.table("rate_distribution"), [F.asc("bucket")]),
+        "denial_reasons": (reports.denial_reasons(wh.table("denials")), by_count),
+    }, singles=["summary"])

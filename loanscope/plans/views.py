@@ -382,3 +382,37 @@ def lender_profile_cube(lender: DataFrame) -> DataFrame:
     """The lender cube in payload form: short keys, whole-dollar and 2-decimal sums."""
     from loanscope.operators.cubes import round_cells
     return round_cells(lender).select(F.col("lei").alias("l"), "a", "t", "p", "c", "s", "r", "rc")
+
+
+# ---------------------------------------------------------------------------
+# Every view for one filter state (what a filter change refreshes)
+# ---------------------------------------------------------------------------
+def dashboard(wh, f: Filters = ALL, lens: str = "bp", search: str | None = None,
+              min_apps: int = 1000, min_orig: int = 1000) -> dict[str, DataFrame]:
+    """All views of the dashboard under ``f``; ``wh`` is a ``Warehouse``.  Lazy: nothing runs
+    until a view is collected, and each reads only its landed cube."""
+    main, rates, denials = wh.table("main"), wh.table("rates"), wh.table("denials")
+    lb, ld, st = wh.table("lender_base"), wh.table("lender_dim"), wh.table("state")
+    county, cdim, q = wh.table("county"), wh.table("county_dim"), wh.table("quality")
+    inv_n, inv_s, inv_c = wh.table("inv_national"), wh.table("inv_state"), wh.table("inv_county")
+    out = {
+        "national_summary": national_summary(main, f), "outcome_series": outcome_series(main, f),
+        "outcome_table": outcome_table(main, f), "loan_type_series": loan_type_series(main, f),
+        "loan_purpose_series": loan_purpose_series(main, f), "rate_histogram": rate_histogram(rates, f),
+        "top_denials": top_denials(denials, f), "year_trend": year_trend(main, f),
+        "lender_table": lender_table(lb, ld, f, search), "lender_summary": lender_summary(lb, f),
+        "top_lenders": top_lenders(lb, ld, f), "highest_denial_lenders": highest_denial_lenders(lb, ld, f,
+                                                                                                min_apps=min_apps),
+        "state_table": state_table(st, f), "county_table": county_table(county, cdim, f),
+        "quality_summary": quality_summary(q, f), "quality_detail": quality_detail(q, f),
+        "investor_summary": investor_summary(inv_n, f, lens), "investor_trend": investor_trend(inv_n, f, lens),
+        "investor_share_trend": investor_share_trend(inv_n, f, lens),
+        "investor_purpose_series": investor_purpose_series(inv_n, f, lens),
+        "occupancy_series": occupancy_series(inv_n, f), "investor_states": investor_states(inv_s, f, lens),
+        "investor_counties": investor_counties(inv_c, cdim, f, lens, min_orig=min_orig),
+    }
+    for metric in RANK_METRICS:
+        out[f"rank_states_{metric}"] = rank_states(st, f, metric, min_apps=min_apps)
+    for spec in QUALITY_VIEW_DIMS:
+        out[f"quality_series_{spec[0]}"] = quality_series(q, f, spec[0])
+    return out

@@ -61,3 +61,30 @@ def write_series_csv(df: DataFrame, path: str, category: str = "Category") -> No
     out = df.withColumnRenamed(first, category) if first != category else df
     (out.coalesce(1).write.mode("overwrite").option("header", True).option("quote", '"')
      .option("escape", '"').option("nullValue", "").csv(path))
+
+
+def payload_document(members: Mapping[str, tuple[DataFrame, Sequence]], singles: Sequence[str] = ()) -> DataFrame:
+    """S12 document form: one row per member, ``(member, json)``, where ``json`` is the
+    member's rows as an ordered JSON array (or one object for a one-row member in
+    ``singles``).  ``members`` maps a name to (table, order columns).  Only for bounded
+    tables (reports and views); cubes are written row per line by ``write_payload``.
+    """
+    from pyspark.sql import Window
+    out = None
+    for name, (df, order) in members.items():
+        fields = df.columns
+        if name in singles:
+            part = df.limit(1).select(F.lit(name).alias("member"), F.to_json(F.struct(*fields)).alias("json"))
+        else:
+            ranked = df.withColumn("_pos", F.row_number().over(Window.orderBy(*order)))
+            part = ranked.agg(F.sort_array(F.collect_list(F.struct("_pos", *fields))).alias("_rows")).select(
+                F.lit(name).alias("member"),
+                F.to_json(F.transform("_rows", lambda r: F.struct(*[r[c].alias(c) for c in fields]))).alias("json"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def write_payload_document(doc: DataFrame, path: str) -> None:
+    """Write a payload document as JSON text, one ``{"member": ...}`` line per member."""
+    (doc.select(F.concat(F.lit('{"'), F.col("member"), F.lit('":'), F.col("json"), F.lit("}")).alias("value"))
+     .coalesce(1).write.mode("overwrite").text(path))

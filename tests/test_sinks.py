@@ -43,3 +43,33 @@ def test_run_all_payload_round_trip(spark, scratch):
     assert loaded["cube"]["main"].count() == wh.table("main").count()
     states = loaded["lenders"]["states"].first()
     assert 1 <= len(states["states"]) <= 5
+
+
+def test_national_document_shape(spark, scratch):
+    import json
+    wh = fixture_warehouse(spark, SF_SMALL)
+    out = os.path.join(scratch, "national")
+    sinks.write_payload_document(jobs.national_document(wh), out)
+    doc = {}
+    for f in glob.glob(os.path.join(out, "part-*")):
+        for line in open(f):
+            doc.update(json.loads(line))
+    assert list(sorted(doc)) == sorted(["summary", "by_action", "by_loan_type", "by_loan_purpose",
+                                        "rate_distribution", "denial_reasons"])
+    assert set(doc["summary"]) == {"total_apps", "originated", "denied", "lender_count", "avg_loan",
+                                   "total_volume_b", "avg_rate"}
+    assert set(doc["by_action"][0]) == {"code", "count", "pct", "avg_loan", "label"}
+    counts = [e["count"] for e in doc["by_action"]]
+    assert counts == sorted(counts, reverse=True) and sum(counts) == doc["summary"]["total_apps"]
+    buckets = [e["bucket"] for e in doc["rate_distribution"]]
+    assert buckets == sorted(buckets)
+    assert sum(e["count"] for e in doc["rate_distribution"]) == doc["summary"]["originated"]
+
+
+def test_dashboard_renders_every_view(spark):
+    from loanscope.operators.filters import Filters
+    wh = fixture_warehouse(spark, SF_SMALL)
+    views = V.dashboard(wh, Filters(year="2021", loan_purpose="1"), lens="all3", min_apps=10, min_orig=5)
+    assert len(views) == 33
+    for name, df in views.items():
+        df.collect()
