@@ -72,3 +72,14 @@ def test_ties_stable_under_repartition(spark):
     b = lender_top_states(cubes.lender_state_counts(fact.repartition(7)))
     cols = ["lei", "state", "count", "rank"]
     assert _rows(a, cols) == _rows(b, cols)
+
+
+def test_shares_add_to_100(spark):
+    """Report percentages add to 100 within their 1-decimal rounding; view shares exactly."""
+    from loanscope.operators import reports
+    from loanscope.plans import views as V
+    wh = fixture_warehouse(spark, SF_SMALL)
+    for fn in (reports.by_action, reports.by_loan_type, reports.by_loan_purpose):
+        rows = fn(wh.table("main")).collect()
+        assert abs(sum(r["pct"] for r in rows) - 100.0) <= 0.05 * len(rows) + 1e-9
+    assert abs(V.outcome_table(wh.table("main")).agg(F.sum("pct")).first()[0] - 100.0) < 1e-9
