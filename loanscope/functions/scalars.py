@@ -34,10 +34,16 @@ def _c(x) -> Column:
 
 
 def lenient_double(x) -> Column:
-    """Text to double by longest numeric prefix; no number is 0.0; NULL stays NULL."""
+    """Text to double by longest numeric prefix; no number is 0.0; NULL stays NULL.
+
+    Fast path: text made only of digits, signs, point and exponent letters that
+    parses as a double is a number in full, so its prefix is itself; only the
+    rest ('NA', '36%', ' 4.5x', ...) goes through the prefix expression.
+    """
     c = _c(x)
-    parsed = F.coalesce(F.regexp_extract(c, NUMERIC_PREFIX, 1).try_cast("double"), F.lit(0.0))
-    return F.when(c.isNull(), F.lit(None).cast("double")).otherwise(parsed)
+    plain = F.when(F.translate(c, "0123456789.+-eE", "") == "", c.try_cast("double"))
+    prefix = F.coalesce(F.regexp_extract(c, NUMERIC_PREFIX, 1).try_cast("double"), F.lit(0.0))
+    return F.when(c.isNull(), F.lit(None).cast("double")).otherwise(F.coalesce(plain, prefix))
 
 
 def is_valid_number(x) -> Column:
@@ -56,19 +62,20 @@ def _rate_bands(v: Column) -> Column:
             .when(v >= 9, "9%+"))
 
 
-def rate_bucket_strict(x) -> Column:
-    """Seven rate bands; callers filter missing rates out first."""
-    return _rate_bands(lenient_double(x))
+def rate_bucket_strict(x, value=None) -> Column:
+    """Seven rate bands; callers filter missing rates out first.
+    ``value``: the rate already cast by ``lenient_double`` (computed once upstream)."""
+    return _rate_bands(_c(value) if value is not None else lenient_double(x))
 
 
-def rate_bucket_lenient(x, missing: str = "as_zero") -> Column:
+def rate_bucket_lenient(x, missing: str = "as_zero", value=None) -> Column:
     """Seven rate bands with an 'Exempt/NA' fallback.
 
     ``missing='as_zero'`` keeps the published behaviour: missing codes cast to 0
     and land in 'Under 4%'.  ``missing='separate'`` routes them to 'Exempt/NA'.
     """
     c = _c(x)
-    banded = _rate_bands(lenient_double(c)).otherwise("Exempt/NA")
+    banded = _rate_bands(_c(value) if value is not None else lenient_double(c)).otherwise("Exempt/NA")
     if missing == "separate":
         return F.when(c.isin(*MISSING_NUMBER_CODES), "Exempt/NA").otherwise(banded)
     if missing != "as_zero":
@@ -85,19 +92,19 @@ def dti_bucket(x) -> Column:
             .when(c == ">60%", ">60").otherwise("36-50"))
 
 
-def cltv_bucket(x) -> Column:
+def cltv_bucket(x, value=None) -> Column:
     """Combined loan-to-value bands (the 97-100 band includes 100)."""
     c = _c(x)
-    v = lenient_double(c)
+    v = _c(value) if value is not None else lenient_double(c)
     return (F.when(c.isin(*MISSING_NUMBER_CODES), "NA")
             .when(v < 60, "<60").when(v < 80, "60-80").when(v < 90, "80-90")
             .when(v < 97, "90-97").when(v <= 100, "97-100").otherwise(">100"))
 
 
-def spread_bucket(x) -> Column:
+def spread_bucket(x, value=None) -> Column:
     """Rate-spread bands (exactly 5 is '>5'; negatives are '<1.5')."""
     c = _c(x)
-    v = lenient_double(c)
+    v = _c(value) if value is not None else lenient_double(c)
     return (F.when(c.isin(*MISSING_NUMBER_CODES), "NA")
             .when(v < 1.5, "<1.5").when(v < 3, "1.5-3").when(v < 5, "3-5").otherwise(">5"))
 

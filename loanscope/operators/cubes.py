@@ -33,24 +33,47 @@ CS = ("c", "s")
 C = ("c",)
 
 
-def measures(names: Sequence[str] = M4, loan: str = "loan_amount", rate: str = "interest_rate") -> list[Column]:
-    """Fact-level measure expressions, by short name."""
+# Numeric values of text columns, computed once per row in a projection below the
+# aggregation (branches of a CASE are not shared by subexpression elimination).
+LOAN_V, RATE_V, CLTV_V, SPREAD_V = "_loan_v", "_rate_v", "_cltv_v", "_spread_v"
+NUMBERS = {LOAN_V: "loan_amount", RATE_V: "interest_rate", CLTV_V: "combined_loan_to_value_ratio",
+           SPREAD_V: "rate_spread"}
+
+
+def with_numbers(fact: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Add the lenient numeric value of each named text column (see ``NUMBERS``)."""
+    return fact.withColumns({n: lenient_double(NUMBERS[n]) for n in names})
+
+
+def measures(names: Sequence[str] = M4, loan: str = "loan_amount", rate: str = "interest_rate",
+             loan_value: str | None = None, rate_value: str | None = None) -> list[Column]:
+    """Fact-level measure expressions, by short name (``*_value``: precomputed numbers)."""
     valid = is_valid_number(rate)
+    lv = F.col(loan_value) if loan_value else lenient_double(loan)
+    rv = F.col(rate_value) if rate_value else lenient_double(rate)
     exprs = {
         "c": F.count(F.lit(1)).alias("c"),
-        "s": F.sum(lenient_double(loan)).alias("s"),
-        "r": F.sum(F.when(valid, lenient_double(rate)).otherwise(F.lit(0.0))).alias("r"),
+        "s": F.sum(lv).alias("s"),
+        "r": F.sum(F.when(valid, rv).otherwise(F.lit(0.0))).alias("r"),
         "rc": F.sum(F.when(valid, F.lit(1)).otherwise(F.lit(0))).cast("bigint").alias("rc"),
     }
     return [exprs[n] for n in names]
 
 
 def build_cube(fact: DataFrame, dims: Mapping[str, Column | str], where: Column | None = None,
-               measure_names: Sequence[str] = M4) -> DataFrame:
-    """Generic cube: filter, group by named dimension expressions, aggregate measures."""
+               measure_names: Sequence[str] = M4, numbers: Sequence[str] = ()) -> DataFrame:
+    """Generic cube: filter, group by named dimension expressions, aggregate measures.
+
+    ``numbers`` lists precomputed numeric columns (``NUMBERS``) that dimension
+    expressions use; the loan and rate values of the measures are always precomputed.
+    """
     src = fact if where is None else fact.where(where)
+    need = [n for n in (LOAN_V, RATE_V) if (n == LOAN_V and "s" in measure_names)
+            or (n == RATE_V and "r" in measure_names)]
+    src = with_numbers(src, list(dict.fromkeys([*numbers, *need])))
     keys = [(F.col(e) if isinstance(e, str) else e).alias(n) for n, e in dims.items()]
-    return src.groupBy(*keys).agg(*measures(measure_names))
+    return src.groupBy(*keys).agg(*measures(measure_names, loan_value=LOAN_V if LOAN_V in need else None,
+                                            rate_value=RATE_V if RATE_V in need else None))
 
 
 def rollup(cube: DataFrame, keys: Sequence[str], where: Column | None = None,
@@ -93,9 +116,9 @@ def quality_dims() -> dict[str, Column | str]:
     return {
         **YATP,
         "d": dti_bucket("debt_to_income_ratio"),
-        "l": cltv_bucket("combined_loan_to_value_ratio"),
+        "l": cltv_bucket("combined_loan_to_value_ratio", F.col(CLTV_V)),
         "pu": "purchaser_type",
-        "rs": spread_bucket("rate_spread"),
+        "rs": spread_bucket("rate_spread", F.col(SPREAD_V)),
         "li": "lien_status",
         "nm": non_am_class("balloon_payment", "interest_only_payment",
                            "negative_amortization", "other_non_amortizing_features"),
@@ -107,7 +130,7 @@ def quality_dims() -> dict[str, Column | str]:
 # ---------------------------------------------------------------------------
 def quality_cube(fact: DataFrame) -> DataFrame:
     """(y, a, t, p, d, l, pu, rs, li, nm) with M4, unrounded."""
-    return build_cube(fact, quality_dims())
+    return build_cube(fact, quality_dims(), numbers=[CLTV_V, SPREAD_V])
 
 
 def main_cube_direct(fact: DataFrame) -> DataFrame:
@@ -119,8 +142,8 @@ def rate_cube(fact: DataFrame) -> DataFrame:
     """A2: originated loans with a rate, (y, t, p, bucket) count."""
     where = (F.col("action_taken") == "1") & is_valid_number("interest_rate")
     dims = {"y": "activity_year", "t": "loan_type", "p": "loan_purpose",
-            "bucket": rate_bucket_strict("interest_rate")}
-    return build_cube(fact, dims, where, C)
+            "bucket": rate_bucket_strict("interest_rate", F.col(RATE_V))}
+    return build_cube(fact, dims, where, C, numbers=[RATE_V])
 
 
 def denial_cube(fact: DataFrame) -> DataFrame:

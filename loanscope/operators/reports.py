@@ -13,7 +13,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanscope.functions.scalars import label_of, rate_bucket_lenient
+from loanscope.functions.scalars import label_of, lenient_double, rate_bucket_lenient
 from loanscope.schema import (ACTION_LABELS, DENIAL_REASON_LABELS, LOAN_PURPOSE_LABELS,
                               LOAN_TYPE_LABELS)
 
@@ -68,8 +68,8 @@ def by_loan_purpose(main: DataFrame) -> DataFrame:
 
 def rate_distribution(fact: DataFrame, missing: str = "as_zero") -> DataFrame:
     """Originations by lenient rate band, ordered by band text (binary order)."""
-    return (fact.where(F.col("action_taken") == "1")
-            .groupBy(rate_bucket_lenient("interest_rate", missing).alias("bucket"))
+    src = fact.where(F.col("action_taken") == "1").withColumn("_rate_v", lenient_double("interest_rate"))
+    return (src.groupBy(rate_bucket_lenient("interest_rate", missing, F.col("_rate_v")).alias("bucket"))
             .agg(F.count(F.lit(1)).alias("count"))
             .orderBy("bucket"))
 
