@@ -41,6 +41,16 @@ def share_of_total(df: DataFrame, value: str, out: str, partition: Sequence[str]
     return df.withColumn(out, F.col(value).cast("double") / F.sum(value).over(w).cast("double") * F.lit(100.0))
 
 
+def sort_small(df: DataFrame, *order) -> DataFrame:
+    """Order a result bounded by a code domain (years, states, categories, buckets).
+
+    One partition sorted in place: no range-partition sampling job and no extra
+    shuffle.  Use only after an aggregation (the scan and partial aggregation keep
+    their parallelism) and only where the row count is bounded by construction.
+    """
+    return df.coalesce(1).sortWithinPartitions(*order)
+
+
 def sort_desc(df: DataFrame, column: str, tie: str | Sequence[str]) -> DataFrame:
     """Descending by ``column``, ties by the key."""
     ties = [tie] if isinstance(tie, str) else list(tie)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanscope.functions.scalars import label_of, lenient_double, rate_bucket_lenient
+from loanscope.operators.ranking import sort_small
 from loanscope.schema import (ACTION_LABELS, DENIAL_REASON_LABELS, LOAN_PURPOSE_LABELS,
                               LOAN_TYPE_LABELS)
 
@@ -43,12 +44,11 @@ def breakdown(main: DataFrame, dim: str, labels: Mapping[str, str]) -> DataFrame
     total = F.sum("count").over(Window.partitionBy())  # a handful of codes per report
     per = main.groupBy(F.col(dim).alias("code")).agg(F.sum("c").cast("bigint").alias("count"),
                                                       F.sum("s").alias("_s"))
-    return (per.select(
+    return sort_small(per.select(
         "code", "count",
         F.round(F.col("count") * F.lit(100.0) / total, 1).alias("pct"),
         F.round(F.try_divide(F.col("_s"), F.col("count").cast("double")), 0).alias("avg_loan"),
-        label_of("code", labels).alias("label"))
-        .orderBy(F.desc("count"), F.asc("code")))
+        label_of("code", labels).alias("label")), F.desc("count"), F.asc("code"))
 
 
 def by_action(main: DataFrame) -> DataFrame:
@@ -69,14 +69,12 @@ def by_loan_purpose(main: DataFrame) -> DataFrame:
 def rate_distribution(fact: DataFrame, missing: str = "as_zero") -> DataFrame:
     """Originations by lenient rate band, ordered by band text (binary order)."""
     src = fact.where(F.col("action_taken") == "1").withColumn("_rate_v", lenient_double("interest_rate"))
-    return (src.groupBy(rate_bucket_lenient("interest_rate", missing, F.col("_rate_v")).alias("bucket"))
-            .agg(F.count(F.lit(1)).alias("count"))
-            .orderBy("bucket"))
+    return sort_small(src.groupBy(rate_bucket_lenient("interest_rate", missing, F.col("_rate_v")).alias("bucket"))
+                      .agg(F.count(F.lit(1)).alias("count")), "bucket")
 
 
 def denial_reasons(denials: DataFrame) -> DataFrame:
     """Denials by first reason (the denial cube has exactly this filter), count desc."""
-    return (denials.groupBy(F.col("reason").alias("code"))
-            .agg(F.sum("c").cast("bigint").alias("count"))
-            .withColumn("label", label_of("code", DENIAL_REASON_LABELS))
-            .orderBy(F.desc("count"), F.asc("code")))
+    return sort_small(denials.groupBy(F.col("reason").alias("code"))
+                      .agg(F.sum("c").cast("bigint").alias("count"))
+                      .withColumn("label", label_of("code", DENIAL_REASON_LABELS)), F.desc("count"), F.asc("code"))

@@ -86,7 +86,7 @@ def year_series(df: DataFrame, code: str, value: str = "c", year: str = "y",
 
 def wide_series(long: DataFrame) -> DataFrame:
     """R4 wide form: one row per code, one column per year."""
-    return long.groupBy("code", "label", "pos").pivot("y").agg(F.first("c")).orderBy("pos")
+    return long.groupBy("code", "label", "pos").pivot("y").agg(F.first("c")).coalesce(1).sortWithinPartitions("pos")
 
 
 def by_year(df: DataFrame, measures: Sequence[Column]) -> DataFrame:
@@ -113,7 +113,7 @@ def bucket_detail(df: DataFrame, dims: Mapping[str, str]) -> DataFrame:
 
 def distinct_years(df: DataFrame, year: str = "y") -> DataFrame:
     """R8."""
-    return df.select(year).distinct().orderBy(year)
+    return df.select(year).distinct().coalesce(1).sortWithinPartitions(year)  # one row per year
 
 
 def totals(df: DataFrame, sums: Sequence[str], count_as: str = "groups") -> DataFrame:

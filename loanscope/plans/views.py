@@ -20,7 +20,7 @@ from loanscope.operators import filters as P
 from loanscope.operators import rollup as R
 from loanscope.operators.filters import Filters
 from loanscope.operators.lookups import with_county_name, with_lender_dimension
-from loanscope.operators.ranking import peak, top_n
+from loanscope.operators.ranking import peak, sort_small, top_n
 from loanscope.schema import (ACTION_LABELS, DENIAL_REASON_LABELS, DTI_ORDER, INVESTOR_PURPOSE_ORDER,
                               LIEN_LABELS, LOAN_PURPOSE_LABELS, LOAN_TYPE_LABELS, LTV_ORDER,
                               NON_AM_LABELS, NON_AM_ORDER, OCCUPANCY_LABELS, OCCUPANCY_ORDER,
@@ -66,10 +66,9 @@ def outcome_table(main: DataFrame, f: Filters = ALL) -> DataFrame:
     per = P.slice_main(main, f, ignore={"action"}).groupBy(F.col("a").alias("code")).agg(
         F.sum("c").cast("bigint").alias("count"), F.sum("s").alias("_s"))
     total = F.sum("count").over(Window.partitionBy())  # at most a dozen action codes
-    return (per.select("code", label_of("code", ACTION_LABELS).alias("label"), "count",
-                       (F.col("count").cast("double") / total.cast("double") * F.lit(100.0)).alias("pct"),
-                       safe_ratio("_s", "count").alias("avg_loan"))
-            .orderBy(F.desc("count"), F.asc("code")))
+    return sort_small(per.select("code", label_of("code", ACTION_LABELS).alias("label"), "count",
+                                 (F.col("count").cast("double") / total.cast("double") * F.lit(100.0)).alias("pct"),
+                                 safe_ratio("_s", "count").alias("avg_loan")), F.desc("count"), F.asc("code"))
 
 
 def loan_type_series(main: DataFrame, f: Filters = ALL) -> DataFrame:
@@ -85,10 +84,9 @@ def loan_purpose_series(main: DataFrame, f: Filters = ALL) -> DataFrame:
 
 def rate_histogram(rates: DataFrame, f: Filters = ALL) -> DataFrame:
     """V6: originations per rate band in band order; empty bands dropped (action filter not applied)."""
-    return (P.slice_rates(rates, f).groupBy("bucket").agg(F.sum("c").cast("bigint").alias("c"))
-            .where((F.col("c") > 0) & F.col("bucket").isin(*RATE_BUCKET_ORDER))
-            .withColumn("pos", ordinal_of("bucket", RATE_BUCKET_ORDER))
-            .orderBy("pos"))
+    return sort_small(P.slice_rates(rates, f).groupBy("bucket").agg(F.sum("c").cast("bigint").alias("c"))
+                      .where((F.col("c") > 0) & F.col("bucket").isin(*RATE_BUCKET_ORDER))
+                      .withColumn("pos", ordinal_of("bucket", RATE_BUCKET_ORDER)), "pos")
 
 
 def top_denials(denials: DataFrame, f: Filters = ALL, n: int = 8) -> DataFrame:
@@ -107,17 +105,17 @@ def year_trend(main: DataFrame, f: Filters = ALL) -> DataFrame:
         F.coalesce(F.sum(F.when(F.col("a") == "1", F.col("c"))), F.lit(0)).cast("bigint").alias("originated"),
         F.coalesce(F.sum(F.when(F.col("a") == "3", F.col("c"))), F.lit(0)).cast("bigint").alias("denied"),
         safe_ratio(F.sum("r"), F.sum("rc")).alias("avg_rate"),
-    ]).orderBy("y")
+    ])  # one row per year; callers order it
 
 
 def volume_trend(main: DataFrame, f: Filters = ALL) -> DataFrame:
     """V8."""
-    return year_trend(main, f).select("y", "apps", "originated", "denied")
+    return sort_small(year_trend(main, f).select("y", "apps", "originated", "denied"), "y")
 
 
 def rate_trend(main: DataFrame, f: Filters = ALL) -> DataFrame:
     """V9."""
-    return year_trend(main, f).select("y", "avg_rate")
+    return sort_small(year_trend(main, f).select("y", "avg_rate"), "y")
 
 
 # ---------------------------------------------------------------------------
@@ -171,7 +169,7 @@ def state_stats(state: DataFrame, f: Filters = ALL) -> DataFrame:
 
 def state_table(state: DataFrame, f: Filters = ALL, search: str | None = None) -> DataFrame:
     """Per-state stats with the state name, by applications; optional search on code or name."""
-    return P.search_states(state_stats(state, f), search).orderBy(F.desc("apps"), F.asc("state"))
+    return sort_small(P.search_states(state_stats(state, f), search), F.desc("apps"), F.asc("state"))
 
 
 RANK_METRICS = ("originated", "avg_loan", "deny_pct", "avg_rate")
@@ -248,10 +246,10 @@ def quality_detail(quality: DataFrame, f: Filters = ALL) -> DataFrame:
     dim_pos = literal_map({d[2]: i for i, d in enumerate(QUALITY_VIEW_DIMS)})[F.col("dim")]
     # buckets of a dimension without a fixed order go by count, descending
     w = Window.partitionBy("dim").orderBy(order_pos.otherwise(F.lit(0)), F.desc("count"), F.asc("bucket"))
-    return (detail.withColumn("pos", F.row_number().over(w) - 1)
-            .select("dim", F.col("bucket").alias("code"), label.alias("bucket"), "count", "pct", "volume",
-                    "avg_rate", dim_pos.alias("dim_pos"), F.col("pos").cast("int").alias("pos"))
-            .orderBy("dim_pos", "pos"))
+    return sort_small(detail.withColumn("pos", F.row_number().over(w) - 1)
+                      .select("dim", F.col("bucket").alias("code"), label.alias("bucket"), "count", "pct", "volume",
+                              "avg_rate", dim_pos.alias("dim_pos"), F.col("pos").cast("int").alias("pos")),
+                      "dim_pos", "pos")
 
 
 # ---------------------------------------------------------------------------
@@ -289,14 +287,14 @@ def investor_summary(inv_national: DataFrame, f: Filters = ALL, lens: str = "bp"
 
 def investor_trend(inv_national: DataFrame, f: Filters = ALL, lens: str = "bp") -> DataFrame:
     """Investor count and volume in $B per year."""
-    return investor_by_year(inv_national, f, lens).select(
-        "y", "inv_c", scale_billions("inv_s").alias("inv_volume_b")).orderBy("y")
+    return sort_small(investor_by_year(inv_national, f, lens).select(
+        "y", "inv_c", scale_billions("inv_s").alias("inv_volume_b")), "y")
 
 
 def investor_share_trend(inv_national: DataFrame, f: Filters = ALL, lens: str = "bp") -> DataFrame:
     """Investor share of all originations per year."""
-    return investor_by_year(inv_national, f, lens).select(
-        "y", safe_pct("inv_c", "all_c").alias("share")).orderBy("y")
+    return sort_small(investor_by_year(inv_national, f, lens).select(
+        "y", safe_pct("inv_c", "all_c").alias("share")), "y")
 
 
 def investor_purpose_series(inv_national: DataFrame, f: Filters = ALL, lens: str = "bp") -> DataFrame:
@@ -366,7 +364,7 @@ def compare_table(state: DataFrame, states: Sequence[str], metric: str = "origin
     long = compare_states(state, cols, metric, loan_type, loan_purpose)
     if not cols:
         return long.select("y").limit(0)
-    return long.groupBy("y").pivot("state", cols).agg(F.first("value")).orderBy("y")
+    return sort_small(long.groupBy("y").pivot("state", cols).agg(F.first("value")), "y")
 
 
 def compare_preset(state: DataFrame, preset: str, metric: str = "originations",
