@@ -194,10 +194,10 @@ def state_cube(geo_base: DataFrame) -> DataFrame:
     return rollup(geo_base, ["y", "state", "a", "t", "p"], is_known_code("state"))
 
 
-def county_cube(geo_base: DataFrame, county_dim: DataFrame, top_n: int = 200) -> DataFrame:
+def county_cube(geo_base: DataFrame, state_prefix: DataFrame, top_n: int = 200) -> DataFrame:
     """A5: (y, fips, a, t, p) with M4 for the top-N counties by all records, plus state from the prefix."""
     cube = rollup(geo_base, ["y", "fips", "a", "t", "p"])
-    return with_state_from_fips(keep_top_n(cube, "fips", top_n), county_dim)
+    return with_state_from_fips(keep_top_n(cube, "fips", top_n), state_prefix)
 
 
 def lender_cube(lender_base: DataFrame) -> DataFrame:
@@ -215,7 +215,7 @@ def investor_state_cube(inv_base: DataFrame) -> DataFrame:
     return rollup(inv_base, ["y", "state", "occ", "bp", "p"], is_known_code("state"), CS)
 
 
-def investor_county_cube(inv_base: DataFrame, county_dim: DataFrame, top_n: int = 200) -> DataFrame:
+def investor_county_cube(inv_base: DataFrame, state_prefix: DataFrame, top_n: int = 200) -> DataFrame:
     """Top-N counties by originations, (y, fips, occ, bp, p) with count and sum, plus state."""
     cube = rollup(inv_base, ["y", "fips", "occ", "bp", "p"], None, CS)
-    return with_state_from_fips(keep_top_n(cube, "fips", top_n), county_dim)
+    return with_state_from_fips(keep_top_n(cube, "fips", top_n), state_prefix)

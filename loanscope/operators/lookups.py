@@ -41,10 +41,13 @@ def county_names(county_dim: DataFrame) -> DataFrame:
             .agg(F.max_by("COUNTYNAME", "pos").alias("county_name")))
 
 
-def with_state_from_fips(df: DataFrame, county_dim: DataFrame, fips_col: str = "fips",
+def with_state_from_fips(df: DataFrame, state_prefix: DataFrame, fips_col: str = "fips",
                          out: str = "state") -> DataFrame:
-    """State from the county prefix, '' when the prefix is unknown."""
-    states = broadcast_bounded(state_by_fips_prefix(county_dim), 100)
+    """State from the county prefix, '' when the prefix is unknown.
+
+    ``state_prefix`` is ``state_by_fips_prefix(county_dim)`` (landed once).
+    """
+    states = broadcast_bounded(state_prefix.select("prefix", "state"), 100)
     return (df.withColumn("_prefix", F.substring(fips_col, 1, 2))
             .join(states.withColumnRenamed("state", "_state"),
                   F.col("_prefix") == states["prefix"], "left")
@@ -52,10 +55,10 @@ def with_state_from_fips(df: DataFrame, county_dim: DataFrame, fips_col: str = "
             .drop("_prefix", "prefix", "_state"))
 
 
-def with_county_name(df: DataFrame, county_dim: DataFrame, fips_col: str = "fips",
+def with_county_name(df: DataFrame, names: DataFrame, fips_col: str = "fips",
                      out: str = "name") -> DataFrame:
-    """County name, 'Unknown' when absent."""
-    names = broadcast_bounded(county_names(county_dim), 100_000)
+    """County name, 'Unknown' when absent.  ``names`` is ``county_names(county_dim)``."""
+    names = broadcast_bounded(names.select("fips", "county_name"), 100_000)
     return (df.join(names.withColumnRenamed("fips", "_fips").withColumnRenamed("county_name", "_cn"),
                     F.col(fips_col) == F.col("_fips"), "left")
             .withColumn(out, F.coalesce(F.col("_cn"), F.lit("Unknown")))

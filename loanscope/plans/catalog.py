@@ -112,8 +112,8 @@ QUERIES.update({
                                                            min_apps=STATE_MIN_APPS)),
     "v15_rank_states_avg_rate": _v(lambda w: V.rank_states(w.table("state"), Filters(year="2020"),
                                                            "avg_rate", min_apps=STATE_MIN_APPS)),
-    "v16_county_table": _v(lambda w: V.county_table(w.table("county"), w.table("county_dim"))),
-    "v16_county_table_f": _v(lambda w: V.county_table(w.table("county"), w.table("county_dim"), F_COUNTY)),
+    "v16_county_table": _v(lambda w: V.county_table(w.table("county"), w.table("county_names"))),
+    "v16_county_table_f": _v(lambda w: V.county_table(w.table("county"), w.table("county_names"), F_COUNTY)),
     "v17_quality_summary": _v(lambda w: V.quality_summary(w.table("quality"))),
     "v17_quality_summary_f": _v(lambda w: V.quality_summary(w.table("quality"), F_QUAL)),
     "v19_quality_detail": _v(lambda w: V.quality_detail(w.table("quality"))),
@@ -126,7 +126,7 @@ QUERIES.update({
     "v24_occupancy_series": _v(lambda w: V.occupancy_series(w.table("inv_national"), Filters(year="2024"))),
     "v25_investor_states": _v(lambda w: V.investor_states(w.table("inv_state"))),
     "v25_investor_states_f": _v(lambda w: V.investor_states(w.table("inv_state"), F_INV, "all3", n=5)),
-    "v26_investor_counties": _v(lambda w: V.investor_counties(w.table("inv_county"), w.table("county_dim"),
+    "v26_investor_counties": _v(lambda w: V.investor_counties(w.table("inv_county"), w.table("county_names"),
                                                               min_orig=COUNTY_MIN_ORIG)),
     "v27_compare_states": _v(lambda w: V.compare_states(w.table("state"), COMPARE)),
     "v27_compare_states_f": _v(lambda w: V.compare_states(w.table("state"), COMPARE, "avgRate", "1", "31")),

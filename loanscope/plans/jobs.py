@@ -38,7 +38,7 @@ def payloads(wh: Warehouse) -> dict[str, dict[str, DataFrame]]:
             "denial_reasons": reports.denial_reasons(wh.table("denials")),
         },
         "geographic": {
-            "county_names": wh.table("county_dim"),
+            "county_names": wh.table("county_names"),
             "state_cube": cubes.round_cells(wh.table("state")),
             "county_cube": cubes.round_cells(wh.table("county")),
         },

@@ -189,7 +189,7 @@ def rank_states(state: DataFrame, f: Filters = ALL, metric: str = "originated",
             .select("state", F.col(metric).cast("double").alias("value")))
 
 
-def county_table(county: DataFrame, county_dim: DataFrame, f: Filters = ALL, n: int = 100) -> DataFrame:
+def county_table(county: DataFrame, county_names: DataFrame, f: Filters = ALL, n: int = 100) -> DataFrame:
     """Per-county stats under all overview filters, plus the FHA share of
     originations, which ignores the type and action filters (year and purpose apply)."""
     src = P.slice_compact(county, f, ignore={"action", "loan_type"})
@@ -201,7 +201,7 @@ def county_table(county: DataFrame, county_dim: DataFrame, f: Filters = ALL, n:
         F.coalesce(F.sum(F.when(orig, F.col("c"))), F.lit(0)).alias("_orig_all"))
     stats = (R.finish_compact(per.where(F.col("apps") > 0))
              .withColumn("fha_pct", safe_pct("_fha", "_orig_all")).drop("_fha", "_orig_all"))
-    return with_county_name(stats, county_dim).orderBy(F.desc("apps"), F.asc("fips")).limit(n)
+    return with_county_name(stats, county_names).orderBy(F.desc("apps"), F.asc("fips")).limit(n)
 
 
 # ---------------------------------------------------------------------------
@@ -327,13 +327,13 @@ def investor_states(inv_state: DataFrame, f: Filters = ALL, lens: str = "bp", n:
     return top_n(out, "inv_c", n, "state")
 
 
-def investor_counties(inv_county: DataFrame, county_dim: DataFrame, f: Filters = ALL, lens: str = "bp",
+def investor_counties(inv_county: DataFrame, county_names: DataFrame, f: Filters = ALL, lens: str = "bp",
                       n: int = 60, min_orig: int = 1000) -> DataFrame:
     """Counties with at least ``min_orig`` originations, by investor share."""
     per = P.min_sample(_investor_group(inv_county, "fips", f, lens), "all_c", min_orig)
     out = per.select("fips", "state", "inv_c", "all_c", share_or_zero("inv_c", "all_c").alias("share"),
                      F.col("inv_s").alias("volume"))
-    return top_n(with_county_name(out, county_dim), "share", n, "fips")
+    return top_n(with_county_name(out, county_names), "share", n, "fips")
 
 
 # ---------------------------------------------------------------------------
@@ -391,7 +391,7 @@ def dashboard(wh, f: Filters = ALL, lens: str = "bp", search: str | None = None,
     until a view is collected, and each reads only its landed cube."""
     main, rates, denials = wh.table("main"), wh.table("rates"), wh.table("denials")
     lb, ld, st = wh.table("lender_base"), wh.table("lender_dim"), wh.table("state")
-    county, cdim, q = wh.table("county"), wh.table("county_dim"), wh.table("quality")
+    county, cdim, q = wh.table("county"), wh.table("county_names"), wh.table("quality")
     inv_n, inv_s, inv_c = wh.table("inv_national"), wh.table("inv_state"), wh.table("inv_county")
     out = {
         "national_summary": national_summary(main, f), "outcome_series": outcome_series(main, f),

@@ -44,6 +44,8 @@ BUILDERS: dict[str, Callable[["Warehouse"], DataFrame]] = {
     # reference dimensions
     "county_dim": lambda w: reference.county_dimension(w.sources.county()),
     "lender_names": lambda w: reference.lender_names(w.sources.filers()),
+    "county_names": lambda w: lookups.county_names(w.table("county_dim")),
+    "state_prefix": lambda w: lookups.state_by_fips_prefix(w.table("county_dim")),
     # scan-level cubes
     "quality": lambda w: cubes.quality_cube(w.fact()),
     "rates": lambda w: cubes.rate_cube(w.fact()),
@@ -57,11 +59,11 @@ BUILDERS: dict[str, Callable[["Warehouse"], DataFrame]] = {
     # rollups of landed cubes
     "main": lambda w: cubes.main_cube(w.table("quality")),
     "state": lambda w: cubes.state_cube(w.table("geo_base")),
-    "county": lambda w: cubes.county_cube(w.table("geo_base"), w.table("county_dim"), w.top_n),
+    "county": lambda w: cubes.county_cube(w.table("geo_base"), w.table("state_prefix"), w.top_n),
     "lender": lambda w: cubes.lender_cube(w.table("lender_base")),
     "inv_national": lambda w: cubes.investor_national_cube(w.table("investor_base")),
     "inv_state": lambda w: cubes.investor_state_cube(w.table("investor_base")),
-    "inv_county": lambda w: cubes.investor_county_cube(w.table("investor_base"), w.table("county_dim"),
+    "inv_county": lambda w: cubes.investor_county_cube(w.table("investor_base"), w.table("state_prefix"),
                                                        w.top_n),
 }
 

@@ -64,5 +64,5 @@ def test_files_to_views(spark, scratch):
     f = Filters(year="2020")
     assert (_rows(V.lender_table(wh.table("lender_base"), wh.table("lender_dim"), f))
             == _rows(V.lender_table(ref.table("lender_base"), ref.table("lender_dim"), f)))
-    assert (_rows(V.county_table(wh.table("county"), wh.table("county_dim"), f))
-            == _rows(V.county_table(ref.table("county"), ref.table("county_dim"), f)))
+    assert (_rows(V.county_table(wh.table("county"), wh.table("county_names"), f))
+            == _rows(V.county_table(ref.table("county"), ref.table("county_names"), f)))

@@ -20,7 +20,7 @@ def plan(df) -> str:
 
 def test_county_top_n_is_broadcast_semi_join(spark):
     wh = fixture_warehouse(spark, SF_SMALL)
-    p = plan(cubes.county_cube(wh.table("geo_base"), wh.table("county_dim"), 200))
+    p = plan(cubes.county_cube(wh.table("geo_base"), wh.table("state_prefix"), 200))
     assert "BroadcastHashJoin" in p and "LeftSemi" in p
     assert "TakeOrderedAndProject" in p
 

@@ -96,4 +96,4 @@ def test_compact_views_under_any_filter(spark, duck, f):
     wh = fixture_warehouse(spark, SF_ORACLE)
     _same(spark, duck, V.state_table(wh.table("state"), f), O._v14(f))
     _same(spark, duck, V.lender_table(wh.table("lender_base"), wh.table("lender_dim"), f), O._v10(f))
-    _same(spark, duck, V.county_table(wh.table("county"), wh.table("county_dim"), f), O._v16(f))
+    _same(spark, duck, V.county_table(wh.table("county"), wh.table("county_names"), f), O._v16(f))
