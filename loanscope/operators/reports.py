@@ -23,15 +23,20 @@ def _where_sum(cond, col):
     return F.sum(F.when(cond, F.col(col)).otherwise(F.lit(0)))
 
 
-def summary(lender_base: DataFrame) -> DataFrame:
-    """Totals, originated, denied, distinct lenders, averages and volume (rounded 0/1/3)."""
+def summary(lender_base: DataFrame, approx_lenders: bool = False) -> DataFrame:
+    """Totals, originated, denied, distinct lenders, averages and volume (rounded 0/1/3).
+
+    The lender count is exact by default (a distinct over the lender cube, far
+    smaller than the fact); ``approx_lenders`` uses HyperLogLog++ instead.
+    """
     orig = F.col("a") == "1"
     c_o = F.sum(F.when(orig, F.col("c")))
     return lender_base.agg(
         F.sum("c").cast("bigint").alias("total_apps"),
         _where_sum(orig, "c").cast("bigint").alias("originated"),
         _where_sum(F.col("a") == "3", "c").cast("bigint").alias("denied"),
-        F.count_distinct("lei").cast("bigint").alias("lender_count"),
+        (F.approx_count_distinct("lei", 0.02) if approx_lenders else F.count_distinct("lei"))
+        .cast("bigint").alias("lender_count"),
         F.round(F.try_divide(F.sum(F.when(orig, F.col("s"))), c_o.cast("double")), 0).alias("avg_loan"),
         F.round(F.sum(F.when(orig, F.col("s")).otherwise(F.lit(0.0))) / F.lit(1e9), 1).alias("total_volume_b"),
         F.round(F.try_divide(F.sum(F.when(orig, F.col("r"))),

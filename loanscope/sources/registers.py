@@ -218,12 +218,26 @@ def read_register(spark: SparkSession, f: RegisterFile, mode: str = "FAILFAST")
     return df.withColumn("source_file", F.lit(os.path.basename(f.path)))
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file exists: local paths directly, other stores through Spark's own
+    file listing (a lazy ``binaryFile`` read fails on a missing path, reads no bytes)."""
+    if "://" not in path or path.startswith("file:"):
+        return os.path.exists(path[len("file:"):] if path.startswith("file:") else path)
+    try:
+        spark.read.format("binaryFile").load(path)
+        return True
+    except Exception:
+        return False
+
+
 def load_registers(spark: SparkSession, files: Sequence[RegisterFile],
-                   exists=os.path.exists) -> tuple[DataFrame | None, list[str]]:
+                   exists=None) -> tuple[DataFrame | None, list[str]]:
     """S4 + U1: union of every present file (one reader per file and layout); returns
-    (rows, missing paths).  ``exists`` checks a path (override for remote stores)."""
-    present = [f for f in files if exists(f.path)]
-    missing = [f.path for f in files if not exists(f.path)]
+    (rows, missing paths).  ``exists`` checks a path (default: ``path_exists``)."""
+    check = exists or (lambda p: path_exists(spark, p))
+    flags = [check(f.path) for f in files]
+    present = [f for f, ok in zip(files, flags) if ok]
+    missing = [f.path for f, ok in zip(files, flags) if not ok]
     frames = [read_register(spark, f) for f in present]
     if not frames:
         return None, missing

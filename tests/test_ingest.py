@@ -120,3 +120,11 @@ def test_reference_files(spark, scratch):
         paths[year] = p
     names = reference.lender_names(reference.read_filer_files(spark, paths))
     assert {r["lei"]: r["name"] for r in names.collect()} == {"L1": "Newer", "L2": "Two"}
+
+
+def test_path_exists(spark, scratch):
+    p = os.path.join(scratch, "x.txt")
+    open(p, "w").write("a")
+    assert registers.path_exists(spark, p) and registers.path_exists(spark, "file:" + p)
+    assert not registers.path_exists(spark, os.path.join(scratch, "nope.txt"))
+    assert not registers.path_exists(spark, "file:" + os.path.join(scratch, "nope.txt"))

@@ -83,3 +83,11 @@ def test_shares_add_to_100(spark):
         rows = fn(wh.table("main")).collect()
         assert abs(sum(r["pct"] for r in rows) - 100.0) <= 0.05 * len(rows) + 1e-9
     assert abs(V.outcome_table(wh.table("main")).agg(F.sum("pct")).first()[0] - 100.0) < 1e-9
+
+
+def test_approximate_lender_count(spark):
+    from loanscope.operators import reports
+    wh = fixture_warehouse(spark, SF_SMALL)
+    exact = reports.summary(wh.table("lender_base")).first()["lender_count"]
+    approx = reports.summary(wh.table("lender_base"), approx_lenders=True).first()["lender_count"]
+    assert abs(approx - exact) <= max(2, 0.06 * exact)
