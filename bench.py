@@ -39,7 +39,7 @@ def main() -> None:
     from loanscope.plans.warehouse import BUILDERS, Warehouse, fixture_sources
 
     root = join_path(shared_dir(spark), "loanscope-bench", uuid.uuid4().hex[:12])
-    wh = Warehouse(spark, root, fixture_sources(spark, sf_dir))
+    wh = Warehouse(spark, root, fixture_sources(spark, sf_dir), sf_dir=sf_dir)
     times: dict[str, float] = {}
 
     def timed(name, fn):

@@ -196,3 +196,38 @@ QUERIES.update({
                                                        fact=w.fact())),
     "r8_distinct_years": _w(lambda w: _R.distinct_years(w.table("main"))),
 })
+
+# ---------------------------------------------------------------------------
+# Sink and reader round trips (S2, S12, S16): Spark writes data derived from the
+# tables with the sink, the engine's reader reads it back.
+# ---------------------------------------------------------------------------
+from loanscope.operators.cubes import round_cells as _round_cells  # noqa: E402
+from loanscope.sources import sinks as _sinks  # noqa: E402
+
+
+def _mlar_text(w):
+    def write(path):
+        (as_mlar_layout(_fx.lar(w.spark, w.sf_dir)).write.mode("overwrite").option("sep", "|")
+         .option("header", True).option("quote", '"').option("escape", '"').csv(path))
+    return _reg.read_mlar_text(w.spark, w.landed_files("mlar_text", write)).select(*QUERIED_COLUMNS)
+
+
+def _payload_json(w):
+    cube = _round_cells(w.table("state"))
+    path = w.landed_files("payload_state_json", lambda p: _sinks.write_payload({"state_cube": cube}, p, "json"))
+    return w.spark.read.schema(cube.schema).json(f"{path}/state_cube")
+
+
+def _series_csv(w):
+    view = V.outcome_table(w.table("main"), F_YT)
+    path = w.landed_files("outcome_table_csv", lambda p: _sinks.write_series_csv(view, p))
+    schema = view.withColumnRenamed("code", "Category").schema
+    return (w.spark.read.schema(schema).option("header", True).option("quote", '"').option("escape", '"')
+            .option("multiLine", True).csv(path).withColumnRenamed("Category", "code"))
+
+
+QUERIES.update({
+    "s2_mlar_text_roundtrip": _w(_mlar_text),
+    "s12_payload_json_roundtrip": _w(_payload_json),
+    "s16_series_csv_roundtrip": _w(_series_csv),
+})

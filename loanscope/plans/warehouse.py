@@ -72,8 +72,9 @@ class Warehouse:
     """Lazily landed tables for one source set under one root folder."""
 
     def __init__(self, spark: SparkSession, root: str, sources: Sources, top_n: int = 200,
-                 max_records_per_file: int = 5_000_000):
+                 max_records_per_file: int = 5_000_000, sf_dir: str | None = None):
         self.spark = spark
+        self.sf_dir = sf_dir  # the driver-table folder behind fixture sources, if any
         self.root = root.rstrip("/")
         self.sources = sources
         self.top_n = top_n
@@ -116,6 +117,14 @@ class Warehouse:
                 self._landed.add(name)
         return self._read(name)
 
+    def landed_files(self, name: str, write: Callable[[str], None]) -> str:
+        """A folder written once by ``write(path)`` (a sink) under the warehouse root."""
+        with self._lock:
+            if name not in self._landed:
+                write(self.path(name))
+                self._landed.add(name)
+        return self.path(name)
+
     def build_all(self) -> None:
         for name in BUILDERS:
             self.table(name)
@@ -140,6 +149,6 @@ def fixture_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
         if wh is None or wh.spark is not spark:
             tag = hashlib.sha1(key[2].encode()).hexdigest()[:10]
             root = join_path(shared_dir(spark), "loanscope", f"{key[0]}-{tag}-{uuid.uuid4().hex[:8]}")
-            wh = Warehouse(spark, root, fixture_sources(spark, sf_dir))
+            wh = Warehouse(spark, root, fixture_sources(spark, sf_dir), sf_dir=sf_dir)
             _REGISTRY[key] = wh
         return wh
