@@ -81,7 +81,8 @@ class Warehouse:
         self.max_records_per_file = max_records_per_file
         self._landed: set[str] = set()
         self._fact_schema = None
-        self._lock = threading.RLock()
+        self._lock = threading.RLock()          # guards the per-table lock map
+        self._table_locks: dict[str, threading.Lock] = {}
 
     def path(self, name: str) -> str:
         return join_path(self.root, name)
@@ -89,13 +90,17 @@ class Warehouse:
     def _read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
+    def _table_lock(self, name: str) -> threading.Lock:
+        with self._lock:
+            return self._table_locks.setdefault(name, threading.Lock())
+
     def fact(self) -> DataFrame:
         """The application fact table, landed once, partitioned by activity_year.
 
         Register files are one year each, so every write task holds one year
         and writes one file per output partition: no shuffle before the write.
         """
-        with self._lock:
+        with self._table_lock("fact"):
             if "fact" not in self._landed:
                 src = self.sources.fact()
                 (src.write.mode("overwrite")
@@ -111,7 +116,7 @@ class Warehouse:
         """A landed cube or dimension, built from ``BUILDERS`` on first use."""
         if name == "fact":
             return self.fact()
-        with self._lock:
+        with self._table_lock(name):  # one lock per table: independent tables land concurrently
             if name not in self._landed:
                 BUILDERS[name](self).write.mode("overwrite").parquet(self.path(name))
                 self._landed.add(name)
@@ -119,15 +124,26 @@ class Warehouse:
 
     def landed_files(self, name: str, write: Callable[[str], None]) -> str:
         """A folder written once by ``write(path)`` (a sink) under the warehouse root."""
-        with self._lock:
+        with self._table_lock(name):
             if name not in self._landed:
                 write(self.path(name))
                 self._landed.add(name)
         return self.path(name)
 
-    def build_all(self) -> None:
-        for name in BUILDERS:
-            self.table(name)
+    def build_all(self, parallelism: int = 1) -> None:
+        """Land every table.  With ``parallelism`` > 1 independent tables are submitted
+        as concurrent Spark jobs (the lineage in ``BUILDERS`` is acyclic, so a build
+        waiting on a dependency never deadlocks); small rollups then use executor
+        slots a large scan leaves idle."""
+        self.fact()
+        if parallelism <= 1:
+            for name in BUILDERS:
+                self.table(name)
+            return
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            for fut in [pool.submit(self.table, name) for name in BUILDERS]:
+                fut.result()
 
 
 _REGISTRY: dict[tuple[str, int, str], Warehouse] = {}

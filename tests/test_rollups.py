@@ -91,3 +91,14 @@ def test_approximate_lender_count(spark):
     exact = reports.summary(wh.table("lender_base")).first()["lender_count"]
     approx = reports.summary(wh.table("lender_base"), approx_lenders=True).first()["lender_count"]
     assert abs(approx - exact) <= max(2, 0.06 * exact)
+
+
+def test_concurrent_build_equals_sequential(spark, scratch):
+    from loanscope.plans.warehouse import BUILDERS, Warehouse, fixture_sources
+    seq = fixture_warehouse(spark, SF_SMALL)
+    par = Warehouse(spark, scratch + "/wh", fixture_sources(spark, SF_SMALL), sf_dir=SF_SMALL)
+    par.build_all(parallelism=4)
+    for name in ("main", "county", "inv_county", "lender_dim", "state"):
+        cols = sorted(seq.table(name).columns)
+        assert _rows(par.table(name), cols) == _rows(seq.table(name), cols), name
+    assert set(BUILDERS) <= par._landed
