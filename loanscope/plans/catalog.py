@@ -11,9 +11,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from loanscope.operators import cubes, reports
+from pyspark.sql import functions as _F
+
+from loanscope.operators import reports
+from loanscope.operators import rollup as _R
+from loanscope.operators.cubes import round_cells as _round_cells
+from loanscope.operators.filters import Filters
+from loanscope.plans import sql as _sql
+from loanscope.plans import views as V
 from loanscope.plans.warehouse import Warehouse, fixture_warehouse
+from loanscope.schema import LAR_TO_MLAR_RENAMES, QUERIED_COLUMNS
+from loanscope.sources import fixture as _fx
+from loanscope.sources import registers as _reg
+from loanscope.sources import sinks as _sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,7 +42,7 @@ QUERIES: dict[str, Query] = {
     "a2_rate_cube": _t("rates"),
     "a3_denial_cube": _t("denials"),
     "a4_state_cube": _t("state"),
-    "a4_state_cube_payload": _w(lambda w: cubes.round_cells(w.table("state"))),
+    "a4_state_cube_payload": _w(lambda w: _round_cells(w.table("state"))),
     "a5_county_cube": _t("county"),
     "a6_lender_cube": _t("lender"),
     "a6_lender_cube_by_year": _t("lender_base"),
@@ -56,8 +66,6 @@ QUERIES: dict[str, Query] = {
 # where the survey asks for both; thresholds scaled to the fixture (lenders hold
 # about 600 applications, counties 5-632 originations at sf0.01).
 # ---------------------------------------------------------------------------
-from loanscope.operators.filters import Filters  # noqa: E402
-from loanscope.plans import views as V  # noqa: E402
 
 F_YT = Filters(year="2020", loan_type="1")
 F_AP = Filters(action="3", loan_purpose="31")
@@ -141,11 +149,6 @@ for _dim in ("dti", "ltv", "purchaser", "spread", "lien", "non_am"):
 # ---------------------------------------------------------------------------
 # Sources (S3-S10): the fixture rows presented in both register layouts.
 # ---------------------------------------------------------------------------
-from pyspark.sql import functions as _F  # noqa: E402
-
-from loanscope.schema import LAR_TO_MLAR_RENAMES, QUERIED_COLUMNS  # noqa: E402
-from loanscope.sources import fixture as _fx  # noqa: E402
-from loanscope.sources import registers as _reg  # noqa: E402
 
 _MLAR_TO_LAR = {v: k for k, v in LAR_TO_MLAR_RENAMES.items()}
 LAR_EXTRA = {"derived_msa_md": "", "tract_population": "0"}
@@ -188,8 +191,6 @@ QUERIES.update({
 # ---------------------------------------------------------------------------
 # Parameterised SQL (S11) and distinct years
 # ---------------------------------------------------------------------------
-from loanscope.operators import rollup as _R  # noqa: E402
-from loanscope.plans import sql as _sql  # noqa: E402
 
 QUERIES.update({
     "s11_parameterised_query": _w(lambda w: _sql.query(w.spark, _sql.TOP_COUNTIES_SQL, {"top_n": 200},
@@ -201,8 +202,6 @@ QUERIES.update({
 # Sink and reader round trips (S2, S12, S16): Spark writes data derived from the
 # tables with the sink, the engine's reader reads it back.
 # ---------------------------------------------------------------------------
-from loanscope.operators.cubes import round_cells as _round_cells  # noqa: E402
-from loanscope.sources import sinks as _sinks  # noqa: E402
 
 
 def _mlar_text(w):

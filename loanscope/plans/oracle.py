@@ -13,6 +13,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from loanscope.plans import catalog as _cat
+from loanscope.schema import (
+    ACTION_LABELS, DENIAL_REASON_LABELS, DTI_ORDER, INVESTOR_PURPOSE_ORDER, LIEN_LABELS, LOAN_PURPOSE_LABELS,
+    LOAN_TYPE_LABELS, LTV_ORDER, MLAR_COLUMNS, NON_AM_LABELS, NON_AM_ORDER, OCCUPANCY_LABELS, OCCUPANCY_ORDER,
+    PURCHASER_LABELS, QUERIED_COLUMNS, RATE_BUCKET_ORDER, SPREAD_ORDER, STATE_NAMES, STATE_PRESETS,
+)
 from loanscope.sources.fixture import with_oracle_views
 
 
@@ -45,9 +51,6 @@ ORACLES: dict[str, str] = {}
 # ---------------------------------------------------------------------------
 # Cubes (A1-A11)
 # ---------------------------------------------------------------------------
-from loanscope.schema import (  # noqa: E402
-    ACTION_LABELS, DENIAL_REASON_LABELS, LOAN_PURPOSE_LABELS, LOAN_TYPE_LABELS,
-)
 
 ORACLES["a1_main_cube"] = q(f"""SELECT activity_year AS y, action_taken AS a, loan_type AS t, loan_purpose AS p,
  {M4_SQL}
@@ -64,7 +67,6 @@ FROM lar GROUP BY {col}""")
 
 ORACLES["a13_by_action"] = _breakdown_sql("action_taken", ACTION_LABELS)
 
-from loanscope.schema import DTI_ORDER  # noqa: E402,F401
 
 RATE_BANDS_SQL = """CASE
  WHEN {v} < 4 THEN 'Under 4%' WHEN {v} < 5 THEN '4-5%' WHEN {v} < 6 THEN '5-6%'
@@ -187,11 +189,6 @@ GROUP BY denial_reason_1""")
 # ---------------------------------------------------------------------------
 # Views (V1-V30), stated over the fact rows
 # ---------------------------------------------------------------------------
-from loanscope.plans import catalog as _cat  # noqa: E402
-from loanscope.schema import (  # noqa: E402
-    INVESTOR_PURPOSE_ORDER, LIEN_LABELS, LTV_ORDER, NON_AM_LABELS, NON_AM_ORDER, OCCUPANCY_LABELS,
-    OCCUPANCY_ORDER, PURCHASER_LABELS, RATE_BUCKET_ORDER, SPREAD_ORDER, STATE_NAMES, STATE_PRESETS,
-)
 
 LAR_DIMS = {"year": "activity_year", "action": "action_taken", "loan_type": "loan_type",
             "loan_purpose": "loan_purpose"}
@@ -588,7 +585,6 @@ FROM lar GROUP BY 1, 2, 3, 4""")
 # ---------------------------------------------------------------------------
 # Sources (S3-S10)
 # ---------------------------------------------------------------------------
-from loanscope.schema import MLAR_COLUMNS, QUERIED_COLUMNS  # noqa: E402
 
 ORACLES["s3_harmonise"] = q("SELECT " + ", ".join(
     (c if c in QUERIED_COLUMNS else f"'' AS {c}") for c in MLAR_COLUMNS) + " FROM lar")
