@@ -57,11 +57,11 @@ def with_state_from_fips(df: DataFrame, state_prefix: DataFrame, fips_col: str =
 
 def with_county_name(df: DataFrame, names: DataFrame, fips_col: str = "fips",
                      out: str = "name") -> DataFrame:
-    """County name, 'Unknown' when absent.  ``names`` is ``county_names(county_dim)``."""
+    """County name, 'Unknown' when absent or empty.  ``names`` is ``county_names(county_dim)``."""
     names = broadcast_bounded(names.select("fips", "county_name"), 100_000)
     return (df.join(names.withColumnRenamed("fips", "_fips").withColumnRenamed("county_name", "_cn"),
                     F.col(fips_col) == F.col("_fips"), "left")
-            .withColumn(out, F.coalesce(F.col("_cn"), F.lit("Unknown")))
+            .withColumn(out, F.coalesce(F.nullif(F.col("_cn"), F.lit("")), F.lit("Unknown")))
             .drop("_fips", "_cn"))
 
 
@@ -78,7 +78,7 @@ def with_lender_name(df: DataFrame, names: DataFrame, lei_col: str = "lei",
     if checked:
         side = broadcast_checked(side)
     return (df.join(side, F.col(lei_col) == F.col("_lei"), "left")
-            .withColumn(out, F.coalesce(F.col("_name"), F.col(lei_col)))
+            .withColumn(out, F.coalesce(F.nullif(F.col("_name"), F.lit("")), F.col(lei_col)))
             .drop("_lei", "_name"))
 
 
@@ -109,7 +109,8 @@ def lender_dimension(names: DataFrame, lender_states: DataFrame) -> DataFrame:
 
 
 def with_lender_dimension(df: DataFrame, dim: DataFrame, lei_col: str = "lei") -> DataFrame:
-    """J4 + J5 in one lookup: name (fallback: the LEI) and top states text (fallback: '').
+    """J4 + J5 in one lookup: name (fallback when absent or empty: the LEI) and top states
+    text (fallback: '').
 
     The dimension grows with the number of lenders, so the planner decides the
     broadcast from its file statistics (``spark.sql.autoBroadcastJoinThreshold``).
@@ -117,6 +118,6 @@ def with_lender_dimension(df: DataFrame, dim: DataFrame, lei_col: str = "lei") -
     side = dim.select(F.col("lei").alias("_lei"), F.col("name").alias("_name"),
                       F.col("top_states").alias("_tops"))
     return (df.join(side, F.col(lei_col) == F.col("_lei"), "left")
-            .withColumn("name", F.coalesce(F.col("_name"), F.col(lei_col)))
+            .withColumn("name", F.coalesce(F.nullif(F.col("_name"), F.lit("")), F.col(lei_col)))
             .withColumn("top_states", F.coalesce(F.col("_tops"), F.lit("")))
             .drop("_lei", "_name", "_tops"))

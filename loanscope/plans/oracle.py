@@ -348,9 +348,9 @@ def _lender_stats(f) -> str:
 
 
 def _v10(f, search=None, n=100) -> str:
-    tail = (f"WHERE contains(lower(coalesce(names.name, stats.lei)), '{search.lower()}')" if search
+    tail = (f"WHERE contains(lower(coalesce(nullif(names.name, ''), stats.lei)), '{search.lower()}')" if search
             else f"ORDER BY apps DESC, lei LIMIT {n}")
-    return q(f"""SELECT stats.*, coalesce(names.name, stats.lei) AS name, coalesce(tops.top_states, '') AS top_states
+    return q(f"""SELECT stats.*, coalesce(nullif(names.name, ''), stats.lei) AS name, coalesce(tops.top_states, '') AS top_states
 FROM stats LEFT JOIN names USING (lei) LEFT JOIN tops USING (lei) {tail}""", "lar", "filers",
              extra=",\n".join([NAMES, TOPS, _lender_stats(f)]))
 
@@ -369,11 +369,11 @@ FROM stats""", extra=_lender_stats(f))
 ORACLES["v11_lender_summary"] = _v11(_cat.Filters())
 ORACLES["v11_lender_summary_f"] = _v11(_cat.F_YT)
 
-ORACLES["v12_top_lenders"] = q("""SELECT stats.lei, coalesce(names.name, stats.lei) AS name, apps, originated
+ORACLES["v12_top_lenders"] = q("""SELECT stats.lei, coalesce(nullif(names.name, ''), stats.lei) AS name, apps, originated
 FROM stats LEFT JOIN names USING (lei) WHERE originated > 0 ORDER BY apps DESC, lei LIMIT 15""",
                                "lar", "filers", extra=",\n".join([NAMES, _lender_stats(_cat.F_YT)]))
 
-ORACLES["v13_highest_denial_lenders"] = q(f"""SELECT stats.lei, coalesce(names.name, stats.lei) AS name, apps, deny_pct
+ORACLES["v13_highest_denial_lenders"] = q(f"""SELECT stats.lei, coalesce(nullif(names.name, ''), stats.lei) AS name, apps, deny_pct
 FROM stats LEFT JOIN names USING (lei) WHERE apps >= {_cat.LENDER_MIN_APPS} AND deny_pct IS NOT NULL
 ORDER BY deny_pct DESC, apps DESC, lei LIMIT 15""", "lar", "filers",
                                           extra=",\n".join([NAMES, _lender_stats(_cat.Filters())]))
@@ -422,7 +422,7 @@ def _v16(f, n=100, top_n=200) -> str:
  FROM lar WHERE county_code IN (SELECT county_code FROM lar WHERE {KNOWN_COUNTY}
    GROUP BY county_code ORDER BY count(*) DESC, county_code LIMIT {top_n})
   AND {where_sql(f, LAR_DIMS, {"action", "loan_type"})} GROUP BY county_code)"""])
-    return q(f"""SELECT cstats.*, coalesce(st.STATE, '') AS state, coalesce(cnames.county_name, 'Unknown') AS name
+    return q(f"""SELECT cstats.*, coalesce(st.STATE, '') AS state, coalesce(nullif(cnames.county_name, ''), 'Unknown') AS name
 FROM cstats LEFT JOIN {STATE_OF_PREFIX} st ON substr(fips, 1, 2) = st.STATEFP LEFT JOIN cnames USING (fips)
 WHERE apps > 0 ORDER BY apps DESC, fips LIMIT {n}""", "lar", "county", extra=extra)
 
@@ -537,7 +537,7 @@ ORACLES["v25_investor_states_f"] = _v25(_cat.F_INV, "all3", 5)
 def _v26(f, lens, n=60, min_orig=1000, top_n=200) -> str:
     L = lens_sql(lens)
     return q(f"""SELECT fips, coalesce(st.STATE, '') AS state, inv_c, all_c, share, volume,
- coalesce(cnames.county_name, 'Unknown') AS name FROM (
+ coalesce(nullif(cnames.county_name, ''), 'Unknown') AS name FROM (
  SELECT county_code AS fips, {cnt(L)} AS inv_c, CAST(count(*) AS BIGINT) AS all_c,
   coalesce({ratio(f"sum(CASE WHEN {L} THEN 1 ELSE 0 END)", "count(*)")} * 100e0, 0) AS share,
   coalesce(sum(CASE WHEN {L} THEN {NUM('loan_amount')} END), CAST(0 AS DOUBLE)) AS volume

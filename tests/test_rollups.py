@@ -102,3 +102,15 @@ def test_concurrent_build_equals_sequential(spark, scratch):
         cols = sorted(seq.table(name).columns)
         assert _rows(par.table(name), cols) == _rows(seq.table(name), cols), name
     assert set(BUILDERS) <= par._landed
+
+
+def test_empty_names_fall_back(spark):
+    from loanscope.operators.lookups import with_county_name, with_lender_dimension
+    df = spark.createDataFrame([("L1",), ("L2",), ("L3",)], "lei string")
+    dim = spark.createDataFrame([("L1", "", None), ("L2", "Bank", "CA, TX")], "lei string, name string, top_states string")
+    got = {r["lei"]: (r["name"], r["top_states"]) for r in with_lender_dimension(df, dim).collect()}
+    assert got == {"L1": ("L1", ""), "L2": ("Bank", "CA, TX"), "L3": ("L3", "")}
+    c = spark.createDataFrame([("01001",), ("01003",)], "fips string")
+    names = spark.createDataFrame([("01001", "")], "fips string, county_name string")
+    assert {r["fips"]: r["name"] for r in with_county_name(c, names).collect()} == {"01001": "Unknown",
+                                                                                    "01003": "Unknown"}
