@@ -21,14 +21,48 @@ DEFAULT_CONF: dict[str, str] = {
 }
 
 
+MB = 1 << 20
+
+
+def sizing_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 * MB,
+                shuffle_fraction: float = 0.25, max_partitions: int = 100_000) -> dict[str, str]:
+    """Shuffle sizing for a job over ``input_bytes`` of fact data on ``total_cores`` cores.
+
+    The widest shuffle of the cube job is the quality cube, whose cells can approach
+    the row count; it carries only its projected columns (about a quarter of the
+    85 text columns), hence ``shuffle_fraction``.  The initial partition count
+    gives ``target_partition_bytes`` per reducer (at least two waves of the
+    cluster, at most ``max_partitions`` so map x reduce shuffle blocks stay
+    manageable).  AQE coalesces the many small shuffles (rollups, views) down to
+    the advisory size, so starting high costs little and keeps reducers within
+    executor memory instead of spilling.
+    """
+    wanted = -(-int(input_bytes * shuffle_fraction) // target_partition_bytes)
+    initial = min(max(2 * total_cores, wanted, 200), max_partitions)
+    return {
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
+
 def get_session(master: str | None = None, app_name: str = "loanscope",
                 shuffle_partitions: int | None = None,
-                conf: dict[str, str] | None = None) -> SparkSession:
-    """Build (or reuse) a session with the engine defaults applied."""
+                conf: dict[str, str] | None = None, input_bytes: int | None = None,
+                total_cores: int | None = None) -> SparkSession:
+    """Build (or reuse) a session with the engine defaults applied.
+
+    ``input_bytes`` / ``total_cores`` (the cluster's executor cores) size the
+    shuffles with ``sizing_conf``; ``shuffle_partitions`` sets the count directly.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     merged = dict(DEFAULT_CONF)
+    if input_bytes:
+        merged.update(sizing_conf(input_bytes, total_cores or os.cpu_count() or 8))
     if shuffle_partitions:
         merged["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     merged.update(conf or {})
