@@ -12,10 +12,12 @@ from loanscope.sources import registers, sinks
 
 
 def ingest(spark: SparkSession, files: Sequence[registers.RegisterFile], out_path: str,
-           exists=None) -> dict:
-    """Load the yearly files, land the fact table, and return the audit tables."""
-    kw = {"exists": exists} if exists else {}
-    rows, missing = registers.load_registers(spark, files, **kw)
+           exists=None, extract_dir: str | None = None) -> dict:
+    """Load the yearly files, land the fact table, and return the audit tables.
+
+    ``extract_dir`` (a shared folder) switches zips to extract-then-parse: one task
+    per member streams bytes, the CSV reader parses the text in parallel."""
+    rows, missing = registers.load_registers(spark, files, exists=exists, extract_dir=extract_dir)
     if rows is None:
         raise FileNotFoundError(f"no register file found; missing: {missing}")
     sinks.write_fact(rows.drop("source_file"), out_path)

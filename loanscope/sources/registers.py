@@ -148,6 +148,40 @@ def read_zip(spark: SparkSession, path: str | Sequence[str], member: str | None
     return r.load()
 
 
+def extract_members(spark: SparkSession, zips: Sequence[tuple[str, str | None]], out_dir: str) -> list[str]:
+    """S1 for large members: one task per zip member streams its decompressed bytes
+    (zlib, no parsing) to ``out_dir``; the text is then read by the splittable CSV
+    reader, so parsing is spread over the cluster however large one member is.
+
+    ``zips`` is (zip path, member or None for every member); ``out_dir`` must be a
+    folder every executor mounts.  Each file is written under a temporary name and
+    renamed, so a retried task leaves one whole copy.  Returns the text paths
+    (one per member).
+    """
+    pairs = [(p, m) for p, member in zips for m in _members(p, member)]
+    if not pairs:
+        return []
+    target_dir = out_dir[len("file:"):] if out_dir.startswith("file:") else out_dir
+    os.makedirs(target_dir, exist_ok=True)
+
+    def extract(batches):
+        import shutil
+
+        import pandas as pd
+        for pdf in batches:
+            done = []
+            for path, member in zip(pdf["path"], pdf["member"]):
+                target = os.path.join(target_dir, f"{os.path.basename(path)}__{member.replace('/', '_')}")
+                with zipfile.ZipFile(path) as zf, zf.open(member) as src, open(target + ".part", "wb") as dst:
+                    shutil.copyfileobj(src, dst, 16 << 20)
+                os.replace(target + ".part", target)
+                done.append(target)
+            yield pd.DataFrame({"text_path": done})
+
+    members = spark.createDataFrame(pairs, "path string, member string").repartition(len(pairs))
+    return sorted(r["text_path"] for r in members.mapInPandas(extract, "text_path string").collect())
+
+
 # ---------------------------------------------------------------------------
 # Plain text, both layouts
 # ---------------------------------------------------------------------------
@@ -165,8 +199,17 @@ def read_mlar_text(spark: SparkSession, path: str | Sequence[str], sep: str = "|
 
 def read_lar_text(spark: SparkSession, path: str | Sequence[str], sep: str = "|",
                   mode: str = "FAILFAST") -> DataFrame:
-    """Public-register text with its own header names, all text."""
-    return _csv(spark, sep, mode).option("inferSchema", False).csv(path).na.fill("")
+    """Public-register text with its own header names, all text.
+
+    The header line is read once (one line to the driver) and de-duplicated the
+    way the register loader maps columns (a repeated name: the last column keeps
+    it); the rows are then read by position with that schema.
+    """
+    first = path if isinstance(path, str) else path[0]
+    head = spark.read.text(first).first()[0]
+    names = dedupe_header(next(csv.reader([head], delimiter=sep, quotechar='"')))
+    schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+    return _csv(spark, sep, mode).option("enforceSchema", True).schema(schema).csv(path).na.fill("")
 
 
 # ---------------------------------------------------------------------------
@@ -206,9 +249,20 @@ class RegisterFile:
     member: str | None = None    # zip member; None for plain text or every member
 
 
-def read_register(spark: SparkSession, f: RegisterFile, mode: str = "FAILFAST") -> DataFrame:
-    """One file in its layout, harmonised to the 85 columns, tagged with ``source_file``."""
+def read_register(spark: SparkSession, f: RegisterFile, mode: str = "FAILFAST",
+                  extract_dir: str | None = None) -> DataFrame:
+    """One file in its layout, harmonised to the 85 columns, tagged with ``source_file``.
+
+    With ``extract_dir``, a zip is first extracted there (``extract_members``) and
+    read as splittable text; without it, the zip data source parses it directly.
+    """
     zipped = f.path.lower().endswith(".zip")
+    if zipped and extract_dir:
+        texts = extract_members(spark, [(f.path, f.member)], extract_dir)
+        paths = texts if len(texts) > 1 else texts[0]
+        df = read_mlar_text(spark, paths, mode=mode) if f.layout == "mlar" else harmonise(
+            read_lar_text(spark, paths, mode=mode))
+        return df.withColumn("source_file", F.lit(os.path.basename(f.path)))
     if f.layout == "mlar":
         df = read_zip(spark, f.path, f.member, MLAR_SCHEMA, mode=mode) if zipped else read_mlar_text(spark, f.path, mode=mode)
     elif f.layout == "lar":
@@ -231,14 +285,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def load_registers(spark: SparkSession, files: Sequence[RegisterFile],
-                   exists=None) -> tuple[DataFrame | None, list[str]]:
+                   exists=None, extract_dir: str | None = None) -> tuple[DataFrame | None, list[str]]:
     """S4 + U1: union of every present file (one reader per file and layout); returns
     (rows, missing paths).  ``exists`` checks a path (default: ``path_exists``)."""
     check = exists or (lambda p: path_exists(spark, p))
     flags = [check(f.path) for f in files]
     present = [f for f, ok in zip(files, flags) if ok]
     missing = [f.path for f, ok in zip(files, flags) if not ok]
-    frames = [read_register(spark, f) for f in present]
+    frames = [read_register(spark, f, extract_dir=extract_dir) for f in present]
     if not frames:
         return None, missing
     out = frames[0]

@@ -46,7 +46,8 @@ def _mlar_layout(pdf):
     return header, data
 
 
-def test_round_trip_both_layouts(spark, rows, scratch):
+@pytest.mark.parametrize("extract", [False, True])
+def test_round_trip_both_layouts(spark, rows, scratch, extract):
     files = []
     for year in sorted(rows["activity_year"].unique()):
         part = rows[rows["activity_year"] == year]
@@ -59,7 +60,8 @@ def test_round_trip_both_layouts(spark, rows, scratch):
             _write_zip(path, f"{year}_combined_mlar_header.txt", *_mlar_layout(part))
             files.append(registers.RegisterFile(path, "mlar"))
     files.append(registers.RegisterFile(os.path.join(scratch, "2026_absent.zip"), "mlar"))
-    out = jobs.ingest(spark, files, os.path.join(scratch, "fact"))
+    out = jobs.ingest(spark, files, os.path.join(scratch, "fact"),
+                      extract_dir=os.path.join(scratch, "text") if extract else None)
     assert out["missing_files"] == [os.path.join(scratch, "2026_absent.zip")]
     fact = spark.read.parquet(os.path.join(scratch, "fact"))
     assert set(fact.columns) == set(MLAR_COLUMNS)
