@@ -211,6 +211,17 @@ def _mlar_text(w):
     return _reg.read_mlar_text(w.spark, w.landed_files("mlar_text", write)).select(*QUERIED_COLUMNS)
 
 
+def _mlar_zips(w):
+    """The pipe-text round trip's part files, zipped, read by the zip data source."""
+    _mlar_text(w)
+    parts = [f for f in w.spark.read.text(w.path("mlar_text")).inputFiles()]
+    zips = w.landed_files("mlar_zips", lambda p: _fx.zip_text_files(w.spark, parts, p))
+    listing = (w.spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(zips)
+               .select("path").collect())  # one row per zip file, no bytes read
+    paths = sorted(r["path"] for r in listing)
+    return _reg.read_zip(w.spark, paths, schema=_reg.MLAR_SCHEMA).select(*QUERIED_COLUMNS)
+
+
 def _payload_json(w):
     cube = _round_cells(w.table("state"))
     path = w.landed_files("payload_state_json", lambda p: _sinks.write_payload({"state_cube": cube}, p, "json"))
@@ -226,6 +237,7 @@ def _series_csv(w):
 
 
 QUERIES.update({
+    "s1_zip_roundtrip": _w(_mlar_zips),
     "s2_mlar_text_roundtrip": _w(_mlar_text),
     "s12_payload_json_roundtrip": _w(_payload_json),
     "s16_series_csv_roundtrip": _w(_series_csv),

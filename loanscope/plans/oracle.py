@@ -606,3 +606,4 @@ ORACLES["r8_distinct_years"] = q("SELECT DISTINCT activity_year AS y FROM lar")
 ORACLES["s2_mlar_text_roundtrip"] = q("SELECT " + ", ".join(QUERIED_COLUMNS) + " FROM lar")
 ORACLES["s12_payload_json_roundtrip"] = ORACLES["a4_state_cube_payload"]
 ORACLES["s16_series_csv_roundtrip"] = _v3(_cat.F_YT)
+ORACLES["s1_zip_roundtrip"] = ORACLES["s2_mlar_text_roundtrip"]

@@ -103,3 +103,31 @@ def county(spark: SparkSession, sf_dir: str) -> DataFrame:
     """County reference rows (STATEFP, STATE, COUNTYFP, COUNTYNAME)."""
     return spark.sql(COUNTY_SQL_SPARK, nation=read_table(spark, sf_dir, "nation"),
                      customer=read_table(spark, sf_dir, "customer"))
+
+
+def zip_text_files(spark: SparkSession, text_paths: list[str], out_dir: str) -> list[str]:
+    """Fixture helper: zip each delimited text file (one task per file) into ``out_dir``,
+    one member per zip, as the yearly registers are published.  Returns the zip paths.
+    ``out_dir`` must be a folder every executor mounts."""
+    import os
+    target_dir = out_dir[len("file:"):] if out_dir.startswith("file:") else out_dir
+    os.makedirs(target_dir, exist_ok=True)
+
+    def pack(batches):
+        import zipfile
+
+        import pandas as pd
+        for pdf in batches:
+            done = []
+            for src in pdf["src"]:
+                local = src[len("file:"):] if src.startswith("file:") else src
+                name = os.path.basename(local)
+                target = os.path.join(target_dir, name + ".zip")
+                with zipfile.ZipFile(target + ".part", "w", zipfile.ZIP_DEFLATED) as zf:
+                    zf.write(local, arcname=name)
+                os.replace(target + ".part", target)
+                done.append(target)
+            yield pd.DataFrame({"zip_path": done})
+
+    files = spark.createDataFrame([(p,) for p in text_paths], "src string").repartition(max(1, len(text_paths)))
+    return sorted(r["zip_path"] for r in files.mapInPandas(pack, "zip_path string").collect())

@@ -40,13 +40,18 @@ class ZipMember(InputPartition):
     member: str
 
 
+def _local(path: str) -> str:
+    """Filesystem path of a plain path or a ``file:`` URI (the zip source reads mounted files)."""
+    return path[len("file:"):] if path.startswith("file:") else path
+
+
 def _open_member(path: str, member: str):
-    zf = zipfile.ZipFile(path)
+    zf = zipfile.ZipFile(_local(path))
     return zf, io.TextIOWrapper(zf.open(member), encoding="utf-8", newline="")
 
 
 def _members(path: str, member: str | None) -> list[str]:
-    with zipfile.ZipFile(path) as zf:
+    with zipfile.ZipFile(_local(path)) as zf:
         if member:
             return [member]
         return [n for n in zf.namelist() if not n.endswith("/")]
@@ -172,7 +177,8 @@ def extract_members(spark: SparkSession, zips: Sequence[tuple[str, str | None]],
             done = []
             for path, member in zip(pdf["path"], pdf["member"]):
                 target = os.path.join(target_dir, f"{os.path.basename(path)}__{member.replace('/', '_')}")
-                with zipfile.ZipFile(path) as zf, zf.open(member) as src, open(target + ".part", "wb") as dst:
+                with zipfile.ZipFile(_local(path)) as zf, zf.open(member) as src, \
+                        open(target + ".part", "wb") as dst:
                     shutil.copyfileobj(src, dst, 16 << 20)
                 os.replace(target + ".part", target)
                 done.append(target)
