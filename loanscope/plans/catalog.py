@@ -236,7 +236,18 @@ def _series_csv(w):
             .option("multiLine", True).csv(path).withColumnRenamed("Category", "code"))
 
 
+def _compare_csv(w):
+    """The comparison table exported with "XX - Name" headers, read back."""
+    table = V.compare_table(w.table("state"), COMPARE, "denyPct", loan_type="2")
+    frame = _sinks.compare_csv_frame(table, COMPARE)
+    path = w.landed_files("compare_csv", lambda p: _sinks.write_compare_csv(table, COMPARE, p))
+    schema = frame.schema
+    return w.spark.read.schema(schema).option("header", True).csv(path).select(
+        *[_F.col(f"`{c}`").cast("double").alias(c) if c != "Year" else _F.col(c) for c in schema.names])
+
+
 QUERIES.update({
+    "s15_compare_csv_roundtrip": _w(_compare_csv),
     "s1_zip_roundtrip": _w(_mlar_zips),
     "s2_mlar_text_roundtrip": _w(_mlar_text),
     "s12_payload_json_roundtrip": _w(_payload_json),

@@ -607,3 +607,8 @@ ORACLES["s2_mlar_text_roundtrip"] = q("SELECT " + ", ".join(QUERIED_COLUMNS) + "
 ORACLES["s12_payload_json_roundtrip"] = ORACLES["a4_state_cube_payload"]
 ORACLES["s16_series_csv_roundtrip"] = _v3(_cat.F_YT)
 ORACLES["s1_zip_roundtrip"] = ORACLES["s2_mlar_text_roundtrip"]
+ORACLES["s15_compare_csv_roundtrip"] = q(
+    "SELECT y AS \"Year\", " + ", ".join(f'{st} AS "{st} - {STATE_NAMES[st]}"' for st in ["CA", "TX", "NY", "PR"])
+    + " FROM (SELECT y, " + ", ".join(f"max(CASE WHEN state = '{st}' THEN value END) AS {st}"
+                                      for st in ["CA", "TX", "NY", "PR"])
+    + " FROM cmp GROUP BY y) w", extra=_compare_long(_cat.COMPARE, "denyPct", loan_type="2"))
