@@ -113,3 +113,41 @@ def local_path(uri: str) -> str | None:
     if "://" in uri:
         return None
     return uri if os.path.isabs(uri) else os.path.abspath(uri)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in executor Python workers (once per application).
+
+    Only the zipped-register data source and the file helpers run Python on
+    executors.  The package is zipped and handed to ``addPyFile``, which Spark
+    distributes to every executor itself.
+    """
+    import zipfile
+
+    import loanscope
+    try:
+        key = spark.sparkContext.applicationId
+    except Exception:
+        key = spark.conf.get("spark.app.id", "app")
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(loanscope.__file__))
+    folder = local_path(shared_dir(spark)) or tempfile.mkdtemp(prefix="loanscope-pyfiles-")
+    folder = os.path.join(folder, "loanscope-pyfiles")
+    os.makedirs(folder, exist_ok=True)
+    target = os.path.join(folder, f"loanscope-{key}.zip")
+    with zipfile.ZipFile(target + ".part", "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _, files in os.walk(pkg):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(root, name)
+                    zf.write(full, os.path.join("loanscope", os.path.relpath(full, pkg)))
+    os.replace(target + ".part", target)
+    try:
+        spark.sparkContext.addPyFile(target)
+    except Exception:  # Spark Connect
+        spark.addArtifacts(target, pyfile=True)
+    _SHIPPED.add(key)

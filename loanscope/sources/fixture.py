@@ -129,5 +129,7 @@ def zip_text_files(spark: SparkSession, text_paths: list[str], out_dir: str) ->
                 done.append(target)
             yield pd.DataFrame({"zip_path": done})
 
+    from loanscope.session import ship_package
+    ship_package(spark)
     files = spark.createDataFrame([(p,) for p in text_paths], "src string").repartition(max(1, len(text_paths)))
     return sorted(r["zip_path"] for r in files.mapInPandas(pack, "zip_path string").collect())

@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from loanscope.schema import LAR_TO_MLAR_RENAMES, MLAR_COLUMNS, MLAR_SCHEMA
+from loanscope.session import ship_package
 
 ARROW_BATCH_ROWS = 65_536
 
@@ -137,6 +138,7 @@ class ZipDelimitedSource(DataSource):
 
 
 def register_sources(spark: SparkSession) -> None:
+    ship_package(spark)
     spark.dataSource.register(ZipDelimitedSource)
 
 
@@ -184,6 +186,7 @@ def extract_members(spark: SparkSession, zips: Sequence[tuple[str, str | None]],
                 done.append(target)
             yield pd.DataFrame({"text_path": done})
 
+    ship_package(spark)
     members = spark.createDataFrame(pairs, "path string, member string").repartition(len(pairs))
     return sorted(r["text_path"] for r in members.mapInPandas(extract, "text_path string").collect())
 
