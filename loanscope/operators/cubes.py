@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from loanscope.functions.scalars import (
     cltv_bucket, dti_bucket, is_known_code, is_valid_number, lenient_double, non_am_class,
-    rate_bucket_strict, spread_bucket, cell_round_amount, cell_round_rate,
+    rate_bucket_lenient, rate_bucket_strict, spread_bucket, cell_round_amount, cell_round_rate,
 )
 from loanscope.operators.lookups import broadcast_bounded, with_state_from_fips
 
@@ -146,6 +146,22 @@ def rate_cube(fact: DataFrame) -> DataFrame:
     return build_cube(fact, dims, where, C, numbers=[RATE_V])
 
 
+def rate_base_cube(fact: DataFrame) -> DataFrame:
+    """Originations by (y, t, p, lenient rate band, valid-rate flag): the one scan behind
+    the rate cube (A2) and the rate distribution (A16).  For a valid rate the lenient
+    band is the strict band; missing codes sit in 'Under 4%' (cast to 0) with
+    ``valid`` false, so both report modes can be rolled up from here."""
+    dims = {"y": "activity_year", "t": "loan_type", "p": "loan_purpose",
+            "bucket": rate_bucket_lenient("interest_rate", "as_zero", F.col(RATE_V)),
+            "valid": F.coalesce(is_valid_number("interest_rate"), F.lit(False))}
+    return build_cube(fact, dims, F.col("action_taken") == "1", C, numbers=[RATE_V])
+
+
+def rate_cube_from_base(rate_base: DataFrame) -> DataFrame:
+    """A2 as a rollup of the rate base (valid rates only)."""
+    return rollup(rate_base, ["y", "t", "p", "bucket"], F.col("valid"), C)
+
+
 def denial_cube(fact: DataFrame) -> DataFrame:
     """A3: denied with a reason other than '' and '10', (y, t, p, reason) count."""
     where = ((F.col("action_taken") == "3") & (F.col("denial_reason_1") != "")

@@ -57,7 +57,8 @@ QUERIES: dict[str, Query] = {
     "a14_by_type": _w(lambda w: reports.by_loan_type(w.table("main"))),
     "a15_by_purpose": _w(lambda w: reports.by_loan_purpose(w.table("main"))),
     "a16_rate_distribution": _t("rate_distribution"),
-    "a16_rate_distribution_separate": _w(lambda w: reports.rate_distribution(w.fact(), "separate")),
+    "a16_rate_distribution_separate": _w(lambda w: reports.rate_distribution_from_base(w.table("rate_base"),
+                                                                                        "separate")),
     "a17_denial_reasons": _w(lambda w: reports.denial_reasons(w.table("denials"))),
 }
 

@@ -48,16 +48,17 @@ BUILDERS: dict[str, Callable[["Warehouse"], DataFrame]] = {
     "state_prefix": lambda w: lookups.state_by_fips_prefix(w.table("county_dim")),
     # scan-level cubes
     "quality": lambda w: cubes.quality_cube(w.fact()),
-    "rates": lambda w: cubes.rate_cube(w.fact()),
+    "rate_base": lambda w: cubes.rate_base_cube(w.fact()),
     "denials": lambda w: cubes.denial_cube(w.fact()),
     "geo_base": lambda w: cubes.geo_base_cube(w.fact()),
     "lender_base": lambda w: cubes.lender_base_cube(w.fact()),
     "investor_base": lambda w: cubes.investor_base_cube(w.fact()),
     "lender_states": lambda w: ranking.lender_top_states(cubes.lender_state_counts(w.fact())),
-    "rate_distribution": lambda w: reports.rate_distribution(w.fact()),
     "lender_dim": lambda w: lookups.lender_dimension(w.table("lender_names"), w.table("lender_states")),
     # rollups of landed cubes
     "main": lambda w: cubes.main_cube(w.table("quality")),
+    "rates": lambda w: cubes.rate_cube_from_base(w.table("rate_base")),
+    "rate_distribution": lambda w: reports.rate_distribution_from_base(w.table("rate_base")),
     "state": lambda w: cubes.state_cube(w.table("geo_base")),
     "county": lambda w: cubes.county_cube(w.table("geo_base"), w.table("state_prefix"), w.top_n),
     "lender": lambda w: cubes.lender_cube(w.table("lender_base")),
