@@ -12,7 +12,7 @@ from loanscope.session import join_path, shared_dir
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 # Rows of whole texts handed to Python at a time: bounds a worker's memory when texts are long.
-ARROW_ROWS = 1000
+ARROW_ROWS = 256
 
 
 def land(df: DataFrame, name: str) -> DataFrame:

@@ -9,7 +9,7 @@ equality never rests on a hash.
    text leaves the task, however many copies it holds, so a group with a third of all rows
    reaches the shuffle as one row per task.  When the tries of a task exceed a memory budget
    the largest subtrees are spilled downstream as owner rows.
-2. The owner rows are shuffled by (length, hash), sorted by (length, hash, text) and inserted
+2. The owner rows are shuffled by (length, hash), sorted by (hash, length, text) and inserted
    again.  In that order a (length, hash) subtree is complete when the next key begins; it is
    emitted and dropped, so a task holds one subtree.
 3. Only texts with several rows come back (digest, owner, size).  Rows find their owner by
@@ -126,7 +126,8 @@ def duplicate_groups(docs: DataFrame) -> DataFrame:
     keyed = norm.select(F.octet_length("t").cast("long").alias("len"), F.xxhash64("t").alias("h"),
                         F.col("t").cast("binary").alias("text"), "doc_id")
     owners = keyed.mapInArrow(local_owners, OWNER_SCHEMA)
-    placed = owners.repartition("len", "h").sortWithinPartitions("len", "h", "text")
+    # Hash first: in order of length the longest texts of a partition would share its batches.
+    placed = owners.repartition("len", "h").sortWithinPartitions("h", "len", "text")
     return land(placed.mapInArrow(merged_groups, GROUP_SCHEMA), "exact-groups")
 
 
