@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loanscope.llm.decontam import op6_decontamination
 from loanscope.llm.exact_dedup import OP5_SQL, op5_exact_dedup
+from loanscope.llm.langid import op7_language_id
 from loanscope.llm.license_scan import op1_license_scan
 from loanscope.llm.pii import op4_pii
 from loanscope.llm.simhash import op10_simhash_dedup
@@ -15,6 +17,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op4_pii": op4_pii,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_decontamination": op6_decontamination,
+    "op7_language_id": op7_language_id,
     "op10_simhash_dedup": op10_simhash_dedup,
 }
 
