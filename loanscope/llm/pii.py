@@ -146,17 +146,23 @@ def document_frequencies(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return counts.join(terms, "t", "left_semi")
 
 
-def disclosing_terms(contexts: DataFrame, docs: DataFrame, n_docs: int, support: int, generalise: float, remove: float) -> DataFrame:
+def disclosing_terms(contexts: DataFrame, docs: DataFrame, n_docs: int, support: int, generalise: float) -> DataFrame:
     """(c, t, share): terms that disclose at least ``generalise`` of the information content of c."""
     joint = contexts.select("ctx", "c", "t").distinct()
     joint = joint.groupBy("c", "t").agg(F.count("*").alias("nct")).filter(F.col("nct") >= support)
     nc = contexts.select("ctx", "c").distinct().groupBy("c").agg(F.count("*").alias("nc"))
-    pairs = land(joint.join(nc, "c"), "pii-pairs")
-    nt = document_frequencies(docs, pairs.select("t").distinct())
     n = F.lit(float(n_docs))
-    ic = F.log2(n / F.col("nc"))
-    pmi = F.log2(F.col("nct") * n / (F.col("nc") * F.greatest("nt", "nct")))
-    return pairs.join(nt, "t").withColumn("share", F.when(ic > 0, pmi / ic).otherwise(0.0)).filter(F.col("share") >= generalise).select("c", "t", "share")
+
+    def share(nt: str) -> Column:
+        ic = F.log2(n / F.col("nc"))
+        pmi = F.log2((F.col("nct") / F.col("nc")) * n / F.col(nt))
+        return F.when(ic > 0, pmi / ic).otherwise(0.0)
+
+    # A term occurs at least in the documents of its contexts: that alone rules common words out.
+    least = contexts.select("row", "t").distinct().groupBy("t").agg(F.count("*").alias("least"))
+    pairs = land(joint.join(nc, "c").join(least, "t").filter(share("least") >= generalise), "pii-pairs")
+    nt = document_frequencies(docs, pairs.select("t").distinct())
+    return pairs.join(nt, "t").withColumn("share", share("nt")).filter(F.col("share") >= generalise).select("c", "t", "share")
 
 
 def pii_spans(docs: DataFrame, window: int = WINDOW, support: int = SUPPORT, generalise: float = GENERALISE,
@@ -175,7 +181,7 @@ def pii_spans(docs: DataFrame, window: int = WINDOW, support: int = SUPPORT, gen
     found = land(spotted.filter(F.size("spans") > 0), "pii-found")
     contexts = land(_contexts(found, window), "pii-contexts")
     n_docs = docs.count()
-    telling = land(disclosing_terms(contexts, docs, n_docs, support, generalise, remove), "pii-terms")
+    telling = land(disclosing_terms(contexts, docs, n_docs, support, generalise), "pii-terms")
     action = F.when(F.col("share") >= remove, "remove").otherwise("generalise")
     terms = (contexts.join(telling, ["c", "t"]).groupBy("row", "s", "e").agg(F.max("share").alias("share")).groupBy("row")
              .agg(F.collect_list(F.struct("s", F.lit(4).alias("k"), "e", action.alias("action"))).alias("terms")))
