@@ -229,28 +229,31 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, words: int = SHINGLE_W
     return reduce(DataFrame.unionByName, [d.mapInArrow(search(b), MATCH_SCHEMA) for b in item_blocks(benchmark)])
 
 
+def holds_item(block: list[tuple[int, bytes]], words: int, similarity: float, radius: int):
+    """A function of a binary text column: whether any of the block's items is in it."""
+    kept: list[Items] = []  # built once in a task
+
+    @pandas_udf("boolean")
+    def holds(texts: pd.Series) -> pd.Series:
+        if not kept:
+            kept.append(Items(block, words, similarity, radius))
+        hit = np.zeros(len(texts), bool)
+        for t, *_ in kept[0].matches(texts.tolist()):
+            hit[t] = True
+        return pd.Series(hit)
+
+    return holds
+
+
 def without_benchmark(docs: DataFrame, benchmark: DataFrame, words: int = SHINGLE_WORDS, similarity: float = SIMILARITY,
                       radius: int = RADIUS) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, all columns."""
-    spark = docs.sparkSession
-    ship_package(spark)
-    bound_batches(spark)
+    ship_package(docs.sparkSession)
+    bound_batches(docs.sparkSession)
     out = docs
     for block in item_blocks(benchmark):
-        if not block:
-            continue
-        kept: dict[str, Items] = {}
-
-        @pandas_udf("boolean")
-        def holds_item(texts: pd.Series, block=block, kept=kept) -> pd.Series:
-            if "items" not in kept:
-                kept["items"] = Items(block, words, similarity, radius)
-            hit = np.zeros(len(texts), bool)
-            for t, *_ in kept["items"].matches(texts.tolist()):
-                hit[t] = True
-            return pd.Series(hit)
-
-        out = out.filter(~holds_item(F.lower(text_of(out)).cast("binary")))
+        if block:
+            out = out.filter(~holds_item(block, words, similarity, radius)(F.lower(text_of(out)).cast("binary")))
     return out
 
 
