@@ -7,8 +7,7 @@ times ``share``, so in expectation the sampled tokens have the target marginals,
 probability exceeds 1.  A document is in the sample if a hash of its id falls below its probability:
 the sample is the same in every run and nested for smaller shares.
 
-Documents are read twice (count tokens by cell, then join the cells' probabilities); in between
-all is on cells, aggregated map-side, so a source with a third of all rows is one row per task and cell.
+Documents are counted by cell and later joined with the cells' probabilities; in between all is on cells, aggregated map-side, so a source with a third of all rows is one row per task and cell.
 Each round of raking is landed; marginals join back by size, as the planner finds them.
 """
 
@@ -20,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanscope.llm.common import land, text_of
+from loanscope.llm.exact_dedup import normalised
 from loanscope.sources.tables import read_table
 
 DIMENSIONS = ("source", "lang", "topic")
@@ -32,13 +32,13 @@ MISSING = ""  # the category of a null source or language
 
 def word_tokens(text: Column) -> Column:
     """Words between white space stand for tokens."""
-    t = F.trim(F.regexp_replace(text, r"\s+", " "))
+    t = F.trim(normalised(text))
     return F.when(t == "", 0).otherwise(F.length(t) - F.length(F.replace(t, F.lit(" "))) + 1).cast("long")
 
 
 def surface_topic(text: Column) -> Column:
     """A document's topic by its form; the first that fits."""
-    return (F.when(text.rlike(r"(?i)licen[cs]ed? |copyright|rights reserved"), "legal")
+    return (F.when(text.contains("icensed") | text.contains("opyright") | text.contains("ights reserved"), "legal")
             .when(text.contains("@"), "contact")
             .when(text.rlike(r"[0-9]{4}"), "figures")
             .when(F.length(text) >= 8000, "longform")
@@ -88,14 +88,12 @@ def raked(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUN
     return now
 
 
-def cell_probabilities(docs: DataFrame, targets: Mapping[str, DataFrame | Mapping[str, float]] | None = None,
-                       topic: Callable[[Column], Column] = surface_topic, share: float = 1.0) -> DataFrame:
-    """(source, lang, topic, tokens, weight, probability): weight is the factor of a cell's tokens.
+def cell_probabilities(rows: DataFrame, targets: Mapping[str, DataFrame | Mapping[str, float]] | None = None, share: float = 1.0) -> DataFrame:
+    """(source, lang, topic, tokens, weight, probability) of ``categorised`` rows: weight is the factor of a cell's tokens.
 
     A cell without tokens has weight 0 and the probability 0.
     """
-    c = categorised(docs.select("text", "source", "lang"), topic)
-    cells = land(c.groupBy(*[F.col(f"__{d}").alias(d) for d in DIMENSIONS]).agg(F.sum("__tokens").alias("tokens")), "mix-counts")
+    cells = land(rows.groupBy(*[F.col(f"__{d}").alias(d) for d in DIMENSIONS]).agg(F.sum("__tokens").alias("tokens")), "mix-counts")
     given = targets or {}
     wanted = {}
     for d in DIMENSIONS:
@@ -111,12 +109,12 @@ def cell_probabilities(docs: DataFrame, targets: Mapping[str, DataFrame | Mappin
     return land(done.select(*DIMENSIONS, "tokens", "weight", (F.col("weight") * (share / most)).alias("probability")), "mix-probabilities")
 
 
-def with_probability(docs: DataFrame, cells: DataFrame, topic: Callable[[Column], Column] = surface_topic, seed: int = SEED) -> DataFrame:
-    """``docs`` with __topic, __tokens, __weight, __probability and __sampled."""
+def with_probability(rows: DataFrame, cells: DataFrame, seed: int = SEED) -> DataFrame:
+    """``categorised`` rows with __weight, __probability and __sampled."""
     p = cells.select(*[F.col(d).alias(f"__{d}") for d in DIMENSIONS], F.col("weight").alias("__weight"), F.col("probability").alias("__probability"))
     # 53 bits of a hash, as a fraction.
     u = F.shiftrightunsigned(F.xxhash64(F.col("doc_id"), F.lit(seed)), 11).cast("double") / float(1 << 53)
-    return (categorised(docs, topic).join(p, [f"__{d}" for d in DIMENSIONS]).withColumn("__sampled", u < F.col("__probability")))
+    return rows.join(p, [f"__{d}" for d in DIMENSIONS]).withColumn("__sampled", u < F.col("__probability"))
 
 
 def mixed(docs: DataFrame, targets: Mapping[str, DataFrame | Mapping[str, float]] | None = None,
@@ -127,19 +125,23 @@ def mixed(docs: DataFrame, targets: Mapping[str, DataFrame | Mapping[str, float]
     with no tokens.  Repeated rows count each and are sampled alike, as are all null ids.  An empty table
     gives an empty result; other columns are not read.
     """
-    slim = docs.select("doc_id", "text", "source", "lang")
-    rows = with_probability(slim, cell_probabilities(slim, targets, topic, share), topic, seed)
-    return rows.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "lang", F.col("__topic").alias("topic"),
-                       F.col("__tokens").alias("n_tokens"), F.col("__weight").alias("weight"),
-                       F.col("__probability").alias("probability"), F.col("__sampled").alias("sampled"))
+    # Landed without the text, so that texts are read once.
+    rows = land(categorised(docs.select("doc_id", "text", "source", "lang"), topic).drop("text"), "mix-rows")
+    return with_probability(rows, cell_probabilities(rows, targets, share), seed).select(
+        F.col("doc_id").cast("long").alias("doc_id"), "source", "lang", F.col("__topic").alias("topic"), F.col("__tokens").alias("n_tokens"),
+        F.col("__weight").alias("weight"), F.col("__probability").alias("probability"), F.col("__sampled").alias("sampled"))
 
 
 def sampled_mix(docs: DataFrame, targets: Mapping[str, DataFrame | Mapping[str, float]] | None = None,
                 topic: Callable[[Column], Column] = surface_topic, share: float = 1.0, seed: int = SEED) -> DataFrame:
-    """The sampled rows of ``docs``, all columns, with topic and probability."""
-    rows = with_probability(docs, cell_probabilities(docs, targets, topic, share), topic, seed).filter("__sampled")
+    """The sampled rows of ``docs``, all columns, with topic and probability (in place of columns of these names).
+
+    Texts are read twice, once for the cells and once for the sample, as a sample may be most of them.
+    """
+    rows = categorised(docs, topic)
+    sample = with_probability(rows, cell_probabilities(rows, targets, share), seed).filter("__sampled")
     own = [c for c in docs.columns if c not in ("topic", "probability")]
-    return rows.select(*own, F.col("__topic").alias("topic"), F.col("__probability").alias("probability"))
+    return sample.select(*own, F.col("__topic").alias("topic"), F.col("__probability").alias("probability"))
 
 
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
