@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loanscope.llm.chat import op9_chat_formatting
+from loanscope.llm.chat import OP9_SQL, op9_chat_formatting
 from loanscope.llm.decontam import op6_decontamination
 from loanscope.llm.exact_dedup import OP5_SQL, op5_exact_dedup
 from loanscope.llm.langid import op7_language_id
-from loanscope.llm.license_scan import op1_license_scan
+from loanscope.llm.license_scan import op1_license_scan, op1_sql
 from loanscope.llm.mixing import op2_source_mixing
 from loanscope.llm.pii import op4_pii
 from loanscope.llm.simhash import op10_simhash_dedup
@@ -30,4 +30,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simhash_dedup": op10_simhash_dedup,
 }
 
-ORACLES: dict[str, str] = {"op5_exact_dedup": OP5_SQL}
+ORACLES: dict[str, str] = {"op1_license_scan": op1_sql(), "op5_exact_dedup": OP5_SQL, "op9_chat_formatting": OP9_SQL}

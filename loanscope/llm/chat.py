@@ -151,3 +151,30 @@ def with_probe(conversations: DataFrame) -> DataFrame:
 
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(windows(with_probe(read_table(spark, sf_dir, "conversations"))))
+
+
+OP9_SQL = f"""
+WITH c AS (
+  SELECT CAST(conv_id AS BIGINT) AS conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '{PROBE}'), (-1, 1, 'assistant', '{PROBE}')),
+n AS (SELECT *, row_number() OVER o - 1 AS idx, len(regexp_extract_all(text, '{TOKEN}')) + {TURN_TOKENS} AS cost,
+        length(role) + length(replace(replace(text, '\\', '\\\\'), '<|', '<\\|')) + {len(START) + len(END) + 2} AS chars
+      FROM c WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+t AS (SELECT *, idx = 0 AND role = 'system' AS system, sum(cost) OVER (PARTITION BY conv_id ORDER BY idx) - cost AS before FROM n),
+s AS (SELECT t.*, coalesce(h.cost, 0) AS s_cost, coalesce(h.chars, 0) AS s_chars
+      FROM t LEFT JOIN (SELECT conv_id AS i, cost, chars FROM t WHERE system) h ON t.conv_id IS NOT DISTINCT FROM h.i),
+a AS (SELECT *, greatest(1, {BUDGET - HISTORY_TOKENS} - s_cost) AS room, greatest(0, before - s_cost) AS pos FROM s),
+p AS (SELECT *, CASE WHEN system THEN 0 ELSE pos // room END AS seg, NOT system AND (pos + cost - 1) // room > pos // room AS own FROM a),
+w AS (SELECT conv_id, seg, own, min(idx) AS f, min(pos) AS pos, sum(chars) + CASE WHEN bool_or(system) THEN 0 ELSE max(s_chars) END AS chars
+      FROM p GROUP BY conv_id, seg, own),
+b AS (SELECT w.conv_id, w.f, w.chars + coalesce(sum(p.chars), 0) AS chars
+      FROM w LEFT JOIN p ON p.conv_id IS NOT DISTINCT FROM w.conv_id AND p.idx BETWEEN w.f - {HISTORY_TURNS} AND w.f - 1
+        AND w.pos - p.pos <= {HISTORY_TOKENS} AND NOT p.system
+      GROUP BY w.conv_id, w.f, w.chars),
+f AS (SELECT conv_id, sum(chars) AS formatted_chars, count(*) AS n_windows FROM b GROUP BY conv_id),
+g AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY idx) AS told,
+        coalesce(string_agg(text, '' ORDER BY idx) FILTER (role = 'assistant'), '') AS learnt FROM p GROUP BY conv_id)
+SELECT g.conv_id, n_turns, sha256(told) AS turns_sha256, CAST(length(learnt) AS BIGINT) AS loss_chars, sha256(learnt) AS loss_sha256,
+       CAST(formatted_chars AS BIGINT) AS formatted_chars, n_windows
+FROM g JOIN f ON g.conv_id IS NOT DISTINCT FROM f.conv_id
+"""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 # Rows of whole texts handed to Python at a time: bounds a worker's memory when texts are long.
 ARROW_ROWS = 256
+MATCHES_AT_ONCE = 64
 
 
 def land(df: DataFrame, name: str) -> DataFrame:
@@ -39,23 +41,42 @@ def text_of(df: DataFrame, col: str = "text") -> Column:
     return F.coalesce(df[col], F.lit(""))
 
 
-def code_point_spans(text: Column, pattern: str) -> Column:
-    """Array of (s, e, m): every leftmost non-overlapping match with its code-point offsets, end exclusive.
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, evaluated once however often ``body`` names it (also inside of lambdas)."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def match_spans(text: Column, pattern: str | Column, measure: Callable[[Column], Column] = F.length) -> Column:
+    """Array of (s, e, m): every leftmost non-overlapping match with its offsets, end exclusive, in units of ``measure``.
 
     ``regexp_extract_all`` gives the matches and ``split`` the pieces between them; both walk
     the text with the same matcher, so piece and match lengths add up to the offsets.
-    ``pattern`` must not match the empty string.
+    ``pattern`` must not match the empty string.  Offsets are summed in chunks of matches, then over the chunks, as
+    appending to one long array would copy it for each match.
     """
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    step = F.zip_with(gaps, found, lambda g, m: F.struct(F.length(g).alias("g"), F.length(m).alias("n"), m.alias("m")))
-    zero = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<s:int,e:int,m:string>>)").alias("out"))
+    found = F.regexp_extract_all(text, F.lit(pattern) if isinstance(pattern, str) else pattern, F.lit(0))
+    none = F.expr("cast(array() as array<struct<s:int,e:int,m:string>>)")
+
+    def with_offsets(m: Column) -> Column:
+        gaps = F.slice(F.split(text, pattern, -1 if isinstance(pattern, str) else F.lit(-1)), F.lit(1), F.size(m))
+        pairs = F.zip_with(gaps, m, lambda g, x: F.struct(measure(g).alias("g"), measure(x).alias("n"), x.alias("m")))
+        return let(pairs, lambda p: let(chunked(p), lambda c: F.flatten(F.zip_with(c, chunk_starts(c), shifted))))
 
-    def add(acc, x):
+    def chunked(p: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), ((F.size(p) - 1) / MATCHES_AT_ONCE).cast("int")),
+                           lambda i: F.aggregate(F.slice(p, i * MATCHES_AT_ONCE + 1, MATCHES_AT_ONCE), F.struct(F.lit(0).alias("at"), none.alias("out")), add))
+
+    def add(acc: Column, x: Column) -> Column:
         start = acc["at"] + x["g"]
-        end = start + x["n"]
-        span = F.struct(start.alias("s"), end.alias("e"), x["m"].alias("m"))
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
+        span = F.struct(start.alias("s"), (start + x["n"]).alias("e"), x["m"].alias("m"))
+        return F.struct((start + x["n"]).alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
+
+    def chunk_starts(c: Column) -> Column:
+        zero = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<int>)").alias("out"))
+        return F.aggregate(c, zero, lambda acc, x: F.struct((acc["at"] + x["at"]).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")),
+                           lambda acc: acc["out"])
+
+    def shifted(chunk: Column, start: Column) -> Column:
+        return F.transform(chunk["out"], lambda x: F.struct((x["s"] + start).alias("s"), (x["e"] + start).alias("e"), x["m"].alias("m")))
 
-    # The piece after the last match pairs with no match.
-    return F.aggregate(F.filter(step, lambda x: x["m"].isNotNull()), zero, add, lambda acc: acc["out"])
+    return let(found, lambda m: F.when(F.size(m) == 0, none).otherwise(with_offsets(m)))

@@ -86,7 +86,7 @@ CC_PARTS = {
 CC_VERSIONS = ("1 0", "2 0", "2 5", "3 0", "4 0")
 
 # Sentences of licence texts and general hints: label, priority, confidence, keyword, regex.
-SENTENCES: list[tuple[str, int, float, str, str]] = [
+SENTENCES: list[tuple[str, int, float, str | tuple[str, ...], str]] = [
     ("mit", 1, 0.98, "permission", "permission is hereby granted free of charge to any person obtaining a copy of this software"),
     ("isc", 1, 0.95, "permission", "permission to use copy modify and or distribute this software for any purpose with or without fee"),
     ("bsd", 1, 0.95, "redistribution", "redistribution and use in source and binary forms with or without modification are permitted"),
@@ -108,7 +108,7 @@ SENTENCES: list[tuple[str, int, float, str, str]] = [
     ("no-warranty", 4, 0.2, "warrant", "without (?:any )?warrant(?:y|ies) of any kind"),
     ("as-is", 4, 0.2, "provided", "provided (?:as is|by the copyright holders)"),
     ("copyright", 4, 0.3, "copyright", "copyright (?:c )?(?:19|20)[0-9][0-9]"),
-    ("licensed", 4, 0.1, "licen", "(?:licen[cs]ed|released) under"),
+    ("licensed", 4, 0.1, ("licen", "released"), "(?:licen[cs]ed|released) under"),
 ]
 
 

@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanscope.llm.common import text_of
+from loanscope.llm.common import match_spans, text_of
 from loanscope.llm.license_rules import Rule, rules
 from loanscope.sources.tables import read_table
 
@@ -51,20 +51,9 @@ SPAN = "struct<first:int,neg_end:int,priority:int,rule:int,label:string,confiden
 
 def _matches(words: Column, r: Column) -> Column:
     """Intervals of one rule's matches in ``words`` (" w0 w1 ... "), in words, end exclusive."""
-    found = F.regexp_extract_all(words, r["regex"], F.lit(0))
-    gaps = F.split(words, r["regex"], F.lit(-1))
-    pairs = F.filter(F.zip_with(gaps, found, lambda g, m: F.struct(spaces(g).alias("g"), spaces(m).alias("n"))),
-                     lambda p: p["n"].isNotNull())
-    zero = F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() as array<{SPAN}>)").alias("out"))
-
-    def add(acc, p):
-        start = acc["at"] + p["g"]
-        span = F.struct(start.alias("first"), (-(start + p["n"])).alias("neg_end"), r["priority"].alias("priority"),
-                        r["rule"].alias("rule"), r["label"].alias("label"), r["confidence"].alias("confidence"))
-        return F.struct((start + p["n"]).alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
-
-    return F.when(F.size(found) == 0, F.expr(f"cast(array() as array<{SPAN}>)")).otherwise(
-        F.aggregate(pairs, zero, add, lambda acc: acc["out"]))
+    return F.transform(match_spans(words, r["regex"], spaces), lambda x: F.struct(
+        x["s"].alias("first"), (-x["e"]).alias("neg_end"), r["priority"].alias("priority"), r["rule"].alias("rule"), r["label"].alias("label"),
+        r["confidence"].alias("confidence")))
 
 
 def _unsuppressed(spans: Column) -> Column:
@@ -126,3 +115,40 @@ def scan_digest(scanned: DataFrame) -> DataFrame:
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_digest(license_scan(read_table(spark, sf_dir, "documents")))
+
+
+def op1_sql(table: list[Rule] | None = None) -> str:
+    """The scan as DuckDB SQL: every rule over every text, without gates; words are parted by two spaces there,
+    so that a match takes its own space on either side."""
+    def doubled(regex: str) -> str:
+        return regex.replace(" ?", "\0").replace(" ", "  ").replace("\0", "(?:  )?").replace("'", "''")
+
+    values = ",\n  ".join(f"({r.rule}, '{r.label}', {r.priority}, {r.confidence}, ' (?:{doubled(r.regex)}) ')"
+                          for r in (rules() if table is None else table))
+    covered = " OR ".join(f"(priority = {p} AND coalesce(max(e) FILTER (priority BETWEEN 1 AND {p}) OVER before, -1) >= e)"
+                          for p in range(1, PRIORITIES + 1))
+    return f"""
+WITH rules(rule, label, priority, confidence, regex) AS (VALUES
+  {values}),
+d AS (SELECT row_number() OVER () AS r, CAST(doc_id AS BIGINT) AS doc_id,
+        trim(regexp_replace(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{NOT_WORD}', ' ', 'g'), ' ') AS t FROM documents),
+w AS (SELECT r, doc_id, CASE WHEN t = '' THEN 0 ELSE length(t) - length(replace(t, ' ', '')) + 1 END AS n_words,
+        ' ' || replace(t, ' ', '  ') || ' ' AS w FROM d),
+found AS (SELECT r, rule, label, priority, confidence, regexp_extract_all(w, regex) AS m, string_split_regex(w, regex) AS g
+          FROM w, rules WHERE regexp_matches(w, regex)),
+each AS (SELECT r, rule, label, priority, confidence, i, length(m[i]) - length(replace(m[i], ' ', '')) AS n, length(g[i]) - length(replace(g[i], ' ', '')) AS gap
+         FROM (SELECT *, unnest(generate_series(1, len(m))) AS i FROM found)),
+spans AS (SELECT r, rule, label, priority, confidence, CAST((sum(gap + n) OVER o - n) / 2 AS BIGINT) AS s, CAST(sum(gap + n) OVER o / 2 AS BIGINT) AS e
+          FROM each WINDOW o AS (PARTITION BY r, rule ORDER BY i)),
+kept AS (SELECT r, rule, label, priority, confidence, s FROM spans
+         WINDOW before AS (PARTITION BY r ORDER BY s, e DESC, priority, rule ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+         QUALIFY NOT ({covered})),
+labels AS (SELECT r, label, max(confidence) AS c FROM kept GROUP BY r, label),
+score AS (SELECT r, round(1 - product(1 - c), 6) AS score, string_agg(label, ',' ORDER BY label) AS labels FROM labels GROUP BY r),
+base AS (SELECT r, count(*) AS n_base, min(s) AS first_word, max(s) AS last_word,
+           array_to_string(list_sort(list(DISTINCT label)), ',') AS base_labels FROM kept WHERE priority = 0 GROUP BY r),
+n AS (SELECT r, count(*) AS n_detections FROM kept GROUP BY r)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels,
+       coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score, coalesce(n_detections, 0) AS n_detections
+FROM w LEFT JOIN base USING (r) LEFT JOIN score USING (r) LEFT JOIN n USING (r)
+"""

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanscope.llm.common import land, text_of
+from loanscope.llm.common import land, match_spans, text_of
 from loanscope.sources.tables import read_table
 
 KINDS = ("email", "ip", "card", "phone")
@@ -35,12 +35,14 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 
 WINDOW = 3
 SIDE = 512  # characters that hold the words of a window
+BLOCK = 4096  # characters; see in_blocks
 SUPPORT = 3
 GENERALISE = 0.75
 REMOVE = 0.95
 WORD = r"[\p{L}\p{N}]++"
 
 SPANS = "array<struct<s:int,k:int,e:int,m:string>>"
+ACTIONS = "array<struct<s:int,k:int,e:int,action:string>>"
 
 
 def _digits(m: Column) -> Column:
@@ -79,20 +81,10 @@ def _gate(kind: str, text: Column) -> Column:
 def kind_spans(kind: str, text: Column) -> Column:
     """Array of (s, k, e, m) of one base kind: offsets in code points, end exclusive."""
     pattern = {"email": EMAIL, "ip": IP, "card": CARD, "phone": PHONE}[kind]
-    k = KINDS.index(kind)
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    pairs = F.filter(F.zip_with(gaps, found, lambda g, m: F.struct(F.length(g).alias("g"), F.length(m).alias("n"), m.alias("m"))),
-                     lambda p: p["m"].isNotNull())
-    zero = F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() as {SPANS})").alias("out"))
-
-    def add(acc, p):
-        s = acc["at"] + p["g"]
-        e = s + p["n"]
-        span = F.struct(s.alias("s"), F.lit(k).alias("k"), e.alias("e"), p["m"].alias("m"))
-        return F.struct(e.alias("at"), F.when(_valid(kind, p["m"]), F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
-
-    return F.when(_gate(kind, text), F.aggregate(pairs, zero, add, lambda acc: acc["out"])).otherwise(F.expr(f"cast(array() as {SPANS})"))
+    k = F.lit(KINDS.index(kind)).alias("k")
+    valid = F.filter(match_spans(text, pattern), lambda x: _valid(kind, x["m"]))
+    spans = F.transform(valid, lambda x: F.struct(x["s"].alias("s"), k, x["e"].alias("e"), x["m"].alias("m")))
+    return F.when(_gate(kind, text), spans).otherwise(F.expr(f"cast(array() as {SPANS})"))
 
 
 def base_spans(text: Column) -> Column:
@@ -105,37 +97,69 @@ def _value(k: Column, m: Column) -> Column:
     return F.concat_ws(":", k.cast("string"), F.when(k == 0, F.lower(m)).otherwise(_digits(m)))
 
 
-def _contexts(found: DataFrame, window: int) -> DataFrame:
-    """(row, c, ctx, t, s, e): terms within ``window`` words of an identifier on its line, s and e their offsets.
+def in_blocks(text: Column) -> Column:
+    """The text as an array of ``BLOCK`` characters each, for ``between``."""
+    n = (F.length(text) / BLOCK).cast("int")
+    return F.transform(F.sequence(F.lit(0), n), lambda i: F.substring(text, i * BLOCK + 1, F.lit(BLOCK)))
 
-    ``ctx`` tells the distinct surroundings of c apart.  Terms overlapping a base span are left out.
-    """
-    text, side = F.col("text"), F.lit(SIDE)
-    near = F.transform("spans", lambda x: F.struct(
-        _value(x["k"], x["m"]).alias("c"), x["s"].alias("l1"), x["e"].alias("r0"),
-        F.regexp_extract(F.substring(text, F.greatest(F.lit(1), x["s"] + 1 - side), F.least(x["s"], side)), r"[^\n]*\z", 0).alias("l"),
-        F.regexp_extract(F.substring(text, x["e"] + 1, side), r"\A[^\n]*", 0).alias("r")))
-    bare = F.transform("spans", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e")))
-    cut = (found.select("row", bare.alias("spans"), near.alias("near")).select("row", "spans", F.inline("near"))
-           .select("row", "spans", "c", "l", "r", (F.col("l1") - F.length("l")).alias("l0"), "r0"))
-    words = cut.select("row", "spans", "c", F.concat(
-        F.transform(F.slice(F.reverse(word_offsets(F.col("l"))), 1, window), lambda w: F.struct((w["s"] + F.col("l0")).alias("s"), w["m"].alias("m"))),
-        F.transform(F.slice(word_offsets(F.col("r")), 1, window), lambda w: F.struct((w["s"] + F.col("r0")).alias("s"), w["m"].alias("m")))
-    ).alias("ws")).withColumn("ctx", F.xxhash64(F.transform("ws", lambda w: w["m"]))).select("row", "spans", "c", "ctx", F.explode("ws").alias("w"))
-    end = F.col("w.s") + F.length("w.m")
-    clear = words.filter(~F.exists("spans", lambda x: (x["s"] < end) & (x["e"] > F.col("w.s"))))
-    return clear.select("row", "c", "ctx", F.lower("w.m").alias("t"), F.col("w.s").alias("s"), end.alias("e"))
+
+def between(blocks: Column, a: Column, b: Column) -> Column:
+    """Characters a to b (exclusive) of a text in blocks: a position costs no search through the whole text."""
+    i, j = (a / BLOCK).cast("int"), (b / BLOCK).cast("int")
+    head = F.substring(F.get(blocks, i), a % BLOCK + 1, F.lit(BLOCK))
+    tail = F.substring(F.get(blocks, j), F.lit(1), b % BLOCK)
+    return F.when(i == j, F.substring(F.get(blocks, i), a % BLOCK + 1, b - a)).otherwise(
+        F.concat(head, F.array_join(F.slice(blocks, i + 2, j - i - 1), ""), tail))
+
+
+def gap_before(blocks: Column, spans: Column, i: Column, x: Column) -> Column:
+    """The text between span i (x) and the one before."""
+    return between(blocks, F.when(i == 0, 0).otherwise(F.get(spans, i - 1)["e"]), x["s"])
+
+
+def rest_after(blocks: Column, spans: Column, text: Column) -> Column:
+    """The text after the last span, all of it without any."""
+    return between(blocks, F.when(F.size(spans) == 0, 0).otherwise(F.get(spans, F.size(spans) - 1)["e"]), F.length(text))
+
+
+def apart(spans: Column, kind: str) -> Column:
+    """Spans (sorted by s) without those that begin inside an earlier one; the earlier one is stretched to cover them."""
+    zero = F.expr(f"cast(array() as {kind})")
+
+    def step(acc, x):
+        last = F.element_at(acc, -1)
+        longer = last.withField("e", F.greatest(last["e"], x["e"]))
+        return F.when((F.size(acc) > 0) & (F.get(acc, F.size(acc) - 1)["e"] > x["s"]),
+                      F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(longer))).otherwise(F.concat(acc, F.array(x)))
+
+    touching = F.zip_with(spans, F.slice(spans, 2, F.size(spans)), lambda x, y: F.coalesce(x["e"] > y["s"], F.lit(False)))
+    return F.when(F.size(spans) == 0, spans).when(~F.exists(touching, lambda t: t), spans).otherwise(F.aggregate(spans, zero, step))
+
+
+def _contexts(found: DataFrame, window: int) -> DataFrame:
+    """(row, c, ctx, t, s, e): terms within ``window`` words of an identifier on its line and before the next
+    identifier, s and e their offsets.  ``ctx`` tells the distinct surroundings of c apart."""
+    merged = found.select("row", "text", apart(F.col("spans"), SPANS).alias("spans"), in_blocks(F.col("text")).alias("blocks"))
+    blocks, spans = F.col("blocks"), F.col("spans")
+    gaps = F.transform(spans, lambda x, i: gap_before(blocks, spans, i, x))
+    pieces = merged.select("row", "spans", F.concat(gaps, F.array(rest_after(blocks, spans, F.col("text")))).alias("gaps"))
+
+    def near(x, i):
+        left = F.regexp_extract(F.right(F.get(F.col("gaps"), i), F.lit(SIDE)), r"[^\n]*\z", 0)
+        right = F.regexp_extract(F.substring(F.get(F.col("gaps"), i + 1), 1, SIDE), r"\A[^\n]*", 0)
+        return F.struct(_value(x["k"], x["m"]).alias("c"), left.alias("l"), (x["s"] - F.length(left)).alias("l0"), right.alias("r"), x["e"].alias("r0"))
+
+    each = pieces.select("row", F.inline(F.transform("spans", near)))
+    moved = lambda ws, at: F.transform(ws, lambda w: F.struct((w["s"] + F.col(at)).alias("s"), w["m"].alias("m")))
+    words = each.select("row", "c", F.concat(moved(F.slice(F.reverse(word_offsets(F.col("l"))), 1, window), "l0"),
+                                             moved(F.slice(word_offsets(F.col("r")), 1, window), "r0")).alias("ws"))
+    return (words.withColumn("ctx", F.xxhash64(F.transform("ws", lambda w: w["m"]))).select("row", "c", "ctx", F.explode("ws").alias("w"))
+            .select("row", "c", "ctx", F.lower("w.m").alias("t"), F.col("w.s").alias("s"), (F.col("w.s") + F.length("w.m")).alias("e")))
 
 
 def word_offsets(s: Column) -> Column:
-    """Array of (s, m): the words of a short string with their offsets."""
-    found = F.regexp_extract_all(s, F.lit(WORD), F.lit(0))
-    gaps = F.split(s, WORD, -1)
-    zero = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<s:int,m:string>>)").alias("out"))
-    pairs = F.filter(F.zip_with(gaps, found, lambda g, m: F.struct(F.length(g).alias("g"), m.alias("m"))), lambda p: p["m"].isNotNull())
-    return F.aggregate(pairs, zero, lambda acc, p: F.struct(
-        (acc["at"] + p["g"] + F.length(p["m"])).alias("at"),
-        F.concat(acc["out"], F.array(F.struct((acc["at"] + p["g"]).alias("s"), p["m"].alias("m")))).alias("out")), lambda acc: acc["out"])
+    """Array of (s, e, m): the words of a short string with their offsets."""
+    return match_spans(s, WORD)
 
 
 def document_frequencies(docs: DataFrame, terms: DataFrame) -> DataFrame:
@@ -186,29 +210,28 @@ def pii_spans(docs: DataFrame, window: int = WINDOW, support: int = SUPPORT, gen
     terms = (contexts.join(telling, ["c", "t"]).groupBy("row", "s", "e").agg(F.max("share").alias("share")).groupBy("row")
              .agg(F.collect_list(F.struct("s", F.lit(4).alias("k"), "e", action.alias("action"))).alias("terms")))
     base = F.transform("spans", lambda x: F.struct(x["s"].alias("s"), x["k"].alias("k"), x["e"].alias("e"), F.lit("mask").alias("action")))
-    none = F.expr("cast(array() as array<struct<s:int,k:int,e:int,action:string>>)")
+    none = F.expr(f"cast(array() as {ACTIONS})")
     with_terms = found.join(land(terms, "pii-spans"), "row", "left").select(
         "doc_id", "text", F.array_sort(F.concat(base, F.coalesce("terms", none))).alias("spans"))
     return spotted.filter(F.size("spans") == 0).select("doc_id", "text", none.alias("spans")).unionByName(with_terms)
 
 
 def sanitise(spotted: DataFrame) -> DataFrame:
-    """``pii_spans`` with ``clean``: base spans masked by kind, disclosing terms generalised to their shape or removed."""
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    """``pii_spans`` with ``clean``: base spans masked by kind, disclosing terms generalised to their shape or removed.
+    Of base spans that overlap, the first one's mark stands for all."""
     names = F.array(*[F.lit(f"<{k}>") for k in KINDS])
+    parts = spotted.withColumn("__spans", apart(F.col("spans"), ACTIONS)).withColumn("__blocks", in_blocks(F.col("text")))
+    blocks, spans = F.col("__blocks"), F.col("__spans")
 
-    def step(acc, x):
-        said = F.substring(F.col("text"), x["s"] + 1, x["e"] - x["s"])
+    def put(x, i):
+        said = between(blocks, x["s"], x["e"])
         shape = F.regexp_replace(F.regexp_replace(F.regexp_replace(said, r"\p{Lu}", "A"), r"\p{L}(?<!A)", "a"), r"\p{N}", "9")
-        put = F.when(x["k"] < 4, F.get(names, x["k"])).when(x["action"] == "generalise", shape).otherwise("")
-        gap = F.substring(F.col("text"), acc["at"] + 1, F.greatest(F.lit(0), x["s"] - acc["at"]))
-        return F.struct(F.greatest(acc["at"], x["e"]).alias("at"),
-                        F.when(x["s"] < acc["at"], acc["out"]).otherwise(F.concat(acc["out"], gap, put)).alias("out"))
+        mark = F.when(x["k"] < 4, F.get(names, x["k"])).when(x["action"] == "generalise", shape).otherwise("")
+        return F.concat(gap_before(blocks, spans, i, x), mark)
 
-    done = F.aggregate("spans", zero, step)
     clean = F.when(F.size("spans") == 0, F.col("text")).otherwise(
-        F.concat(done["out"], F.substring(F.col("text"), done["at"] + 1, F.length("text"))))
-    return spotted.withColumn("clean", clean)
+        F.concat(F.array_join(F.transform("__spans", put), ""), rest_after(blocks, spans, F.col("text"))))
+    return parts.withColumn("clean", clean).drop("__spans", "__blocks")
 
 
 def _joined(spans: Column) -> Column:

@@ -5,8 +5,8 @@ ordered thresholds theta_1 < theta_2 < theta_3.  The expected severity is the su
 
 Features of a text are the distinct hashes of its words and of its words' first four and five bytes
 (inflected and compounded forms share them).  Only features that tell toxic from other rows in
-training are kept: document frequencies by label are counted by Spark, and the ``FEATURES`` with the largest
-z of their log-odds ratio above ``LEAST_Z`` make the model.  The label is binary; among toxic training rows the grade is
+training are kept: document frequencies by label are counted by Spark, and of those that are more frequent in toxic rows
+the ``FEATURES`` with the largest likelihood ratio (G-test), at least ``LEAST_RATIO``, make the model.  The label is binary; among toxic training rows the grade is
 1, 2 or 3 as the text holds one, two or more words with a feature of positive log-odds.
 
 Training is on at most ``TRAINING_ROWS`` labelled rows (the smallest hashes of their ids): their sparse
@@ -33,10 +33,10 @@ from loanscope.sources.tables import read_table
 
 TRAINING_ROWS = 20_000
 FEATURES = 2048
-LEAST_Z = 5.0
-LEAST_ROWS = 8  # toxic rows that a feature must be in
+LEAST_RATIO = 12.0  # likelihood ratio that a feature must reach
+LEAST_ROWS = 4  # toxic rows that a feature must be in
 GRADES = 3
-RIDGE = 0.1
+RIDGE = 0.01
 PREFIXES = (4, 5)
 FILTER_BITS = 16
 
@@ -95,19 +95,24 @@ def feature_counts(rows: DataFrame) -> DataFrame:
         F.sum("plain").alias("plain"), F.sum("toxic").alias("toxic"))
 
 
-def telling_features(rows: DataFrame, most: int = FEATURES) -> list[tuple[int, float]]:
-    """At most ``most`` (feature, log-odds ratio), by falling z."""
+def likelihood_ratio(toxic: Column, plain: Column, n_toxic: int, n_plain: int) -> Column:
+    """G statistic of a feature's occurrence against the label; 0 where it is not more frequent in toxic rows."""
+    n, has = n_toxic + n_plain, toxic + plain
+    cells = [(toxic, has, n_toxic), (plain, has, n_plain), (n_toxic - toxic, n - has, n_toxic), (n_plain - plain, n - has, n_plain)]
+    g = sum((F.when(seen > 0, seen * F.log(seen * n / (margin * total))).otherwise(0.0) for seen, margin, total in cells), F.lit(0.0))
+    return F.when(toxic * n_plain > plain * n_toxic, 2 * g).otherwise(0.0)
+
+
+def telling_features(rows: DataFrame, most: int = FEATURES) -> list[int]:
+    """At most ``most`` features, by falling likelihood ratio."""
     counts = {bool(r["t"]): r["n"] for r in rows.groupBy((F.col("toxic") > 0).alias("t")).agg(F.count("*").alias("n")).collect()}
     n0, n1 = counts.get(False, 0), counts.get(True, 0)
     if not n0 or not n1:
         return []
-    a, b = F.col("toxic") + 0.5, F.col("plain") + 0.5
-    na, nb = F.lit(n1 + 1.0) - a, F.lit(n0 + 1.0) - b
-    ratio = F.log(a / na) - F.log(b / nb)
-    z = ratio / F.sqrt(1 / a + 1 / na + 1 / b + 1 / nb)
-    top = (feature_counts(rows).filter(F.col("toxic") >= LEAST_ROWS).select("feature", ratio.alias("ratio"), z.alias("z"))
-           .filter(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "feature").limit(most))
-    return [(r["feature"], r["ratio"]) for r in top.collect()]
+    g = likelihood_ratio(F.col("toxic").cast("double"), F.col("plain").cast("double"), n1, n0)
+    top = (feature_counts(rows).filter(F.col("toxic") >= LEAST_ROWS).select("feature", g.alias("g"))
+           .filter(F.col("g") >= LEAST_RATIO).orderBy(F.desc("g"), "feature").limit(most))
+    return [r["feature"] for r in top.collect()]
 
 
 class Vocabulary:
@@ -202,7 +207,7 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = TRAINING_ROWS) -> Sever
     telling = telling_features(rows)
     if not telling:
         return None
-    vocabulary = Vocabulary([f for f, _ in telling])
+    vocabulary = Vocabulary(telling)
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
