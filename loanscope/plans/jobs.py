@@ -4,12 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from loanscope.operators import cubes, ranking, reports
+from loanscope.plans.views import lender_profile_cube
 from loanscope.plans.warehouse import Warehouse
+from loanscope.schema import (BIZ_PURPOSE_LABELS, DTI_ORDER, LIEN_LABELS, LOAN_PURPOSE_LABELS, LTV_ORDER, NON_AM_LABELS,
+                              NON_AM_ORDER, OCCUPANCY_LABELS, PURCHASER_LABELS, SPREAD_ORDER)
 from loanscope.sources import registers, sinks
 
+QUALITY_ORDERS = {"dti": DTI_ORDER, "ltv": LTV_ORDER, "spread": SPREAD_ORDER, "non_am": NON_AM_ORDER}
+QUALITY_LABELS = {"purchaser": PURCHASER_LABELS, "lien": LIEN_LABELS, "non_am": NON_AM_LABELS}
+INVESTOR_LABELS = {"occupancy": OCCUPANCY_LABELS, "biz_purpose": BIZ_PURPOSE_LABELS, "loan_purpose": LOAN_PURPOSE_LABELS}
+
 
 def ingest(spark: SparkSession, files: Sequence[registers.RegisterFile], out_path: str,
            exists=None, extract_dir: str | None = None) -> dict:
@@ -17,13 +25,20 @@ def ingest(spark: SparkSession, files: Sequence[registers.RegisterFile], out_pat
 
     ``extract_dir`` (a shared folder) switches zips to extract-then-parse: one task
     per member streams bytes, the CSV reader parses the text in parallel."""
-    rows, missing = registers.load_registers(spark, files, exists=exists, extract_dir=extract_dir)
-    if rows is None:
+    present, missing = registers.present_files(spark, files, exists)
+    if not present:
         raise FileNotFoundError(f"no register file found; missing: {missing}")
-    sinks.write_fact(rows.drop("source_file"), out_path)
-    fact = spark.read.parquet(out_path)
+    rows, _ = registers.load_registers(spark, present, exists=lambda _: True, extract_dir=extract_dir)
+    # Rows per file are counted while the fact is written: the raw files are parsed once.
+    counted = Observation("rows per file")
+    seen = rows.observe(counted, *[F.count(F.when(F.col("source_file") == f.path, 1)).alias(f"f{i}") for i, f in enumerate(present)])
+    fact_rows = seen.drop("source_file")
+    sinks.write_fact(fact_rows, out_path)
+    per_file = [(f.path, counted.get[f"f{i}"]) for i, f in enumerate(present)]
+    fact = sinks.read_fact(spark, out_path, fact_rows.schema)
     return {"missing_files": missing,
-            "rows_per_file": registers.ingest_audit(rows),
+            "missing_columns": registers.absent_columns(spark, present),
+            "rows_per_file": spark.createDataFrame(per_file, "source_file string, rows bigint"),
             "year_summary": registers.year_summary(fact),
             "total": registers.total_rows(fact)}
 
@@ -50,11 +65,16 @@ def payloads(wh: Warehouse) -> dict[str, dict[str, DataFrame]]:
             "cube": cubes.round_cells(wh.table("lender")),
             "states": ranking.nest_top_states(wh.table("lender_states")),
         },
-        "quality": {"cube": cubes.round_cells(wh.table("quality"))},
+        "quality": {
+            "cube": cubes.round_cells(wh.table("quality")),
+            "orders": sinks.static_member(wh.spark, QUALITY_ORDERS),
+            "labels": sinks.static_member(wh.spark, QUALITY_LABELS),
+        },
         "investor": {
             "national_cube": cubes.round_cells(wh.table("inv_national")),
             "state_cube": cubes.round_cells(wh.table("inv_state")),
             "county_cube": cubes.round_cells(wh.table("inv_county")),
+            "labels": sinks.static_member(wh.spark, INVESTOR_LABELS),
         },
     }
 
@@ -74,17 +94,39 @@ def load_payload(spark: SparkSession, written: dict[str, dict[str, str]], fmt: s
     return {p: {n: rd(path) for n, path in tables.items()} for p, tables in written.items()}
 
 
-def national_document(wh: Warehouse) -> DataFrame:
-    """The national report as one document (summary object, ordered arrays)."""
-    from pyspark.sql import functions as F
-
-    from loanscope.sources.sinks import payload_document
-    by_count = [F.desc("count"), F.asc("code")]
-    return payload_document({
-        "summary": (reports.summary(wh.table("lender_base")), []),
-        "by_action": (reports.by_action(wh.table("main")), by_count),
-        "by_loan_type": (reports.by_loan_type(wh.table("main")), by_count),
-        "by_loan_purpose": (reports.by_loan_purpose(wh.table("main")), by_count),
-        "rate_distribution": (wh.table("rate_distribution"), [F.asc("bucket")]),
-        "denial_reasons": (reports.denial_reasons(wh.table("denials")), by_count),
-    }, singles=["summary"])
+def documents(wh: Warehouse) -> dict[str, dict[str, tuple]]:
+    """The members of each payload's JSON document, with their row order."""
+    p = payloads(wh)
+    by_count = lambda name: (p["national"][name], [F.desc("count"), F.asc("code")])
+    keyed = lambda payload, name, *keys: (p[payload][name], list(keys))
+    national = {"summary": (p["national"]["summary"], [])}
+    for name in ("by_action", "by_loan_type", "by_loan_purpose"):
+        national[name] = by_count(name)
+    national["rate_distribution"] = keyed("national", "rate_distribution", "bucket")
+    national["denial_reasons"] = by_count("denial_reasons")
+    return {
+        "national": national,
+        "geographic": {"county_names": keyed("geographic", "county_names", "fips"),
+                       "state_cube": keyed("geographic", "state_cube", "y", "state", "a", "t", "p"),
+                       "county_cube": keyed("geographic", "county_cube", "y", "fips", "a", "t", "p")},
+        "cube": {"main": keyed("cube", "main", "y", "a", "t", "p"), "rates": keyed("cube", "rates", "y", "t", "p", "bucket"),
+                 "denials": keyed("cube", "denials", "y", "t", "p", "reason")},
+        "lenders": {"names": keyed("lenders", "names", "lei"), "cube": (lender_profile_cube(wh.table("lender")), ["l", "a", "t", "p"]),
+                    "states": keyed("lenders", "states", "lei")},
+        "quality": {"cube": keyed("quality", "cube", "y", "a", "t", "p", "d", "l", "pu", "rs", "li", "nm"),
+                    "orders": (QUALITY_ORDERS, ()), "labels": (QUALITY_LABELS, ())},
+        "investor": {"national_cube": keyed("investor", "national_cube", "y", "occ", "bp", "p"),
+                     "state_cube": keyed("investor", "state_cube", "y", "state", "occ", "bp", "p"),
+                     "county_cube": keyed("investor", "county_cube", "y", "fips", "occ", "bp", "p"),
+                     "labels": (INVESTOR_LABELS, ())},
+    }
+
+
+def write_documents(wh: Warehouse, out_dir: str) -> dict[str, str]:
+    """The six payloads in their fixed order, one JSON document each; the national report indented in one file,
+    the others compact."""
+    out = {}
+    for name, members in documents(wh).items():
+        out[name] = f"{out_dir.rstrip('/')}/{name}"
+        sinks.write_document(members, out[name], indent=name == "national", bounded=name == "national")
+    return out

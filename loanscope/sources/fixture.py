@@ -12,6 +12,7 @@ uncorrelated scalar subquery and ``explode`` instead of a cartesian product.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from loanscope.sources.tables import ensure_parallelism, read_table
 
@@ -43,34 +44,35 @@ JOIN {orders} ON l_orderkey = o_orderkey JOIN {customer} ON o_custkey = c_custke
 
 _STATE_CASE = ("CASE {n} % 14 WHEN 0 THEN 'CA' WHEN 1 THEN 'TX' WHEN 2 THEN 'FL' WHEN 3 THEN 'NY' "
                "WHEN 4 THEN 'IL' WHEN 5 THEN 'HI' WHEN 6 THEN 'WA' WHEN 7 THEN 'MA' WHEN 8 THEN 'MS' "
-               "WHEN 9 THEN 'WV' WHEN 10 THEN 'AZ' WHEN 11 THEN 'PR' ELSE 'GU' END")
+               "WHEN 9 THEN 'WV' WHEN 10 THEN 'AZ' WHEN 11 THEN 'PR' WHEN 12 THEN 'GU' ELSE '' END")
+# Some names are empty, so that lookups fall back ('', 'Unknown', the LEI); no row is left out.
+_NAME_CASE = ("CASE WHEN s_suppkey % 17 = 0 OR (s_suppkey + {yr}) % 5 = 0 THEN '' "
+              "WHEN {yr} >= 2022 THEN concat(s_name, ' Bank') ELSE s_name END")
+_COUNTY_CASE = ("CASE WHEN {c} = 7 THEN '' ELSE concat('County ', cast(1 + {n} % 14 as string), '-', "
+                "cast({c} as string)) END")
 
 # Oracle (DuckDB) forms: the specification text.
-FILERS_SQL_ORACLE = """SELECT y.yr AS year, concat('LEI', lpad(cast(s_suppkey as string), 17, '0')) AS lei,
- CASE WHEN y.yr >= 2022 THEN concat(s_name, ' Bank') ELSE s_name END AS name
-FROM supplier CROSS JOIN (SELECT DISTINCT 2018 + (n_nationkey % 8) AS yr FROM nation) y
-WHERE s_suppkey % 17 <> 0 AND (s_suppkey + y.yr) % 5 <> 0"""
+FILERS_SQL_ORACLE = ("SELECT y.yr AS year, concat('LEI', lpad(cast(s_suppkey as string), 17, '0')) AS lei,\n "
+                     + _NAME_CASE.format(yr="y.yr") + " AS name\n"
+                     "FROM supplier CROSS JOIN (SELECT DISTINCT 2018 + (n_nationkey % 8) AS yr FROM nation) y")
 
 COUNTY_SQL_ORACLE = ("SELECT DISTINCT lpad(cast(1 + n.n_nationkey % 14 as string), 2, '0') AS STATEFP,\n "
                      + _STATE_CASE.format(n="n.n_nationkey") + " AS STATE,\n"
                      " lpad(cast(1 + 2 * (c.c_custkey % 29) as string), 3, '0') AS COUNTYFP,\n"
-                     " concat('County ', cast(1 + n.n_nationkey % 14 as string), '-', cast(c.c_custkey % 29 as string)) AS COUNTYNAME\n"
-                     "FROM nation n CROSS JOIN customer c WHERE n.n_nationkey % 14 <> 13 AND c.c_custkey % 29 <> 7")
+                     " " + _COUNTY_CASE.format(c="(c.c_custkey % 29)", n="n.n_nationkey") + " AS COUNTYNAME\n"
+                     "FROM nation n CROSS JOIN customer c")
 
 # Spark forms: each supplier row fans out to at most 8 filing years, each nation
 # row to at most 29 county numbers.
-FILERS_SQL_SPARK = """SELECT yr AS year, concat('LEI', lpad(cast(s_suppkey as string), 17, '0')) AS lei,
- CASE WHEN yr >= 2022 THEN concat(s_name, ' Bank') ELSE s_name END AS name
-FROM {supplier} LATERAL VIEW explode((SELECT collect_set(2018 + (n_nationkey % 8)) FROM {nation})) y AS yr
-WHERE s_suppkey % 17 <> 0 AND (s_suppkey + yr) % 5 <> 0"""
+FILERS_SQL_SPARK = ("SELECT yr AS year, concat('LEI', lpad(cast(s_suppkey as string), 17, '0')) AS lei,\n "
+                    + _NAME_CASE.format(yr="yr") + " AS name\n"
+                    "FROM {supplier} LATERAL VIEW explode((SELECT collect_set(2018 + (n_nationkey % 8)) FROM {nation})) y AS yr")
 
 COUNTY_SQL_SPARK = ("SELECT DISTINCT lpad(cast(1 + n_nationkey % 14 as string), 2, '0') AS STATEFP,\n "
                     + _STATE_CASE.format(n="n_nationkey") + " AS STATE,\n"
                     " lpad(cast(1 + 2 * ck as string), 3, '0') AS COUNTYFP,\n"
-                    " concat('County ', cast(1 + n_nationkey % 14 as string), '-', cast(ck as string)) AS COUNTYNAME\n"
-                    "FROM {nation} LATERAL VIEW explode((SELECT collect_set(c_custkey % 29) FROM {customer}"
-                    " WHERE c_custkey % 29 <> 7)) c AS ck\n"
-                    "WHERE n_nationkey % 14 <> 13")
+                    " " + _COUNTY_CASE.format(c="ck", n="n_nationkey") + " AS COUNTYNAME\n"
+                    "FROM {nation} LATERAL VIEW explode((SELECT collect_set(c_custkey % 29) FROM {customer})) c AS ck")
 
 
 def lar_oracle_sql() -> str:
@@ -105,31 +107,36 @@ def county(spark: SparkSession, sf_dir: str) -> DataFrame:
                      customer=read_table(spark, sf_dir, "customer"))
 
 
-def zip_text_files(spark: SparkSession, text_paths: list[str], out_dir: str) -> list[str]:
-    """Fixture helper: zip each delimited text file (one task per file) into ``out_dir``,
-    one member per zip, as the yearly registers are published.  Returns the zip paths.
-    ``out_dir`` must be a folder every executor mounts."""
-    import os
-    target_dir = out_dir[len("file:"):] if out_dir.startswith("file:") else out_dir
-    os.makedirs(target_dir, exist_ok=True)
+def zip_folder(spark: SparkSession, text_dir: str, out_dir: str, zip_name: str = "{stem}.zip") -> str:
+    """Fixture helper: zip the delimited text files below ``text_dir`` as the yearly registers are published.
 
-    def pack(batches):
+    Each folder of text files becomes one zip in the folder of the same name below ``out_dir``, its files the
+    members; one task per folder.  Returns ``out_dir``; no list of files passes through the driver.
+    """
+    def pack(key, pdf):
+        import os
         import zipfile
 
         import pandas as pd
-        for pdf in batches:
-            done = []
-            for src in pdf["src"]:
-                local = src[len("file:"):] if src.startswith("file:") else src
-                name = os.path.basename(local)
-                target = os.path.join(target_dir, name + ".zip")
-                with zipfile.ZipFile(target + ".part", "w", zipfile.ZIP_DEFLATED) as zf:
-                    zf.write(local, arcname=name)
-                os.replace(target + ".part", target)
-                done.append(target)
-            yield pd.DataFrame({"zip_path": done})
+
+        from loanscope.sources.registers import filesystem
+        where, base = filesystem(out_dir)
+        folder = os.path.join(base, os.path.relpath(key[0], filesystem(text_dir)[1]))
+        where.create_dir(folder, recursive=True)
+        target = os.path.join(folder, zip_name.format(stem=os.path.basename(key[0])))
+        with where.open_output_stream(target) as raw, zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as zf:
+            for path in sorted(pdf["path"]):
+                source, name = filesystem(path)
+                with source.open_input_stream(name) as src, zf.open(os.path.basename(name), "w") as dst:
+                    while block := src.read(4 << 20):
+                        dst.write(block)
+        return pd.DataFrame({"files": [len(pdf)]})
 
     from loanscope.session import ship_package
+    from loanscope.sources.registers import filesystem
     ship_package(spark)
-    files = spark.createDataFrame([(p,) for p in text_paths], "src string").repartition(max(1, len(text_paths)))
-    return sorted(r["zip_path"] for r in files.mapInPandas(pack, "zip_path string").collect())
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(text_dir)
+             .select(F.regexp_replace("path", "^file:/*", "/").alias("path")))
+    folders = files.withColumn("folder", F.regexp_replace("path", "/[^/]*$", ""))
+    folders.groupBy("folder").applyInPandas(pack, "files long").agg(F.sum("files")).collect()
+    return out_dir

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loanscope.sources.registers import path_exists
+
 COUNTY_COLUMNS = ("STATEFP", "STATE", "COUNTYFP", "COUNTYNAME")
 
 FILER_SCHEMA = T.StructType([
@@ -32,32 +34,39 @@ def read_county_file(spark: SparkSession, path: str) -> DataFrame:
     return county_dimension(raw.withColumn("pos", F.monotonically_increasing_id()))
 
 
+def present_years(spark: SparkSession, paths_by_year: dict[int, str]) -> dict[int, str]:
+    return {year: path for year, path in sorted(paths_by_year.items()) if path_exists(spark, path)}
+
+
+def _documents(spark: SparkSession, paths_by_year: dict[int, str]) -> DataFrame | None:
+    """(year, institutions) of the present files; institutions is null in a document that does not parse."""
+    frames = [spark.read.schema(FILER_SCHEMA).option("multiLine", True).json(path).select(F.lit(year).alias("year"), "institutions")
+              for year, path in present_years(spark, paths_by_year).items()]
+    return reduce(DataFrame.unionByName, frames) if frames else None
+
+
 def read_filer_files(spark: SparkSession, paths_by_year: dict[int, str]) -> DataFrame:
-    """One JSON document per year, ``{"institutions": [{"lei", "name"}]}`` -> (year, lei, name, pos).
+    """JSON documents per year (a file or a folder of them), ``{"institutions": [{"lei", "name"}]}`` ->
+    (year, lei, name, pos).
 
-    A missing year file is skipped (reported by the caller); ``pos`` is the
-    position inside the year's list.
+    A year whose file is missing or does not parse is skipped (``skipped_years`` tells which);
+    ``pos`` is the position inside the document's list.
     """
-    frames = []
-    for year, path in sorted(paths_by_year.items()):
-        doc = spark.read.schema(FILER_SCHEMA).option("multiLine", True).json(path)
-        frames.append(doc.select(F.lit(year).alias("year"),
-                                 F.posexplode("institutions").alias("pos", "inst"))
-                      .select("year", F.col("inst.lei").alias("lei"),
-                              F.col("inst.name").alias("name"), F.col("pos").cast("bigint").alias("pos")))
-    if not frames:
+    docs = _documents(spark, paths_by_year)
+    if docs is None:
         return spark.createDataFrame([], "year int, lei string, name string, pos bigint")
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    return docs.select("year", F.posexplode("institutions").alias("pos", "inst")).select(
+        "year", F.col("inst.lei").alias("lei"), F.col("inst.name").alias("name"), F.col("pos").cast("bigint").alias("pos"))
+
+
+def skipped_years(spark: SparkSession, paths_by_year: dict[int, str]) -> list[int]:
+    """The years whose filer list is missing or holds a document that does not parse (at most one per path)."""
+    docs = _documents(spark, paths_by_year)
+    broken = [] if docs is None else [r[0] for r in docs.filter("institutions is null").select("year").distinct().collect()]
+    return sorted({*paths_by_year} - {*present_years(spark, paths_by_year)} | {*broken})
 
 
 def lender_names(filers: DataFrame) -> DataFrame:
     """(lei, name): the later year wins; inside a year the later entry wins."""
     src = filers if "pos" in filers.columns else filers.withColumn("pos", F.monotonically_increasing_id())
     return src.groupBy("lei").agg(F.max_by("name", F.struct("year", "pos")).alias("name"))
-
-
-def missing_years(paths_by_year: dict[int, str], present: Sequence[int]) -> list[int]:
-    return sorted(set(paths_by_year) - set(present))

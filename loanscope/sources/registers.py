@@ -7,20 +7,24 @@ as the 85-column all-text fact schema, with '' for anything absent.
 * Plain (unzipped) text goes through ``spark.read.csv``: splittable, so a large
   file is read by many tasks.  This is the path for data at scale.
 * Zipped text goes through the ``zipped_delimited`` Python data source: one
-  input partition per zip member (deflate streams cannot be split), rows
-  shipped to the JVM as Arrow record batches.  Land it once as Parquet
+  input partition per zip member (deflate streams cannot be split), parsed by
+  Arrow's streaming CSV reader and shipped to the JVM as record batches.  Land it once as Parquet
   (``sinks.write_fact``) and work from there.
 """
 
 from __future__ import annotations
 
 import csv
+import hashlib
 import io
+import json
 import os
 import zipfile
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,7 +33,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from loanscope.schema import LAR_TO_MLAR_RENAMES, MLAR_COLUMNS, MLAR_SCHEMA
 from loanscope.session import ship_package
 
-ARROW_BATCH_ROWS = 65_536
+ARROW_BLOCK_BYTES = 8 << 20
 
 
 # ---------------------------------------------------------------------------
@@ -41,23 +45,47 @@ class ZipMember(InputPartition):
     member: str
 
 
-def _local(path: str) -> str:
-    """Filesystem path of a plain path or a ``file:`` URI (the zip source reads mounted files)."""
-    return path[len("file:"):] if path.startswith("file:") else path
+def filesystem(path: str):
+    """(pyarrow filesystem, path in it): mounted paths and ``file:`` URIs, or the store that a URI names.
 
+    A scheme that pyarrow has no filesystem for is an error, never a local folder of that name.
+    """
+    from pyarrow import fs
+    if path.startswith("file:"):
+        path = "/" + path[len("file:"):].lstrip("/")
+    if "://" not in path:
+        return fs.LocalFileSystem(), os.path.abspath(path)
+    return fs.FileSystem.from_uri("s3" + path[3:] if path.startswith("s3a:") else path)
+
+
+def _zip(path: str) -> zipfile.ZipFile:
+    where, name = filesystem(path)
+    return zipfile.ZipFile(where.open_input_file(name))
 
-def _open_member(path: str, member: str):
-    zf = zipfile.ZipFile(_local(path))
-    return zf, io.TextIOWrapper(zf.open(member), encoding="utf-8", newline="")
+
+def _zip_paths(path: str) -> list[str]:
+    """The zip files of ``path``: itself, or every zip below it if it is a folder."""
+    from pyarrow import fs
+    where, name = filesystem(path)
+    if where.get_file_info(name).type != fs.FileType.Directory:
+        return [path]
+    found = where.get_file_info(fs.FileSelector(name, recursive=True))
+    return sorted(f.path for f in found if f.path.lower().endswith(".zip"))
 
 
 def _members(path: str, member: str | None) -> list[str]:
-    with zipfile.ZipFile(_local(path)) as zf:
-        if member:
-            return [member]
+    if member:
+        return [member]
+    with _zip(path) as zf:
         return [n for n in zf.namelist() if not n.endswith("/")]
 
 
+def _header(path: str, member: str, sep: str) -> list[str]:
+    """The member's own column names, de-duplicated; an empty member has none."""
+    with _zip(path) as zf, io.TextIOWrapper(zf.open(member), encoding="utf-8", newline="") as text:
+        return dedupe_header(next(csv.reader(text, delimiter=sep), []))
+
+
 def dedupe_header(names: Sequence[str]) -> list[str]:
     """Unique column names; on a repeated name the *last* column keeps it."""
     out, seen = [], set()
@@ -71,67 +99,85 @@ def dedupe_header(names: Sequence[str]) -> list[str]:
 class ZipDelimitedReader(DataSourceReader):
     def __init__(self, schema: T.StructType, options: dict):
         self.schema = schema
-        self.options = options
+        self.paths = zip_paths_option(options)
+        self.member = options.get("member") or None
+        self.sep = options.get("sep", "|")
+        self.by_name = options.get("layout", "position") == "name"
+        self.required = json.loads(options["required"]) if options.get("required") else [f.name for f in schema.fields]
 
     def partitions(self) -> list[InputPartition]:
-        paths = [p for p in self.options["path"].split(",") if p]
-        member = self.options.get("member") or None
-        return [ZipMember(p, m) for p in paths for m in _members(p, member)]
+        return [ZipMember(p, m) for p in self.paths for m in _members(p, self.member)]
 
     def read(self, partition: ZipMember) -> Iterator:
-        import pyarrow as pa
+        """Arrow's streaming CSV reader over the decompressed member.
 
-        sep = self.options.get("sep", "|")
-        header = self.options.get("header", "true").lower() == "true"
-        failfast = self.options.get("mode", "FAILFAST").upper() == "FAILFAST"
-        names = [f.name for f in self.schema.fields]
-        width = len(names)
-        zf, text = _open_member(partition.path, partition.member)
-        try:
-            reader = csv.reader(text, delimiter=sep, quotechar='"', doublequote=True)
-            if header:
-                next(reader, None)
-            cols: list[list[str]] = [[] for _ in range(width)]
-            n = 0
-            for lineno, row in enumerate(reader, start=2 if header else 1):
-                if len(row) != width:
-                    if failfast:
-                        raise ValueError(f"{partition.path}:{partition.member} line {lineno}: "
-                                         f"{len(row)} fields, expected {width}")
-                    row = (row + [""] * width)[:width]
-                for i, v in enumerate(row):
-                    cols[i].append(v)
-                n += 1
-                if n == ARROW_BATCH_ROWS:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cols], names=names)
-                    cols, n = [[] for _ in range(width)], 0
-            if n:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cols], names=names)
-        finally:
-            text.close()
-            zf.close()
+        By position every row must have the schema's width.  By name the member's own header places the
+        columns (absent ones are null); fields beyond the header are ignored, and a row that ends
+        before the last column that is required is an error.
+        """
+        import pyarrow as pa
+        from pyarrow import csv as pacsv
+
+        wanted = [f.name for f in self.schema.fields]
+        names = _header(partition.path, partition.member, self.sep) if self.by_name else wanted
+        if not names:
+            return
+        need = max((names.index(n) for n in self.required if n in names), default=-1) + 1 if self.by_name else len(names)
+        odd: list[str] = []
+        wrong: list[str] = []
+
+        def uneven(row) -> str:
+            if not self.by_name or row.actual_columns < need:
+                wrong.append(f"{partition.path}:{partition.member} line {row.number}: {row.actual_columns} fields, expected {need}")
+                return "error"
+            odd.append(row.text)
+            return "skip"
+
+        def batch(columns: dict, rows: int):
+            return pa.RecordBatch.from_arrays([columns.get(n, pa.nulls(rows, pa.string())) for n in wanted], names=wanted)
+
+        def given_back():
+            parsed = [(r + [""] * len(names))[:len(names)] for r in csv.reader(odd, delimiter=self.sep)]
+            odd.clear()
+            return batch({n: pa.array([r[i] for r in parsed], pa.string()) for i, n in enumerate(names)}, len(parsed))
+
+        with _zip(partition.path) as zf, zf.open(partition.member) as stream:
+            try:
+                reader = pacsv.open_csv(
+                    stream, pacsv.ReadOptions(block_size=ARROW_BLOCK_BYTES, skip_rows=1, column_names=names, use_threads=False),
+                    pacsv.ParseOptions(delimiter=self.sep, quote_char='"', double_quote=True, newlines_in_values=True,
+                                       ignore_empty_lines=False, invalid_row_handler=uneven),
+                    pacsv.ConvertOptions(column_types={n: pa.string() for n in names}, strings_can_be_null=False))
+                for part in reader:
+                    if part.num_rows:
+                        yield batch(dict(zip(names, part.columns)), part.num_rows)
+                    if odd:
+                        yield given_back()
+            except pa.ArrowInvalid as e:
+                raise ValueError(wrong[0] if wrong else f"{partition.path}:{partition.member}: {e}") from e
+            if odd:
+                yield given_back()
+
+
+def zip_paths_option(options: dict) -> list[str]:
+    """Option ``paths`` (a JSON list) or ``path`` (one file or a folder), folders listed."""
+    given = json.loads(options["paths"]) if options.get("paths") else [options["path"]]
+    return [z for p in given for z in _zip_paths(p)]
 
 
 class ZipDelimitedSource(DataSource):
-    """``spark.read.format("zipped_delimited")``: options ``path`` (comma-separated zip
-    files on a filesystem every executor can see), ``member`` (default: every member),
-    ``sep`` ('|'), ``header`` ('true'), ``mode`` ('FAILFAST' or 'PERMISSIVE').
-    Without a user schema the columns are the first member's header names, all text."""
+    """``spark.read.format("zipped_delimited")``: options ``path`` (a zip or a folder of zips) or ``paths`` (a JSON
+    list of them), ``member`` (default: every member), ``sep`` ('|'), ``layout`` ('position': the given schema's
+    columns in order; 'name': by each member's header).  Without a schema the columns are all members' header names."""
 
     @classmethod
     def name(cls) -> str:
         return "zipped_delimited"
 
     def schema(self):
-        path = self.options["path"].split(",")[0]
-        member = _members(path, self.options.get("member") or None)[0]
-        zf, text = _open_member(path, member)
-        try:
-            head = next(csv.reader(text, delimiter=self.options.get("sep", "|")))
-        finally:
-            text.close()
-            zf.close()
-        return T.StructType([T.StructField(n, T.StringType(), True) for n in dedupe_header(head)])
+        member, sep = self.options.get("member") or None, self.options.get("sep", "|")
+        names = dict.fromkeys(n for p in zip_paths_option(self.options) for m in _members(p, member) for n in _header(p, m, sep))
+        return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
         return ZipDelimitedReader(schema, self.options)
@@ -143,82 +189,101 @@ def register_sources(spark: SparkSession) -> None:
 
 
 def read_zip(spark: SparkSession, path: str | Sequence[str], member: str | None = None,
-             schema: T.StructType | None = None, sep: str = "|", mode: str = "FAILFAST") -> DataFrame:
-    """Rows of zipped delimited text (header skipped), all columns text."""
+             schema: T.StructType | None = None, sep: str = "|", required: Sequence[str] | None = None) -> DataFrame:
+    """Rows of zipped delimited text, all columns text: by position with a schema, else by each
+    member's own header; then ``required`` names the columns that no row may end before (default: all)."""
     register_sources(spark)
-    paths = path if isinstance(path, str) else ",".join(path)
-    r = spark.read.format("zipped_delimited").option("path", paths).option("sep", sep).option("mode", mode)
+    paths = [path] if isinstance(path, str) else list(path)
+    r = (spark.read.format("zipped_delimited").option("paths", json.dumps(paths)).option("sep", sep)
+         .option("layout", "name" if schema is None else "position"))
     if member:
         r = r.option("member", member)
+    if required is not None:
+        r = r.option("required", json.dumps(list(required)))
     if schema is not None:
         r = r.schema(schema)
     return r.load()
 
 
-def extract_members(spark: SparkSession, zips: Sequence[tuple[str, str | None]], out_dir: str) -> list[str]:
-    """S1 for large members: one task per zip member streams its decompressed bytes
-    (zlib, no parsing) to ``out_dir``; the text is then read by the splittable CSV
+def extracted_name(path: str, member: str) -> str:
+    """File name of an extracted member: its own name after a digest of the zip's whole path and the member's."""
+    digest = hashlib.sha256(f"{path}\0{member}".encode()).hexdigest()[:20]
+    return f"{digest}-{os.path.basename(member)}"
+
+
+def extract_members(spark: SparkSession, zips: Sequence[tuple[str, str | None]], out_dir: str) -> dict[tuple[str, str], str]:
+    """S1 for large members: one task per zip member, all zips in one job, streams its decompressed
+    bytes (zlib, no parsing) to ``out_dir``; the text is then read by the splittable CSV
     reader, so parsing is spread over the cluster however large one member is.
 
-    ``zips`` is (zip path, member or None for every member); ``out_dir`` must be a
-    folder every executor mounts.  Each file is written under a temporary name and
-    renamed, so a retried task leaves one whole copy.  Returns the text paths
-    (one per member).
+    ``zips`` is (zip path, member or None for every member).  Each file is written under a temporary
+    name and renamed, so a retried task leaves one whole copy.  Returns the text path of each
+    (zip path, member).
     """
     pairs = [(p, m) for p, member in zips for m in _members(p, member)]
     if not pairs:
-        return []
-    target_dir = out_dir[len("file:"):] if out_dir.startswith("file:") else out_dir
-    os.makedirs(target_dir, exist_ok=True)
+        return {}
+    base = out_dir.rstrip("/")
+    targets = {(p, m): f"{base}/{extracted_name(p, m)}" for p, m in pairs}
 
     def extract(batches):
         import shutil
+        import uuid
 
         import pandas as pd
         for pdf in batches:
-            done = []
-            for path, member in zip(pdf["path"], pdf["member"]):
-                target = os.path.join(target_dir, f"{os.path.basename(path)}__{member.replace('/', '_')}")
-                with zipfile.ZipFile(_local(path)) as zf, zf.open(member) as src, \
-                        open(target + ".part", "wb") as dst:
+            for path, member, target in zip(pdf["path"], pdf["member"], pdf["target"]):
+                where, name = filesystem(target)
+                where.create_dir(os.path.dirname(name), recursive=True)
+                part = f"{name}.{uuid.uuid4().hex[:8]}.part"  # of this attempt alone
+                with _zip(path) as zf, zf.open(member) as src, where.open_output_stream(part) as dst:
                     shutil.copyfileobj(src, dst, 16 << 20)
-                os.replace(target + ".part", target)
-                done.append(target)
-            yield pd.DataFrame({"text_path": done})
+                where.move(part, name)
+            yield pd.DataFrame({"done": [len(pdf)]})
 
     ship_package(spark)
-    members = spark.createDataFrame(pairs, "path string, member string").repartition(len(pairs))
-    return sorted(r["text_path"] for r in members.mapInPandas(extract, "text_path string").collect())
+    rows = spark.createDataFrame([(p, m, t) for (p, m), t in targets.items()], "path string, member string, target string")
+    done = rows.repartition(len(pairs), "target").mapInPandas(extract, "done long").agg(F.sum("done")).first()[0]
+    if done != len(pairs):
+        raise RuntimeError(f"{done} of {len(pairs)} members extracted")
+    return targets
 
 
 # ---------------------------------------------------------------------------
 # Plain text, both layouts
 # ---------------------------------------------------------------------------
-def _csv(spark: SparkSession, sep: str, mode: str):
+def _csv(spark: SparkSession, sep: str):
+    # Without pruning every row's width is checked, whatever columns a query asks for.
     return (spark.read.option("sep", sep).option("header", True).option("quote", '"').option("escape", '"')
-            .option("mode", mode))
+            .option("enforceSchema", True).option("columnPruning", False))
+
 
+def read_mlar_text(spark: SparkSession, path: str | Sequence[str], sep: str = "|") -> DataFrame:
+    """Modified-register text, 85 columns by position (the header is not compared); a row of another
+    width is an error."""
+    return _csv(spark, sep).option("mode", "FAILFAST").schema(MLAR_SCHEMA).csv(path).na.fill("")
 
-def read_mlar_text(spark: SparkSession, path: str | Sequence[str], sep: str = "|",
-                   mode: str = "FAILFAST") -> DataFrame:
-    """Modified-register text, 85 columns by position (the header is not compared)."""
-    df = _csv(spark, sep, mode).option("enforceSchema", True).schema(MLAR_SCHEMA).csv(path)
-    return df.na.fill("")
 
+def lar_header(spark: SparkSession, path: str, sep: str = "|") -> list[str]:
+    """A public-register text's column names (one line to the driver); of equal names the last column keeps it."""
+    return dedupe_header(next(csv.reader([spark.read.text(path).first()[0]], delimiter=sep, quotechar='"')))
 
-def read_lar_text(spark: SparkSession, path: str | Sequence[str], sep: str = "|",
-                  mode: str = "FAILFAST") -> DataFrame:
-    """Public-register text with its own header names, all text.
 
-    The header line is read once (one line to the driver) and de-duplicated the
-    way the register loader maps columns (a repeated name: the last column keeps
-    it); the rows are then read by position with that schema.
+def read_lar_text(spark: SparkSession, path: str, sep: str = "|") -> DataFrame:
+    """Public-register text with its own header names, all text, read by position with that schema.
+
+    Fields beyond the header are ignored; a row that ends before the last column of the 85 is an error.
     """
-    first = path if isinstance(path, str) else path[0]
-    head = spark.read.text(first).first()[0]
-    names = dedupe_header(next(csv.reader([head], delimiter=sep, quotechar='"')))
-    schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
-    return _csv(spark, sep, mode).option("enforceSchema", True).schema(schema).csv(path).na.fill("")
+    names = lar_header(spark, path, sep)
+    wanted = renamed_columns(names)
+    need = max((names.index(wanted[c]) for c in MLAR_COLUMNS if c in wanted), default=-1) + 1
+    schema = T.StructType([T.StructField(n, T.StringType(), True) for n in [*names, "_uneven"]])
+    df = (_csv(spark, sep).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_uneven").schema(schema).csv(path))
+    unquoted = F.regexp_replace("_uneven", r'"(?:[^"]|"")*"', "")
+    fields = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(sep))) + 1
+    short = F.when(F.col("_uneven").isNotNull() & (fields < need), F.raise_error(
+        F.concat(F.lit(path + ": "), fields.cast("string"), F.lit(f" fields, expected {need}: "), F.col("_uneven"))))
+    return df.na.fill("", subset=names).filter(F.coalesce(short.cast("boolean"), F.lit(True))).drop("_uneven")
 
 
 # ---------------------------------------------------------------------------
@@ -258,56 +323,80 @@ class RegisterFile:
     member: str | None = None    # zip member; None for plain text or every member
 
 
-def read_register(spark: SparkSession, f: RegisterFile, mode: str = "FAILFAST",
-                  extract_dir: str | None = None) -> DataFrame:
-    """One file in its layout, harmonised to the 85 columns, tagged with ``source_file``.
+def _texts(spark: SparkSession, f: RegisterFile, paths: Sequence[str]) -> DataFrame:
+    if f.layout == "mlar":
+        return read_mlar_text(spark, list(paths))
+    # Each text has its own header.
+    return reduce(DataFrame.unionByName, [harmonise(read_lar_text(spark, p)) for p in paths])
+
+
+def read_register(spark: SparkSession, f: RegisterFile, extracted: Sequence[str] | None = None) -> DataFrame:
+    """One file in its layout, harmonised to the 85 columns, tagged with ``source_file`` (its path).
 
-    With ``extract_dir``, a zip is first extracted there (``extract_members``) and
-    read as splittable text; without it, the zip data source parses it directly.
+    ``extracted``: the texts of a zip's members (``extract_members``), read as splittable text;
+    without them the zip data source parses the zip directly.
     """
-    zipped = f.path.lower().endswith(".zip")
-    if zipped and extract_dir:
-        texts = extract_members(spark, [(f.path, f.member)], extract_dir)
-        paths = texts if len(texts) > 1 else texts[0]
-        df = read_mlar_text(spark, paths, mode=mode) if f.layout == "mlar" else harmonise(
-            read_lar_text(spark, paths, mode=mode))
-        return df.withColumn("source_file", F.lit(os.path.basename(f.path)))
-    if f.layout == "mlar":
-        df = read_zip(spark, f.path, f.member, MLAR_SCHEMA, mode=mode) if zipped else read_mlar_text(spark, f.path, mode=mode)
-    elif f.layout == "lar":
-        df = harmonise(read_zip(spark, f.path, f.member, mode=mode) if zipped else read_lar_text(spark, f.path, mode=mode))
-    else:
+    if f.layout not in ("lar", "mlar"):
         raise ValueError(f"layout must be 'lar' or 'mlar', not {f.layout!r}")
-    return df.withColumn("source_file", F.lit(os.path.basename(f.path)))
+    if not f.path.lower().endswith(".zip"):
+        df = _texts(spark, f, [f.path])
+    elif extracted:
+        df = _texts(spark, f, extracted)
+    elif f.layout == "mlar":
+        df = read_zip(spark, f.path, f.member, MLAR_SCHEMA)
+    else:
+        df = harmonise(read_zip(spark, f.path, f.member, required=[*MLAR_COLUMNS, *LAR_TO_MLAR_RENAMES]))
+    return df.withColumn("source_file", F.lit(f.path))
+
+
+def absent_columns(spark: SparkSession, files: Sequence[RegisterFile]) -> dict[str, list[str]]:
+    """For each public-register file the names of the 85 columns that its header (any member's) lacks."""
+    out = {}
+    for f in files:
+        if f.layout == "lar":
+            if f.path.lower().endswith(".zip"):
+                names = [n for m in _members(f.path, f.member) for n in _header(f.path, m, "|")]
+            else:
+                names = lar_header(spark, f.path)
+            out[f.path] = missing_columns(names)
+    return out
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a file exists: local paths directly, other stores through Spark's own
-    file listing (a lazy ``binaryFile`` read fails on a missing path, reads no bytes)."""
+    """Whether a file exists: local paths directly, other stores through Spark's own file listing
+    (a lazy ``binaryFile`` read fails on a missing path, reads no bytes).  Only "not found" is
+    absence: a store that cannot be reached or read is an error."""
     if "://" not in path or path.startswith("file:"):
-        return os.path.exists(path[len("file:"):] if path.startswith("file:") else path)
+        return os.path.exists(filesystem(path)[1])
     try:
         spark.read.format("binaryFile").load(path)
         return True
-    except Exception:
-        return False
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+
+
+def present_files(spark: SparkSession, files: Sequence[RegisterFile], exists=None) -> tuple[list[RegisterFile], list[str]]:
+    """(files that exist, paths of those that do not); ``exists`` checks a path (default: ``path_exists``)."""
+    flags = [(exists or (lambda p: path_exists(spark, p)))(f.path) for f in files]
+    return [f for f, ok in zip(files, flags) if ok], [f.path for f, ok in zip(files, flags) if not ok]
 
 
 def load_registers(spark: SparkSession, files: Sequence[RegisterFile],
                    exists=None, extract_dir: str | None = None) -> tuple[DataFrame | None, list[str]]:
-    """S4 + U1: union of every present file (one reader per file and layout); returns
-    (rows, missing paths).  ``exists`` checks a path (default: ``path_exists``)."""
-    check = exists or (lambda p: path_exists(spark, p))
-    flags = [check(f.path) for f in files]
-    present = [f for f, ok in zip(files, flags) if ok]
-    missing = [f.path for f, ok in zip(files, flags) if not ok]
-    frames = [read_register(spark, f, extract_dir=extract_dir) for f in present]
-    if not frames:
+    """S4 + U1: union of every present file (one reader per file and layout); returns (rows, missing paths).
+
+    With ``extract_dir`` all members of all zips are first extracted there, in one job.
+    """
+    present, missing = present_files(spark, files, exists)
+    if not present:
         return None, missing
-    out = frames[0]
-    for fr in frames[1:]:
-        out = out.unionByName(fr)
-    return out, missing
+    texts: dict[tuple[str, str], str] = {}
+    if extract_dir:
+        texts = extract_members(spark, [(f.path, f.member) for f in present if f.path.lower().endswith(".zip")], extract_dir)
+    own = lambda f: [t for (p, m), t in texts.items() if p == f.path and f.member in (None, m)]
+    return reduce(DataFrame.unionByName, [read_register(spark, f, own(f)) for f in present]), missing
 
 
 def ingest_audit(rows: DataFrame) -> DataFrame:

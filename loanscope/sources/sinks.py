@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loanscope.schema import STATE_NAMES
 
@@ -13,13 +16,21 @@ from loanscope.schema import STATE_NAMES
 def write_fact(df: DataFrame, path: str, max_records_per_file: int = 5_000_000) -> None:
     """Full refresh of the fact table, Parquet partitioned by activity_year.
 
-    Register files are one year each, so a write task holds one year and no
-    shuffle is needed before the partitioned write.
+    A REBALANCE hint gathers a year's rows in few write tasks, so the write makes few files however the
+    input mixes the years; adaptive execution splits a year that is larger than a task should hold.
     """
-    (df.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
+    (df.hint("rebalance", F.col("activity_year")).write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
      .partitionBy("activity_year").parquet(path))
 
 
+def read_fact(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The fact table with its own column types (the year stays text, whatever partition values look like).
+
+    A partitioned write stores an empty year as the null partition; it is read back as ''.
+    """
+    return spark.read.schema(schema).parquet(path).withColumn("activity_year", F.coalesce("activity_year", F.lit("")))
+
+
 def write_payload(tables: Mapping[str, DataFrame], out_dir: str, fmt: str = "parquet") -> dict[str, str]:
     """One table per payload member (``parquet`` by default, or JSON lines)."""
     written = {}
@@ -31,60 +42,125 @@ def write_payload(tables: Mapping[str, DataFrame], out_dir: str, fmt: str = "par
     return written
 
 
-def nested_json(df: DataFrame, name: str) -> DataFrame:
-    """S12 nested form: the whole (small) table as one JSON array text, ``{name: [...]}``.
+def plain_number(x: Column) -> Column:
+    """A number as JavaScript prints it: no exponent, no fraction if whole; NULL is ''."""
+    text = F.regexp_replace(x.cast("string").cast("decimal(38,18)").cast("string"), r"\.?0+$", "")
+    return F.coalesce(F.when(x == 0, "0").otherwise(text), F.lit(""))
+
+
+def csv_field(df: DataFrame, name: str) -> Column:
+    """A column as CSV text: plain numbers, NULL empty, quoted if it holds a quote, comma or newline."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.NumericType):
+        return plain_number(F.col(f"`{name}`"))
+    text = F.coalesce(F.col(f"`{name}`").cast("string"), F.lit(""))
+    return F.when(text.rlike('[",\n]'), F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(text)
+
+
+def csv_lines(df: DataFrame, order: Sequence[str], headers: Mapping[str, str] | None = None, drop: Sequence[str] = ()) -> DataFrame:
+    """(value): the header line and a line per row by ``order``; for bounded tables (views, charts)."""
+    names = [c for c in df.columns if c not in drop]
+    head = ",".join('"' + h.replace('"', '""') + '"' if any(x in h for x in '",\n') else h for h in
+                    ((headers or {}).get(c, c) for c in names))
+    body = df.select(F.lit(1).alias("_part"), *[F.col(f"`{c}`").alias(f"_o{i}") for i, c in enumerate(order)],
+                     F.concat_ws(",", *[csv_field(df, c) for c in names]).alias("value"))
+    first = df.sparkSession.range(1).select(F.lit(0).alias("_part"), *[F.lit(None).cast(df.schema[c].dataType).alias(f"_o{i}")
+                                                                      for i, c in enumerate(order)], F.lit(head).alias("value"))
+    keys = ["_part", *[f"_o{i}" for i in range(len(order))]]
+    return first.unionByName(body).coalesce(1).sortWithinPartitions(*keys).select("value")
 
-    Only for bounded tables (reports, views); cubes stay row per line.
-    """
-    return df.agg(F.to_json(F.struct(F.collect_list(F.struct(*df.columns)).alias(name))).alias("json"))
 
+def write_csv_lines(lines: DataFrame, path: str) -> None:
+    """One CSV file."""
+    lines.coalesce(1).write.mode("overwrite").text(path)
 
-def compare_csv_frame(table: DataFrame, states: Sequence[str]) -> DataFrame:
-    """S15 layout: ``Year`` then one ``"XX - Name"`` column per state; NULL is empty."""
-    cols = [F.col("y").alias("Year")]
-    for s in states:
-        if s in table.columns:
-            cols.append(F.col(s).cast("string").alias(f"{s} - {STATE_NAMES.get(s, s)}"))
-    return table.select(*cols).orderBy("Year")
+
+def compare_csv_lines(table: DataFrame, states: Sequence[str]) -> DataFrame:
+    """``Year`` and one ``XX - Name`` column per state of the comparison table, in selection order."""
+    shown = [s for s in dict.fromkeys(states) if s in table.columns]
+    headers = {"y": "Year"} | {s: f"{s} - {STATE_NAMES.get(s, s)}" for s in shown}
+    return csv_lines(table.select("y", *shown), ["y"], headers)
 
 
 def write_compare_csv(table: DataFrame, states: Sequence[str], path: str) -> None:
     """The comparison table as one CSV file (bounded: years x selected states)."""
-    (compare_csv_frame(table, states).coalesce(1).write.mode("overwrite")
-     .option("header", True).option("nullValue", "").option("emptyValue", "")
-     .option("quoteAll", False).csv(path))
+    write_csv_lines(compare_csv_lines(table, states), path)
+
+
+def chart_csv_lines(long: DataFrame) -> DataFrame:
+    """S16 for a chart with several series (R4's long form: code, label, y, c, pos): ``Category``, then one column per
+    series in order; one row per year."""
+    # The series of a chart: as many as its codes.
+    series = [(r["label"], r["pos"]) for r in long.select("label", "pos").distinct().orderBy("pos").collect()]
+    wide = long.groupBy("y").agg(*[F.max(F.when(F.col("pos") == p, F.col("c"))).alias(f"s{p}") for _, p in series])
+    return csv_lines(wide, ["y"], {"y": "Category"} | {f"s{p}": label for label, p in series})
+
+
+def single_chart_csv_lines(df: DataFrame, label: str, value: str, title: str, order: Sequence[str]) -> DataFrame:
+    """S16 for a chart with one unlabelled series: ``Category`` and the title's column."""
+    keep = df.select(label, value, *[c for c in order if c not in (label, value)])
+    return csv_lines(keep, order, {label: "Category", value: title}, [c for c in order if c not in (label, value)])
+
+
+def write_series_csv(df: DataFrame, path: str, order: Sequence[str] = (), category: str = "Category") -> None:
+    """Any bounded view as one CSV file, its first column named ``category``."""
+    write_csv_lines(csv_lines(df, list(order), {df.columns[0]: category}), path)
+
 
+def static_member(spark: SparkSession, groups: Mapping[str, Sequence | Mapping[str, str]]) -> DataFrame:
+    """A payload's labels or orders as rows (dim, pos, code, label); in an order the label is the code."""
+    rows = [(dim, i, code, label) for dim, values in groups.items()
+            for i, (code, label) in enumerate(values.items() if isinstance(values, Mapping) else ((v, v) for v in values))]
+    return spark.createDataFrame(rows, "dim string, pos int, code string, label string")
 
-def write_series_csv(df: DataFrame, path: str, category: str = "Category") -> None:
-    """Any view as CSV with a category column; quoted when needed, NULL is empty."""
-    first = df.columns[0]
-    out = df.withColumnRenamed(first, category) if first != category else df
-    (out.coalesce(1).write.mode("overwrite").option("header", True).option("quote", '"')
-     .option("escape", '"').option("nullValue", "").csv(path))
 
+def document_lines(members: Mapping[str, tuple[DataFrame | Mapping, Sequence[str]]], indent: bool = False,
+                   bounded: bool = False) -> DataFrame:
+    """The lines (part, seq, value) of one JSON document, an object with a field for each member.
 
-def payload_document(members: Mapping[str, tuple[DataFrame, Sequence]], singles: Sequence[str] = ()) -> DataFrame:
-    """S12 document form: one row per member, ``(member, json)``, where ``json`` is the
-    member's rows as an ordered JSON array (or one object for a one-row member in
-    ``singles``).  ``members`` maps a name to (table, order columns).  Only for bounded
-    tables (reports and views); cubes are written row per line by ``write_payload``.
+    A member is (table, key columns) - an array of its rows by key, one row to a line -, (one-row table, ()) - an
+    object -, or (constant, ()) - plain JSON.  Lines are in order of partitions: rows are range-sorted by key and nothing
+    is gathered; the row that needs no comma before it is the one with the smallest key.  ``bounded`` tables (reports,
+    views) are numbered instead (``seq``), so that the lines can be sorted into one file.
     """
-    from pyspark.sql import Window
-    out = None
-    for name, (df, order) in members.items():
-        fields = df.columns
-        if name in singles:
-            part = df.limit(1).select(F.lit(name).alias("member"), F.to_json(F.struct(*fields)).alias("json"))
+    spark = next(t.sparkSession for t, _ in members.values() if isinstance(t, DataFrame))
+    json_options = {"pretty": str(indent).lower(), "ignoreNullFields": "false"}
+
+    def line(part: int, text: str) -> DataFrame:
+        return spark.range(1).select(F.lit(part).alias("part"), F.lit(0).alias("seq"), F.lit(text).alias("value"))
+
+    out, part = [], 0
+    for i, (name, (table, keys)) in enumerate(members.items()):
+        opening = ("{" if i == 0 else ",") + json.dumps(name) + ":"
+        if not isinstance(table, DataFrame):
+            out.append(line(part, opening + json.dumps(table, indent=2 if indent else None)))
+            part += 1
+            continue
+        row = F.to_json(F.struct(*table.columns), json_options)
+        if not keys:
+            out.append(table.select(F.lit(part).alias("part"), F.lit(0).alias("seq"), F.concat(F.lit(opening), row).alias("value")))
+            part += 1
+            continue
+        if bounded:
+            seq = F.row_number().over(Window.orderBy(*keys))
+            lead = F.when(seq == 1, "").otherwise(",")
+            rows = table.select(F.lit(part + 1).alias("part"), seq.alias("seq"), F.concat(lead, row).alias("value"))
         else:
-            ranked = df.withColumn("_pos", F.row_number().over(Window.orderBy(*order)))
-            part = ranked.agg(F.sort_array(F.collect_list(F.struct("_pos", *fields))).alias("_rows")).select(
-                F.lit(name).alias("member"),
-                F.to_json(F.transform("_rows", lambda r: F.struct(*[r[c].alias(c) for c in fields]))).alias("json"))
-        out = part if out is None else out.unionByName(part)
-    return out
-
-
-def write_payload_document(doc: DataFrame, path: str) -> None:
-    """Write a payload document as JSON text, one ``{"member": ...}`` line per member."""
-    (doc.select(F.concat(F.lit('{"'), F.col("member"), F.lit('":'), F.col("json"), F.lit("}")).alias("value"))
-     .coalesce(1).write.mode("overwrite").text(path))
+            first = table.select(*keys).orderBy(*keys).first()
+            is_first = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.lit(first[k])) for k in keys]) if first else F.lit(True)
+            rows = table.orderBy(*keys).select(F.lit(part + 1).alias("part"), F.lit(0).alias("seq"),
+                                               F.concat(F.when(is_first, "").otherwise(","), row).alias("value"))
+        out += [line(part, opening + "["), rows, line(part + 2, "]")]
+        part += 3
+    out.append(line(part, "}"))
+    return reduce(DataFrame.unionByName, out)
+
+
+def write_document(members: Mapping[str, tuple[DataFrame | Mapping, Sequence[str]]], path: str, indent: bool = False,
+                   bounded: bool = False) -> None:
+    """One JSON document: the part files of ``path`` one after the other, in the order of their names;
+    ``bounded`` members make one file."""
+    lines = document_lines(members, indent, bounded)
+    if bounded:
+        lines = lines.coalesce(1).sortWithinPartitions("part", "seq")
+    lines.select("value").write.mode("overwrite").text(path)

@@ -130,3 +130,106 @@ def test_path_exists(spark, scratch):
     assert registers.path_exists(spark, p) and registers.path_exists(spark, "file:" + p)
     assert not registers.path_exists(spark, os.path.join(scratch, "nope.txt"))
     assert not registers.path_exists(spark, "file:" + os.path.join(scratch, "nope.txt"))
+
+
+def _text(path, header, rows):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", newline="") as fh:
+        w = csv.writer(fh, delimiter="|", lineterminator="\n")
+        w.writerow(header)
+        w.writerows(rows)
+
+
+@pytest.mark.parametrize("extract", [False, True])
+def test_equal_names_in_different_folders(spark, scratch, extract):
+    """Two zips of one name, and members that differ by a slash alone, stay apart."""
+    for folder, year in (("a", "2018"), ("b", "2019")):
+        os.makedirs(os.path.join(scratch, folder))
+        with zipfile.ZipFile(os.path.join(scratch, folder, "lar.zip"), "w") as zf:
+            zf.writestr("x/y.txt", f"activity_year|lei\n{year}|L1\n{year}|L2\n")
+            zf.writestr("x_y.txt", f"activity_year|lei\n{year}|L3\n")
+    files = [registers.RegisterFile(os.path.join(scratch, f, "lar.zip"), "lar") for f in "ab"]
+    rows, missing = registers.load_registers(spark, files, extract_dir=os.path.join(scratch, "texts") if extract else None)
+    got = sorted((r["activity_year"], r["lei"], r["source_file"]) for r in rows.collect())
+    assert got == [(y, lei, f.path) for f, y in zip(files, ("2018", "2019")) for lei in ("L1", "L2", "L3")] and not missing
+
+
+@pytest.mark.parametrize("extract", [False, True])
+def test_every_member_has_its_own_header(spark, scratch, extract):
+    path = os.path.join(scratch, "lar.zip")
+    with zipfile.ZipFile(path, "w") as zf:
+        zf.writestr("1.txt", "activity_year|lei\n2019|L1\n")
+        zf.writestr("2.txt", "lei|state_code|activity_year\nL2|CA|2020\n")
+    rows, _ = registers.load_registers(spark, [registers.RegisterFile(path, "lar")], extract_dir=os.path.join(scratch, "t") if extract else None)
+    assert sorted((r["activity_year"], r["lei"], r["state_code"]) for r in rows.collect()) == [("2019", "L1", ""), ("2020", "L2", "CA")]
+
+
+@pytest.mark.parametrize("kind", ["zip", "extracted", "text"])
+def test_public_rows_of_uneven_width(spark, scratch, kind):
+    """Fields beyond the header are ignored; a row without a wanted column is an error."""
+    def load(body, name):
+        text = "junk|activity_year|lei|extra\n" + body
+        path = os.path.join(scratch, name + (".txt" if kind == "text" else ".zip"))
+        if kind == "text":
+            open(path, "w").write(text)
+        else:
+            with zipfile.ZipFile(path, "w") as zf:
+                zf.writestr("m.txt", text)
+        rows, _ = registers.load_registers(spark, [registers.RegisterFile(path, "lar")],
+                                           extract_dir=os.path.join(scratch, "t" + name) if kind == "extracted" else None)
+        return sorted((r["activity_year"], r["lei"]) for r in rows.collect())
+
+    assert load('j|2018|L1|x\nj|2018|"L|2"|x|y|"z|z"\nj|2018|L3\n', "long") == [("2018", "L1"), ("2018", "L3"), ("2018", "L|2")]
+    with pytest.raises(Exception, match="2 fields, expected 3"):
+        load("j|2018|L1|x\nj|2018\n", "short")
+
+
+@pytest.mark.parametrize("width", [84, 86])
+def test_modified_rows_must_have_85_fields(spark, scratch, width):
+    rows = [["x"] * 85, ["x"] * width]
+    path = os.path.join(scratch, "m.zip")
+    _write_zip(path, "m.txt", MLAR_COLUMNS, rows)
+    text = os.path.join(scratch, "m.txt")
+    _text(text, MLAR_COLUMNS, rows)
+    for f, to in ((path, None), (path, os.path.join(scratch, "t")), (text, None)):
+        with pytest.raises(Exception):
+            registers.load_registers(spark, [registers.RegisterFile(f, "mlar")], extract_dir=to)[0].collect()
+
+
+def test_quoting_and_paths_with_commas(spark, scratch):
+    path = os.path.join(scratch, "a,b", "2019,x.zip")
+    os.makedirs(os.path.dirname(path))
+    values = ["", "a|b", 'say "hi"', "two\nlines", " padded ", "é"]
+    _write_zip(path, "m.txt", ["activity_year", "lei"], [["2019", v] for v in values])
+    rows = registers.read_zip(spark, path)
+    assert sorted(r["lei"] for r in rows.collect()) == sorted(values)
+    folder = registers.read_zip(spark, os.path.dirname(path))
+    assert folder.count() == len(values)
+
+
+def test_unreachable_store_is_not_absence(spark):
+    with pytest.raises(Exception):
+        registers.path_exists(spark, "nostore://host/x.zip")
+    with pytest.raises(Exception):
+        registers.read_zip(spark, "nostore://host/x.zip").count()
+
+
+def test_ingest_reports_absent_columns_and_keeps_the_year_text(spark, scratch):
+    path = os.path.join(scratch, "2018.txt")
+    _text(path, ["activity_year", "lei", "action_taken"], [["2018", "L1", "1"], ["", "L2", "3"]])
+    out = jobs.ingest(spark, [registers.RegisterFile(path, "lar")], os.path.join(scratch, "fact"))
+    assert set(out["missing_columns"]) == {path} and len(out["missing_columns"][path]) == 82
+    assert "state_code" in out["missing_columns"][path] and "lei" not in out["missing_columns"][path]
+    assert [tuple(r) for r in out["year_summary"].collect()] == [("", 1, 0), ("2018", 1, 1)]
+    assert out["year_summary"].schema["activity_year"].dataType.simpleString() == "string"
+    assert [tuple(r) for r in out["rows_per_file"].collect()] == [(path, 2)]
+
+
+def test_missing_and_broken_filer_lists_are_skipped_and_told(spark, scratch):
+    from loanscope.sources import reference
+    paths = {y: os.path.join(scratch, f"{y}.json") for y in (2020, 2021, 2022)}
+    open(paths[2020], "w").write('{"institutions": [{"lei": "L1", "name": "One"}]}')
+    open(paths[2022], "w").write('{"institutions": [{"lei": ')
+    assert [tuple(r)[:3] for r in reference.read_filer_files(spark, paths).collect()] == [(2020, "L1", "One")]
+    assert reference.skipped_years(spark, paths) == [2021, 2022]
+    assert reference.read_filer_files(spark, {2021: paths[2021]}).count() == 0
