@@ -17,7 +17,7 @@ from loanscope.schema import MISSING_NUMBER_CODES, UNKNOWN_CODES
 __all__ = [
     "NUMERIC_PREFIX", "lenient_double", "is_valid_number", "is_known_code",
     "rate_bucket_strict", "rate_bucket_lenient", "dti_bucket", "cltv_bucket",
-    "spread_bucket", "non_am_class", "fips_state_prefix", "fips_key",
+    "spread_bucket", "non_am_class", "fips_state_prefix",
     "sql_round", "cell_round_amount", "cell_round_rate", "safe_ratio", "safe_pct",
     "share_or_zero", "literal_map", "label_of", "ordinal_of", "order_map",
     "scale_billions", "scale_volume",
@@ -122,11 +122,6 @@ def fips_state_prefix(x) -> Column:
     return F.substring(_c(x), 1, 2)
 
 
-def fips_key(state_fp, county_fp) -> Column:
-    """Five-digit county key from the state and county parts."""
-    return F.concat(_c(state_fp), _c(county_fp))
-
-
 def sql_round(x, digits: int = 0) -> Column:
     """ROUND half away from zero."""
     return F.round(_c(x), digits)

@@ -212,8 +212,8 @@ def state_cube(geo_base: DataFrame) -> DataFrame:
 
 def county_cube(geo_base: DataFrame, state_prefix: DataFrame, top_n: int = 200) -> DataFrame:
     """A5: (y, fips, a, t, p) with M4 for the top-N counties by all records, plus state from the prefix."""
-    cube = rollup(geo_base, ["y", "fips", "a", "t", "p"])
-    return with_state_from_fips(keep_top_n(cube, "fips", top_n), state_prefix)
+    top = keep_top_n(geo_base, "fips", top_n)  # measures are additive: the list comes from the base
+    return with_state_from_fips(rollup(top, ["y", "fips", "a", "t", "p"]), state_prefix)
 
 
 def lender_cube(lender_base: DataFrame) -> DataFrame:
@@ -233,5 +233,5 @@ def investor_state_cube(inv_base: DataFrame) -> DataFrame:
 
 def investor_county_cube(inv_base: DataFrame, state_prefix: DataFrame, top_n: int = 200) -> DataFrame:
     """Top-N counties by originations, (y, fips, occ, bp, p) with count and sum, plus state."""
-    cube = rollup(inv_base, ["y", "fips", "occ", "bp", "p"], None, CS)
-    return with_state_from_fips(keep_top_n(cube, "fips", top_n), state_prefix)
+    top = keep_top_n(inv_base, "fips", top_n)
+    return with_state_from_fips(rollup(top, ["y", "fips", "occ", "bp", "p"], None, CS), state_prefix)

@@ -116,4 +116,6 @@ def min_sample(df: DataFrame, column: str, n: int) -> DataFrame:
 def keep_states(df: DataFrame, states: Sequence[str], column: str = "state", pos: str = "pos") -> DataFrame:
     """Keep the selected states and number them in selection order (unknown ones drop out)."""
     order = {s: i for i, s in enumerate(dict.fromkeys(states))}
+    if not order:  # nothing selected
+        return df.where(F.lit(False)).withColumn(pos, F.lit(None).cast("int"))
     return df.where(F.col(column).isin(list(order))).withColumn(pos, literal_map(order)[F.col(column)])

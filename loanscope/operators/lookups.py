@@ -1,9 +1,9 @@
 """Dimension lookups (J1-J8) and size-checked broadcasting.
 
-A side is broadcast only when its size is bounded: either by construction
-(a top-N list, a table keyed by a two- or five-digit code) or by a row count
-taken on a landed table.  Beyond the bound the join is left to the planner
-(shuffle join; AQE may still convert it at run time from real statistics).
+A side gets a broadcast hint only when its size is bounded by construction (a top-N
+list).  Reference tables are landed and carry no hint: nothing keeps their
+files to the size they should have, so the planner decides from the landed
+files' statistics (``spark.sql.autoBroadcastJoinThreshold``; AQE re-checks at run time).
 """
 
 from __future__ import annotations
@@ -20,23 +20,17 @@ def broadcast_bounded(df: DataFrame, bound: int, limit: int = BROADCAST_ROW_LIMI
     return F.broadcast(df) if bound <= limit else df
 
 
-def broadcast_checked(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast after counting rows (cheap on landed Parquet: footer metadata)."""
-    return F.broadcast(df) if df.count() <= limit else df
-
-
 def state_by_fips_prefix(county_dim: DataFrame) -> DataFrame:
     """(prefix, state): the two-digit state code of a county key to its postal code.
 
     When a prefix appears more than once, the last row of the reference file wins.
-    Bounded by the two-digit key domain (at most 100 rows).
     """
     return (county_dim.groupBy(F.col("STATEFP").alias("prefix"))
             .agg(F.max_by("STATE", "pos").alias("state")))
 
 
 def county_names(county_dim: DataFrame) -> DataFrame:
-    """(fips, county_name): five-digit key to name; the last row wins.  At most 100,000 rows."""
+    """(fips, county_name): five-digit key to name; the last row wins."""
     return (county_dim.groupBy(F.concat("STATEFP", "COUNTYFP").alias("fips"))
             .agg(F.max_by("COUNTYNAME", "pos").alias("county_name")))
 
@@ -47,7 +41,7 @@ def with_state_from_fips(df: DataFrame, state_prefix: DataFrame, fips_col: str =
 
     ``state_prefix`` is ``state_by_fips_prefix(county_dim)`` (landed once).
     """
-    states = broadcast_bounded(state_prefix.select("prefix", "state"), 100)
+    states = state_prefix.select("prefix", "state")
     return (df.withColumn("_prefix", F.substring(fips_col, 1, 2))
             .join(states.withColumnRenamed("state", "_state"),
                   F.col("_prefix") == states["prefix"], "left")
@@ -58,44 +52,12 @@ def with_state_from_fips(df: DataFrame, state_prefix: DataFrame, fips_col: str =
 def with_county_name(df: DataFrame, names: DataFrame, fips_col: str = "fips",
                      out: str = "name") -> DataFrame:
     """County name, 'Unknown' when absent or empty.  ``names`` is ``county_names(county_dim)``."""
-    names = broadcast_bounded(names.select("fips", "county_name"), 100_000)
-    return (df.join(names.withColumnRenamed("fips", "_fips").withColumnRenamed("county_name", "_cn"),
+    return (df.join(names.select("fips", "county_name").withColumnRenamed("fips", "_fips").withColumnRenamed("county_name", "_cn"),
                     F.col(fips_col) == F.col("_fips"), "left")
             .withColumn(out, F.coalesce(F.nullif(F.col("_cn"), F.lit("")), F.lit("Unknown")))
             .drop("_fips", "_cn"))
 
 
-def with_lender_name(df: DataFrame, names: DataFrame, lei_col: str = "lei",
-                     out: str = "name", checked: bool = False) -> DataFrame:
-    """Lender name, falling back to the LEI.  ``names`` is (lei, name).
-
-    The name list grows with the number of filers, so no unconditional hint:
-    the planner broadcasts it when its file statistics are under
-    ``spark.sql.autoBroadcastJoinThreshold`` (and AQE re-checks at run time);
-    ``checked=True`` counts rows first and hints up to ``BROADCAST_ROW_LIMIT``.
-    """
-    side = names.select(F.col("lei").alias("_lei"), F.col("name").alias("_name"))
-    if checked:
-        side = broadcast_checked(side)
-    return (df.join(side, F.col(lei_col) == F.col("_lei"), "left")
-            .withColumn(out, F.coalesce(F.nullif(F.col("_name"), F.lit("")), F.col(lei_col)))
-            .drop("_lei", "_name"))
-
-
-def with_top_states_text(df: DataFrame, lender_states: DataFrame, lei_col: str = "lei",
-                         out: str = "top_states") -> DataFrame:
-    """The lender's top states joined with ', '; '' when it has none.
-
-    ``lender_states`` is the flat (lei, state, count, rank) table.
-    """
-    nested = (lender_states.groupBy(F.col("lei").alias("_lei"))
-              .agg(F.sort_array(F.collect_list(F.struct("rank", "state"))).alias("_st")))
-    return (df.join(nested, F.col(lei_col) == F.col("_lei"), "left")
-            .withColumn(out, F.coalesce(F.array_join(F.transform("_st", lambda s: s["state"]), ", "),
-                                        F.lit("")))
-            .drop("_lei", "_st"))
-
-
 def lender_dimension(names: DataFrame, lender_states: DataFrame) -> DataFrame:
     """(lei, name, top_states): one row per lender known to either input.
 

@@ -35,12 +35,6 @@ def nest_top_states(flat: DataFrame) -> DataFrame:
                                                                  s["count"].alias("count"))).alias("states")))
 
 
-def share_of_total(df: DataFrame, value: str, out: str, partition: Sequence[str] = ()) -> DataFrame:
-    """Value / total of value over the partition (or everything) * 100."""
-    w = Window.partitionBy(*partition) if partition else Window.partitionBy()
-    return df.withColumn(out, F.col(value).cast("double") / F.sum(value).over(w).cast("double") * F.lit(100.0))
-
-
 def sort_small(df: DataFrame, *order) -> DataFrame:
     """Order a result bounded by a code domain (years, states, categories, buckets).
 
@@ -51,15 +45,16 @@ def sort_small(df: DataFrame, *order) -> DataFrame:
     return df.coalesce(1).sortWithinPartitions(*order)
 
 
-def sort_desc(df: DataFrame, column: str, tie: str | Sequence[str]) -> DataFrame:
-    """Descending by ``column``, ties by the key."""
+def sort_by(df: DataFrame, column: str, tie: str | Sequence[str], ascending: bool = False) -> DataFrame:
+    """By any column in either direction, NULLs last, ties by the key."""
     ties = [tie] if isinstance(tie, str) else list(tie)
-    return df.orderBy(F.desc(column), *[F.asc(t) for t in ties])
+    key = F.asc_nulls_last(column) if ascending else F.desc_nulls_last(column)
+    return df.orderBy(key, *[F.asc(t) for t in ties])
 
 
-def top_n(df: DataFrame, column: str, n: int | None, tie: str | Sequence[str]) -> DataFrame:
-    """``n`` largest by ``column`` (all rows when ``n`` is None)."""
-    out = sort_desc(df, column, tie)
+def top_n(df: DataFrame, column: str, n: int | None, tie: str | Sequence[str], ascending: bool = False) -> DataFrame:
+    """The first ``n`` by ``column`` (all rows when ``n`` is None), the largest first unless ``ascending``."""
+    out = sort_by(df, column, tie, ascending)
     return out if n is None else out.limit(n)
 
 
@@ -68,5 +63,5 @@ def peak(df: DataFrame, key: str, value: str) -> Column:
 
     To be used inside ``agg``.
     """
-    best = F.max_by(F.col(key), F.struct(F.col(value), F.lit(0) - F.col(key).cast("bigint")))
+    best = F.min_by(F.col(key), F.struct((-F.col(value)).alias("v"), F.col(key).alias("k")))
     return F.when(F.max(value) > 0, best)

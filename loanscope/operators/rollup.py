@@ -66,7 +66,8 @@ def year_series(df: DataFrame, code: str, value: str = "c", year: str = "y",
     by the given list (absent codes last) or by total descending; ties by code.
     The dense fill is a pivot on the (bounded) set of years and back.
     """
-    per = df.groupBy(F.col(code).alias("code"), F.col(year).alias("y")).agg(F.sum(value).alias("v"))
+    # A null year counts as '' (a map key must not be null).
+    per = df.groupBy(F.col(code).alias("code"), F.coalesce(F.col(year), F.lit("")).alias("y")).agg(F.sum(value).alias("v"))
     # One row per code with its cells as a map; every code gets the full year list.
     # Both are bounded by (codes x years), which a category series keeps small.
     per_code = per.groupBy("code").agg(F.map_from_entries(F.collect_list(F.struct("y", "v"))).alias("m"),
@@ -84,11 +85,6 @@ def year_series(df: DataFrame, code: str, value: str = "c", year: str = "y",
                     F.coalesce(F.col("m")[F.col("y")], F.lit(0)).cast("bigint").alias("c"), "pos"))
 
 
-def wide_series(long: DataFrame) -> DataFrame:
-    """R4 wide form: one row per code, one column per year."""
-    return long.groupBy("code", "label", "pos").pivot("y").agg(F.first("c")).coalesce(1).sortWithinPartitions("pos")
-
-
 def by_year(df: DataFrame, measures: Sequence[Column]) -> DataFrame:
     """Several conditional measures per year in one pass."""
     return df.groupBy("y").agg(*measures)

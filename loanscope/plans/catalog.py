@@ -9,21 +9,27 @@ once per query.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as _F
 
+from loanscope.functions.scalars import lenient_double as _lenient
+from loanscope.operators import ranking as _rank
 from loanscope.operators import reports
 from loanscope.operators import rollup as _R
 from loanscope.operators.cubes import round_cells as _round_cells
 from loanscope.operators.filters import Filters
+from loanscope.plans import jobs as _jobs
 from loanscope.plans import sql as _sql
 from loanscope.plans import views as V
 from loanscope.plans.warehouse import Warehouse, fixture_warehouse
 from loanscope.schema import LAR_TO_MLAR_RENAMES, QUERIED_COLUMNS
 from loanscope.sources import fixture as _fx
+from loanscope.sources import reference as _ref
 from loanscope.sources import registers as _reg
 from loanscope.sources import sinks as _sinks
+from loanscope.sources.tables import read_table as _read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -213,14 +219,55 @@ def _mlar_text(w):
 
 
 def _mlar_zips(w):
-    """The pipe-text round trip's part files, zipped, read by the zip data source."""
+    """The pipe-text round trip's files, zipped as one register, read by the zip data source."""
     _mlar_text(w)
-    parts = [f for f in w.spark.read.text(w.path("mlar_text")).inputFiles()]
-    zips = w.landed_files("mlar_zips", lambda p: _fx.zip_text_files(w.spark, parts, p))
-    listing = (w.spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(zips)
-               .select("path").collect())  # one row per zip file, no bytes read
-    paths = sorted(r["path"] for r in listing)
-    return _reg.read_zip(w.spark, paths, schema=_reg.MLAR_SCHEMA).select(*QUERIED_COLUMNS)
+    zips = w.landed_files("mlar_zips", lambda p: _fx.zip_folder(w.spark, w.path("mlar_text"), p))
+    return _reg.read_zip(w.spark, zips, schema=_reg.MLAR_SCHEMA).select(*QUERIED_COLUMNS)
+
+
+REGISTER_YEARS = range(2018, 2027)  # the last one is never filed: skipped as absent
+REGISTER_ZIP = "register.zip"
+
+
+def _register_files(w) -> list[_reg.RegisterFile]:
+    """The rows as yearly zips of one name in a folder for each year: the public layout before 2022, else the modified."""
+    lar = _fx.lar(w.spark, w.sf_dir).withColumn("yr", _F.col("activity_year"))
+    keep_year = lambda layout, df: layout(df.drop("yr")).withColumn("yr", _F.col("activity_year"))
+    frames = {"lar": keep_year(as_lar_layout, lar.where(_F.col("yr") < "2022")), "mlar": keep_year(as_mlar_layout, lar.where(_F.col("yr") >= "2022"))}
+
+    def write(path):
+        for layout, df in frames.items():
+            (df.write.mode("overwrite").partitionBy("yr").option("sep", "|").option("header", True).option("quote", '"')
+             .option("escape", '"').csv(f"{path}/text/{layout}"))
+            _fx.zip_folder(w.spark, f"{path}/text/{layout}", f"{path}/zip", REGISTER_ZIP)
+
+    root = w.landed_files("register_zips", write)
+    return [_reg.RegisterFile(f"{root}/zip/yr={y}/{REGISTER_ZIP}", "lar" if y < 2022 else "mlar") for y in REGISTER_YEARS]
+
+
+def _load_registers(w, extract: bool):
+    """Those files through the loader; ``source_file`` is cut to its folder and name."""
+    texts = f"{w.path('register_texts')}" if extract else None
+    rows, _ = _reg.load_registers(w.spark, _register_files(w), extract_dir=texts)
+    return rows.select(*QUERIED_COLUMNS, _F.regexp_extract("source_file", "([^/]+/[^/]+)$", 1).alias("source_file"))
+
+
+def _county_file(w):
+    """The county file written as pipe text and read by the engine."""
+    def write(path):
+        (w.table("county_dim").drop("pos").write.mode("overwrite").option("sep", "|").option("header", True)
+         .option("quote", '"').option("escape", '"').csv(path))
+    return _ref.read_county_file(w.spark, w.landed_files("county_file", write)).drop("pos")
+
+
+def _filer_files(w):
+    """Yearly filer lists as JSON documents of at most 10,000 institutions, one year's list missing."""
+    def write(path):
+        lists = _fx.filers(w.spark, w.sf_dir).groupBy("year", _F.floor(_F.substring("lei", 4, 17).cast("bigint") / 10_000).alias("part")).agg(
+            _F.to_json(_F.struct(_F.collect_list(_F.struct("lei", "name")).alias("institutions"))).alias("value"))
+        lists.select("year", "value").write.mode("overwrite").partitionBy("year").option("maxRecordsPerFile", 1).text(path)
+    root = w.landed_files("filer_files", write)
+    return _ref.lender_names(_ref.read_filer_files(w.spark, {y: f"{root}/year={y}" for y in REGISTER_YEARS}))
 
 
 def _payload_json(w):
@@ -229,28 +276,95 @@ def _payload_json(w):
     return w.spark.read.schema(cube.schema).json(f"{path}/state_cube")
 
 
-def _series_csv(w):
-    view = V.outcome_table(w.table("main"), F_YT)
-    path = w.landed_files("outcome_table_csv", lambda p: _sinks.write_series_csv(view, p))
-    schema = view.withColumnRenamed("code", "Category").schema
-    return (w.spark.read.schema(schema).option("header", True).option("quote", '"').option("escape", '"')
-            .option("multiLine", True).csv(path).withColumnRenamed("Category", "code"))
+def _payload_rows(w):
+    """Every payload table written and loaded again: rows by payload and member."""
+    tables = _jobs.payloads(w)
+    root = w.landed_files("payloads", lambda p: _jobs.run_all(w, p))
+    loaded = _jobs.load_payload(w.spark, {p: {n: f"{root}/{p}/{n}" for n in members} for p, members in tables.items()})
+    counts = [df.agg(_F.count("*").alias("rows")).select(_F.lit(p).alias("payload"), _F.lit(n).alias("member"), "rows")
+              for p, members in loaded.items() for n, df in members.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def _nested_states(w):
+    """The nested top states written as JSON lines, read back and flattened."""
+    nested = _rank.nest_top_states(w.table("lender_states"))
+    path = w.landed_files("payload_states_json", lambda p: _sinks.write_payload({"states": nested}, p, "json"))
+    back = w.spark.read.schema(nested.schema).json(f"{path}/states")
+    return back.select("lei", _F.posexplode("states").alias("i", "s")).select(
+        "lei", _F.col("s.state").alias("state"), _F.col("s.count").alias("count"), (_F.col("i") + 1).alias("rank"))
+
+
+def _quality_document(w):
+    """The quality payload's JSON document, its cube parsed from the document's lines."""
+    members = _jobs.documents(w)["quality"]
+    path = w.landed_files("quality_document", lambda p: _sinks.write_document(members, p))
+    rows = w.spark.read.text(path).where(_F.col("value").rlike(r'^,?\{"y":'))
+    return rows.select(_F.from_json(_F.ltrim(_F.col("value"), _F.lit(",")), members["cube"][0].schema).alias("r")).select("r.*")
+
+
+def _lender_profiles(w):
+    """Names and nested top states, as text."""
+    p = V.lender_profiles(w.table("lender_names"), w.table("lender_states"))
+    told = _F.transform("states", lambda s: _F.concat(s["state"], _F.lit(":"), s["count"].cast("string")))
+    return p.select("lei", "name", _F.array_join(told, " ").alias("states"))
+
+
+def _text(w, name, write):
+    """The lines of a text file that a sink wrote."""
+    return w.spark.read.text(w.landed_files(name, write)).withColumnRenamed("value", "line")
+
+
+def _compare_csv(w, metric):
+    """The comparison table as CSV text."""
+    table = V.compare_table(w.table("state"), COMPARE, metric, loan_type="2")
+    return _text(w, f"compare_csv_{metric}", lambda p: _sinks.write_compare_csv(table, COMPARE, p))
+
+
+def _chart_csv(w):
+    """A chart of several series as CSV text."""
+    lines = _sinks.chart_csv_lines(V.outcome_series(w.table("main"), F_YT))
+    return _text(w, "chart_csv", lambda p: _sinks.write_csv_lines(lines, p))
+
+
+def _histogram_csv(w):
+    """A chart of one unlabelled series as CSV text."""
+    lines = _sinks.single_chart_csv_lines(V.rate_histogram(w.table("rates")), "bucket", "c", "Rates, originated", ["pos"])
+    return _text(w, "histogram_csv", lambda p: _sinks.write_csv_lines(lines, p))
+
+
+# Numbers as people type them, derived from the line items.
+MESSY_SQL = """SELECT CASE (l_orderkey + l_linenumber) % 12 WHEN 0 THEN concat(' ', q, '.5x') WHEN 1 THEN concat(q, 'abc')
+ WHEN 2 THEN concat(q, 'e2') WHEN 3 THEN '.' WHEN 4 THEN concat('.', q) WHEN 5 THEN concat('-', q, ' days') WHEN 6 THEN concat('+', q, '.')
+ WHEN 7 THEN 'NA' WHEN 8 THEN '' WHEN 9 THEN concat(q, '%') WHEN 10 THEN concat('1,', q) ELSE concat(q, '.', cast(l_linenumber as string)) END AS text
+FROM (SELECT l_orderkey, l_linenumber, cast(l_partkey % 1000 as string) AS q FROM {lineitem}) x"""
 
 
-def _compare_csv(w):
-    """The comparison table exported with "XX - Name" headers, read back."""
-    table = V.compare_table(w.table("state"), COMPARE, "denyPct", loan_type="2")
-    frame = _sinks.compare_csv_frame(table, COMPARE)
-    path = w.landed_files("compare_csv", lambda p: _sinks.write_compare_csv(table, COMPARE, p))
-    schema = frame.schema
-    return w.spark.read.schema(schema).option("header", True).csv(path).select(
-        *[_F.col(f"`{c}`").cast("double").alias(c) if c != "Year" else _F.col(c) for c in schema.names])
+def _messy_numbers(spark, sf_dir):
+    """X1 over messy text: the value of each text and the sum over its rows."""
+    rows = spark.sql(MESSY_SQL, lineitem=_read_table(spark, sf_dir, "lineitem"))
+    return rows.groupBy("text", _lenient("text").alias("value")).agg(_F.count("*").alias("n"))
 
 
 QUERIES.update({
-    "s15_compare_csv_roundtrip": _w(_compare_csv),
     "s1_zip_roundtrip": _w(_mlar_zips),
     "s2_mlar_text_roundtrip": _w(_mlar_text),
+    "s4_load_registers": _w(lambda w: _load_registers(w, False)),
+    "s4_load_registers_extracted": _w(lambda w: _load_registers(w, True)),
+    "s9_county_file": _w(_county_file),
+    "s10_filer_files": _w(_filer_files),
     "s12_payload_json_roundtrip": _w(_payload_json),
-    "s16_series_csv_roundtrip": _w(_series_csv),
+    "s12_quality_document": _w(_quality_document),
+    "s13_payload_rows": _w(_payload_rows),
+    "s14_nested_states": _w(_nested_states),
+    "s15_compare_csv_text": _w(lambda w: _compare_csv(w, "volume")),
+    "s15_compare_csv_text_rates": _w(lambda w: _compare_csv(w, "avgRate")),
+    "s16_chart_csv_text": _w(_chart_csv),
+    "s16_histogram_csv_text": _w(_histogram_csv),
+    "v30_lender_profiles": _w(_lender_profiles),
+    "p13_state_picker": _w(lambda w: V.state_picker(w.table("state"))),
+    "p13_state_picker_search": _w(lambda w: V.state_picker(w.table("state"), STATE_SEARCH)),
+    "t13_sorted_states": _w(lambda w: V.sorted_states(w.table("state"), F_YT, "avg_rate", True)),
+    "t13_sorted_lenders": _w(lambda w: V.sorted_lenders(w.table("lender_base"), w.table("lender_dim"), column="deny_pct")),
+    "x1_messy_numbers": _messy_numbers,
 })

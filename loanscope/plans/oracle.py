@@ -15,7 +15,7 @@ from collections.abc import Mapping
 
 from loanscope.plans import catalog as _cat
 from loanscope.schema import (
-    ACTION_LABELS, DENIAL_REASON_LABELS, DTI_ORDER, INVESTOR_PURPOSE_ORDER, LIEN_LABELS, LOAN_PURPOSE_LABELS,
+    ACTION_LABELS, BIZ_PURPOSE_LABELS, DENIAL_REASON_LABELS, DTI_ORDER, INVESTOR_PURPOSE_ORDER, LIEN_LABELS, LOAN_PURPOSE_LABELS,
     LOAN_TYPE_LABELS, LTV_ORDER, MLAR_COLUMNS, NON_AM_LABELS, NON_AM_ORDER, OCCUPANCY_LABELS, OCCUPANCY_ORDER,
     PURCHASER_LABELS, QUERIED_COLUMNS, RATE_BUCKET_ORDER, SPREAD_ORDER, STATE_NAMES, STATE_PRESETS,
 )
@@ -605,10 +605,92 @@ ORACLES["r8_distinct_years"] = q("SELECT DISTINCT activity_year AS y FROM lar")
 
 ORACLES["s2_mlar_text_roundtrip"] = q("SELECT " + ", ".join(QUERIED_COLUMNS) + " FROM lar")
 ORACLES["s12_payload_json_roundtrip"] = ORACLES["a4_state_cube_payload"]
-ORACLES["s16_series_csv_roundtrip"] = _v3(_cat.F_YT)
 ORACLES["s1_zip_roundtrip"] = ORACLES["s2_mlar_text_roundtrip"]
-ORACLES["s15_compare_csv_roundtrip"] = q(
-    "SELECT y AS \"Year\", " + ", ".join(f'{st} AS "{st} - {STATE_NAMES[st]}"' for st in ["CA", "TX", "NY", "PR"])
-    + " FROM (SELECT y, " + ", ".join(f"max(CASE WHEN state = '{st}' THEN value END) AS {st}"
-                                      for st in ["CA", "TX", "NY", "PR"])
-    + " FROM cmp GROUP BY y) w", extra=_compare_long(_cat.COMPARE, "denyPct", loan_type="2"))
+for _key in ("s4_load_registers", "s4_load_registers_extracted"):
+    ORACLES[_key] = q("SELECT " + ", ".join(QUERIED_COLUMNS)
+                      + f", 'yr=' || activity_year || '/{_cat.REGISTER_ZIP}' AS source_file FROM lar")
+ORACLES["s9_county_file"] = ORACLES["s9_county_dim"]
+ORACLES["s10_filer_files"] = ORACLES["s10_lender_names"]
+ORACLES["s12_quality_document"] = q(f"""SELECT y, a, t, p, d, l, pu, rs, li, nm, c, CAST(round(s, 0) AS BIGINT) AS s, round(r, 2) AS r, rc
+FROM (SELECT {QUALITY_DIMS_SQL}, {M4_SQL} FROM lar GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9, 10) x""")
+ORACLES["s14_nested_states"] = ORACLES["a7_lender_states"]
+
+# Rows of each payload member, from the member's own definition.
+_COUNTY_NAMES_OF_FIPS = q("SELECT DISTINCT STATEFP || COUNTYFP AS fips FROM county", "county")
+_PAYLOADS = {
+    "national": {"summary": "a12_summary", "by_action": "a13_by_action", "by_loan_type": "a14_by_type", "by_loan_purpose": "a15_by_purpose",
+                 "rate_distribution": "a16_rate_distribution", "denial_reasons": "a17_denial_reasons"},
+    "geographic": {"county_names": _COUNTY_NAMES_OF_FIPS, "state_cube": "a4_state_cube", "county_cube": "a5_county_cube"},
+    "cube": {"main": "a1_main_cube", "rates": "a2_rate_cube", "denials": "a3_denial_cube"},
+    "lenders": {"names": "s10_lender_names", "cube": "a6_lender_cube",
+                "states": q(f"SELECT DISTINCT lei FROM lar WHERE action_taken = '1' AND {KNOWN_STATE}")},
+    "quality": {"cube": "a8_quality_cube", "orders": len(DTI_ORDER) + len(LTV_ORDER) + len(SPREAD_ORDER) + len(NON_AM_ORDER),
+                "labels": len(PURCHASER_LABELS) + len(LIEN_LABELS) + len(NON_AM_LABELS)},
+    "investor": {"national_cube": "a9_inv_national", "state_cube": "a10_inv_state", "county_cube": "a11_inv_county",
+                 "labels": len(OCCUPANCY_LABELS) + len(BIZ_PURPOSE_LABELS) + len(LOAN_PURPOSE_LABELS)},
+}
+
+
+def _rows_of(what) -> str:
+    return str(what) if isinstance(what, int) else f"(SELECT count(*) FROM ({ORACLES.get(what, what)}) m)"
+
+
+ORACLES["s13_payload_rows"] = "\nUNION ALL\n".join(
+    f"SELECT '{payload}' AS payload, '{member}' AS member, CAST({_rows_of(what)} AS BIGINT) AS rows"
+    for payload, members in _PAYLOADS.items() for member, what in members.items())
+
+
+# CSV text (S15, S16): numbers without exponent and without a fraction of zero.
+def _plain(x: str) -> str:
+    return f"coalesce(regexp_replace(CAST({x} AS VARCHAR), '\\.0$', ''), '')"
+
+
+def _compare_lines(metric) -> str:
+    shown = ["CA", "TX", "NY", "PR"]
+    cells = ", ".join(_plain(f"CASE WHEN abs(v{i}) >= 1e4 AND v{i} = floor(v{i}) THEN CAST(CAST(v{i} AS BIGINT) AS VARCHAR) ELSE CAST(v{i} AS VARCHAR) END")
+                      for i in range(len(shown)))
+    values = ", ".join(f"max(CASE WHEN state = '{s}' THEN value END) AS v{i}" for i, s in enumerate(shown))
+    head = ",".join(["Year", *[f"{s} - {STATE_NAMES[s]}" for s in shown]])
+    return q(f"""SELECT '{head}' AS line UNION ALL
+SELECT concat_ws(',', y, {cells}) AS line FROM (SELECT y, {values} FROM cmp GROUP BY y) w""",
+             extra=_compare_long(_cat.COMPARE, metric, loan_type="2"))
+
+
+ORACLES["s15_compare_csv_text"] = _compare_lines("volume")
+ORACLES["s15_compare_csv_text_rates"] = _compare_lines("avgRate")
+
+
+def _csv(x: str) -> str:
+    return f"""CASE WHEN regexp_matches({x}, '[",\\n]') THEN '"' || replace({x}, '"', '""') || '"' ELSE {x} END"""
+
+
+ORACLES["s16_chart_csv_text"] = f"""WITH long AS ({ORACLES["v2_outcome_series_f"]})
+SELECT 'Category,' || string_agg({_csv('label')}, ',' ORDER BY pos) AS line FROM (SELECT DISTINCT label, pos FROM long) h
+UNION ALL SELECT y || ',' || string_agg(CAST(c AS VARCHAR), ',' ORDER BY pos) FROM long GROUP BY y"""
+ORACLES["s16_histogram_csv_text"] = f"""SELECT 'Category,"Rates, originated"' AS line
+UNION ALL SELECT {_csv('bucket')} || ',' || CAST(c AS VARCHAR) FROM ({_v6(_cat.Filters())}) h"""
+
+ORACLES["v30_lender_profiles"] = q(f"""SELECT coalesce(names.lei, s.lei) AS lei, names.name, s.states FROM names FULL JOIN (
+ SELECT lei, string_agg(state || ':' || CAST(count AS VARCHAR), ' ' ORDER BY rank) AS states FROM (
+  SELECT lei, state_code AS state, count(*) AS count, row_number() OVER (PARTITION BY lei ORDER BY count(*) DESC, state_code) AS rank
+  FROM lar WHERE action_taken = '1' AND {KNOWN_STATE} GROUP BY lei, state_code) t WHERE rank <= 5 GROUP BY lei) s ON names.lei = s.lei""",
+                                   "lar", "filers", extra=NAMES)
+
+
+def _picker(search=None) -> str:
+    values = ", ".join(f"('{k}', '{v}')" for k, v in STATE_NAMES.items())
+    cond = f"WHERE contains(lower(state), '{search}') OR contains(lower(state_name), '{search}')" if search else ""
+    return q(f"""SELECT state, state_name, apps, CAST(row_number() OVER (ORDER BY state_name, state) - 1 AS INTEGER) AS pos FROM (
+ SELECT n.state, n.state_name, (SELECT count(*) FROM lar WHERE state_code = n.state) AS apps FROM (VALUES {values}) n(state, state_name)) x {cond}""")
+
+
+ORACLES["p13_state_picker"] = _picker()
+ORACLES["p13_state_picker_search"] = _picker(_cat.STATE_SEARCH)
+ORACLES["t13_sorted_states"] = q("""SELECT *, CAST(row_number() OVER (ORDER BY avg_rate ASC NULLS LAST, state) - 1 AS INTEGER) AS pos
+FROM sstats""", extra=_state_stats(_cat.F_YT))
+ORACLES["t13_sorted_lenders"] = f"""SELECT *, CAST(row_number() OVER (ORDER BY deny_pct DESC NULLS LAST, lei) - 1 AS INTEGER) AS pos
+FROM ({ORACLES["v10_lender_table"]}) shown"""
+
+_NUMERIC_PREFIX_SQL = r"^[ \t\n\x0B\f\r]*([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)"
+ORACLES["x1_messy_numbers"] = f"""SELECT text, coalesce(try_cast(regexp_extract(text, '{_NUMERIC_PREFIX_SQL}', 1) AS DOUBLE), 0e0) AS value,
+ count(*) AS n FROM ({_cat.MESSY_SQL.format(lineitem='lineitem')}) x GROUP BY text"""

@@ -11,25 +11,12 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loanscope.plans.warehouse import BUILDERS, Warehouse
-
-
 def query(spark: SparkSession, text: str, params: Mapping | Sequence | None = None,
           **frames: DataFrame) -> DataFrame:
     """Run ``text`` with bound parameters and DataFrame placeholders."""
     return spark.sql(text, args=params, **frames)
 
 
-def register_views(wh: Warehouse, names: Sequence[str] | None = None, prefix: str = "") -> list[str]:
-    """Expose landed tables (fact and cubes) as temporary views for SQL users."""
-    out = []
-    for name in (names or ["fact", *BUILDERS]):
-        view = f"{prefix}{name}"
-        wh.table(name).createOrReplaceTempView(view)
-        out.append(view)
-    return out
-
-
 TOP_COUNTIES_SQL = """SELECT county_code, count(*) AS c FROM {fact}
 WHERE county_code != '' AND county_code != 'NA'
 GROUP BY county_code ORDER BY c DESC, county_code LIMIT :top_n"""

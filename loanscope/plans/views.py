@@ -20,7 +20,7 @@ from loanscope.operators import filters as P
 from loanscope.operators import rollup as R
 from loanscope.operators.filters import Filters
 from loanscope.operators.lookups import with_county_name, with_lender_dimension
-from loanscope.operators.ranking import peak, sort_small, top_n
+from loanscope.operators.ranking import nest_top_states, peak, sort_small, top_n
 from loanscope.schema import (ACTION_LABELS, DENIAL_REASON_LABELS, DTI_ORDER, INVESTOR_PURPOSE_ORDER,
                               LIEN_LABELS, LOAN_PURPOSE_LABELS, LOAN_TYPE_LABELS, LTV_ORDER,
                               NON_AM_LABELS, NON_AM_ORDER, OCCUPANCY_LABELS, OCCUPANCY_ORDER,
@@ -131,9 +131,10 @@ def lender_table(lender_base: DataFrame, lender_dim: DataFrame,
     """Per-lender stats with name and top states, by applications; a
     search returns every lender whose name contains the text.  ``lender_dim``
     is ``lookups.lender_dimension(names, lender_states)``."""
-    stats = with_lender_dimension(lender_stats(lender_base, f), lender_dim)
-    ordered = stats.orderBy(F.desc("apps"), F.asc("lei"))
-    return P.search_lenders(ordered, search, n)
+    stats = lender_stats(lender_base, f)
+    if not search:  # only the n rows shown need their names
+        return sort_small(with_lender_dimension(top_n(stats, "apps", n, "lei"), lender_dim), F.desc("apps"), F.asc("lei"))
+    return P.search_lenders(with_lender_dimension(stats, lender_dim), search).orderBy(F.desc("apps"), F.asc("lei"))
 
 
 def lender_summary(lender_base: DataFrame, f: Filters = ALL) -> DataFrame:
@@ -147,16 +148,17 @@ def lender_summary(lender_base: DataFrame, f: Filters = ALL) -> DataFrame:
 def top_lenders(lender_base: DataFrame, lender_dim: DataFrame, f: Filters = ALL, n: int = 15,
                 rank_by: str = "apps") -> DataFrame:
     """Lenders with originations, first ``n`` by ``rank_by`` (the published chart ranks by apps)."""
-    stats = with_lender_dimension(lender_stats(lender_base, f).where(F.col("originated") > 0), lender_dim)
-    return top_n(stats, rank_by, n, "lei").select("lei", "name", "apps", "originated")
+    top = top_n(lender_stats(lender_base, f).where(F.col("originated") > 0), rank_by, n, "lei")
+    return sort_small(with_lender_dimension(top, lender_dim), F.desc(rank_by), F.asc("lei")).select("lei", "name", "apps", "originated")
 
 
 def highest_denial_lenders(lender_base: DataFrame, lender_dim: DataFrame, f: Filters = ALL, n: int = 15,
                            min_apps: int = 1000) -> DataFrame:
     """Highest denial shares among lenders with at least ``min_apps`` applications."""
     stats = P.min_sample(lender_stats(lender_base, f), "apps", min_apps).where(F.col("deny_pct").isNotNull())
-    return (with_lender_dimension(stats, lender_dim).orderBy(F.desc("deny_pct"), F.desc("apps"), F.asc("lei"))
-            .limit(n).select("lei", "name", "apps", "deny_pct"))
+    order = [F.desc("deny_pct"), F.desc("apps"), F.asc("lei")]
+    top = stats.orderBy(*order).limit(n)
+    return sort_small(with_lender_dimension(top, lender_dim), *order).select("lei", "name", "apps", "deny_pct")
 
 
 # ---------------------------------------------------------------------------
@@ -172,6 +174,30 @@ def state_table(state: DataFrame, f: Filters = ALL, search: str | None = None) -
     return sort_small(P.search_states(state_stats(state, f), search), F.desc("apps"), F.asc("state"))
 
 
+def state_picker(state: DataFrame, search: str | None = None) -> DataFrame:
+    """Every state by name, those whose code or name contains the text; with its applications, 0 without any."""
+    apps = state.groupBy("state").agg(F.sum("c").alias("apps"))
+    named = state.sparkSession.createDataFrame(list(STATE_NAMES.items()), "state string, state_name string")
+    listed = named.join(apps, "state", "left").select("state", "state_name", F.coalesce("apps", F.lit(0)).cast("bigint").alias("apps"))
+    pos = F.row_number().over(Window.orderBy("state_name", "state")) - 1  # as many rows as states
+    return sort_small(P.search_states(listed, search).withColumn("pos", pos.cast("int")), "pos")
+
+
+def sorted_states(state: DataFrame, f: Filters = ALL, column: str = "apps", ascending: bool = False) -> DataFrame:
+    """T13 on V14: the state table by any of its columns, either direction, with each row's place."""
+    key = F.asc_nulls_last(column) if ascending else F.desc_nulls_last(column)
+    pos = F.row_number().over(Window.orderBy(key, F.asc("state"))) - 1
+    return sort_small(state_stats(state, f).withColumn("pos", pos.cast("int")), "pos")
+
+
+def sorted_lenders(lender_base: DataFrame, lender_dim: DataFrame, f: Filters = ALL, column: str = "apps", ascending: bool = False,
+                   n: int = 100) -> DataFrame:
+    """T13 on V10: the ``n`` lenders shown, by any column (of the measures), either direction."""
+    shown = with_lender_dimension(top_n(lender_stats(lender_base, f), "apps", n, "lei"), lender_dim)
+    key = F.asc_nulls_last(column) if ascending else F.desc_nulls_last(column)
+    return sort_small(shown.withColumn("pos", (F.row_number().over(Window.orderBy(key, F.asc("lei"))) - 1).cast("int")), "pos")
+
+
 RANK_METRICS = ("originated", "avg_loan", "deny_pct", "avg_rate")
 
 
@@ -201,7 +227,7 @@ def county_table(county: DataFrame, county_names: DataFrame, f: Filters = ALL, n
         F.coalesce(F.sum(F.when(orig, F.col("c"))), F.lit(0)).alias("_orig_all"))
     stats = (R.finish_compact(per.where(F.col("apps") > 0))
              .withColumn("fha_pct", safe_pct("_fha", "_orig_all")).drop("_fha", "_orig_all"))
-    return with_county_name(stats, county_names).orderBy(F.desc("apps"), F.asc("fips")).limit(n)
+    return sort_small(with_county_name(top_n(stats, "apps", n, "fips"), county_names), F.desc("apps"), F.asc("fips"))
 
 
 # ---------------------------------------------------------------------------
@@ -333,7 +359,7 @@ def investor_counties(inv_county: DataFrame, county_names: DataFrame, f: Filters
     per = P.min_sample(_investor_group(inv_county, "fips", f, lens), "all_c", min_orig)
     out = per.select("fips", "state", "inv_c", "all_c", share_or_zero("inv_c", "all_c").alias("share"),
                      F.col("inv_s").alias("volume"))
-    return top_n(with_county_name(out, county_names), "share", n, "fips")
+    return sort_small(with_county_name(top_n(out, "share", n, "fips"), county_names), F.desc("share"), F.asc("fips"))
 
 
 # ---------------------------------------------------------------------------
@@ -382,6 +408,11 @@ def lender_profile_cube(lender: DataFrame) -> DataFrame:
     return round_cells(lender).select(F.col("lei").alias("l"), "a", "t", "p", "c", "s", "r", "rc")
 
 
+def lender_profiles(names: DataFrame, lender_states: DataFrame) -> DataFrame:
+    """Per lender its name and its top states, nested; a lender known to one side alone has the other NULL."""
+    return names.select("lei", "name").join(nest_top_states(lender_states), "lei", "full")
+
+
 # ---------------------------------------------------------------------------
 # Every view for one filter state (what a filter change refreshes)
 # ---------------------------------------------------------------------------

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from loanscope.operators import cubes, lookups, ranking, reports
 from loanscope.session import join_path, shared_dir
-from loanscope.sources import fixture, reference
+from loanscope.sources import fixture, reference, sinks
 
 
 @dataclass
@@ -68,6 +68,9 @@ BUILDERS: dict[str, Callable[["Warehouse"], DataFrame]] = {
                                                        w.top_n),
 }
 
+# The large cubes are landed in order of year, so that row groups hold few years and year filters skip the others.
+BY_YEAR = ("quality", "geo_base", "lender_base")
+
 
 class Warehouse:
     """Lazily landed tables for one source set under one root folder."""
@@ -96,22 +99,14 @@ class Warehouse:
             return self._table_locks.setdefault(name, threading.Lock())
 
     def fact(self) -> DataFrame:
-        """The application fact table, landed once, partitioned by activity_year.
-
-        Register files are one year each, so every write task holds one year
-        and writes one file per output partition: no shuffle before the write.
-        """
+        """The application fact table, landed once, partitioned by activity_year (``sinks.write_fact``)."""
         with self._table_lock("fact"):
             if "fact" not in self._landed:
                 src = self.sources.fact()
-                (src.write.mode("overwrite")
-                 .option("maxRecordsPerFile", self.max_records_per_file)
-                 .partitionBy("activity_year").parquet(self.path("fact")))
+                sinks.write_fact(src, self.path("fact"), self.max_records_per_file)
                 self._fact_schema = src.schema
                 self._landed.add("fact")
-        # The explicit schema keeps activity_year text whatever the session's
-        # partition-type inference setting is.
-        return self.spark.read.schema(self._fact_schema).parquet(self.path("fact"))
+        return sinks.read_fact(self.spark, self.path("fact"), self._fact_schema)
 
     def table(self, name: str) -> DataFrame:
         """A landed cube or dimension, built from ``BUILDERS`` on first use."""
@@ -119,7 +114,10 @@ class Warehouse:
             return self.fact()
         with self._table_lock(name):  # one lock per table: independent tables land concurrently
             if name not in self._landed:
-                BUILDERS[name](self).write.mode("overwrite").parquet(self.path(name))
+                built = BUILDERS[name](self)
+                if name in BY_YEAR:
+                    built = built.sortWithinPartitions("y")
+                built.write.mode("overwrite").parquet(self.path(name))
                 self._landed.add(name)
         return self._read(name)
 

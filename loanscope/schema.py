@@ -178,17 +178,3 @@ STATE_PRESETS: dict[str, list[str]] = {
     "Southeast": ["MS", "WV", "AR", "AL", "LA"],
     "Sun Belt": ["AZ", "NV", "ID", "UT", "TX"],
 }
-
-# FIXED VALUES: metrics offered by the state comparison.
-COMPARE_METRICS: dict[str, str] = {
-    "originations": "Originations",
-    "applications": "Applications",
-    "volume": "Origination Volume ($)",
-    "avgLoan": "Avg Loan Amount ($)",
-    "avgRate": "Avg Interest Rate (%)",
-    "origPct": "Origination Rate (%)",
-    "denyPct": "Denial Rate (%)",
-}
-
-# Investor lenses: "bp" = investment property with business purpose, "all3" = any investment property.
-INVESTOR_LENSES: tuple[str, ...] = ("bp", "all3")
