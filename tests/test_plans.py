@@ -48,4 +48,33 @@ def test_partition_pruning_on_fact(spark):
     wh = fixture_warehouse(spark, SF_SMALL)
     from pyspark.sql import functions as F
     p = plan(wh.fact().where(F.col("activity_year") == "2021").groupBy("action_taken").count())
-    assert "PartitionFilters: [isnotnull(activity_year" in p
+    assert "PartitionFilters: [(coalesce(activity_year" in p and "2021" in p
+
+
+def test_top_n_counties_come_from_the_base(spark):
+    """The list and the cube are grouped from the base: no shuffle of the whole cube before the semi join."""
+    wh = fixture_warehouse(spark, SF_SMALL)
+    for df in (cubes.county_cube(wh.table("geo_base"), wh.table("state_prefix"), 200),
+               cubes.investor_county_cube(wh.table("investor_base"), wh.table("state_prefix"), 200)):
+        logical = df._jdf.queryExecution().optimizedPlan().toString()
+        semi = logical.index("LeftSemi")
+        assert "Aggregate" in logical[:semi] and "Aggregate" not in logical[semi:logical.index("Relation", semi)].split("LeftSemi")[0]
+        exchanges = df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+        assert exchanges <= 3
+
+
+def test_lookups_follow_the_limit(spark):
+    """Names are looked up for the rows shown: the join stands above the limit."""
+    wh = fixture_warehouse(spark, SF_SMALL)
+    lb, ld = wh.table("lender_base"), wh.table("lender_dim")
+    for df in (V.lender_table(lb, ld), V.top_lenders(lb, ld), V.highest_denial_lenders(lb, ld, min_apps=1),
+               V.county_table(wh.table("county"), wh.table("county_names")),
+               V.investor_counties(wh.table("inv_county"), wh.table("county_names"), min_orig=1)):
+        logical = df._jdf.queryExecution().optimizedPlan().toString()
+        assert logical.index("Join LeftOuter") < logical.index("GlobalLimit")
+
+
+def test_reference_lookups_carry_no_hint(spark):
+    wh = fixture_warehouse(spark, SF_SMALL)
+    df = V.county_table(wh.table("county"), wh.table("county_names"))
+    assert "ResolvedHint" not in df._jdf.queryExecution().analyzed().toString()
