@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loanscope.functions.scalars import fips_state_prefix
+
 # Largest row count we hint for broadcast (a few MB of short strings).
 BROADCAST_ROW_LIMIT = 1_000_000
 
@@ -42,7 +44,7 @@ def with_state_from_fips(df: DataFrame, state_prefix: DataFrame, fips_col: str =
     ``state_prefix`` is ``state_by_fips_prefix(county_dim)`` (landed once).
     """
     states = state_prefix.select("prefix", "state")
-    return (df.withColumn("_prefix", F.substring(fips_col, 1, 2))
+    return (df.withColumn("_prefix", fips_state_prefix(fips_col))
             .join(states.withColumnRenamed("state", "_state"),
                   F.col("_prefix") == states["prefix"], "left")
             .withColumn(out, F.coalesce(F.col("_state"), F.lit("")))

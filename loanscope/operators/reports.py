@@ -13,7 +13,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanscope.functions.scalars import label_of, lenient_double, rate_bucket_lenient
+from loanscope.functions.scalars import label_of, lenient_double, rate_bucket_lenient, sql_round
 from loanscope.operators.ranking import sort_small
 from loanscope.schema import (ACTION_LABELS, DENIAL_REASON_LABELS, LOAN_PURPOSE_LABELS,
                               LOAN_TYPE_LABELS)
@@ -37,9 +37,9 @@ def summary(lender_base: DataFrame, approx_lenders: bool = False) -> DataFrame:
         _where_sum(F.col("a") == "3", "c").cast("bigint").alias("denied"),
         (F.approx_count_distinct("lei", 0.02) if approx_lenders else F.count_distinct("lei"))
         .cast("bigint").alias("lender_count"),
-        F.round(F.try_divide(F.sum(F.when(orig, F.col("s"))), c_o.cast("double")), 0).alias("avg_loan"),
-        F.round(F.sum(F.when(orig, F.col("s")).otherwise(F.lit(0.0))) / F.lit(1e9), 1).alias("total_volume_b"),
-        F.round(F.try_divide(F.sum(F.when(orig, F.col("r"))),
+        sql_round(F.try_divide(F.sum(F.when(orig, F.col("s"))), c_o.cast("double")), 0).alias("avg_loan"),
+        sql_round(F.sum(F.when(orig, F.col("s")).otherwise(F.lit(0.0))) / F.lit(1e9), 1).alias("total_volume_b"),
+        sql_round(F.try_divide(F.sum(F.when(orig, F.col("r"))),
                              F.sum(F.when(orig, F.col("rc"))).cast("double")), 3).alias("avg_rate"),
     )
 
@@ -51,8 +51,8 @@ def breakdown(main: DataFrame, dim: str, labels: Mapping[str, str]) -> DataFrame
                                                       F.sum("s").alias("_s"))
     return sort_small(per.select(
         "code", "count",
-        F.round(F.col("count") * F.lit(100.0) / total, 1).alias("pct"),
-        F.round(F.try_divide(F.col("_s"), F.col("count").cast("double")), 0).alias("avg_loan"),
+        sql_round(F.col("count") * F.lit(100.0) / total, 1).alias("pct"),
+        sql_round(F.try_divide(F.col("_s"), F.col("count").cast("double")), 0).alias("avg_loan"),
         label_of("code", labels).alias("label")), F.desc("count"), F.asc("code"))
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanscope.functions.scalars import (label_of, literal_map, ordinal_of, safe_pct, safe_ratio,
-                                         scale_billions, share_or_zero)
+                                         scale_billions, scale_volume, share_or_zero)
 from loanscope.operators import filters as P
 from loanscope.operators import rollup as R
 from loanscope.operators.filters import Filters
@@ -305,7 +305,7 @@ def investor_summary(inv_national: DataFrame, f: Filters = ALL, lens: str = "bp"
                  peak(yr, "y", "inv_c").alias("peak_year"),
                  F.max("inv_c").alias("_max"))
     return agg.select("inv_c", "all_c", share_or_zero("inv_c", "all_c").alias("share"), "volume",
-                      F.when(F.col("volume") >= F.lit(1e12), F.lit("T")).otherwise(F.lit("B")).alias("volume_unit"),
+                      scale_volume("volume")["unit"].alias("volume_unit"),
                       safe_ratio("volume", "inv_c").alias("avg_loan"), safe_ratio("_r", "_rc").alias("avg_rate"),
                       "peak_year",
                       F.when(F.col("peak_year").isNotNull(), F.col("_max")).cast("bigint").alias("peak_count"))
