@@ -5,8 +5,11 @@ their check.  What surrounds an identifier can give it away too, so the corpus t
 identifier value c and a term t near it (within ``window`` words on its line) co-occur in
 n(c, t) of the n(c) different surroundings of c (copies of a passage are one), and t occurs in n(t) of
 all N documents.  The pointwise information PMI(c; t) = log2((n(c, t) / n(c)) / (n(t) / N)) is the part of
-the information content IC(c) = log2(N / n(c)) of c that t discloses.  A term with n(c, t) >= ``support`` and
+the information content IC(c) = log2(N / n(c)) of c that t discloses.  A term with
 PMI >= ``generalise`` * IC(c) is generalised (its shape stays); from ``remove`` * IC(c) on it is removed.
+No number of co-occurrences is asked for: a pair counts unless chance would explain it.  Were c and t
+independent, they would share m = n(c) * n(t) / N, and n(c, t) = m * 2^PMI or more of them with a probability of at most
+exp(-n(c, t) * (ln 2 * PMI - 1) - m) (Chernoff), which must not exceed 1 - ``confidence``.
 
 1. A map-only pass finds the base spans of every text, gated by substring tests.
 2. Contexts (identifier, term, offsets) carry no text.  Counting is by map-side aggregation, so
@@ -21,6 +24,8 @@ ended) only; loops are possessive where what follows cannot match what they took
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,7 +41,7 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 WINDOW = 3
 SIDE = 512  # characters that hold the words of a window
 BLOCK = 4096  # characters; see in_blocks
-SUPPORT = 3
+CONFIDENCE = 0.99
 GENERALISE = 0.75
 REMOVE = 0.95
 WORD = r"[\p{L}\p{N}]++"
@@ -170,26 +175,30 @@ def document_frequencies(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return counts.join(terms, "t", "left_semi")
 
 
-def disclosing_terms(contexts: DataFrame, docs: DataFrame, n_docs: int, support: int, generalise: float) -> DataFrame:
+def disclosing_terms(contexts: DataFrame, docs: DataFrame, n_docs: int, confidence: float, generalise: float) -> DataFrame:
     """(c, t, share): terms that disclose at least ``generalise`` of the information content of c."""
     joint = contexts.select("ctx", "c", "t").distinct()
-    joint = joint.groupBy("c", "t").agg(F.count("*").alias("nct")).filter(F.col("nct") >= support)
+    joint = joint.groupBy("c", "t").agg(F.count("*").alias("nct"))
     nc = contexts.select("ctx", "c").distinct().groupBy("c").agg(F.count("*").alias("nc"))
     n = F.lit(float(n_docs))
 
+    def pmi(nt: str) -> Column:
+        return F.log2((F.col("nct") / F.col("nc")) * n / F.col(nt))
+
     def share(nt: str) -> Column:
         ic = F.log2(n / F.col("nc"))
-        pmi = F.log2((F.col("nct") / F.col("nc")) * n / F.col(nt))
-        return F.when(ic > 0, pmi / ic).otherwise(0.0)
+        return F.when(ic > 0, pmi(nt) / ic).otherwise(0.0)
+
+    sure = F.col("nct") * (pmi("nt") * math.log(2) - 1) + F.col("nc") * F.col("nt") / n >= -math.log(1 - confidence)
 
     # A term occurs at least in the documents of its contexts: that alone rules common words out.
     least = contexts.select("row", "t").distinct().groupBy("t").agg(F.count("*").alias("least"))
     pairs = land(joint.join(nc, "c").join(least, "t").filter(share("least") >= generalise), "pii-pairs")
     nt = document_frequencies(docs, pairs.select("t").distinct())
-    return pairs.join(nt, "t").withColumn("share", share("nt")).filter(F.col("share") >= generalise).select("c", "t", "share")
+    return pairs.join(nt, "t").withColumn("share", share("nt")).filter((F.col("share") >= generalise) & sure).select("c", "t", "share")
 
 
-def pii_spans(docs: DataFrame, window: int = WINDOW, support: int = SUPPORT, generalise: float = GENERALISE,
+def pii_spans(docs: DataFrame, window: int = WINDOW, confidence: float = CONFIDENCE, generalise: float = GENERALISE,
               remove: float = REMOVE) -> DataFrame:
     """One row per row of ``docs``: doc_id, text, spans (array of s, k, e, action), sorted by s, k.
 
@@ -205,7 +214,7 @@ def pii_spans(docs: DataFrame, window: int = WINDOW, support: int = SUPPORT, gen
     found = land(spotted.filter(F.size("spans") > 0), "pii-found")
     contexts = land(_contexts(found, window), "pii-contexts")
     n_docs = docs.count()
-    telling = land(disclosing_terms(contexts, docs, n_docs, support, generalise), "pii-terms")
+    telling = land(disclosing_terms(contexts, docs, n_docs, confidence, generalise), "pii-terms")
     action = F.when(F.col("share") >= remove, "remove").otherwise("generalise")
     terms = (contexts.join(telling, ["c", "t"]).groupBy("row", "s", "e").agg(F.max("share").alias("share")).groupBy("row")
              .agg(F.collect_list(F.struct("s", F.lit(4).alias("k"), "e", action.alias("action"))).alias("terms")))

@@ -68,3 +68,11 @@ def test_disclosing_terms(spark):
     # Between the thresholds a term keeps its shape.
     soft = pii.sanitise(pii.pii_spans(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), remove=2.0))
     assert {r["doc_id"]: r["clean"] for r in soft.collect()}[60] == "the Aaaaaaa the <email> wrote"
+
+
+def test_an_identifier_seen_once_takes_part(spark):
+    texts = [f"please call the office at noon or write to them, note {i % 7}" for i in range(400)] + ["please write to Quixotl at zed@example.org, note 3"]
+    rows = run(spark, texts)
+    assert {i: r["spans"] for i, r in rows.items() if r["n_terms"]} == {400: "term:16:23,email:27:42"}
+    spotted = pii.sanitise(pii.pii_spans(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
+    assert {r["doc_id"]: r["clean"] for r in spotted.collect()}[400] == "please write to  at <email>, note 3"
