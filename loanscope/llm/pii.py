@@ -3,8 +3,8 @@
 The base kinds (email, ip, card, phone) are leftmost non-overlapping regex matches that pass
 their check.  What surrounds an identifier can give it away too, so the corpus tells how strongly: an
 identifier value c and a term t near it (within ``window`` words on its line) co-occur in
-n(c, t) of the n(c) different surroundings of c (copies of a passage are one), and t occurs in n(t) of
-all N documents.  The pointwise information PMI(c; t) = log2((n(c, t) / n(c)) / (n(t) / N)) is the part of
+n(c, t) of the n(c) different texts that hold c, and t occurs in n(t) of all N different texts
+(copies of a text are one in all four counts).  The pointwise information PMI(c; t) = log2((n(c, t) / n(c)) / (n(t) / N)) is the part of
 the information content IC(c) = log2(N / n(c)) of c that t discloses.  A term with
 PMI >= ``generalise`` * IC(c) is generalised (its shape stays); from ``remove`` * IC(c) on it is removed.
 No number of co-occurrences is asked for: a pair counts unless chance would explain it.  Were c and t
@@ -14,7 +14,7 @@ exp(-n(c, t) * (ln 2 * PMI - 1) - m) (Chernoff), which must not exceed 1 - ``con
 1. A map-only pass finds the base spans of every text, gated by substring tests.
 2. Contexts (identifier, term, offsets) carry no text.  Counting is by map-side aggregation, so
    a hot identifier is one row per task and term.
-3. n(t) is counted over all documents, distinct terms of a document exploded and pre-aggregated.
+3. n(t) is counted over all different texts, distinct terms of a text exploded and pre-aggregated.
 4. Terms past the threshold come back to the documents with identifiers; the others skip that join.
 
 Regexes are written for bounded work on long texts: a match of a greedy class that failed at the
@@ -142,8 +142,8 @@ def apart(spans: Column, kind: str) -> Column:
 
 
 def _contexts(found: DataFrame, window: int) -> DataFrame:
-    """(row, c, ctx, t, s, e): terms within ``window`` words of an identifier on its line and before the next
-    identifier, s and e their offsets.  ``ctx`` tells the distinct surroundings of c apart."""
+    """(row, c, t, s, e): terms within ``window`` words of an identifier on its line and before the next
+    identifier, s and e their offsets."""
     merged = found.select("row", "text", apart(F.col("spans"), SPANS).alias("spans"), in_blocks(F.col("text")).alias("blocks"))
     blocks, spans = F.col("blocks"), F.col("spans")
     gaps = F.transform(spans, lambda x, i: gap_before(blocks, spans, i, x))
@@ -158,8 +158,8 @@ def _contexts(found: DataFrame, window: int) -> DataFrame:
     moved = lambda ws, at: F.transform(ws, lambda w: F.struct((w["s"] + F.col(at)).alias("s"), w["m"].alias("m")))
     words = each.select("row", "c", F.concat(moved(F.slice(F.reverse(word_offsets(F.col("l"))), 1, window), "l0"),
                                              moved(F.slice(word_offsets(F.col("r")), 1, window), "r0")).alias("ws"))
-    return (words.withColumn("ctx", F.xxhash64(F.transform("ws", lambda w: w["m"]))).select("row", "c", "ctx", F.explode("ws").alias("w"))
-            .select("row", "c", "ctx", F.lower("w.m").alias("t"), F.col("w.s").alias("s"), (F.col("w.s") + F.length("w.m")).alias("e")))
+    return (words.select("row", "c", F.explode("ws").alias("w"))
+            .select("row", "c", F.lower("w.m").alias("t"), F.col("w.s").alias("s"), (F.col("w.s") + F.length("w.m")).alias("e")))
 
 
 def word_offsets(s: Column) -> Column:
@@ -167,20 +167,19 @@ def word_offsets(s: Column) -> Column:
     return match_spans(s, WORD)
 
 
-def document_frequencies(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """(t, nt): in how many of all documents each of ``terms`` (t) occurs."""
-    words = F.array_distinct(F.split(F.lower(text_of(docs)), r"[^\p{L}\p{N}]+"))
+def document_frequencies(texts: DataFrame, terms: DataFrame) -> DataFrame:
+    """(t, nt): in how many of the distinct ``texts`` each of ``terms`` (t) occurs."""
+    words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"))
     # Aggregated before the join: what is shuffled is one count per term and task.
-    counts = docs.select(F.explode(words).alias("t")).groupBy("t").agg(F.count("*").alias("nt"))
+    counts = texts.select(F.explode(words).alias("t")).groupBy("t").agg(F.count("*").alias("nt"))
     return counts.join(terms, "t", "left_semi")
 
 
-def disclosing_terms(contexts: DataFrame, docs: DataFrame, n_docs: int, confidence: float, generalise: float) -> DataFrame:
+def disclosing_terms(contexts: DataFrame, rows: DataFrame, n_texts: int, confidence: float, generalise: float) -> DataFrame:
     """(c, t, share): terms that disclose at least ``generalise`` of the information content of c."""
-    joint = contexts.select("ctx", "c", "t").distinct()
-    joint = joint.groupBy("c", "t").agg(F.count("*").alias("nct"))
-    nc = contexts.select("ctx", "c").distinct().groupBy("c").agg(F.count("*").alias("nc"))
-    n = F.lit(float(n_docs))
+    joint = contexts.select("row.h", "c", "t").distinct().groupBy("c", "t").agg(F.count("*").alias("nct"))
+    nc = contexts.select("row.h", "c").distinct().groupBy("c").agg(F.count("*").alias("nc"))
+    n = F.lit(float(n_texts))
 
     def pmi(nt: str) -> Column:
         return F.log2((F.col("nct") / F.col("nc")) * n / F.col(nt))
@@ -190,11 +189,10 @@ def disclosing_terms(contexts: DataFrame, docs: DataFrame, n_docs: int, confiden
         return F.when(ic > 0, pmi(nt) / ic).otherwise(0.0)
 
     sure = F.col("nct") * (pmi("nt") * math.log(2) - 1) + F.col("nc") * F.col("nt") / n >= -math.log(1 - confidence)
-
-    # A term occurs at least in the documents of its contexts: that alone rules common words out.
-    least = contexts.select("row", "t").distinct().groupBy("t").agg(F.count("*").alias("least"))
+    # A term occurs at least in the texts of its contexts: that alone rules common words out.
+    least = contexts.select("row.h", "t").distinct().groupBy("t").agg(F.count("*").alias("least"))
     pairs = land(joint.join(nc, "c").join(least, "t").filter(share("least") >= generalise), "pii-pairs")
-    nt = document_frequencies(docs, pairs.select("t").distinct())
+    nt = document_frequencies(rows.select("row.h", "text").dropDuplicates(["h"]), pairs.select("t").distinct())
     return pairs.join(nt, "t").withColumn("share", share("nt")).filter((F.col("share") >= generalise) & sure).select("c", "t", "share")
 
 
@@ -213,8 +211,8 @@ def pii_spans(docs: DataFrame, window: int = WINDOW, confidence: float = CONFIDE
     spotted = rows.withColumn("spans", base_spans(F.col("text")))
     found = land(spotted.filter(F.size("spans") > 0), "pii-found")
     contexts = land(_contexts(found, window), "pii-contexts")
-    n_docs = docs.count()
-    telling = land(disclosing_terms(contexts, docs, n_docs, confidence, generalise), "pii-terms")
+    n_texts = rows.select("row.h").distinct().count()
+    telling = land(disclosing_terms(contexts, rows, n_texts, confidence, generalise), "pii-terms")
     action = F.when(F.col("share") >= remove, "remove").otherwise("generalise")
     terms = (contexts.join(telling, ["c", "t"]).groupBy("row", "s", "e").agg(F.max("share").alias("share")).groupBy("row")
              .agg(F.collect_list(F.struct("s", F.lit(4).alias("k"), "e", action.alias("action"))).alias("terms")))

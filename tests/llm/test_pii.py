@@ -71,8 +71,18 @@ def test_disclosing_terms(spark):
 
 
 def test_an_identifier_seen_once_takes_part(spark):
-    texts = [f"please call the office at noon or write to them, note {i % 7}" for i in range(400)] + ["please write to Quixotl at zed@example.org, note 3"]
+    texts = [f"please call the office at noon or write to them, note {i}" for i in range(400)] + ["please write to Quixotl at zed@example.org, note"]
     rows = run(spark, texts)
     assert {i: r["spans"] for i, r in rows.items() if r["n_terms"]} == {400: "term:16:23,email:27:42"}
     spotted = pii.sanitise(pii.pii_spans(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
-    assert {r["doc_id"]: r["clean"] for r in spotted.collect()}[400] == "please write to  at <email>, note 3"
+    assert {r["doc_id"]: r["clean"] for r in spotted.collect()}[400] == "please write to  at <email>, note"
+
+
+def test_copies_count_once_in_all_counts(spark):
+    texts = [f"please call the office at noon or write to them, note {i}" for i in range(400)]
+    held = [f"please write to Quixotl at zed@example.org, note {i}" for i in range(3)]
+    once = run(spark, texts + held)
+    # 60 copies each: in documents, n(t) would be 180 against n(c) = n(c, t) = 3.
+    many = run(spark, texts + held * 60)
+    assert once[400]["spans"] == "term:16:23,email:27:42"
+    assert {r["spans"] for i, r in many.items() if i >= 400} == {r["spans"] for i, r in once.items() if i >= 400}
