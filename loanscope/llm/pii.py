@@ -1,21 +1,21 @@
 """PII: base identifiers by pattern, and information-theoretic sanitisation, natively.
 
 The base kinds (email, ip, card, phone) are leftmost non-overlapping regex matches that pass
-their check.  What surrounds an identifier can give it away too, so the corpus tells how strongly: an
-identifier value c and a term t near it (within ``window`` words on its line) co-occur in
-n(c, t) of the n(c) different texts that hold c, and t occurs in n(t) of all N different texts
-(copies of a text are one in all four counts).  The pointwise information PMI(c; t) = log2((n(c, t) / n(c)) / (n(t) / N)) is the part of
-the information content IC(c) = log2(N / n(c)) of c that t discloses.  A term with
-PMI >= ``generalise`` * IC(c) is generalised (its shape stays); from ``remove`` * IC(c) on it is removed.
+their check.  What is said with an identifier can give it away too, so the corpus tells how strongly: an
+identifier value c and a term t (a word outside identifiers, in lower case) are together in n(c, t) of the n(c) different texts
+that hold c, and t is in n(t) of all N different texts (copies of a text are one in all four counts).  The pointwise information
+PMI(c; t) = log2((n(c, t) / n(c)) / (n(t) / N)) is the part of the information content IC(c) = log2(N / n(c)) of c that t discloses.
+In all texts that hold c, every occurrence of a term with PMI >= ``generalise`` * IC(c) is generalised (its shape stays); from
+``remove`` * IC(c) on it is removed.
 No number of co-occurrences is asked for: a pair counts unless chance would explain it.  Were c and t
 independent, they would share m = n(c) * n(t) / N, and n(c, t) = m * 2^PMI or more of them with a probability of at most
 exp(-n(c, t) * (ln 2 * PMI - 1) - m) (Chernoff), which must not exceed 1 - ``confidence``.
 
 1. A map-only pass finds the base spans of every text, gated by substring tests.
-2. Contexts (identifier, term, offsets) carry no text.  Counting is by map-side aggregation, so
-   a hot identifier is one row per task and term.
-3. n(t) is counted over all different texts, distinct terms of a text exploded and pre-aggregated.
-4. Terms past the threshold come back to the documents with identifiers; the others skip that join.
+2. n(t) is counted over all different texts, distinct terms of a text exploded and pre-aggregated.
+3. Words too common to disclose any identifier drop out by n(t) before texts' identifiers and terms are paired.
+   Pairs are counted by map-side aggregation, so a hot identifier is one row per task and term.
+4. Places of the terms past the threshold come back to the documents with identifiers; the others skip that join.
 
 Regexes are written for bounded work on long texts: a match of a greedy class that failed at the
 start of a run fails at its other places too, so a run is tried at its start (or where the previous match
@@ -29,7 +29,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanscope.llm.common import land, match_spans, text_of
+from loanscope.llm.common import land, let, match_spans, text_of
 from loanscope.sources.tables import read_table
 
 KINDS = ("email", "ip", "card", "phone")
@@ -38,8 +38,6 @@ IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"(?:\G|(?<![0-9]))[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 
-WINDOW = 3
-SIDE = 512  # characters that hold the words of a window
 BLOCK = 4096  # characters; see in_blocks
 CONFIDENCE = 0.99
 GENERALISE = 0.75
@@ -141,84 +139,69 @@ def apart(spans: Column, kind: str) -> Column:
     return F.when(F.size(spans) == 0, spans).when(~F.exists(touching, lambda t: t), spans).otherwise(F.aggregate(spans, zero, step))
 
 
-def _contexts(found: DataFrame, window: int) -> DataFrame:
-    """(row, c, t, s, e): terms within ``window`` words of an identifier on its line and before the next
-    identifier, s and e their offsets."""
-    merged = found.select("row", "text", apart(F.col("spans"), SPANS).alias("spans"), in_blocks(F.col("text")).alias("blocks"))
-    blocks, spans = F.col("blocks"), F.col("spans")
-    gaps = F.transform(spans, lambda x, i: gap_before(blocks, spans, i, x))
-    pieces = merged.select("row", "spans", F.concat(gaps, F.array(rest_after(blocks, spans, F.col("text")))).alias("gaps"))
+def outside(text: Column, spans: Column) -> Column:
+    """The text with its base spans blanked: offsets stay, and words end where an identifier begins."""
+    return F.when(F.size(spans) == 0, text).otherwise(let(apart(spans, SPANS), lambda sp: let(in_blocks(text), lambda blocks: F.concat(
+        F.array_join(F.transform(sp, lambda x, i: F.concat(gap_before(blocks, sp, i, x), F.repeat(F.lit(" "), x["e"] - x["s"]))), ""),
+        rest_after(blocks, sp, text)))))
 
-    def near(x, i):
-        left = F.regexp_extract(F.right(F.get(F.col("gaps"), i), F.lit(SIDE)), r"[^\n]*\z", 0)
-        right = F.regexp_extract(F.substring(F.get(F.col("gaps"), i + 1), 1, SIDE), r"\A[^\n]*", 0)
-        return F.struct(_value(x["k"], x["m"]).alias("c"), left.alias("l"), (x["s"] - F.length(left)).alias("l0"), right.alias("r"), x["e"].alias("r0"))
 
-    each = pieces.select("row", F.inline(F.transform("spans", near)))
-    moved = lambda ws, at: F.transform(ws, lambda w: F.struct((w["s"] + F.col(at)).alias("s"), w["m"].alias("m")))
-    words = each.select("row", "c", F.concat(moved(F.slice(F.reverse(word_offsets(F.col("l"))), 1, window), "l0"),
-                                             moved(F.slice(word_offsets(F.col("r")), 1, window), "r0")).alias("ws"))
-    return (words.select("row", "c", F.explode("ws").alias("w"))
-            .select("row", "c", F.lower("w.m").alias("t"), F.col("w.s").alias("s"), (F.col("w.s") + F.length("w.m")).alias("e")))
+def document_frequencies(texts: DataFrame) -> DataFrame:
+    """(t, nt): in how many of ``texts`` (h, text, spans, each text once) a term occurs outside identifiers."""
+    said = F.regexp_extract_all(outside(F.col("text"), F.col("spans")), F.lit(WORD), F.lit(0))
+    # Aggregated before any join: what is shuffled is one count per term and task.
+    return texts.select(F.explode(F.array_distinct(F.transform(said, F.lower))).alias("t")).groupBy("t").agg(F.count("*").alias("nt"))
 
 
-def word_offsets(s: Column) -> Column:
-    """Array of (s, e, m): the words of a short string with their offsets."""
-    return match_spans(s, WORD)
+def occurrences(texts: DataFrame) -> DataFrame:
+    """(h, t, at): the terms of each text outside identifiers, ``at`` the offsets (s, e) of all their places."""
+    words = match_spans(F.col("blank"), WORD)
+    each = texts.select("h", outside(F.col("text"), F.col("spans")).alias("blank")).select("h", F.explode(words).alias("w"))
+    return each.groupBy("h", F.lower("w.m").alias("t")).agg(F.collect_list(F.struct("w.s", "w.e")).alias("at"))
 
 
-def document_frequencies(texts: DataFrame, terms: DataFrame) -> DataFrame:
-    """(t, nt): in how many of the distinct ``texts`` each of ``terms`` (t) occurs."""
-    words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"))
-    # Aggregated before the join: what is shuffled is one count per term and task.
-    counts = texts.select(F.explode(words).alias("t")).groupBy("t").agg(F.count("*").alias("nt"))
-    return counts.join(terms, "t", "left_semi")
-
-
-def disclosing_terms(contexts: DataFrame, rows: DataFrame, n_texts: int, confidence: float, generalise: float) -> DataFrame:
-    """(c, t, share): terms that disclose at least ``generalise`` of the information content of c."""
-    joint = contexts.select("row.h", "c", "t").distinct().groupBy("c", "t").agg(F.count("*").alias("nct"))
-    nc = contexts.select("row.h", "c").distinct().groupBy("c").agg(F.count("*").alias("nc"))
+def disclosing_terms(found: DataFrame, texts: DataFrame, n_texts: int, confidence: float, generalise: float) -> DataFrame:
+    """(h, s, e, share): all places of terms that disclose at least ``generalise`` of the information content
+    of an identifier of their text, with the largest share."""
+    held = land(found.select("h", F.explode(F.array_distinct(F.transform("spans", lambda x: _value(x["k"], x["m"])))).alias("c")).distinct(), "pii-held")
+    nc = land(held.groupBy("c").agg(F.count("*").alias("nc")), "pii-values")
     n = F.lit(float(n_texts))
-
-    def pmi(nt: str) -> Column:
-        return F.log2((F.col("nct") / F.col("nc")) * n / F.col(nt))
-
-    def share(nt: str) -> Column:
-        ic = F.log2(n / F.col("nc"))
-        return F.when(ic > 0, pmi(nt) / ic).otherwise(0.0)
-
-    sure = F.col("nct") * (pmi("nt") * math.log(2) - 1) + F.col("nc") * F.col("nt") / n >= -math.log(1 - confidence)
-    # A term occurs at least in the texts of its contexts: that alone rules common words out.
-    least = contexts.select("row.h", "t").distinct().groupBy("t").agg(F.count("*").alias("least"))
-    pairs = land(joint.join(nc, "c").join(least, "t").filter(share("least") >= generalise), "pii-pairs")
-    nt = document_frequencies(rows.select("row.h", "text").dropDuplicates(["h"]), pairs.select("t").distinct())
-    return pairs.join(nt, "t").withColumn("share", share("nt")).filter((F.col("share") >= generalise) & sure).select("c", "t", "share")
-
-
-def pii_spans(docs: DataFrame, window: int = WINDOW, confidence: float = CONFIDENCE, generalise: float = GENERALISE,
-              remove: float = REMOVE) -> DataFrame:
+    # As n(c, t) <= n(c), a share of g needs n(t) <= N^(1 - g) n(c)^g: common words drop out before the pairs.
+    most = lambda count: F.pow(n, F.lit(1 - generalise)) * F.pow(count, F.lit(generalise)) * (1 + 1e-9)
+    top = nc.agg(F.max("nc")).first()[0] or 0
+    rare = document_frequencies(texts).filter(F.col("nt") <= most(F.lit(float(top))))
+    terms = land(occurrences(found.dropDuplicates(["h"])).join(rare, "t"), "pii-terms")
+    pairs = held.join(nc, "c").join(terms.select("h", "t", "nt"), "h").filter(F.col("nt") <= most(F.col("nc")))
+    pairs = land(pairs.select("h", "c", "t", "nc", "nt"), "pii-pairs")
+
+    ic = F.log2(n / F.col("nc"))
+    pmi = F.log2((F.col("nct") / F.col("nc")) * n / F.col("nt"))
+    sure = F.col("nct") * (pmi * math.log(2) - 1) + F.col("nc") * F.col("nt") / n >= -math.log(1 - confidence)
+    joint = pairs.groupBy("c", "t", "nc", "nt").agg(F.count("*").alias("nct")).withColumn("share", F.when(ic > 0, pmi / ic).otherwise(0.0))
+    telling = joint.filter((F.col("share") >= generalise) & sure).select("c", "t", "share")
+    told = pairs.select("h", "c", "t").join(telling, ["c", "t"]).groupBy("h", "t").agg(F.max("share").alias("share"))
+    return terms.join(told, ["h", "t"]).select("h", "share", F.inline("at"))
+
+
+def pii_spans(docs: DataFrame, confidence: float = CONFIDENCE, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
     """One row per row of ``docs``: doc_id, text, spans (array of s, k, e, action), sorted by s, k.
 
     k is 0-3 for email, ip, card, phone and 4 for a disclosing term; action is 'mask' (base kinds), 'generalise' or
-    'remove'.  Null text counts as empty, empty texts and tables have no spans.  Rows are told apart by
-    themselves, not by doc_id: repeated and null ids keep their own spans.  Other columns are
-    not read.
+    'remove'.  Null text counts as empty, empty texts and tables have no spans.  Spans follow from the text, so
+    rows of repeated and null ids have their own.  Other columns are not read.
     """
-    text = text_of(docs)
-    rows = docs.select(F.col("doc_id"), text.alias("text"))
-    rows = rows.withColumn("row", F.struct("doc_id", F.xxhash64("text").alias("h")))
+    rows = docs.select(F.col("doc_id"), text_of(docs).alias("text"))
+    rows = rows.withColumn("h", F.struct(F.xxhash64("text").alias("a"), F.hash("text").alias("b")))
     spotted = rows.withColumn("spans", base_spans(F.col("text")))
     found = land(spotted.filter(F.size("spans") > 0), "pii-found")
-    contexts = land(_contexts(found, window), "pii-contexts")
-    n_texts = rows.select("row.h").distinct().count()
-    telling = land(disclosing_terms(contexts, rows, n_texts, confidence, generalise), "pii-terms")
+    texts = rows.select("h", "text").dropDuplicates(["h"]).withColumn("spans", base_spans(F.col("text")))
+    n_texts = rows.select("h").distinct().count()
+    places = disclosing_terms(found, texts, n_texts, confidence, generalise)
     action = F.when(F.col("share") >= remove, "remove").otherwise("generalise")
-    terms = (contexts.join(telling, ["c", "t"]).groupBy("row", "s", "e").agg(F.max("share").alias("share")).groupBy("row")
-             .agg(F.collect_list(F.struct("s", F.lit(4).alias("k"), "e", action.alias("action"))).alias("terms")))
+    terms = places.groupBy("h").agg(F.collect_list(F.struct("s", F.lit(4).alias("k"), "e", action.alias("action"))).alias("terms"))
     base = F.transform("spans", lambda x: F.struct(x["s"].alias("s"), x["k"].alias("k"), x["e"].alias("e"), F.lit("mask").alias("action")))
     none = F.expr(f"cast(array() as {ACTIONS})")
-    with_terms = found.join(land(terms, "pii-spans"), "row", "left").select(
+    with_terms = found.join(land(terms, "pii-spans"), "h", "left").select(
         "doc_id", "text", F.array_sort(F.concat(base, F.coalesce("terms", none))).alias("spans"))
     return spotted.filter(F.size("spans") == 0).select("doc_id", "text", none.alias("spans")).unionByName(with_terms)
 

@@ -86,3 +86,16 @@ def test_copies_count_once_in_all_counts(spark):
     many = run(spark, texts + held * 60)
     assert once[400]["spans"] == "term:16:23,email:27:42"
     assert {r["spans"] for i, r in many.items() if i >= 400} == {r["spans"] for i, r in once.items() if i >= 400}
+
+
+def test_terms_of_the_whole_document(spark):
+    filler = "please call the office at noon or write to them, as one can say in many words, note"
+    texts = [f"{filler} {i}" for i in range(400)]
+    # Four words away, on the next line, twice, and beyond another identifier.
+    texts += [f"Quixotl can say please write to them at zed@example.org\nor call quixotl, 1.2.3.4 and Quixotl {i}" for i in range(2)]
+    texts += ["zed@example.org, call at noon", "quixotl in the office"]
+    rows = run(spark, texts)
+    for i in (400, 401):
+        places = [m.start() for m in re.finditer("quixotl", texts[i].lower())]
+        assert [p for p in places if f"term:{p}:{p + 7}" in rows[i]["spans"].split(",")] == places
+    assert not rows[402]["n_terms"] and not rows[403]["n_terms"]
