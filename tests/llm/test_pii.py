@@ -99,3 +99,12 @@ def test_terms_of_the_whole_document(spark):
         places = [m.start() for m in re.finditer("quixotl", texts[i].lower())]
         assert [p for p in places if f"term:{p}:{p + 7}" in rows[i]["spans"].split(",")] == places
     assert not rows[402]["n_terms"] and not rows[403]["n_terms"]
+
+
+def test_long_words_stay_whole(spark):
+    filler = [f"please write to them at noon, note {i}" for i in range(400)]
+    long = "x" * 700
+    rows = run(spark, [*filler, f"please write {long} zed@example.org", f"at noon a@b.org {long}y", f"at noon {'.' * 600} {long}z {'.' * 600} c@d.org"])
+    assert rows[400]["spans"] == "term:13:713,email:714:729"
+    assert rows[401]["spans"] == "email:8:15,term:16:717"
+    assert rows[402]["spans"] == "term:609:1310,email:1912:1919"
