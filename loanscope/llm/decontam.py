@@ -6,13 +6,14 @@ within ``radius`` bits of the item's: the 64 bits are cut into blocks, and two f
 within the radius differ in some block by at most radius // blocks bits, so looking each block up
 among the item blocks that near finds all of them.  A candidate counts if its
 weighted Jaccard similarity with the item is at least ``similarity``; shingles weigh
-log(1 + items / items that have it).
+log(1 + items / items that have it), counted over the whole benchmark.
 
 A window without a shingle of an item of its size has similarity 0 with all of them, so only
 windows over such a shingle are fingerprinted: a document without any costs one pass of hashing.
 
 Documents are only mapped over: no shuffle, no group.  The benchmark is the stated query set; it
-goes to the tasks in blocks of a bounded number of bytes, one pass over the documents for each.
+goes to the tasks in blocks of a bounded number of bytes, one pass over the documents for each, with the counts of all
+shingles that several items have (16 bytes each).
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from __future__ import annotations
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -88,12 +90,26 @@ class HammingIndex:
         return sorted(found)
 
 
+class Frequencies(NamedTuple):
+    """The number of items with words in the whole benchmark, its shingles that several of them have (sorted), and how many have each."""
+
+    n_items: int
+    shingles: np.ndarray
+    having: np.ndarray
+
+
+def item_shingles(h: np.ndarray, words: int) -> tuple[int, np.ndarray]:
+    """Words a shingle and the shingles of an item with word hashes ``h``."""
+    k = min(words, len(h))
+    return k, grams.shingles(h, k)
+
+
 class Items:
     """A block of benchmark items, ready to be searched for in documents."""
 
-    def __init__(self, items: list[tuple[int, bytes]], words: int = SHINGLE_WORDS, similarity: float = SIMILARITY,
+    def __init__(self, items: list[tuple[int, bytes]], known: Frequencies, words: int = SHINGLE_WORDS, similarity: float = SIMILARITY,
                  radius: int = RADIUS):
-        self.similarity = similarity
+        self.similarity, self.frequencies = similarity, known
         self.by_size: dict[tuple[int, int], list[int]] = defaultdict(list)  # (shingle words, shingles) -> items
         self.ids, self.counts = [], []
         has: dict[int, list[int]] = defaultdict(list)
@@ -102,8 +118,7 @@ class Items:
             h, _, _ = grams.words(text)
             if not len(h):
                 continue  # an item without words is in no document
-            k = min(words, len(h))
-            s = grams.shingles(h, k)
+            k, s = item_shingles(h, words)
             at = len(self.ids)
             self.ids.append(ident)
             self.counts.append(Counter(s.tolist()))
@@ -113,9 +128,7 @@ class Items:
                 has[x].append(at)
         self.has = dict(has)
         self.size_of = {i: size for size, members in self.by_size.items() for i in members}
-        n = len(self.ids)
-        self.weight = {x: float(np.log1p(n / len(members))) for x, members in self.has.items()}
-        self.new = float(np.log1p(n))
+        self.weights: dict[int, float] = {}  # filled as shingles are asked for
         self.index = {size: HammingIndex(np.array([prints[i] for i in members], np.uint64), radius)
                       for size, members in self.by_size.items()}
         self.shingle_words = sorted({k for k, _ in self.by_size})
@@ -123,12 +136,20 @@ class Items:
         self.filter = np.zeros(1 << FILTER_BITS, bool)
         self.filter[(self.known >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
 
+    def weight(self, x: int) -> float:
+        """By the whole benchmark, also for shingles of other blocks; one that no item has weighs as that of a single item."""
+        if x not in self.weights:
+            n, shingles, having = self.frequencies
+            at = int(np.searchsorted(shingles, np.uint64(x)))
+            self.weights[x] = float(np.log1p(n / having[at] if at < len(shingles) and int(shingles[at]) == x else n))
+        return self.weights[x]
+
     def similarity_of(self, item: int, window: Counter) -> float:
         """Weighted Jaccard similarity of multisets of shingles."""
         own = self.counts[item]
         least = most = 0.0
         for x in own.keys() | window.keys():
-            w = self.weight.get(x, self.new)
+            w = self.weight(x)
             least += w * min(own[x], window[x])
             most += w * max(own[x], window[x])
         return least / most
@@ -190,6 +211,30 @@ def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def frequencies(benchmark: DataFrame, words: int = SHINGLE_WORDS) -> Frequencies:
+    """Counted in Spark; shingles of one item weigh as unknown ones, so only those of several come to the driver."""
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[np.ndarray] = []
+            n = 0
+            for text in batch.column(0).to_pylist():
+                h, _, _ = grams.words(text)
+                if len(h):
+                    out.append(np.unique(item_shingles(h, words)[1]).view(np.int64))
+                    n += 1
+            # A null for each item that has words.
+            shingle = pa.concat_arrays([pa.array(x, pa.int64()) for x in out] + [pa.nulls(n, pa.int64())])
+            yield pa.RecordBatch.from_arrays([shingle], names=["shingle"])
+
+    b = benchmark.select(F.lower(text_of(benchmark)).cast("binary").alias("text"))
+    counted = b.mapInArrow(each, "shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
+    rows = counted.filter(F.col("shingle").isNull() | (F.col("n") > 1)).collect()
+    shared = [(r[0], r[1]) for r in rows if r[0] is not None]
+    shingles = np.array([x for x, _ in shared], np.int64).view(np.uint64)
+    order = np.argsort(shingles)
+    return Frequencies(sum(r[1] for r in rows if r[0] is None), shingles[order], np.array([n for _, n in shared], np.int64)[order])
+
+
 def item_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[int, bytes]]]:
     """The benchmark's (item_id, text) in blocks of about ``block_bytes``, one at a time on the driver."""
     b = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.lower(text_of(benchmark)).cast("binary").alias("text"))
@@ -211,11 +256,12 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, words: int = SHINGLE_W
     spark = docs.sparkSession
     ship_package(spark)
     bound_batches(spark)
+    known = frequencies(benchmark, words)
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower(text_of(docs)).cast("binary").alias("text"))
 
     def search(block: list[tuple[int, bytes]]):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            items = Items(block, words, similarity, radius)
+            items = Items(block, known, words, similarity, radius)
             for batch in batches:
                 ids = batch.column(0).to_pylist()
                 rows = [(ids[t], *rest) for t, *rest in items.matches(batch.column(1).to_pylist())]
@@ -229,14 +275,14 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, words: int = SHINGLE_W
     return reduce(DataFrame.unionByName, [d.mapInArrow(search(b), MATCH_SCHEMA) for b in item_blocks(benchmark)])
 
 
-def holds_item(block: list[tuple[int, bytes]], words: int, similarity: float, radius: int):
+def holds_item(block: list[tuple[int, bytes]], known: Frequencies, words: int, similarity: float, radius: int):
     """A function of a binary text column: whether any of the block's items is in it."""
     kept: list[Items] = []  # built once in a task
 
     @pandas_udf("boolean")
     def holds(texts: pd.Series) -> pd.Series:
         if not kept:
-            kept.append(Items(block, words, similarity, radius))
+            kept.append(Items(block, known, words, similarity, radius))
         hit = np.zeros(len(texts), bool)
         for t, *_ in kept[0].matches(texts.tolist()):
             hit[t] = True
@@ -250,10 +296,11 @@ def without_benchmark(docs: DataFrame, benchmark: DataFrame, words: int = SHINGL
     """The rows of ``docs`` that hold no benchmark item, all columns."""
     ship_package(docs.sparkSession)
     bound_batches(docs.sparkSession)
+    known = frequencies(benchmark, words)
     out = docs
     for block in item_blocks(benchmark):
         if block:
-            out = out.filter(~holds_item(block, words, similarity, radius)(F.lower(text_of(out)).cast("binary")))
+            out = out.filter(~holds_item(block, known, words, similarity, radius)(F.lower(text_of(out)).cast("binary")))
     return out
 
 

@@ -79,6 +79,30 @@ def test_blocks_of_the_benchmark_give_the_same(spark, monkeypatch):
         (x, y) for x, y in whole if x == y] == [(i, i) for i in range(12)]
 
 
+def test_weights_are_those_of_the_whole_benchmark(spark, monkeypatch):
+    rng = random.Random(4)
+    vocabulary = [f"w{i}" for i in range(40)]
+    stock = [" ".join(rng.choices(vocabulary, k=12)) for _ in range(6)]
+    items = [(i, " ".join([rng.choice(stock), *rng.choices(vocabulary, k=12), rng.choice(stock)])) for i in range(40)]
+    docs = []
+    for d in range(80):
+        words = rng.choice(items)[1].split()
+        for _ in range(rng.choice([0, 1])):
+            words[rng.randrange(len(words))] = "new"
+        # Ends with shingles of other items, of other blocks.
+        words[len(words) - rng.randint(1, 5):] = rng.choice(stock).split()[:5]
+        docs.append((d, " ".join(["x"] * 9 + words + ["x"] * 9)))
+    b, d = spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame(docs, "doc_id long, text string")
+    pairs = lambda: {(r["doc_id"], r["item_id"]): (round(r["similarity"], 9), r["first_word"], r["n_words"]) for r in decontam.contaminations(d, b).collect()}
+    whole = pairs()
+    assert len(whole) > 10 and any(s < 1 for s, _, _ in whole.values())
+    blocks = list(decontam.item_blocks(b, 900))
+    assert len(blocks) > 5
+    monkeypatch.setattr(decontam, "item_blocks", lambda _: iter(blocks))
+    assert pairs() == whole
+    assert {k: v[0] for k, v in whole.items()} == {k: round(v[0], 9) for k, v in brute(docs, items).items()}
+
+
 @given(st.lists(st.integers(0, 2**64 - 1), min_size=1, max_size=12), st.lists(st.tuples(st.integers(0, 11), st.sets(st.integers(0, 63), max_size=30)), min_size=1, max_size=12))
 def test_index_guarantees_the_radius(prints, near):
     prints = np.array(prints, np.uint64)
