@@ -1,7 +1,7 @@
 """Benchmark decontamination: SimHash over item-sized windows, multi-index Hamming blocks, exact check.
 
 An item of W words has the weighted multiset of its five-word shingles (fewer words: the whole
-sequence).  A window is any run of W words of a document.  Candidates are windows whose SimHash is
+sequence).  A window is any run of W words of a document, the whole document if it has fewer.  Candidates are windows whose SimHash is
 within ``radius`` bits of the item's: the 64 bits are cut into blocks, and two fingerprints
 within the radius differ in some block by at most radius // blocks bits, so looking each block up
 among the item blocks that near finds all of them.  A candidate counts if its
@@ -160,25 +160,28 @@ class Items:
         at = np.minimum(np.searchsorted(self.known, s[maybe]), len(self.known) - 1)
         return maybe[self.known[at] == s[maybe]]
 
-    def search(self, s: np.ndarray, k: int, anchors: np.ndarray) -> Iterator[tuple[int, int, float]]:
-        """(item, first shingle, similarity): the best window of each item in one document's shingles."""
+    def search(self, s: np.ndarray, k: int, anchors: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
+        """(item, first shingle, shingles, similarity): the best window of each item in one document's shingles.
+        An item that is longer than the document has the whole document as its window."""
         starts: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
         for p in anchors.tolist():
             for size in {self.size_of[i] for i in self.has[int(s[p])]}:
-                if size[0] == k and size[1] <= len(s):
-                    starts[size].append((max(0, p - size[1] + 1), min(p, len(s) - size[1])))
+                if size[0] == k:
+                    length = min(size[1], len(s))
+                    starts[size].append((max(0, p - length + 1), min(p, len(s) - length)))
         best: dict[int, tuple[float, int]] = {}
         for size, ranges in starts.items():
+            length = min(size[1], len(s))
             for lo, hi in merged(ranges):
-                prints = simhashes(bits_of(s[lo:hi + size[1]]), size[1])
+                prints = simhashes(bits_of(s[lo:hi + length]), length)
                 members = self.by_size[size]
                 for window, member, _ in self.index[size].within(prints):
                     item, first = members[member], lo + window
-                    sim = self.similarity_of(item, Counter(s[first:first + size[1]].tolist()))
+                    sim = self.similarity_of(item, Counter(s[first:first + length].tolist()))
                     if sim >= self.similarity and sim > best.get(item, (0.0, 0))[0]:
                         best[item] = sim, first
         for item, (sim, first) in sorted(best.items()):
-            yield item, first, sim
+            yield item, first, min(self.size_of[item][1], len(s)), sim
 
     def matches(self, texts: list[bytes]) -> Iterator[tuple[int, int, int, int, float]]:
         """(text, item id, first word, words, similarity) for a batch of texts."""
@@ -197,8 +200,8 @@ class Items:
                 found, text_at = found[inside], text_at[inside]
                 for t in np.unique(text_at).tolist():
                     lo, hi = int(bounds[t]), int(bounds[t + 1]) - k + 1
-                    for item, at, sim in self.search(s[lo:hi], k, found[text_at == t] - lo):
-                        yield first + t, self.ids[item], at, k + self.size_of[item][1] - 1, sim
+                    for item, at, length, sim in self.search(s[lo:hi], k, found[text_at == t] - lo):
+                        yield first + t, self.ids[item], at, k + length - 1, sim
 
 
 def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:

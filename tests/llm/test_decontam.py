@@ -103,6 +103,16 @@ def test_weights_are_those_of_the_whole_benchmark(spark, monkeypatch):
     assert {k: v[0] for k, v in whole.items()} == {k: round(v[0], 9) for k, v in brute(docs, items).items()}
 
 
+def test_documents_shorter_than_an_item(spark):
+    words = [f"w{i}" for i in range(40)]
+    items = [(1, " ".join(words)), (2, "one two three four"), (3, " ".join(f"v{i}" for i in range(40)))]
+    docs = [(1, " ".join(words[:38])), (2, " ".join(words[1:])), (3, " ".join(words[:20])), (4, "one two three"), (5, "")]
+    b, d = spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame(docs, "doc_id long, text string")
+    got = sorted((r["doc_id"], r["item_id"], r["first_word"], r["n_words"], round(r["similarity"], 9)) for r in decontam.contaminations(d, b).collect())
+    assert got == [(1, 1, 0, 38, round(34 / 36, 9)), (2, 1, 0, 39, round(35 / 36, 9))]
+    assert sorted(r["doc_id"] for r in decontam.without_benchmark(d, b).collect()) == [3, 4, 5]
+
+
 @given(st.lists(st.integers(0, 2**64 - 1), min_size=1, max_size=12), st.lists(st.tuples(st.integers(0, 11), st.sets(st.integers(0, 63), max_size=30)), min_size=1, max_size=12))
 def test_index_guarantees_the_radius(prints, near):
     prints = np.array(prints, np.uint64)
