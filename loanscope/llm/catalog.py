@@ -10,6 +10,7 @@ from loanscope.llm.chat import OP9_SQL, op9_chat_formatting
 from loanscope.llm.decontam import op6_decontamination
 from loanscope.llm.exact_dedup import OP5_SQL, op5_exact_dedup
 from loanscope.llm.langid import op7_language_id
+from loanscope.llm.lexical import OP11_SQL, op11_lexical_search
 from loanscope.llm.license_scan import op1_license_scan, op1_sql
 from loanscope.llm.mixing import op2_source_mixing
 from loanscope.llm.pii import op4_pii
@@ -28,6 +29,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_simhash_dedup": op10_simhash_dedup,
+    "op11_lexical_search": op11_lexical_search,
 }
 
-ORACLES: dict[str, str] = {"op1_license_scan": op1_sql(), "op5_exact_dedup": OP5_SQL, "op9_chat_formatting": OP9_SQL}
+ORACLES: dict[str, str] = {"op1_license_scan": op1_sql(), "op5_exact_dedup": OP5_SQL, "op9_chat_formatting": OP9_SQL,
+                           "op11_lexical_search": OP11_SQL}
