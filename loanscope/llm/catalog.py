@@ -14,6 +14,7 @@ from loanscope.llm.lexical import OP11_SQL, op11_lexical_search
 from loanscope.llm.license_scan import op1_license_scan, op1_sql
 from loanscope.llm.mixing import op2_source_mixing
 from loanscope.llm.pii import op4_pii
+from loanscope.llm.repair import op13_conversation_repair, op13_sql
 from loanscope.llm.simhash import op10_simhash_dedup
 from loanscope.llm.token_counts import op8_token_counts
 from loanscope.llm.toxicity import op3_toxicity
@@ -30,7 +31,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chat_formatting": op9_chat_formatting,
     "op10_simhash_dedup": op10_simhash_dedup,
     "op11_lexical_search": op11_lexical_search,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLES: dict[str, str] = {"op1_license_scan": op1_sql(), "op5_exact_dedup": OP5_SQL, "op9_chat_formatting": OP9_SQL,
-                           "op11_lexical_search": OP11_SQL}
+                           "op11_lexical_search": OP11_SQL, "op13_conversation_repair": op13_sql()}
