@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from loanscope.llm.chat import OP9_SQL, op9_chat_formatting
+from loanscope.llm.content import op12_html_extraction
 from loanscope.llm.decontam import op6_decontamination
 from loanscope.llm.exact_dedup import OP5_SQL, op5_exact_dedup
 from loanscope.llm.langid import op7_language_id
@@ -31,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chat_formatting": op9_chat_formatting,
     "op10_simhash_dedup": op10_simhash_dedup,
     "op11_lexical_search": op11_lexical_search,
+    "op12_html_extraction": op12_html_extraction,
     "op13_conversation_repair": op13_conversation_repair,
 }
 
