@@ -8,7 +8,7 @@ a whole batch of pages at a time, and give each node's exact marginal.  Blocks o
 
 The weights maximise the likelihood of labelled pages (the gradient is what the labels show less what the marginals
 expect): ``SEED_PAGES`` pages put together from layouts written by hand (``labelled_pages``), and at most ``TRAIN_PAGES`` pages of
-the table whose own markup tells their article, taken by a hash of page_id, url and html.  Half of the latter are read once more
+the table whose own markup tells their article, taken by a hash of page_id, url and html (of many copies one).  Half of the latter are read once more
 with the names of the telling elements blanked, so that the text's own features are learnt too.
 An element counts as main text if it lies within the smallest element around all main text and most of its text is main.
 
@@ -204,10 +204,18 @@ def learn(examples: list[tuple[Page, np.ndarray]], steps: int = STEPS, rate: flo
 
 
 def training_pages(pages: DataFrame, bound: int = TRAIN_PAGES) -> list[str]:
-    """At most ``bound`` pages of the table that hold an article or main element, by a hash."""
+    """At most ``bound`` different pages of the table that hold an article or main element, those of the least hashes.
+
+    Only rows whose hash falls below a share of the table of about twice ``bound`` rows are looked at, so
+    that what tasks hand over does not grow with the table.
+    """
+    total = pages.count()
+    low, high = -(1 << 63), (1 << 63) - 1
+    below = high if total <= 2 * bound else low + int((high - low) * (2 * bound / total))
+    h = F.xxhash64("page_id", "url", "html")
     named = F.col("html").rlike("(?i)<(article|main)[ >]") & (F.length("html") <= TRAIN_CHARS)
-    rows = pages.select("page_id", "url", "html").filter(named).orderBy(F.xxhash64("page_id", "url", "html"), "html").limit(bound)
-    return [r["html"] for r in rows.collect()]
+    rows = pages.select("page_id", "url", "html").filter(h <= below).filter(named).distinct()
+    return [r["html"] for r in rows.orderBy(h, "html").limit(bound).collect()]
 
 
 def fit(pages: DataFrame, bound: int = TRAIN_PAGES, seed_pages: int = SEED_PAGES) -> ContentModel:

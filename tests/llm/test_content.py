@@ -193,5 +193,10 @@ def test_long_and_deep_pages(spark, model):
 
 def test_training_pages_are_bounded_and_stable(spark):
     pages = read_table(spark, SF, "pages")
-    some = content.training_pages(pages.unionAll(pages.withColumn("page_id", F.lit(1))), 20)
-    assert len(some) == 20 and some == content.training_pages(pages.unionAll(pages.withColumn("page_id", F.lit(1))).repartition(7), 20)
+    many = pages.unionAll(pages.withColumn("page_id", F.lit(1)))
+    some = content.training_pages(many, 20)
+    assert 5 < len(some) <= 20 and some == content.training_pages(many.repartition(7), 20)
+    one = pages.limit(1)
+    for _ in range(7):
+        one = one.unionAll(one)
+    assert len(content.training_pages(one.unionAll(pages), 300)) == 250
