@@ -25,6 +25,7 @@ from loanscope.plans import sql as _sql
 from loanscope.plans import views as V
 from loanscope.plans.warehouse import Warehouse, fixture_warehouse
 from loanscope.schema import LAR_TO_MLAR_RENAMES, QUERIED_COLUMNS
+from loanscope.sources import documents as _docs
 from loanscope.sources import fixture as _fx
 from loanscope.sources import reference as _ref
 from loanscope.sources import registers as _reg
@@ -296,11 +297,55 @@ def _nested_states(w):
 
 
 def _quality_document(w):
-    """The quality payload's JSON document, its cube parsed from the document's lines."""
+    """The quality payload's JSON document, its cube read back from it."""
     members = _jobs.documents(w)["quality"]
     path = w.landed_files("quality_document", lambda p: _sinks.write_document(members, p))
-    rows = w.spark.read.text(path).where(_F.col("value").rlike(r'^,?\{"y":'))
-    return rows.select(_F.from_json(_F.ltrim(_F.col("value"), _F.lit(",")), members["cube"][0].schema).alias("r")).select("r.*")
+    return _docs.member_table(_docs.read_document(w.spark, path), "cube", _jobs.DOCUMENT_MEMBERS["quality"]["cube"])
+
+
+# For each member of a document its key columns and which columns are its measures c, s, r and rc.
+_M4 = {"c": "c", "s": "s", "r": "r", "rc": "rc"}
+_REPORT = (["code", "label"], {"c": "count", "s": "avg_loan", "r": "pct"})
+DOCUMENT_ROWS: dict[tuple[str, str], tuple[list[str], dict[str, str]]] = {
+    ("national", "summary"): ([], {"c": "total_apps", "s": "avg_loan", "r": "avg_rate", "rc": "lender_count"}),
+    ("national", "by_action"): _REPORT, ("national", "by_loan_type"): _REPORT, ("national", "by_loan_purpose"): _REPORT,
+    ("national", "rate_distribution"): (["bucket"], {"c": "count"}), ("national", "denial_reasons"): (["code", "label"], {"c": "count"}),
+    ("geographic", "county_names"): (["fips", "county_name"], {}), ("geographic", "state_cube"): (["y", "state", "a", "t", "p"], _M4),
+    ("geographic", "county_cube"): (["y", "fips", "a", "t", "p", "state"], _M4),
+    ("cube", "main"): (["y", "a", "t", "p"], _M4), ("cube", "rates"): (["y", "t", "p", "bucket"], {"c": "c"}),
+    ("cube", "denials"): (["y", "t", "p", "reason"], {"c": "c"}),
+    ("lenders", "names"): (["lei", "name"], {}), ("lenders", "cube"): (["l", "a", "t", "p"], _M4), ("lenders", "states"): (["lei", "rank", "state"], {"c": "count"}),
+    ("quality", "cube"): (["y", "a", "t", "p", "d", "l", "pu", "rs", "li", "nm"], _M4),
+    ("quality", "orders"): (["dim", "code", "label"], {"c": "pos"}), ("quality", "labels"): (["dim", "code", "label"], {"c": "pos"}),
+    ("investor", "national_cube"): (["y", "occ", "bp", "p"], _M4), ("investor", "state_cube"): (["y", "state", "occ", "bp", "p"], {"c": "c", "s": "s"}),
+    ("investor", "county_cube"): (["y", "fips", "occ", "bp", "p", "state"], {"c": "c", "s": "s"}),
+    ("investor", "labels"): (["dim", "code", "label"], {"c": "pos"}),
+}
+_MEASURES = {"c": "bigint", "s": "double", "r": "double", "rc": "bigint"}
+
+
+def _loaded_documents(w):
+    """All six payload documents written and loaded again, every member's rows in one form: payload, member, keys, measures."""
+    root = w.landed_files("documents", lambda p: _jobs.write_documents(w, p))
+    loaded = _jobs.load_documents(w.spark, {p: f"{root}/{p}" for p in _jobs.DOCUMENT_MEMBERS}, chunk_bytes=1 << 16)
+    out = []
+    for (payload, member), (keys, measures) in DOCUMENT_ROWS.items():
+        df = loaded[payload][member]
+        if member == "states":
+            df = df.select("lei", _F.posexplode("states").alias("i", "e")).select("lei", (_F.col("i") + 1).alias("rank"), "e.state", "e.count")
+        key = _F.concat_ws("|", *keys) if keys else _F.lit("")
+        cells = [(_F.col(measures[m]) if m in measures else _F.lit(None)).cast(kind).alias(m) for m, kind in _MEASURES.items()]
+        out.append(df.select(_F.lit(payload).alias("payload"), _F.lit(member).alias("member"), key.alias("key"), *cells))
+    return reduce(DataFrame.unionByName, out)
+
+
+def _static_members(w):
+    """The payload tables that hold orders and labels, written and loaded again."""
+    tables = {p: {m: t for m, t in ms.items() if m in ("orders", "labels")} for p, ms in _jobs.payloads(w).items()}
+    root = w.landed_files("payloads", lambda p: _jobs.run_all(w, p))
+    loaded = _jobs.load_payload(w.spark, {p: {n: f"{root}/{p}/{n}" for n in ms} for p, ms in tables.items() if ms})
+    return reduce(DataFrame.unionByName, [df.select(_F.lit(p).alias("payload"), _F.lit(n).alias("member"), "dim", "pos", "code", "label")
+                                          for p, ms in loaded.items() for n, df in ms.items()])
 
 
 def _lender_profiles(w):
@@ -356,6 +401,8 @@ QUERIES.update({
     "s12_payload_json_roundtrip": _w(_payload_json),
     "s12_quality_document": _w(_quality_document),
     "s13_payload_rows": _w(_payload_rows),
+    "s13_static_members": _w(_static_members),
+    "s14_load_documents": _w(_loaded_documents),
     "s14_nested_states": _w(_nested_states),
     "s15_compare_csv_text": _w(lambda w: _compare_csv(w, "volume")),
     "s15_compare_csv_text_rates": _w(lambda w: _compare_csv(w, "avgRate")),

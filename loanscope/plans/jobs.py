@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,8 @@ from loanscope.plans.views import lender_profile_cube
 from loanscope.plans.warehouse import Warehouse
 from loanscope.schema import (BIZ_PURPOSE_LABELS, DTI_ORDER, LIEN_LABELS, LOAN_PURPOSE_LABELS, LTV_ORDER, NON_AM_LABELS,
                               NON_AM_ORDER, OCCUPANCY_LABELS, PURCHASER_LABELS, SPREAD_ORDER)
+from loanscope.session import join_path, shared_dir
+from loanscope.sources import documents as docs
 from loanscope.sources import registers, sinks
 
 QUALITY_ORDERS = {"dti": DTI_ORDER, "ltv": LTV_ORDER, "spread": SPREAD_ORDER, "non_am": NON_AM_ORDER}
@@ -123,10 +126,49 @@ def documents(wh: Warehouse) -> dict[str, dict[str, tuple]]:
 
 
 def write_documents(wh: Warehouse, out_dir: str) -> dict[str, str]:
-    """The six payloads in their fixed order, one JSON document each; the national report indented in one file,
-    the others compact."""
+    """The six payloads in their fixed order, one JSON document each; the national report and the main cubes
+    indented, the report in one file, the others compact."""
     out = {}
     for name, members in documents(wh).items():
         out[name] = f"{out_dir.rstrip('/')}/{name}"
-        sinks.write_document(members, out[name], indent=name == "national", bounded=name == "national")
+        sinks.write_document(members, out[name], indent=name in ("national", "cube"), bounded=name == "national")
+    return out
+
+
+_CELL = "c bigint, s bigint, r double, rc bigint"
+_REPORT = "code string, count bigint, pct double, avg_loan double, label string"
+# The members of each payload's document and their columns; members without columns are lists or dictionaries.
+DOCUMENT_MEMBERS: dict[str, dict[str, str | None]] = {
+    "national": {"summary": "total_apps bigint, originated bigint, denied bigint, lender_count bigint, avg_loan double, total_volume_b double, avg_rate double",
+                 "by_action": _REPORT, "by_loan_type": _REPORT, "by_loan_purpose": _REPORT, "rate_distribution": "bucket string, count bigint",
+                 "denial_reasons": "code string, count bigint, label string"},
+    "geographic": {"county_names": "fips string, county_name string", "state_cube": f"y string, state string, a string, t string, p string, {_CELL}",
+                   "county_cube": f"y string, fips string, a string, t string, p string, {_CELL}, state string"},
+    "cube": {"main": "y string, a string, t string, p string, c bigint, s double, r double, rc bigint",
+             "rates": "y string, t string, p string, bucket string, c bigint", "denials": "y string, t string, p string, reason string, c bigint"},
+    "lenders": {"names": "lei string, name string", "cube": f"l string, a string, t string, p string, {_CELL}",
+                "states": "lei string, states array<struct<state:string,count:bigint>>"},
+    "quality": {"cube": f"y string, a string, t string, p string, d string, l string, pu string, rs string, li string, nm string, {_CELL}",
+                "orders": None, "labels": None},
+    "investor": {"national_cube": f"y string, occ string, bp string, p string, {_CELL}",
+                 "state_cube": "y string, state string, occ string, bp string, p string, c bigint, s bigint",
+                 "county_cube": "y string, fips string, occ string, bp string, p string, c bigint, s bigint, state string", "labels": None},
+}
+
+
+def load_documents(spark: SparkSession, paths: Mapping[str, str], chunk_bytes: int = docs.CHUNK_BYTES) -> dict[str, dict[str, DataFrame]]:
+    """The tables of written payload documents by payload (a file or a folder of part files each), every member of ``DOCUMENT_MEMBERS``;
+    orders and labels as (dim, pos, code, label).  A document that is none is an error.
+
+    The documents are taken apart once, into Parquet by payload and member in the shared folder."""
+    rows, broken = docs.read_documents(spark, paths, chunk_bytes)
+    if broken:
+        raise docs.BrokenDocument("; ".join(broken.values()))
+    landed = join_path(shared_dir(spark), "documents", uuid.uuid4().hex)
+    rows.withColumn("of", F.concat_ws("-", "document", "member")).write.partitionBy("of").parquet(landed)
+    parsed = spark.read.schema(f"{docs.ROW_SCHEMA}, of string").parquet(landed)
+    out: dict[str, dict[str, DataFrame]] = {}
+    for payload in paths:
+        own = {m: parsed.filter(F.col("of") == f"{payload}-{m}") for m in DOCUMENT_MEMBERS[payload]}
+        out[payload] = {m: docs.member_table(own[m], m, ddl) if ddl else docs.entries_table(own[m], m) for m, ddl in DOCUMENT_MEMBERS[payload].items()}
     return out

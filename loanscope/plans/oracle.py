@@ -640,6 +640,39 @@ ORACLES["s13_payload_rows"] = "\nUNION ALL\n".join(
     for payload, members in _PAYLOADS.items() for member, what in members.items())
 
 
+# The contents of orders and labels, and every member of every document.
+_STATIC = {("quality", "orders"): {"dti": DTI_ORDER, "ltv": LTV_ORDER, "spread": SPREAD_ORDER, "non_am": NON_AM_ORDER},
+           ("quality", "labels"): {"purchaser": PURCHASER_LABELS, "lien": LIEN_LABELS, "non_am": NON_AM_LABELS},
+           ("investor", "labels"): {"occupancy": OCCUPANCY_LABELS, "biz_purpose": BIZ_PURPOSE_LABELS, "loan_purpose": LOAN_PURPOSE_LABELS}}
+
+
+def _static_sql(payload: str, member: str) -> str:
+    rows = [(dim, i, code, label) for dim, values in _STATIC[payload, member].items()
+            for i, (code, label) in enumerate(values.items() if isinstance(values, Mapping) else ((v, v) for v in values))]
+    return "SELECT * FROM (VALUES " + ", ".join(f"('{d}', {i}, '{c}', '{x}')" for d, i, c, x in rows) + ") v(dim, pos, code, label)"
+
+
+ORACLES["s13_static_members"] = "\nUNION ALL\n".join(
+    f"SELECT '{p}' AS payload, '{m}' AS member, dim, CAST(pos AS INTEGER) AS pos, code, label FROM ({_static_sql(p, m)}) s" for p, m in _STATIC)
+
+_DOCUMENT_SOURCES = {(p, m): ORACLES.get(what, what) for p, members in _PAYLOADS.items() for m, what in members.items()} | {
+    ("geographic", "county_names"): q("SELECT STATEFP || COUNTYFP AS fips, any_value(COUNTYNAME) AS county_name FROM county GROUP BY 1", "county"),
+    ("lenders", "cube"): ORACLES["v30_lender_profile_cube"], ("lenders", "states"): ORACLES["a7_lender_states"],
+} | {k: _static_sql(*k) for k in _STATIC}
+
+
+def _document_member_sql(payload: str, member: str) -> str:
+    keys, measures = _cat.DOCUMENT_ROWS[payload, member]
+    digits = {} if payload in ("cube", "national") else {"s": 0, "r": 2}
+    cells = [f"CAST({f'round({measures[m]}, {digits[m]})' if m in digits and m in measures else measures.get(m, 'NULL')} AS {kind}) AS {m}"
+             for m, kind in (("c", "BIGINT"), ("s", "DOUBLE"), ("r", "DOUBLE"), ("rc", "BIGINT"))]
+    key = "concat_ws('|', " + ", ".join(keys) + ")" if keys else "''"
+    return f"SELECT '{payload}' AS payload, '{member}' AS member, {key} AS key, {', '.join(cells)} FROM ({_DOCUMENT_SOURCES[payload, member]}) m"
+
+
+ORACLES["s14_load_documents"] = "\nUNION ALL\n".join(_document_member_sql(p, m) for p, m in _cat.DOCUMENT_ROWS)
+
+
 # CSV text (S15, S16): numbers without exponent and without a fraction of zero.
 def _plain(x: str) -> str:
     return f"coalesce(regexp_replace(CAST({x} AS VARCHAR), '\\.0$', ''), '')"
