@@ -41,6 +41,19 @@ def text_of(df: DataFrame, col: str = "text") -> Column:
     return F.coalesce(df[col], F.lit(""))
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def packed(df: DataFrame) -> DataFrame:
+    """Each row of ``df`` as one struct column ``row``, so that further columns clash with no name of the input; ``unpacked`` gives it back."""
+    return df.select(F.struct(*[F.col(quoted(c)) for c in df.columns]).alias("row"))
+
+
+def unpacked(df: DataFrame) -> DataFrame:
+    return df.select("row.*")
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of ``value``, evaluated once however often ``body`` names it (also inside of lambdas)."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

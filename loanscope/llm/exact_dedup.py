@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanscope.llm.common import DOCUMENT_COLUMNS, bound_batches, land, text_of
+from loanscope.llm.common import DOCUMENT_COLUMNS, bound_batches, land, packed, text_of, unpacked
 from loanscope.llm.tries import Trie
 from loanscope.session import ship_package
 from loanscope.sources.tables import read_table
@@ -132,12 +132,10 @@ def duplicate_groups(docs: DataFrame) -> DataFrame:
 
 
 def with_owner(docs: DataFrame, groups: DataFrame) -> DataFrame:
-    """``docs`` with ``__keep``, ``__n``, ``__n_id`` and ``__sha`` (digest of the normalised text)."""
-    t = docs.withColumn("__t", normalised(text_of(docs)))
-    t = t.withColumn("__len", F.octet_length("__t").cast("long")).withColumn("__sha", F.sha2(F.col("__t").cast("binary"), 256))
-    g = groups.select(F.col("len").alias("__len"), F.col("sha").alias("__sha"), F.col("keep_id").alias("__keep"),
-                      F.col("n").alias("__n"), F.col("n_id").alias("__n_id"))
-    return t.drop("__t").join(g, ["__len", "__sha"], "left").drop("__len")
+    """row (of ``docs``), keep, n, n_id and sha (digest of the normalised text)."""
+    t = packed(docs).withColumn("t", normalised(F.coalesce("row.text", F.lit(""))))
+    t = t.select("row", F.octet_length("t").cast("long").alias("len"), F.sha2(F.col("t").cast("binary"), 256).alias("sha"))
+    return t.join(groups.withColumnRenamed("keep_id", "keep"), ["len", "sha"], "left").drop("len")
 
 
 def exact_dedup(docs: DataFrame) -> DataFrame:
@@ -150,12 +148,13 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
     """
     slim = docs.select("doc_id", "text")
     groups = duplicate_groups(slim)
+    ident = F.col("row.doc_id")
     rows = with_owner(slim, groups).select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.when(F.col("__n").isNull(), F.col("doc_id")).otherwise(F.col("__keep")).cast("long").alias("keep_id"),
-        F.coalesce("__n", F.lit(1)).cast("long").alias("group_size"),
-        F.coalesce(F.col("__n").isNull() | F.col("doc_id").eqNullSafe(F.col("__keep")), F.lit(True)).alias("kept"),
-        F.col("__sha").alias("text_sha256"), F.coalesce("__n_id", F.lit(1)).alias("__n_id"))
+        ident.cast("long").alias("doc_id"),
+        F.when(F.col("n").isNull(), ident).otherwise(F.col("keep")).cast("long").alias("keep_id"),
+        F.coalesce("n", F.lit(1)).cast("long").alias("group_size"),
+        F.coalesce(F.col("n").isNull() | ident.eqNullSafe(F.col("keep")), F.lit(True)).alias("kept"),
+        F.col("sha").alias("text_sha256"), F.coalesce("n_id", F.lit(1)).alias("__n_id"))
     if groups.filter("n_id > 1").isEmpty():
         return rows.drop("__n_id")
     rows = land(rows, "exact-rows")
@@ -169,12 +168,12 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
 def keep_owners(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, all columns: of equal texts the one with the smallest doc_id."""
     groups = duplicate_groups(docs)
-    stays = F.col("__n").isNull() | F.col("doc_id").eqNullSafe(F.col("__keep"))
-    kept = with_owner(docs, groups).filter(stays)
+    ident = F.col("row.doc_id")
+    kept = with_owner(docs, groups).filter(F.col("n").isNull() | ident.eqNullSafe(F.col("keep")))
     if not groups.filter("n_id > 1").isEmpty():
         # The owner's row itself is repeated: one of the repeats stays.
-        kept = kept.dropDuplicates(["__sha", "doc_id"])
-    return kept.select(*docs.columns)
+        kept = kept.withColumn("id", ident).dropDuplicates(["sha", "id"])
+    return unpacked(kept)
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,9 +7,11 @@ times ``SHARPNESS``.  Loss-weighted decoding chooses the codeword with the least
 log(1 + exp(-bit * margin)), each classifier weighted by how well it separates its two sides;
 the score is the codeword's share of exp(-loss), and a text whose best two codewords are close is ambiguous.
 
-Training counts n-grams of all training rows: each task hands out one vector per language, summed
-by Spark, so the driver sees languages x buckets numbers however many rows there are.  Prediction
-is a map over the documents with the weights (buckets x bits) in the closure: no shuffle.
+Every given language is learnt.  Training counts n-grams of all training rows by (language, bucket): each task
+hands out its sums, Spark adds them up, and each bucket's weights of all bits follow from its counts of all
+languages, also in Spark.  The driver sees the languages' names and totals and buckets x bits weights, bits being some
+ten times the logarithm of the languages.  Prediction is a map over the documents with the weights in the closure: no shuffle.
+A long text is counted in pieces that overlap by the two bytes an n-gram reaches over.
 """
 
 from __future__ import annotations
@@ -24,17 +26,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from loanscope.llm.common import bound_batches, text_of
+from loanscope.llm.common import bound_batches, land, packed, text_of, unpacked
 from loanscope.llm.grams import chunks
 from loanscope.session import ship_package
 from loanscope.sources.tables import read_table
 
 BUCKET_BITS = 14
-MAX_LANGUAGES = 256  # of the training rows, the most frequent; bounds the driver's counts
+HELD_LANGUAGES = 64  # whose counts a task holds at a time
 SHARPNESS = 4.0
+DECODED_AT_ONCE = 256  # texts, times the languages
 AMBIGUOUS = 0.2  # least gap between the best two codewords' scores
 UNDETERMINED = "und"
-PER_CHUNK = 1 << 20
+PER_CHUNK = 1 << 20  # bytes of texts taken together, and of a piece of a longer one
+DRAWS = 200  # of codewords; a single one beyond LARGE_CODE languages
+LARGE_CODE = 512
 
 
 def buckets(text: np.ndarray) -> np.ndarray:
@@ -67,37 +72,82 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def gram_counts(rows: DataFrame, languages: list[str]) -> np.ndarray:
-    """Counts (languages x buckets) of the n-grams in all of ``rows``."""
-    place = {lang: i for i, lang in enumerate(languages)}
+def bucket_counts(texts: list[bytes]) -> np.ndarray:
+    """How often each bucket occurs in ``texts``."""
+    total = np.zeros(1 << BUCKET_BITS, np.int64)
+    short = [t for t in texts if 0 < len(t) <= PER_CHUNK]
+    for first, last in chunks(short, PER_CHUNK):
+        b, offsets = padded(short[first:last])
+        valid = np.zeros(len(b), bool)
+        for o, t in zip(offsets.tolist(), short[first:last]):
+            valid[o:o + len(t)] = True
+        total += np.bincount(b[valid], minlength=1 << BUCKET_BITS)
+    for t in texts:
+        if len(t) > PER_CHUNK:
+            total += long_counts(t)
+    return total
+
+
+def long_counts(text: bytes) -> np.ndarray:
+    """``bucket_counts`` of one text, in pieces."""
+    total = np.zeros(1 << BUCKET_BITS, np.int64)
+    for at in range(0, len(text), PER_CHUNK):
+        piece = (text[at - 1:at] or b" ") + text[at:at + PER_CHUNK + 1]
+        piece += b" " if at + PER_CHUNK >= len(text) else b""
+        total += np.bincount(buckets(np.frombuffer(piece, np.uint8)), minlength=1 << BUCKET_BITS)
+    return total
+
+
+def gram_counts(rows: DataFrame) -> DataFrame:
+    """(lang, bucket, n): how often each bucket occurs in the texts of each language."""
+
+    def told(total: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        # One row for each language and task: few rows, whose sums are made by Spark.
+        for lang, counts in total.items():
+            yield pa.RecordBatch.from_arrays([pa.array([lang], pa.string()), pa.array([counts], pa.list_(pa.int64()))], names=["lang", "counts"])
+        total.clear()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(place), 1 << BUCKET_BITS))
+        total: dict[str, np.ndarray] = {}
         for batch in batches:
             langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for lang in set(langs):
-                own = [t for t, x in zip(texts, langs) if x == lang and t]
-                for first, last in chunks(own, PER_CHUNK):
-                    b, offsets = padded(own[first:last])
-                    lengths = np.array([len(t) for t in own[first:last]])
-                    valid = np.zeros(len(b), bool)
-                    for o, n in zip(offsets.tolist(), lengths.tolist()):
-                        valid[o:o + n] = True
-                    total[place[lang]] += np.bincount(b[valid], minlength=1 << BUCKET_BITS)
-        lang, bucket = np.nonzero(total)
-        # Packed by language: one row for each, so that what Spark sums is small.
-        for i in np.unique(lang):
-            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([total[i].tolist()], pa.list_(pa.float64()))],
-                                             names=["lang", "counts"])
-
-    keyed = rows.filter(F.col("lang").isin(languages)).select("lang", F.lower(text_of(rows)).cast("binary").alias("text"))
-    parts = keyed.mapInArrow(run, "lang long, counts array<double>")
-    sums = parts.select("lang", F.posexplode("counts").alias("bucket", "n")).filter("n > 0").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    blocks = sums.groupBy("lang", F.floor(F.col("bucket") / 1024)).agg(F.collect_list("bucket").alias("at"), F.collect_list("n").alias("n"))
-    out = np.zeros((len(languages), 1 << BUCKET_BITS))
-    for r in blocks.collect():
-        out[r["lang"], r["at"]] = r["n"]
-    return out
+            own: dict[str, list[bytes]] = {}
+            for lang, t in zip(langs, texts):
+                own.setdefault(lang, []).append(t)
+            for lang, group in own.items():
+                total[lang] = total.get(lang, 0) + bucket_counts(group)
+                if len(total) > HELD_LANGUAGES:
+                    yield from told(total)
+        yield from told(total)
+
+    parts = rows.select("lang", F.lower(text_of(rows)).cast("binary").alias("text")).mapInArrow(run, "lang string, counts array<bigint>")
+    return parts.select("lang", F.posexplode("counts").alias("bucket", "n")).groupBy("lang", "bucket").agg(F.sum("n").alias("n")).filter("n > 0")
+
+
+def bit_sums(counts: DataFrame, languages: list[str], scale: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each bucket and bit: the sums of ``scale`` times the count over the languages with +1 and over those with -1."""
+    place = {lang: i for i, lang in enumerate(languages)}
+    plus = code > 0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, sums = [], []
+            for bucket, held in zip(batch.column(0).to_pylist(), batch.column(1)):
+                share = np.zeros(len(place))
+                for x in held.as_py():
+                    i = place[x["lang"]]
+                    share[i] = x["n"] * scale[i]
+                at.append(bucket)
+                sums.append(np.concatenate([share @ plus, share @ ~plus]))
+            if at:
+                yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(sums, pa.list_(pa.float64()))], names=["bucket", "sums"])
+
+    # A bucket's row has a count per language at most.
+    by_bucket = counts.groupBy(F.col("bucket").cast("long").alias("bucket")).agg(F.collect_list(F.struct("lang", "n")).alias("held"))
+    out = np.zeros((1 << BUCKET_BITS, 2 * code.shape[1]))
+    for r in by_bucket.mapInArrow(run, "bucket long, sums array<double>").collect():
+        out[r["bucket"]] = r["sums"]
+    return out[:, :code.shape[1]], out[:, code.shape[1]:]
 
 
 def codewords(n: int) -> np.ndarray:
@@ -108,17 +158,30 @@ def codewords(n: int) -> np.ndarray:
         return np.array([[1 if i == n - 1 or column >> i & 1 else -1 for column in range(2 ** (n - 1) - 1)] for i in range(n)], float)
     bits = int(np.ceil(10 * np.log2(n)))
     random = np.random.RandomState(n)
-    best, least = None, -1
-    for _ in range(200):
+    best, least = None, 0  # no two alike
+    for _ in range(DRAWS):
         code = random.choice([-1.0, 1.0], (n, bits))
         if (np.abs(code.sum(0)) == n).any():
             continue
-        distance = (code[:, None, :] != code[None, :, :]).sum(2) + bits * np.eye(n, dtype=int)
-        if distance.min() > least:
-            best, least = code, distance.min()
+        distance = least_distance(code)
+        if distance > least:
+            best, least = code, distance
+            if n > LARGE_CODE:
+                break
     return best
 
 
+def least_distance(code: np.ndarray, rows: int = 1024) -> int:
+    """Fewest bits in which two codewords differ."""
+    n, bits = code.shape
+    least = bits
+    for a in range(0, n, rows):
+        alike = code[a:a + rows] @ code.T
+        alike[np.arange(len(alike)), np.arange(a, a + len(alike))] = -bits
+        least = min(least, int((bits - alike.max()) / 2))
+    return least
+
+
 @dataclass(frozen=True)
 class LanguageModel:
     languages: list[str]
@@ -128,17 +191,28 @@ class LanguageModel:
 
     def decode(self, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(language, score, ambiguous) by the least weighted loss."""
-        loss = (np.logaddexp(0, -self.code[None, :, :] * margins[:, None, :]) * self.trust).sum(2)
-        share = np.exp(loss.min(1, keepdims=True) - loss)
-        share /= share.sum(1, keepdims=True)
-        order = np.sort(share, 1)
-        gap = order[:, -1] - (order[:, -2] if share.shape[1] > 1 else 0)
-        return loss.argmin(1), order[:, -1], gap < AMBIGUOUS
+        lang, score, ambiguous = [], [], []
+        for a in range(0, len(margins), DECODED_AT_ONCE):
+            m = margins[a:a + DECODED_AT_ONCE]
+            # The loss of a bit is one of two values.
+            plus = self.code > 0
+            loss = (np.logaddexp(0, -m) * self.trust) @ plus.T + (np.logaddexp(0, m) * self.trust) @ ~plus.T
+            share = np.exp(loss.min(1, keepdims=True) - loss)
+            share /= share.sum(1, keepdims=True)
+            best = loss.argmin(1)
+            top = share[np.arange(len(m)), best]
+            share[np.arange(len(m)), best] = 0
+            lang.append(best)
+            score.append(top)
+            ambiguous.append(top - share.max(1) < AMBIGUOUS)
+        return tuple(np.concatenate(x) for x in (lang, score, ambiguous)) if lang else (np.empty(0, int), np.empty(0), np.empty(0, bool))
 
     def margins(self, texts: list[bytes]) -> np.ndarray:
-        out = np.zeros((len(texts), self.weights.shape[1]))
-        some = [i for i, t in enumerate(texts) if t]
-        for first, last in chunks([texts[i] for i in some], PER_CHUNK):
+        bits = self.weights.shape[1]
+        out = np.zeros((len(texts), bits))
+        most = max(1 << 12, PER_CHUNK * 8 // max(8, bits))  # bytes whose weights of all bits are held
+        some = [i for i, t in enumerate(texts) if 0 < len(t) <= most]
+        for first, last in chunks([texts[i] for i in some], most):
             group = [texts[i] for i in some[first:last]]
             b, offsets = padded(group)
             w = np.take(self.weights, b, axis=0)
@@ -148,6 +222,9 @@ class LanguageModel:
             if cuts[-1] >= len(w):
                 cuts = cuts[:-1]
             out[some[first:last]] = np.add.reduceat(w, cuts, axis=0, dtype=np.float64)[0::2] / lengths[:, None]
+        for i, t in enumerate(texts):
+            if len(t) > most:
+                out[i] = long_counts(t) @ self.weights.astype(np.float64) / len(t)
         return out * SHARPNESS
 
 
@@ -156,20 +233,22 @@ def fit(docs: DataFrame) -> LanguageModel | None:
     spark = docs.sparkSession
     ship_package(spark)
     bound_batches(spark)
-    rows = training_rows(docs)
-    top = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
-    languages = sorted(r["lang"] for r in top)
+    counts = land(gram_counts(training_rows(docs)), "language-counts")
+    totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    languages = sorted(totals)
     if not languages:
         return None
-    counts = gram_counts(rows, languages)
-    share = (counts + 0.5) / (counts + 0.5).sum(1, keepdims=True)
+    size = 1 << BUCKET_BITS
+    total = np.array([totals[lang] for lang in languages], np.float64) + 0.5 * size
     code = codewords(len(languages))
-    weights = np.zeros((counts.shape[1], code.shape[1]), np.float32)
+    plus, minus = bit_sums(counts, languages, 1 / total, code)
+    weights = np.zeros((size, code.shape[1]), np.float32)
     trust = np.ones(code.shape[1])
     for k in range(code.shape[1]):
-        plus, minus = share[code[:, k] > 0], share[code[:, k] < 0]
-        if len(plus) and len(minus):
-            p, m = plus.mean(0), minus.mean(0)
+        own = code[:, k] > 0
+        if own.any() and not own.all():
+            p = (plus[:, k] + 0.5 * (1 / total)[own].sum()) / own.sum()
+            m = (minus[:, k] + 0.5 * (1 / total)[~own].sum()) / (~own).sum()
             weights[:, k] = np.log(p / m)
             # How far the two sides are apart, in nats a gram (symmetric divergence).
             trust[k] = ((p - m) * np.log(p / m)).sum()
@@ -177,18 +256,18 @@ def fit(docs: DataFrame) -> LanguageModel | None:
 
 
 def prediction(model: LanguageModel | None, text: Column) -> Column:
-    """Struct (lang_pred, score, ambiguous) of a text column."""
-    kind = "lang_pred string, score double, ambiguous boolean"
-    unknown = F.struct(F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("ambiguous"))
+    """Struct (lang_pred, score, ambiguous, rejected) of a text column; rejected: null or without a letter."""
+    kind = "lang_pred string, score double, ambiguous boolean, rejected boolean"
+    letters = F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
+    unknown = F.struct(F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("ambiguous"), (~letters).alias("rejected"))
     if model is None:
         return unknown
 
     @pandas_udf(kind)
     def predict(texts: pd.Series) -> pd.DataFrame:
         lang, score, ambiguous = model.decode(model.margins(texts.tolist()))
-        return pd.DataFrame({"lang_pred": [model.languages[i] for i in lang], "score": score, "ambiguous": ambiguous})
+        return pd.DataFrame({"lang_pred": [model.languages[i] for i in lang], "score": score, "ambiguous": ambiguous, "rejected": False})
 
-    letters = F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
     found = predict(F.lower(F.when(letters, text).otherwise("")).cast("binary"))
     return F.when(letters, found).otherwise(unknown)
 
@@ -206,9 +285,12 @@ def identify(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
 
 
 def identified(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with a determined language, all columns."""
+    """The rows of ``docs`` whose text is not rejected, all columns: null texts and those without a letter go, whatever
+    languages were learnt (also none, or one that is called 'und')."""
+    bound_batches(docs.sparkSession)
     model = fit(docs)
-    return docs.withColumn("__p", prediction(model, docs["text"])).filter(F.col("__p.lang_pred") != UNDETERMINED).drop("__p")
+    rows = packed(docs).withColumn("p", prediction(model, F.col("row.text")))
+    return unpacked(rows.filter(~F.col("p.rejected")))
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from xxhash import xxh64_intdigest
 
-from loanscope.llm.common import bound_batches, land, text_of
+from loanscope.llm.common import bound_batches, land, packed, text_of, unpacked
 from loanscope.session import ship_package
 from loanscope.sources.tables import read_table
 
@@ -169,9 +169,9 @@ def keep_components(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = R
     """
     found = simhash_dedup(docs, words, radius)
     out = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    losers = out.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__h")).distinct()
-    same = docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(text_of(docs)) == F.col("__h"))
-    return docs.join(losers, same, "left_anti")
+    losers = out.select(F.col("doc_id").alias("lost"), F.col("text_hash").alias("hash")).distinct()
+    same = F.col("row.doc_id").eqNullSafe(F.col("lost")) & (F.xxhash64(F.coalesce("row.text", F.lit(""))) == F.col("hash"))
+    return unpacked(packed(docs).join(losers, same, "left_anti"))
 
 
 def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

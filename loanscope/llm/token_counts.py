@@ -206,11 +206,11 @@ def recounted(kept: DataFrame, ranks: bytes) -> DataFrame:
 
 
 def masking_edits(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``edits``: each e-mail, address, card and phone number becomes its kind's mark."""
+    """doc_id, text and ``edits`` of ``docs``: each e-mail, address, card and phone number becomes its kind's mark.  Other columns are not read."""
     names = F.array(*[F.lit(f"<{k}>") for k in KINDS])
     edits = F.transform(base_spans(text_of(docs)), lambda x: F.struct(
         x["s"].alias("start"), x["e"].alias("end"), F.get(names, x["k"]).alias("put")))
-    return docs.withColumn("edits", edits)
+    return docs.select("doc_id", "text", edits.alias("edits"))
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,9 @@ from loanscope.llm import chat, decontam, exact_dedup, langid, license_scan, mix
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 # Names that the operators use themselves, as further columns of the input.
 CLASHES = ["t", "w", "h", "n", "fp", "row", "key", "spans", "edits", "kept", "len", "sha", "toxic", "topic", "probability",
-           "lang_pred", "score", "idx", "seg", "cost", "component_id", "item_id", "tree", "p", "s", "c", "ctx"]
+           "lang_pred", "score", "idx", "seg", "cost", "component_id", "item_id", "tree", "p", "s", "c", "ctx", "__P", "__sha", "__t", "__n", "__n_id",
+           "__len", "__keep", "__id", "__h", "__source", "__lang", "__topic", "__tokens", "__weight", "__probability", "__sampled", "id", "keep", "n_id",
+           "lost", "hash", "tokens", "weight", "gap", "sampled", "rejected", "a.b", "a b", "`q`", "DOC_IDS", "held", "lengths", "text_hash"]
 LONG = "All rights reserved by the owner of this text. " * 5000
 ROWS = [
     (1, "The cat sat on the mat and looked at the dog", "en", "a", 10), (2, None, "en", "a", 0), (3, "", None, None, None),
@@ -26,7 +28,7 @@ TURNS = [(1, 0, "system", "be kind"), (1, 1, "user", None), (1, 2, "assistant",
 
 
 def with_clashes(df):
-    return df.select("*", *[F.lit("clash").alias(c) for c in CLASHES if c not in df.columns])
+    return df.select("*", *[F.lit("clash").alias(c) for c in CLASHES])
 
 
 @pytest.fixture(scope="module")
@@ -58,7 +60,7 @@ def all_operators(docs, benchmark, labels):
         "pii": pii.pii_digest(pii.pii_spans(docs)),
         "exact_dedup": exact_dedup.exact_dedup(docs),
         "langid": langid.identify(docs, langid.fit(docs)),
-        "token_counts": token_counts.recounted(token_counts.with_trees(token_counts.masking_edits(docs.drop("edits")), token_counts.read_ranks()),
+        "token_counts": token_counts.recounted(token_counts.with_trees(token_counts.masking_edits(docs), token_counts.read_ranks()),
                                                token_counts.read_ranks()),
         "simhash": simhash.simhash_dedup(docs),
     }
@@ -171,10 +173,14 @@ def test_stages_keep_columns(spark, docs, none, stage):
     assert stage(spark, plain, "/root/testdata/sf0.001").columns == plain.columns
     out = stage(spark, docs, "/root/testdata/sf0.001")
     assert out.columns == docs.columns and 0 < out.count() <= len(ROWS)
+    further = out.select(*[F.col("`" + c.replace("`", "``") + "`").alias(f"c{i}") for i, c in enumerate(CLASHES)])
+    assert {x for r in further.collect() for x in r} == {"clash"}
     assert stage(spark, none, "/root/testdata/sf0.001").count() == 0
 
 
 def test_last_stage(spark, docs, none):
     out = STAGES[-1][1](spark, docs, "/root/testdata/sf0.001")
+    assert out.columns == [c for c in docs.columns if c not in ("topic", "probability", "gap")] + ["topic", "probability", "gap"]
+    assert {(r["__source"], r["a.b"], r["weight"]) for r in out.collect()} == {("clash",) * 3}
     assert out.filter("doc_id is not null").count() <= len(ROWS)
     assert STAGES[-1][1](spark, none, "/root/testdata/sf0.001").count() == 0

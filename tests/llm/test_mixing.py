@@ -62,3 +62,14 @@ def test_values_without_target_get_nothing(spark):
     docs = spark.createDataFrame([(1, "x y", "a", "en"), (2, "x y", "b", "en"), (3, "", "a", "en")], "doc_id long, text string, source string, lang string")
     rows = {r["doc_id"]: r for r in mixing.mixed(docs, {"source": {"a": 1.0}}, topic=lambda t: mixing.F.lit("one")).collect()}
     assert (rows[1]["probability"], rows[2]["probability"], rows[3]["n_tokens"]) == (1.0, 0.0, 0)
+
+
+def test_contradictory_targets_are_told(spark):
+    docs = spark.createDataFrame([(i, "x y", "a" if i % 2 else "b", "en" if i % 2 else "fr") for i in range(20)], "doc_id long, text string, source string, lang string")
+    given = {"source": {"a": 0.9, "b": 0.1}, "lang": {"en": 0.1, "fr": 0.9}}
+    one = lambda t: mixing.F.lit("one")
+    assert {round(r["gap"], 6) for r in mixing.mixed(docs, given, one).collect()} == {0.8}
+    with pytest.raises(ValueError, match="targets"):
+        mixing.sampled_mix(docs, given, one, most_gap=0.01)
+    met = {"source": {"a": 0.9, "b": 0.1}, "lang": {"en": 0.9, "fr": 0.1}}
+    assert all(r["gap"] < 1e-6 for r in mixing.mixed(docs, met, one, most_gap=0.01).collect())
