@@ -13,6 +13,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loanscope.operators.bitmaps import count_lenders
 from loanscope.functions.scalars import label_of, lenient_double, rate_bucket_lenient, sql_round
 from loanscope.operators.ranking import sort_small
 from loanscope.schema import (ACTION_LABELS, DENIAL_REASON_LABELS, LOAN_PURPOSE_LABELS,
@@ -44,6 +45,14 @@ def summary(lender_base: DataFrame, approx_lenders: bool = False) -> DataFrame:
     )
 
 
+def summary_from_bitmaps(main: DataFrame, bitmaps: DataFrame) -> DataFrame:
+    """A12 without grouping by lender: the main cube's sums, the lenders by merged bitmaps (``operators.bitmaps``)."""
+    sums = summary(main.withColumn("lei", F.lit(None).cast("string")))
+    lenders = count_lenders(bitmaps).select(F.col("lenders").alias("lender_count"))
+    both = sums.drop("lender_count").unionByName(lenders, allowMissingColumns=True)  # one row each
+    return both.agg(*[F.max(c).alias(c) for c in sums.columns])
+
+
 def breakdown(main: DataFrame, dim: str, labels: Mapping[str, str]) -> DataFrame:
     """Count, percent of all rows (1 decimal), average loan (0 decimals), label; count desc."""
     total = F.sum("count").over(Window.partitionBy())  # a handful of codes per report

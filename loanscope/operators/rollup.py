@@ -102,6 +102,11 @@ def bucket_detail(df: DataFrame, dims: Mapping[str, str]) -> DataFrame:
                                              F.sum("s").alias("volume"), F.sum("r").alias("_r"),
                                              F.sum("rc").alias("_rc"))
            .where(F.col("count") > 0))
+    return finish_buckets(per)
+
+
+def finish_buckets(per: DataFrame) -> DataFrame:
+    """R7's share and rate of (dim, bucket, count, volume, _r, _rc)."""
     w = Window.partitionBy("dim")
     return (per.withColumn("pct", F.coalesce(safe_pct("count", F.sum("count").over(w)), F.lit(0.0)))
             .withColumn("avg_rate", safe_ratio("_r", "_rc")).drop("_r", "_rc"))

@@ -15,11 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as _F
 
 from loanscope.functions.scalars import lenient_double as _lenient
+from loanscope.operators import bitmaps as _bitmaps
 from loanscope.operators import ranking as _rank
 from loanscope.operators import reports
 from loanscope.operators import rollup as _R
 from loanscope.operators.cubes import round_cells as _round_cells
+from loanscope.operators.filters import QUALITY_DIMS as _QUALITY_DIMS
 from loanscope.operators.filters import Filters
+from loanscope.plans import cuboids as _cuboids
 from loanscope.plans import jobs as _jobs
 from loanscope.plans import sql as _sql
 from loanscope.plans import views as V
@@ -154,6 +157,38 @@ for _dim in ("dti", "ltv", "purchaser", "spread", "lien", "non_am"):
     QUERIES[f"v18_quality_series_{_dim}"] = (
         lambda d: _v(lambda w: V.quality_series(w.table("quality"), F_QUAL_SERIES, d)))(_dim)
 
+# One pass for all quality panels (P9), lenders by bitmaps (A12, V11), views over chosen cuboids.
+CUBOID_BUDGET = 20_000  # cells
+CUBOID_VIEWS = _cuboids.quality_view_needs(Filters(), [d[0] for d in V.QUALITY_VIEW_DIMS]) + _cuboids.quality_view_needs(
+    F_QUAL_SERIES, [d[0] for d in V.QUALITY_VIEW_DIMS])
+
+
+def _panels(w, f):
+    """The panel cells of a filter state, landed once for all panels' queries."""
+    tag = "-".join(str(getattr(f, d) or "") for d in _QUALITY_DIMS).replace("%", "").replace(">", "gt").replace("<", "lt")
+    return w.derived(f"panels{tag}", lambda: V.quality_panel_cells(w.table("quality"), f))
+
+
+def _cuboid_view(w, dims, view):
+    return view(_cuboids.build(w, CUBOID_VIEWS, CUBOID_BUDGET).covering(dims))
+
+
+QUERIES.update({
+    "p9_panel_summary": _v(lambda w: V.panel_summary(_panels(w, F_QUAL))),
+    "p9_panel_detail": _v(lambda w: V.panel_detail(_panels(w, F_QUAL))),
+    "p9_panel_detail_all": _v(lambda w: V.panel_detail(_panels(w, Filters()))),
+    "a12_summary_bitmaps": _w(lambda w: reports.summary_from_bitmaps(w.table("main"), w.table("lender_bitmaps"))),
+    "v11_lender_summary_bitmaps": _v(lambda w: V.lender_summary_from_bitmaps(w.table("main"), w.table("lender_bitmaps"))),
+    "v11_lender_summary_bitmaps_f": _v(lambda w: V.lender_summary_from_bitmaps(w.table("main"), w.table("lender_bitmaps"), F_YT)),
+    "a12_lenders_by_year_and_outcome": _w(lambda w: _bitmaps.count_lenders(w.table("lender_bitmaps"), ["y", "a"])),
+    "a8_cuboid_summary": _v(lambda w: _cuboid_view(w, _cuboids.needs(Filters()), V.quality_summary)),
+    "a8_cuboid_detail": _v(lambda w: _cuboid_view(w, _cuboids.needs(Filters(), [d[0] for d in V.QUALITY_VIEW_DIMS]), V.quality_detail)),
+})
+for _dim in ("dti", "ltv", "purchaser", "spread", "lien", "non_am"):
+    QUERIES[f"p9_panel_series_{_dim}"] = (lambda d: _v(lambda w: V.panel_series(_panels(w, F_QUAL_SERIES), d)))(_dim)
+    QUERIES[f"a8_cuboid_series_{_dim}"] = (lambda d: _v(lambda w: _cuboid_view(
+        w, _cuboids.needs(F_QUAL_SERIES, ("year", d), ("year", d)), lambda cube: V.quality_series(cube, F_QUAL_SERIES, d))))(_dim)
+
 # ---------------------------------------------------------------------------
 # Sources (S3-S10): the fixture rows presented in both register layouts.
 # ---------------------------------------------------------------------------

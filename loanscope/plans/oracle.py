@@ -478,6 +478,17 @@ FROM per WHERE count > 0""", extra=",\n".join([QLAR, per]))
 ORACLES["v19_quality_detail"] = _v19(_cat.Filters())
 ORACLES["v19_quality_detail_f"] = _v19(_cat.F_QUAL)
 
+# The same views by other ways; A12, V11 by bitmaps.
+ORACLES["p9_panel_summary"], ORACLES["p9_panel_detail"] = ORACLES["v17_quality_summary_f"], ORACLES["v19_quality_detail_f"]
+ORACLES["p9_panel_detail_all"] = ORACLES["a8_cuboid_detail"] = ORACLES["v19_quality_detail"]
+ORACLES["a8_cuboid_summary"] = ORACLES["v17_quality_summary"]
+for _dim in ("dti", "ltv", "purchaser", "spread", "lien", "non_am"):
+    ORACLES[f"p9_panel_series_{_dim}"] = ORACLES[f"a8_cuboid_series_{_dim}"] = ORACLES[f"v18_quality_series_{_dim}"]
+ORACLES["a12_summary_bitmaps"] = ORACLES["a12_summary"]
+ORACLES["v11_lender_summary_bitmaps"], ORACLES["v11_lender_summary_bitmaps_f"] = ORACLES["v11_lender_summary"], ORACLES["v11_lender_summary_f"]
+ORACLES["a12_lenders_by_year_and_outcome"] = q("""SELECT activity_year AS y, action_taken AS a, CAST(count(DISTINCT lei) AS BIGINT) AS lenders
+FROM lar GROUP BY 1, 2""")
+
 
 # V20-V26 -------------------------------------------------------------------
 def lens_sql(lens: str) -> str:

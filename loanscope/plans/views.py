@@ -18,6 +18,8 @@ from loanscope.functions.scalars import (label_of, literal_map, ordinal_of, safe
                                          scale_billions, scale_volume, share_or_zero)
 from loanscope.operators import filters as P
 from loanscope.operators import rollup as R
+from loanscope.operators.bitmaps import count_lenders
+from loanscope.operators.crossfilter import panel_cells, slice_of
 from loanscope.operators.filters import Filters
 from loanscope.operators.lookups import with_county_name, with_lender_dimension
 from loanscope.operators.ranking import nest_top_states, peak, sort_small, top_n
@@ -145,6 +147,13 @@ def lender_summary(lender_base: DataFrame, f: Filters = ALL) -> DataFrame:
         F.col("originated").cast("bigint").alias("originated"), F.col("volume").cast("double").alias("volume"))
 
 
+def lender_summary_from_bitmaps(main: DataFrame, bitmaps: DataFrame, f: Filters = ALL) -> DataFrame:
+    """V11 without grouping by lender: sums of the main cube, lenders by merged bitmaps."""
+    sums = P.slice_compact(main, f).agg(*R.compact_measures()).select("apps", "originated", "volume")
+    both = count_lenders(P.slice_compact(bitmaps, f)).unionByName(sums, allowMissingColumns=True)  # one row each
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
+
+
 def top_lenders(lender_base: DataFrame, lender_dim: DataFrame, f: Filters = ALL, n: int = 15,
                 rank_by: str = "apps") -> DataFrame:
     """Lenders with originations, first ``n`` by ``rank_by`` (the published chart ranks by apps)."""
@@ -259,7 +268,11 @@ def quality_series(quality: DataFrame, f: Filters = ALL, dim: str = "dti") -> Da
 
 def quality_detail(quality: DataFrame, f: Filters = ALL) -> DataFrame:
     """Per dimension and bucket: count, share of the dimension, volume, average rate."""
-    detail = R.bucket_detail(P.slice_quality(quality, f), {d[2]: d[1] for d in QUALITY_VIEW_DIMS})
+    return _in_panel_order(R.bucket_detail(P.slice_quality(quality, f), {d[2]: d[1] for d in QUALITY_VIEW_DIMS}))
+
+
+def _in_panel_order(detail: DataFrame) -> DataFrame:
+    """V19's labels and order."""
     label, order_pos = None, None
     for _, _, name, order, labels in QUALITY_VIEW_DIMS:
         lab = label_of("bucket", labels) if labels else F.col("bucket")
@@ -278,6 +291,31 @@ def quality_detail(quality: DataFrame, f: Filters = ALL) -> DataFrame:
                       "dim_pos", "pos")
 
 
+def quality_panel_cells(quality: DataFrame, f: Filters = ALL) -> DataFrame:
+    """The cells behind V17, V18 (every dimension) and V19 in one pass; to be landed, as each panel reads them."""
+    return panel_cells(quality, f, {d[0]: d[1] for d in QUALITY_VIEW_DIMS})
+
+
+def panel_summary(cells: DataFrame) -> DataFrame:
+    """V17 from ``quality_panel_cells``: every record of the slice is in one bucket of each dimension."""
+    agg = R.aggregate(slice_of(cells).where(F.col("dim") == QUALITY_VIEW_DIMS[0][0]))
+    return agg.select(F.col("c").alias("count"), F.col("s").alias("volume"), "avg_loan", "avg_rate")
+
+
+def panel_series(cells: DataFrame, dim: str = "dti") -> DataFrame:
+    """V18 from ``quality_panel_cells``."""
+    _, _, _, order, labels = {d[0]: d for d in QUALITY_VIEW_DIMS}[dim]
+    return R.year_series(cells.where(F.col("dim") == dim), "code", labels=labels, order=order)
+
+
+def panel_detail(cells: DataFrame) -> DataFrame:
+    """V19 from ``quality_panel_cells``."""
+    names = literal_map({d[0]: d[2] for d in QUALITY_VIEW_DIMS})
+    per = slice_of(cells).withColumn("dim", names[F.col("dim")]).groupBy("dim", "bucket").agg(
+        F.sum("c").cast("bigint").alias("count"), F.sum("s").alias("volume"), F.sum("r").alias("_r"), F.sum("rc").alias("_rc"))
+    return _in_panel_order(R.finish_buckets(per.where(F.col("count") > 0)))
+
+
 # ---------------------------------------------------------------------------
 # Investors
 # ---------------------------------------------------------------------------
@@ -418,11 +456,12 @@ def lender_profiles(names: DataFrame, lender_states: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 def dashboard(wh, f: Filters = ALL, lens: str = "bp", search: str | None = None,
               min_apps: int = 1000, min_orig: int = 1000) -> dict[str, DataFrame]:
-    """All views of the dashboard under ``f``; ``wh`` is a ``Warehouse``.  Lazy: nothing runs
-    until a view is collected, and each reads only its landed cube."""
+    """All views of the dashboard under ``f``; ``wh`` is a ``Warehouse``.  Each reads only its landed cube and runs
+    when it is collected; the quality panels share one scan of theirs (P9), landed here."""
     main, rates, denials = wh.table("main"), wh.table("rates"), wh.table("denials")
     lb, ld, st = wh.table("lender_base"), wh.table("lender_dim"), wh.table("state")
     county, cdim, q = wh.table("county"), wh.table("county_names"), wh.table("quality")
+    panels = wh.scratch("quality-panels", quality_panel_cells(q, f))
     inv_n, inv_s, inv_c = wh.table("inv_national"), wh.table("inv_state"), wh.table("inv_county")
     out = {
         "national_summary": national_summary(main, f), "outcome_series": outcome_series(main, f),
@@ -433,7 +472,7 @@ def dashboard(wh, f: Filters = ALL, lens: str = "bp", search: str | None = None,
         "top_lenders": top_lenders(lb, ld, f), "highest_denial_lenders": highest_denial_lenders(lb, ld, f,
                                                                                                 min_apps=min_apps),
         "state_table": state_table(st, f), "county_table": county_table(county, cdim, f),
-        "quality_summary": quality_summary(q, f), "quality_detail": quality_detail(q, f),
+        "quality_summary": panel_summary(panels), "quality_detail": panel_detail(panels),
         "investor_summary": investor_summary(inv_n, f, lens), "investor_trend": investor_trend(inv_n, f, lens),
         "investor_share_trend": investor_share_trend(inv_n, f, lens),
         "investor_purpose_series": investor_purpose_series(inv_n, f, lens),
@@ -443,5 +482,5 @@ def dashboard(wh, f: Filters = ALL, lens: str = "bp", search: str | None = None,
     for metric in RANK_METRICS:
         out[f"rank_states_{metric}"] = rank_states(st, f, metric, min_apps=min_apps)
     for spec in QUALITY_VIEW_DIMS:
-        out[f"quality_series_{spec[0]}"] = quality_series(q, f, spec[0])
+        out[f"quality_series_{spec[0]}"] = panel_series(panels, spec[0])
     return out

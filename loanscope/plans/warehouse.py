@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loanscope.operators import cubes, lookups, ranking, reports
+from loanscope.operators import bitmaps, cubes, lookups, ranking, reports
 from loanscope.session import join_path, shared_dir
 from loanscope.sources import fixture, reference, sinks
 
@@ -54,6 +54,8 @@ BUILDERS: dict[str, Callable[["Warehouse"], DataFrame]] = {
     "lender_base": lambda w: cubes.lender_base_cube(w.fact()),
     "investor_base": lambda w: cubes.investor_base_cube(w.fact()),
     "lender_states": lambda w: ranking.lender_top_states(cubes.lender_state_counts(w.fact())),
+    "lender_ordinals": lambda w: bitmaps.lender_ordinals(w.table("lender_base")),
+    "lender_bitmaps": lambda w: bitmaps.lender_bitmaps(w.table("lender_base"), w.table("lender_ordinals")),
     "lender_dim": lambda w: lookups.lender_dimension(w.table("lender_names"), w.table("lender_states")),
     # rollups of landed cubes
     "main": lambda w: cubes.main_cube(w.table("quality")),
@@ -87,6 +89,7 @@ class Warehouse:
         self._fact_schema = None
         self._lock = threading.RLock()          # guards the per-table lock map
         self._table_locks: dict[str, threading.Lock] = {}
+        self._remembered: dict = {}
 
     def path(self, name: str) -> str:
         return join_path(self.root, name)
@@ -121,6 +124,23 @@ class Warehouse:
                 self._landed.add(name)
         return self._read(name)
 
+    def derived(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A table written once by ``build`` under the warehouse root."""
+        return self.spark.read.parquet(self.landed_files(name, lambda p: build().write.mode("overwrite").parquet(p)))
+
+    def remembered(self, key, build: Callable):
+        """What ``build`` gave for ``key`` the first time (plans over landed tables, not data)."""
+        with self._table_lock(f"remembered {key!r}"):
+            if key not in self._remembered:
+                self._remembered[key] = build()
+            return self._remembered[key]
+
+    def scratch(self, name: str, df: DataFrame) -> DataFrame:
+        """``df`` written to a folder of its own and read back: fixed values that several views share."""
+        path = self.path(f"scratch/{name}-{uuid.uuid4().hex[:12]}")
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     def landed_files(self, name: str, write: Callable[[str], None]) -> str:
         """A folder written once by ``write(path)`` (a sink) under the warehouse root."""
         with self._table_lock(name):
