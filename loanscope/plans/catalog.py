@@ -16,6 +16,7 @@ from pyspark.sql import functions as _F
 
 from loanscope.functions.scalars import lenient_double as _lenient
 from loanscope.operators import bitmaps as _bitmaps
+from loanscope.operators import lookups as _lookups
 from loanscope.operators import ranking as _rank
 from loanscope.operators import reports
 from loanscope.operators import rollup as _R
@@ -288,6 +289,35 @@ def _load_registers(w, extract: bool):
     return rows.select(*QUERIED_COLUMNS, _F.regexp_extract("source_file", "([^/]+/[^/]+)$", 1).alias("source_file"))
 
 
+def _absent_columns(w):
+    """Names of the columns that the public-layout register zips lack."""
+    files = _reg.present_files(w.spark, _register_files(w))[0]
+    told = _reg.absent_column_table(w.spark, files)
+    return told.select(_F.regexp_extract("source_file", "([^/]+/[^/]+)$", 1).alias("source_file"), "column")
+
+
+def _refreshed_fact(w):
+    """The fact table of the rows before 2022, then refreshed with all rows: what readers of the last version see."""
+    rows = _fx.lar(w.spark, w.sf_dir)
+
+    def write(path):
+        for df in (rows.where(_F.col("activity_year") < "2022"), rows):
+            _sinks.write_fact(df, path)
+
+    return _sinks.read_fact(w.spark, w.landed_files("refreshed", write), rows.schema).select(*QUERIED_COLUMNS)
+
+
+def _county_file_repeated(w):
+    """A county file that lists every county twice, first under other names, as one file: the last row's name of each county."""
+    def write(path):
+        rows = w.table("county_dim").drop("pos")
+        renamed = rows.withColumn("COUNTYNAME", _F.concat(_F.lit("Old "), "COUNTYNAME"))
+        both = renamed.withColumn("o", _F.lit(0)).unionByName(rows.withColumn("o", _F.lit(1)))
+        (both.coalesce(1).sortWithinPartitions("o", "STATEFP", "COUNTYFP").drop("o").write.mode("overwrite").option("sep", "|").option("header", True)
+         .option("quote", '"').option("escape", '"').csv(path))
+    return _lookups.county_names(_ref.read_county_file(w.spark, w.landed_files("county_file_repeated", write)))
+
+
 def _county_file(w):
     """The county file written as pipe text and read by the engine."""
     def write(path):
@@ -431,7 +461,10 @@ QUERIES.update({
     "s2_mlar_text_roundtrip": _w(_mlar_text),
     "s4_load_registers": _w(lambda w: _load_registers(w, False)),
     "s4_load_registers_extracted": _w(lambda w: _load_registers(w, True)),
+    "s5_refreshed_fact": _w(_refreshed_fact),
+    "s6_absent_columns": _w(_absent_columns),
     "s9_county_file": _w(_county_file),
+    "s9_county_file_repeated": _w(_county_file_repeated),
     "s10_filer_files": _w(_filer_files),
     "s12_payload_json_roundtrip": _w(_payload_json),
     "s12_quality_document": _w(_quality_document),

@@ -24,10 +24,11 @@ INVESTOR_LABELS = {"occupancy": OCCUPANCY_LABELS, "biz_purpose": BIZ_PURPOSE_LAB
 
 def ingest(spark: SparkSession, files: Sequence[registers.RegisterFile], out_path: str,
            exists=None, extract_dir: str | None = None) -> dict:
-    """Load the yearly files, land the fact table, and return the audit tables.
+    """Load the yearly files, publish the fact table's new version (``sinks.write_fact``), and return the audit tables.
 
     ``extract_dir`` (a shared folder) switches zips to extract-then-parse: one task
-    per member streams bytes, the CSV reader parses the text in parallel."""
+    per member streams bytes, the CSV reader parses the text in parallel.  A path without a scheme
+    is taken as a folder that is mounted on every executor."""
     present, missing = registers.present_files(spark, files, exists)
     if not present:
         raise FileNotFoundError(f"no register file found; missing: {missing}")
@@ -40,7 +41,7 @@ def ingest(spark: SparkSession, files: Sequence[registers.RegisterFile], out_pat
     per_file = [(f.path, counted.get[f"f{i}"]) for i, f in enumerate(present)]
     fact = sinks.read_fact(spark, out_path, fact_rows.schema)
     return {"missing_files": missing,
-            "missing_columns": registers.absent_columns(spark, present),
+            "missing_columns": registers.absent_columns(spark, present),  # names by file
             "rows_per_file": spark.createDataFrame(per_file, "source_file string, rows bigint"),
             "year_summary": registers.year_summary(fact),
             "total": registers.total_rows(fact)}

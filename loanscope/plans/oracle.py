@@ -621,6 +621,11 @@ for _key in ("s4_load_registers", "s4_load_registers_extracted"):
     ORACLES[_key] = q("SELECT " + ", ".join(QUERIED_COLUMNS)
                       + f", 'yr=' || activity_year || '/{_cat.REGISTER_ZIP}' AS source_file FROM lar")
 ORACLES["s9_county_file"] = ORACLES["s9_county_dim"]
+ORACLES["s5_refreshed_fact"] = ORACLES["s2_mlar_text_roundtrip"]
+_ABSENT = ", ".join(f"('{c}')" for c in MLAR_COLUMNS if c not in QUERIED_COLUMNS)
+ORACLES["s6_absent_columns"] = q(f"""SELECT 'yr=' || y || '/{_cat.REGISTER_ZIP}' AS source_file, c AS "column"
+FROM (SELECT DISTINCT activity_year AS y FROM lar WHERE activity_year < '2022') d, (VALUES {_ABSENT}) v(c)""")
+ORACLES["s9_county_file_repeated"] = q("SELECT STATEFP || COUNTYFP AS fips, any_value(COUNTYNAME) AS county_name FROM county GROUP BY 1", "county")
 ORACLES["s10_filer_files"] = ORACLES["s10_lender_names"]
 ORACLES["s12_quality_document"] = q(f"""SELECT y, a, t, p, d, l, pu, rs, li, nm, c, CAST(round(s, 0) AS BIGINT) AS s, round(r, 2) AS r, rc
 FROM (SELECT {QUALITY_DIMS_SQL}, {M4_SQL} FROM lar GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9, 10) x""")

@@ -70,7 +70,9 @@ def _zip_paths(path: str) -> list[str]:
     if where.get_file_info(name).type != fs.FileType.Directory:
         return [path]
     found = where.get_file_info(fs.FileSelector(name, recursive=True))
-    return sorted(f.path for f in found if f.path.lower().endswith(".zip"))
+    # Below the given path, so that a URI keeps its scheme and authority.
+    base, inner = path.rstrip("/"), len(name.rstrip("/"))
+    return sorted(f"{base}/{f.path[inner:].lstrip('/')}" for f in found if f.type == fs.FileType.File and f.path.lower().endswith(".zip"))
 
 
 def _members(path: str, member: str | None) -> list[str]:
@@ -96,17 +98,54 @@ def dedupe_header(names: Sequence[str]) -> list[str]:
     return out[::-1]
 
 
+@dataclass(frozen=True)
+class ZipEntry:
+    """A member of a zip: its header's names and its size unpacked."""
+    path: str
+    member: str
+    header: tuple[str, ...]
+    size: int
+
+
+def manifest(spark: SparkSession, zips: Sequence[tuple[str, str | None]], sep: str = "|") -> dict[tuple[str, str | None], list[ZipEntry]]:
+    """What is in the zips, each (a zip or a folder of zips, member or None for every member): folders are listed here, central
+    directories and header lines are read by one job, a task per zip."""
+    import pyarrow as pa
+    listed = [(i, z, m) for i, (p, m) in enumerate(zips) for z in _zip_paths(p)]
+    found: dict[tuple[str, str | None], list[ZipEntry]] = {(p, m): [] for p, m in zips}
+    if not listed:
+        return found
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                with _zip(r["path"]) as zf:
+                    for n, info in enumerate([zf.getinfo(r["member"])] if r["member"] else [x for x in zf.infolist() if not x.is_dir()]):
+                        with io.TextIOWrapper(zf.open(info), encoding="utf-8", newline="") as text:
+                            header = dedupe_header(next(csv.reader(text, delimiter=sep), []))
+                        out.append({"i": r["i"], "path": r["path"], "n": n, "member": info.filename, "header": header, "size": info.file_size})
+            kinds = [("i", pa.int64()), ("path", pa.string()), ("n", pa.int64()), ("member", pa.string()), ("header", pa.list_(pa.string())), ("size", pa.int64())]
+            yield pa.RecordBatch.from_pylist(out, schema=pa.schema(kinds))
+
+    ship_package(spark)
+    rows = spark.createDataFrame(listed, "i long, path string, member string").repartition(len(listed), "i", "path")
+    told = rows.mapInArrow(run, "i long, path string, n long, member string, header array<string>, size long").collect()  # a line per member
+    for r in sorted(told, key=lambda r: (r["i"], r["path"], r["n"])):
+        found[zips[r["i"]]].append(ZipEntry(r["path"], r["member"], tuple(r["header"]), r["size"]))
+    return found
+
+
 class ZipDelimitedReader(DataSourceReader):
     def __init__(self, schema: T.StructType, options: dict):
         self.schema = schema
-        self.paths = zip_paths_option(options)
-        self.member = options.get("member") or None
+        self.members = members_option(options)
         self.sep = options.get("sep", "|")
         self.by_name = options.get("layout", "position") == "name"
         self.required = json.loads(options["required"]) if options.get("required") else [f.name for f in schema.fields]
 
     def partitions(self) -> list[InputPartition]:
-        return [ZipMember(p, m) for p in self.paths for m in _members(p, self.member)]
+        return [ZipMember(p, m) for p, m, _ in self.members]
 
     def read(self, partition: ZipMember) -> Iterator:
         """Arrow's streaming CSV reader over the decompressed member.
@@ -159,10 +198,20 @@ class ZipDelimitedReader(DataSourceReader):
                 yield given_back()
 
 
-def zip_paths_option(options: dict) -> list[str]:
-    """Option ``paths`` (a JSON list) or ``path`` (one file or a folder), folders listed."""
+def members_option(options: dict) -> list[tuple[str, str, list[str] | None]]:
+    """(zip, member, header) of option ``members`` (a manifest as JSON, its headers told once each), else of ``paths`` (a JSON list) or
+    ``path`` (one file or a folder), folders listed and zips opened one by one, headers not read."""
+    if options.get("members"):
+        told = json.loads(options["members"])
+        return [(p, m, told["headers"][h]) for p, m, h in told["members"]]
     given = json.loads(options["paths"]) if options.get("paths") else [options["path"]]
-    return [z for p in given for z in _zip_paths(p)]
+    return [(z, m, None) for p in given for z in _zip_paths(p) for m in _members(z, options.get("member") or None)]
+
+
+def as_option(entries: Sequence[ZipEntry]) -> str:
+    headers = list(dict.fromkeys(e.header for e in entries))
+    place = {h: i for i, h in enumerate(headers)}
+    return json.dumps({"headers": headers, "members": [(e.path, e.member, place[e.header]) for e in entries]})
 
 
 class ZipDelimitedSource(DataSource):
@@ -175,8 +224,8 @@ class ZipDelimitedSource(DataSource):
         return "zipped_delimited"
 
     def schema(self):
-        member, sep = self.options.get("member") or None, self.options.get("sep", "|")
-        names = dict.fromkeys(n for p in zip_paths_option(self.options) for m in _members(p, member) for n in _header(p, m, sep))
+        sep = self.options.get("sep", "|")
+        names = dict.fromkeys(n for p, m, header in members_option(self.options) for n in (_header(p, m, sep) if header is None else header))
         return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
@@ -189,15 +238,17 @@ def register_sources(spark: SparkSession) -> None:
 
 
 def read_zip(spark: SparkSession, path: str | Sequence[str], member: str | None = None,
-             schema: T.StructType | None = None, sep: str = "|", required: Sequence[str] | None = None) -> DataFrame:
+             schema: T.StructType | None = None, sep: str = "|", required: Sequence[str] | None = None,
+             entries: Sequence[ZipEntry] | None = None) -> DataFrame:
     """Rows of zipped delimited text, all columns text: by position with a schema, else by each
-    member's own header; then ``required`` names the columns that no row may end before (default: all)."""
+    member's own header; then ``required`` names the columns that no row may end before (default: all).
+    ``entries``: the zips' manifest, if it was made before."""
     register_sources(spark)
-    paths = [path] if isinstance(path, str) else list(path)
-    r = (spark.read.format("zipped_delimited").option("paths", json.dumps(paths)).option("sep", sep)
+    if entries is None:
+        paths = [path] if isinstance(path, str) else list(path)
+        entries = [e for of in manifest(spark, [(p, member) for p in paths], sep).values() for e in of]
+    r = (spark.read.format("zipped_delimited").option("members", as_option(entries)).option("sep", sep)
          .option("layout", "name" if schema is None else "position"))
-    if member:
-        r = r.option("member", member)
     if required is not None:
         r = r.option("required", json.dumps(list(required)))
     if schema is not None:
@@ -220,7 +271,7 @@ def extract_members(spark: SparkSession, zips: Sequence[tuple[str, str | None]],
     name and renamed, so a retried task leaves one whole copy.  Returns the text path of each
     (zip path, member).
     """
-    pairs = [(p, m) for p, member in zips for m in _members(p, member)]
+    pairs = list(dict.fromkeys((e.path, e.member) for of in manifest(spark, zips).values() for e in of))
     if not pairs:
         return {}
     base = out_dir.rstrip("/")
@@ -265,8 +316,9 @@ def read_mlar_text(spark: SparkSession, path: str | Sequence[str], sep: str = "|
 
 
 def lar_header(spark: SparkSession, path: str, sep: str = "|") -> list[str]:
-    """A public-register text's column names (one line to the driver); of equal names the last column keeps it."""
-    return dedupe_header(next(csv.reader([spark.read.text(path).first()[0]], delimiter=sep, quotechar='"')))
+    """A public-register text's column names (one line to the driver); of equal names the last column keeps it.  An empty text has none."""
+    first = spark.read.text(path).first()
+    return dedupe_header(next(csv.reader([first[0]], delimiter=sep, quotechar='"'), [])) if first else []
 
 
 def read_lar_text(spark: SparkSession, path: str, sep: str = "|") -> DataFrame:
@@ -275,6 +327,8 @@ def read_lar_text(spark: SparkSession, path: str, sep: str = "|") -> DataFrame:
     Fields beyond the header are ignored; a row that ends before the last column of the 85 is an error.
     """
     names = lar_header(spark, path, sep)
+    if not names:  # an empty text has no rows, as an empty zip member
+        return spark.createDataFrame([], MLAR_SCHEMA)
     wanted = renamed_columns(names)
     need = max((names.index(wanted[c]) for c in MLAR_COLUMNS if c in wanted), default=-1) + 1
     schema = T.StructType([T.StructField(n, T.StringType(), True) for n in [*names, "_uneven"]])
@@ -330,38 +384,53 @@ def _texts(spark: SparkSession, f: RegisterFile, paths: Sequence[str]) -> DataFr
     return reduce(DataFrame.unionByName, [harmonise(read_lar_text(spark, p)) for p in paths])
 
 
-def read_register(spark: SparkSession, f: RegisterFile, extracted: Sequence[str] | None = None) -> DataFrame:
+def read_register(spark: SparkSession, f: RegisterFile, extracted: Sequence[str] | None = None,
+                  entries: Sequence[ZipEntry] | None = None) -> DataFrame:
     """One file in its layout, harmonised to the 85 columns, tagged with ``source_file`` (its path).
 
     ``extracted``: the texts of a zip's members (``extract_members``), read as splittable text;
-    without them the zip data source parses the zip directly.
+    without them the zip data source parses the zip directly (``entries``: its manifest).
     """
     if f.layout not in ("lar", "mlar"):
         raise ValueError(f"layout must be 'lar' or 'mlar', not {f.layout!r}")
-    if not f.path.lower().endswith(".zip"):
+    if not is_zip(f):
         df = _texts(spark, f, [f.path])
     elif extracted:
         df = _texts(spark, f, extracted)
     elif f.layout == "mlar":
-        df = read_zip(spark, f.path, f.member, MLAR_SCHEMA)
+        df = read_zip(spark, f.path, f.member, MLAR_SCHEMA, entries=entries)
     else:
-        df = harmonise(read_zip(spark, f.path, f.member, required=[*MLAR_COLUMNS, *LAR_TO_MLAR_RENAMES]))
+        df = harmonise(read_zip(spark, f.path, f.member, required=[*MLAR_COLUMNS, *LAR_TO_MLAR_RENAMES], entries=entries))
     return df.withColumn("source_file", F.lit(f.path))
 
 
+def is_zip(f: RegisterFile) -> bool:
+    """Whether a register is a zip or a folder that holds zips (else text, as one file or a folder of part files)."""
+    if f.path.lower().endswith(".zip"):
+        return True
+    try:
+        return _zip_paths(f.path) not in ([], [f.path])
+    except (OSError, ValueError):  # a store that only Spark reads: text
+        return False
+
+
 def absent_columns(spark: SparkSession, files: Sequence[RegisterFile]) -> dict[str, list[str]]:
-    """For each public-register file the names of the 85 columns that its header (any member's) lacks."""
+    """For each public-register file the names of the 85 columns that its header (any member's) lacks; zips by one job."""
+    public = [f for f in files if f.layout == "lar"]
+    zipped = manifest(spark, [(f.path, f.member) for f in public if is_zip(f)])
     out = {}
-    for f in files:
-        if f.layout == "lar":
-            if f.path.lower().endswith(".zip"):
-                names = [n for m in _members(f.path, f.member) for n in _header(f.path, m, "|")]
-            else:
-                names = lar_header(spark, f.path)
-            out[f.path] = missing_columns(names)
+    for f in public:
+        names = [n for e in zipped[f.path, f.member] for n in e.header] if is_zip(f) else lar_header(spark, f.path)
+        out[f.path] = missing_columns(names)
     return out
 
 
+def absent_column_table(spark: SparkSession, files: Sequence[RegisterFile]) -> DataFrame:
+    """S6 as rows: (source_file, column) of the columns that public-register files lack."""
+    rows = [(path, c) for path, names in absent_columns(spark, files).items() for c in names]
+    return spark.createDataFrame(rows, "source_file string, column string")
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file exists: local paths directly, other stores through Spark's own file listing
     (a lazy ``binaryFile`` read fails on a missing path, reads no bytes).  Only "not found" is
@@ -387,16 +456,16 @@ def load_registers(spark: SparkSession, files: Sequence[RegisterFile],
                    exists=None, extract_dir: str | None = None) -> tuple[DataFrame | None, list[str]]:
     """S4 + U1: union of every present file (one reader per file and layout); returns (rows, missing paths).
 
-    With ``extract_dir`` all members of all zips are first extracted there, in one job.
+    A path may be a folder of zips.  With ``extract_dir`` all members of all zips are first extracted there, in one job.
     """
     present, missing = present_files(spark, files, exists)
     if not present:
         return None, missing
-    texts: dict[tuple[str, str], str] = {}
-    if extract_dir:
-        texts = extract_members(spark, [(f.path, f.member) for f in present if f.path.lower().endswith(".zip")], extract_dir)
-    own = lambda f: [t for (p, m), t in texts.items() if p == f.path and f.member in (None, m)]
-    return reduce(DataFrame.unionByName, [read_register(spark, f, own(f)) for f in present]), missing
+    zips = [(f.path, f.member) for f in present if is_zip(f)]
+    listed = manifest(spark, zips)  # one job for all files
+    texts = extract_members(spark, zips, extract_dir) if extract_dir else {}
+    own = lambda f: [texts[e.path, e.member] for e in listed.get((f.path, f.member), []) if texts]
+    return reduce(DataFrame.unionByName, [read_register(spark, f, own(f), listed.get((f.path, f.member))) for f in present]), missing
 
 
 def ingest_audit(rows: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -11,24 +12,66 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loanscope.schema import STATE_NAMES
+from loanscope.session import join_path
+from loanscope.sources.registers import filesystem, path_exists
 
 
 def write_fact(df: DataFrame, path: str, max_records_per_file: int = 5_000_000) -> None:
-    """Full refresh of the fact table, Parquet partitioned by activity_year.
+    """Full refresh of the fact table, Parquet partitioned by activity_year, as a version of its own.
+
+    The rows go to a new folder below ``path``; when all are written, one row appended to the manifest publishes them.
+    Readers follow the manifest, so a refresh that fails or is killed leaves the table as it was, and a reader
+    that began before keeps its files.  ``drop_old_versions`` removes what is no longer needed.
 
     A REBALANCE hint gathers a year's rows in few write tasks, so the write makes few files however the
     input mixes the years; adaptive execution splits a year that is larger than a task should hold.
     """
-    (df.hint("rebalance", F.col("activity_year")).write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
-     .partitionBy("activity_year").parquet(path))
+    spark = df.sparkSession
+    version = f"v-{uuid.uuid4().hex}"
+    (df.hint("rebalance", F.col("activity_year")).write.option("maxRecordsPerFile", max_records_per_file)
+     .partitionBy("activity_year").parquet(join_path(path, version)))
+    number = max([n for n, _ in versions(spark, path)], default=0) + 1
+    # An append of one file: it is either there as a whole or not at all.
+    spark.createDataFrame([(number, version)], MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(join_path(path, MANIFEST))
+
+
+MANIFEST, MANIFEST_SCHEMA = "manifest", "number long, version string"
+
+
+def versions(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """Published versions (number, folder) of a table, oldest first; none if it was never published."""
+    manifest = join_path(path, MANIFEST)
+    if not path_exists(spark, manifest):
+        return []
+    rows = spark.read.schema(MANIFEST_SCHEMA).parquet(manifest).orderBy("number", "version").collect()
+    return [(r["number"], r["version"]) for r in rows]
 
 
-def read_fact(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The fact table with its own column types (the year stays text, whatever partition values look like).
+def read_fact(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The fact table's last published version, with its own column types (the year stays text, whatever partition values look like).
 
     A partitioned write stores an empty year as the null partition; it is read back as ''.
     """
-    return spark.read.schema(schema).parquet(path).withColumn("activity_year", F.coalesce("activity_year", F.lit("")))
+    published = versions(spark, path)
+    if not published:
+        raise FileNotFoundError(f"no published version of a table in {path}")
+    reader = spark.read.schema(schema) if schema else spark.read
+    rows = reader.parquet(join_path(path, published[-1][1]))
+    return rows.withColumn("activity_year", F.coalesce(F.col("activity_year").cast("string"), F.lit("")))
+
+
+def drop_old_versions(spark: SparkSession, path: str, keep: int = 1) -> list[str]:
+    """Remove all but the last ``keep`` published versions and whatever unpublished ones failed refreshes left; returns their folders.
+
+    To be run when no refresh is under way and no reader is on an older version."""
+    from pyarrow import fs
+    published = [v for _, v in versions(spark, path)]
+    where, name = filesystem(path)
+    found = [f.base_name for f in where.get_file_info(fs.FileSelector(name)) if f.type == fs.FileType.Directory and f.base_name.startswith("v-")]
+    gone = sorted(v for v in found if v not in published[-max(1, keep):])
+    for v in gone:
+        where.delete_dir(f"{name.rstrip('/')}/{v}")
+    return gone
 
 
 def write_payload(tables: Mapping[str, DataFrame], out_dir: str, fmt: str = "parquet") -> dict[str, str]:

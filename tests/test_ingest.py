@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from loanscope.plans import jobs
 from loanscope.schema import LAR_TO_MLAR_RENAMES, MLAR_COLUMNS, QUERIED_COLUMNS
-from loanscope.sources import fixture, registers
+from loanscope.sources import fixture, registers, sinks
 from tests.conftest import SF_SMALL
 
 MLAR_TO_LAR = {v: k for k, v in LAR_TO_MLAR_RENAMES.items()}
@@ -63,7 +63,7 @@ def test_round_trip_both_layouts(spark, rows, scratch, extract):
     out = jobs.ingest(spark, files, os.path.join(scratch, "fact"),
                       extract_dir=os.path.join(scratch, "text") if extract else None)
     assert out["missing_files"] == [os.path.join(scratch, "2026_absent.zip")]
-    fact = spark.read.parquet(os.path.join(scratch, "fact"))
+    fact = sinks.read_fact(spark, os.path.join(scratch, "fact"))
     assert set(fact.columns) == set(MLAR_COLUMNS)
     got = sorted(tuple(r) for r in fact.select(*QUERIED_COLUMNS).collect())
     want = sorted(tuple(r[c] for c in QUERIED_COLUMNS) for r in rows.to_dict("records"))
@@ -233,3 +233,80 @@ def test_missing_and_broken_filer_lists_are_skipped_and_told(spark, scratch):
     assert [tuple(r)[:3] for r in reference.read_filer_files(spark, paths).collect()] == [(2020, "L1", "One")]
     assert reference.skipped_years(spark, paths) == [2021, 2022]
     assert reference.read_filer_files(spark, {2021: paths[2021]}).count() == 0
+
+
+def small(path, member, *rows, header=("lei", "activity_year", "action_taken")):
+    _write_zip(path, member, header, rows)
+
+
+@pytest.mark.parametrize("extract", [False, True])
+def test_a_folder_of_zips_by_uri(spark, scratch, extract, monkeypatch):
+    os.makedirs(os.path.join(scratch, "zips", "more"))
+    columns = (*[c for c in MLAR_COLUMNS if c != "state_code"],)
+    for name, lei in [("a.zip", "L1"), ("more/b.zip", "L2")]:
+        small(os.path.join(scratch, "zips", name), "x.txt", [lei if c == "lei" else "2021" if c == "activity_year" else "1" for c in columns], header=columns)
+    with zipfile.ZipFile(os.path.join(scratch, "zips", "empty.zip"), "w") as zf:
+        zf.writestr("nothing.txt", "")
+    uri = "file://" + os.path.join(scratch, "zips")
+    f = registers.RegisterFile(uri, "lar")
+    listed = registers.manifest(spark, [(uri, None)])[uri, None]
+    assert [(e.path, e.member, len(e.header)) for e in listed] == [
+        (f"{uri}/a.zip", "x.txt", 84), (f"{uri}/empty.zip", "nothing.txt", 0), (f"{uri}/more/b.zip", "x.txt", 84)]
+
+    driver, really = os.getpid(), registers._zip
+
+    def opened(path):
+        assert os.getpid() != driver, "a zip was opened on the driver"
+        return really(path)
+
+    monkeypatch.setattr(registers, "_zip", opened)
+    rows, missing = registers.load_registers(spark, [f], extract_dir=os.path.join(scratch, "texts") if extract else None)
+    assert sorted((r["lei"], r["state_code"], r["source_file"]) for r in rows.collect()) == [("L1", "", uri), ("L2", "", uri)] and missing == []
+    assert sorted(map(tuple, registers.absent_column_table(spark, [f]).collect())) == [(uri, "state_code")]
+
+
+def test_zips_of_a_store_keep_their_uri(scratch, monkeypatch):
+    from pyarrow import fs
+    os.makedirs(os.path.join(scratch, "bucket", "year"))
+    for name in ("b.zip", "year/a.ZIP", "c.txt"):
+        open(os.path.join(scratch, "bucket", name), "w").close()
+    store = fs.SubTreeFileSystem(scratch, fs.LocalFileSystem())
+    monkeypatch.setattr(registers, "filesystem", lambda path: (store, path.split("://", 1)[1].rstrip("/")))
+    assert registers._zip_paths("stub://bucket") == ["stub://bucket/b.zip", "stub://bucket/year/a.ZIP"]
+    assert registers._zip_paths("stub://bucket/") == ["stub://bucket/b.zip", "stub://bucket/year/a.ZIP"]
+    assert registers._zip_paths("stub://bucket/b.zip") == ["stub://bucket/b.zip"]
+
+
+def test_an_empty_public_text_has_no_rows(spark, scratch):
+    path = os.path.join(scratch, "2019_lar.txt")
+    open(path, "w").close()
+    f = registers.RegisterFile(path, "lar")
+    rows, _ = registers.load_registers(spark, [f])
+    assert rows.count() == 0 and rows.columns == [*MLAR_COLUMNS, "source_file"]
+    assert registers.absent_columns(spark, [f]) == {path: list(MLAR_COLUMNS)}
+
+
+def test_a_refresh_that_fails_leaves_the_table(spark, scratch, monkeypatch):
+    path = os.path.join(scratch, "table")
+    rows = lambda n: spark.range(n).selectExpr("cast(2018 + id % 3 as string) as activity_year", "cast(id as string) as lei").repartition(4)
+    with pytest.raises(FileNotFoundError):
+        sinks.read_fact(spark, path)
+    sinks.write_fact(rows(30), path)
+    before = sinks.read_fact(spark, path)
+    bad = rows(60).withColumn("lei", F.when(F.col("lei") == "59", F.raise_error(F.lit("lost"))).otherwise(F.col("lei")))
+    with pytest.raises(Exception, match="lost"):
+        sinks.write_fact(bad, path)
+    assert before.count() == 30 == sinks.read_fact(spark, path).count()
+
+    def killed(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m, pytest.raises(KeyboardInterrupt):  # all rows written, not yet published
+        m.setattr(sinks, "versions", killed)
+        sinks.write_fact(rows(90), path)
+    assert sinks.read_fact(spark, path).count() == 30
+    sinks.write_fact(rows(12), path)
+    assert sinks.read_fact(spark, path).count() == 12 and before.count() == 30
+    assert [n for n, _ in sinks.versions(spark, path)] == [1, 2]
+    assert len(sinks.drop_old_versions(spark, path)) == 2  # the first and the unpublished one; Spark took back the failed one
+    assert sinks.read_fact(spark, path).count() == 12
