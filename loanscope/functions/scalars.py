@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from loanscope.schema import MISSING_NUMBER_CODES, UNKNOWN_CODES
 
 __all__ = [
-    "NUMERIC_PREFIX", "lenient_double", "is_valid_number", "is_known_code",
+    "NUMERIC_PREFIX", "lenient_double", "exact_sum", "is_valid_number", "is_known_code",
     "rate_bucket_strict", "rate_bucket_lenient", "dti_bucket", "cltv_bucket",
     "spread_bucket", "non_am_class", "fips_state_prefix",
     "sql_round", "cell_round_amount", "cell_round_rate", "safe_ratio", "safe_pct",
@@ -46,6 +46,27 @@ def lenient_double(x) -> Column:
     return F.when(c.isNull(), F.lit(None).cast("double")).otherwise(F.coalesce(plain, prefix))
 
 
+# Parts of a number for ``exact_sum``: whole, multiples of 2**-20, multiples of 2**-40; from 2**53 on a double has no fraction.
+PART = float(1 << 20)
+LARGE = float(1 << 53)
+
+
+def exact_sum(x) -> Column:
+    """Aggregate: the sum of doubles, the same bits however rows are dealt over partitions.
+
+    Each value is cut into a whole number and two fixed-point parts (its digits beyond 2**-40 are rounded, value by
+    value), whose sums are integers and so depend on no order; they are put together once.  A sum of whole parts beyond 64 bits is an
+    error.  Only values of 2**53 and more are added as doubles.  NULLs are skipped; no value at all gives NULL.
+    """
+    v = _c(x).cast("double")
+    small = F.abs(v) < LARGE
+    fraction = (v - F.floor(v)) * PART
+    parts = [F.floor(v), F.floor(fraction), F.floor((fraction - F.floor(fraction)) * PART + 0.5)]
+    whole, upper, lower = (F.sum(F.when(v.isNotNull(), F.when(small, p).otherwise(F.lit(0).cast("bigint")))).cast("double") for p in parts)
+    large = F.sum(F.when(v.isNotNull(), F.when(small, 0.0).otherwise(v)))
+    return whole + (upper / PART + lower / (PART * PART)) + large
+
+
 def is_valid_number(x) -> Column:
     """The text is not one of the missing-number codes (NULL stays NULL)."""
     return ~_c(x).isin(*MISSING_NUMBER_CODES)

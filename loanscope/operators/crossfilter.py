@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loanscope.functions.scalars import exact_sum
 from loanscope.operators.filters import MAIN_DIMS, QUALITY_DIMS, Filters, apply
 
 BITS = {dim: 1 << i for i, dim in enumerate(QUALITY_DIMS)}
@@ -39,10 +40,10 @@ def panel_cells(quality: DataFrame, f: Filters, panels: Mapping[str, str]) -> Da
     marked = rows.withColumn("failed", failed_filters(f, open_dims)).where(reduce(lambda a, b: a | b, [counts(d) for d in panels]))
     told = F.array(*[F.struct(F.lit(d).alias("dim"), F.col(c).alias("code"), counts(d).alias("counts")) for d, c in panels.items()])
     each = marked.select("y", "c", "s", "r", "rc", (F.col("failed") == 0).alias("full"), F.inline(F.filter(told, lambda x: x["counts"])))
-    full = lambda c: F.sum(F.when(F.col("full"), F.col(c)))
+    full = lambda c, total=exact_sum: total(F.when(F.col("full"), F.col(c)))
     return each.groupBy("dim", "code", "y").agg(
-        F.sum("c").cast("bigint").alias("c"), F.max("full").alias("in_slice"), full("c").cast("bigint").alias("fc"), full("s").alias("fs"),
-        full("r").alias("fr"), full("rc").cast("bigint").alias("frc"))
+        F.sum("c").cast("bigint").alias("c"), F.max("full").alias("in_slice"), full("c", F.sum).cast("bigint").alias("fc"), full("s").alias("fs"),
+        full("r").alias("fr"), full("rc", F.sum).cast("bigint").alias("frc"))
 
 
 def slice_of(cells: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from loanscope.functions.scalars import (
     cltv_bucket, dti_bucket, is_known_code, is_valid_number, lenient_double, non_am_class,
-    rate_bucket_lenient, rate_bucket_strict, spread_bucket, cell_round_amount, cell_round_rate,
+    rate_bucket_lenient, rate_bucket_strict, spread_bucket, cell_round_amount, cell_round_rate, exact_sum,
 )
 from loanscope.operators.lookups import broadcast_bounded, with_state_from_fips
 
@@ -53,8 +53,8 @@ def measures(names: Sequence[str] = M4, loan: str = "loan_amount", rate: str = "
     rv = F.col(rate_value) if rate_value else lenient_double(rate)
     exprs = {
         "c": F.count(F.lit(1)).alias("c"),
-        "s": F.sum(lv).alias("s"),
-        "r": F.sum(F.when(valid, rv).otherwise(F.lit(0.0))).alias("r"),
+        "s": exact_sum(lv).alias("s"),
+        "r": exact_sum(F.when(valid, rv).otherwise(F.lit(0.0))).alias("r"),
         "rc": F.sum(F.when(valid, F.lit(1)).otherwise(F.lit(0))).cast("bigint").alias("rc"),
     }
     return [exprs[n] for n in names]
@@ -80,7 +80,7 @@ def rollup(cube: DataFrame, keys: Sequence[str], where: Column | None = None,
            measure_names: Sequence[str] = M4) -> DataFrame:
     """Re-aggregate a cube to coarser keys (sums of additive measures)."""
     src = cube if where is None else cube.where(where)
-    aggs = [(F.sum(m).cast("bigint") if m in ("c", "rc") else F.sum(m)).alias(m) for m in measure_names]
+    aggs = [(F.sum(m).cast("bigint") if m in ("c", "rc") else exact_sum(m)).alias(m) for m in measure_names]
     return src.groupBy(*keys).agg(*aggs)
 
 

@@ -13,8 +13,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loanscope.functions.scalars import exact_sum, label_of, lenient_double, rate_bucket_lenient, sql_round
 from loanscope.operators.bitmaps import count_lenders
-from loanscope.functions.scalars import label_of, lenient_double, rate_bucket_lenient, sql_round
 from loanscope.operators.ranking import sort_small
 from loanscope.schema import (ACTION_LABELS, DENIAL_REASON_LABELS, LOAN_PURPOSE_LABELS,
                               LOAN_TYPE_LABELS)
@@ -38,9 +38,9 @@ def summary(lender_base: DataFrame, approx_lenders: bool = False) -> DataFrame:
         _where_sum(F.col("a") == "3", "c").cast("bigint").alias("denied"),
         (F.approx_count_distinct("lei", 0.02) if approx_lenders else F.count_distinct("lei"))
         .cast("bigint").alias("lender_count"),
-        sql_round(F.try_divide(F.sum(F.when(orig, F.col("s"))), c_o.cast("double")), 0).alias("avg_loan"),
-        sql_round(F.sum(F.when(orig, F.col("s")).otherwise(F.lit(0.0))) / F.lit(1e9), 1).alias("total_volume_b"),
-        sql_round(F.try_divide(F.sum(F.when(orig, F.col("r"))),
+        sql_round(F.try_divide(exact_sum(F.when(orig, F.col("s"))), c_o.cast("double")), 0).alias("avg_loan"),
+        sql_round(exact_sum(F.when(orig, F.col("s")).otherwise(F.lit(0.0))) / F.lit(1e9), 1).alias("total_volume_b"),
+        sql_round(F.try_divide(exact_sum(F.when(orig, F.col("r"))),
                              F.sum(F.when(orig, F.col("rc"))).cast("double")), 3).alias("avg_rate"),
     )
 
@@ -57,7 +57,7 @@ def breakdown(main: DataFrame, dim: str, labels: Mapping[str, str]) -> DataFrame
     """Count, percent of all rows (1 decimal), average loan (0 decimals), label; count desc."""
     total = F.sum("count").over(Window.partitionBy())  # a handful of codes per report
     per = main.groupBy(F.col(dim).alias("code")).agg(F.sum("c").cast("bigint").alias("count"),
-                                                      F.sum("s").alias("_s"))
+                                                      exact_sum("s").alias("_s"))
     return sort_small(per.select(
         "code", "count",
         sql_round(F.col("count") * F.lit(100.0) / total, 1).alias("pct"),

@@ -7,12 +7,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanscope.functions.scalars import label_of, ordinal_of, safe_pct, safe_ratio
+from loanscope.functions.scalars import exact_sum, label_of, ordinal_of, safe_pct, safe_ratio
 
 
 def _sum_if(cond: Column | None, col: str) -> Column:
     v = F.col(col) if cond is None else F.when(cond, F.col(col))
-    return F.coalesce(F.sum(v), F.lit(0))
+    return F.coalesce(exact_sum(v) if col in ("s", "r") else F.sum(v), F.lit(0))
 
 
 def aggregate(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -99,7 +99,7 @@ def bucket_detail(df: DataFrame, dims: Mapping[str, str]) -> DataFrame:
     stack_args = ", ".join(f"'{name}', `{col}`" for name, col in dims.items())
     long = df.selectExpr(f"stack({len(dims)}, {stack_args}) AS (dim, bucket)", "c", "s", "r", "rc")
     per = (long.groupBy("dim", "bucket").agg(F.sum("c").cast("bigint").alias("count"),
-                                             F.sum("s").alias("volume"), F.sum("r").alias("_r"),
+                                             exact_sum("s").alias("volume"), exact_sum("r").alias("_r"),
                                              F.sum("rc").alias("_rc"))
            .where(F.col("count") > 0))
     return finish_buckets(per)
@@ -120,4 +120,4 @@ def distinct_years(df: DataFrame, year: str = "y") -> DataFrame:
 def totals(df: DataFrame, sums: Sequence[str], count_as: str = "groups") -> DataFrame:
     """Sums over group rows plus the number of groups."""
     return df.agg(F.count(F.lit(1)).cast("bigint").alias(count_as),
-                  *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums])
+                  *[F.coalesce(exact_sum(c) if df.schema[c].dataType.typeName() == "double" else F.sum(c), F.lit(0)).alias(c) for c in sums])

@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loanscope.functions.scalars import exact_sum
 from loanscope.operators.filters import QUALITY_DIMS, Filters
 
 Dims = frozenset[str]
@@ -83,7 +84,7 @@ def unions(views: Sequence[Dims], most: int = 32) -> list[Dims]:
 
 def rolled_up(cube: DataFrame, dims: Dims) -> DataFrame:
     """The cube by ``dims`` alone."""
-    return cube.groupBy(*columns_of(dims)).agg(*[F.sum(m).alias(m) if m in ("s", "r") else F.sum(m).cast("bigint").alias(m) for m in MEASURES])
+    return cube.groupBy(*columns_of(dims)).agg(*[exact_sum(m).alias(m) if m in ("s", "r") else F.sum(m).cast("bigint").alias(m) for m in MEASURES])
 
 
 @dataclass

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanscope.functions.scalars import (label_of, literal_map, ordinal_of, safe_pct, safe_ratio,
+from loanscope.functions.scalars import (exact_sum, label_of, literal_map, ordinal_of, safe_pct, safe_ratio,
                                          scale_billions, scale_volume, share_or_zero)
 from loanscope.operators import filters as P
 from loanscope.operators import rollup as R
@@ -48,9 +48,9 @@ def national_summary(main: DataFrame, f: Filters = ALL) -> DataFrame:
     agg = P.slice_main(main, f, ignore={"action"}).agg(
         F.coalesce(F.sum(F.when(in_f, F.col("c"))), F.lit(0)).cast("bigint").alias("apps"),
         F.coalesce(F.sum(F.when(orig, F.col("c"))), F.lit(0)).cast("bigint").alias("originated"),
-        F.coalesce(F.sum(F.when(orig, F.col("s"))), F.lit(0.0)).alias("_vol"),
-        F.sum(F.when(in_f, F.col("s"))).alias("_s"),
-        F.sum(F.when(orig, F.col("r"))).alias("_r"),
+        F.coalesce(exact_sum(F.when(orig, F.col("s"))), F.lit(0.0)).alias("_vol"),
+        exact_sum(F.when(in_f, F.col("s"))).alias("_s"),
+        exact_sum(F.when(orig, F.col("r"))).alias("_r"),
         F.sum(F.when(orig, F.col("rc"))).alias("_rc"))
     return agg.select("apps", "originated", safe_pct("originated", "apps").alias("orig_pct"),
                       scale_billions("_vol").alias("volume_b"),
@@ -66,7 +66,7 @@ def outcome_series(main: DataFrame, f: Filters = ALL) -> DataFrame:
 def outcome_table(main: DataFrame, f: Filters = ALL) -> DataFrame:
     """V3: per action: count, share of the shown total, average loan; ignores the action filter."""
     per = P.slice_main(main, f, ignore={"action"}).groupBy(F.col("a").alias("code")).agg(
-        F.sum("c").cast("bigint").alias("count"), F.sum("s").alias("_s"))
+        F.sum("c").cast("bigint").alias("count"), exact_sum("s").alias("_s"))
     total = F.sum("count").over(Window.partitionBy())  # at most a dozen action codes
     return sort_small(per.select("code", label_of("code", ACTION_LABELS).alias("label"), "count",
                                  (F.col("count").cast("double") / total.cast("double") * F.lit(100.0)).alias("pct"),
@@ -106,7 +106,7 @@ def year_trend(main: DataFrame, f: Filters = ALL) -> DataFrame:
         F.sum("c").cast("bigint").alias("apps"),
         F.coalesce(F.sum(F.when(F.col("a") == "1", F.col("c"))), F.lit(0)).cast("bigint").alias("originated"),
         F.coalesce(F.sum(F.when(F.col("a") == "3", F.col("c"))), F.lit(0)).cast("bigint").alias("denied"),
-        safe_ratio(F.sum("r"), F.sum("rc")).alias("avg_rate"),
+        safe_ratio(exact_sum("r"), F.sum("rc")).alias("avg_rate"),
     ])  # one row per year; callers order it
 
 
@@ -312,7 +312,7 @@ def panel_detail(cells: DataFrame) -> DataFrame:
     """V19 from ``quality_panel_cells``."""
     names = literal_map({d[0]: d[2] for d in QUALITY_VIEW_DIMS})
     per = slice_of(cells).withColumn("dim", names[F.col("dim")]).groupBy("dim", "bucket").agg(
-        F.sum("c").cast("bigint").alias("count"), F.sum("s").alias("volume"), F.sum("r").alias("_r"), F.sum("rc").alias("_rc"))
+        F.sum("c").cast("bigint").alias("count"), exact_sum("s").alias("volume"), exact_sum("r").alias("_r"), F.sum("rc").alias("_rc"))
     return _in_panel_order(R.finish_buckets(per.where(F.col("count") > 0)))
 
 
@@ -325,11 +325,11 @@ def investor_by_year(inv_national: DataFrame, f: Filters = ALL, lens: str = "bp"
     src = P.slice_investor(inv_national, f)
     return R.by_year(src, [
         F.coalesce(F.sum(F.when(inv, F.col("c"))), F.lit(0)).cast("bigint").alias("inv_c"),
-        F.coalesce(F.sum(F.when(inv, F.col("s"))), F.lit(0.0)).alias("inv_s"),
-        F.coalesce(F.sum(F.when(inv, F.col("r"))), F.lit(0.0)).alias("inv_r"),
+        F.coalesce(exact_sum(F.when(inv, F.col("s"))), F.lit(0.0)).alias("inv_s"),
+        F.coalesce(exact_sum(F.when(inv, F.col("r"))), F.lit(0.0)).alias("inv_r"),
         F.coalesce(F.sum(F.when(inv, F.col("rc"))), F.lit(0)).cast("bigint").alias("inv_rc"),
         F.sum("c").cast("bigint").alias("all_c"),
-        F.sum("s").alias("all_s"),
+        exact_sum("s").alias("all_s"),
     ])
 
 
@@ -338,8 +338,8 @@ def investor_summary(inv_national: DataFrame, f: Filters = ALL, lens: str = "bp"
     yr = investor_by_year(inv_national, f, lens)
     agg = yr.agg(F.coalesce(F.sum("inv_c"), F.lit(0)).cast("bigint").alias("inv_c"),
                  F.coalesce(F.sum("all_c"), F.lit(0)).cast("bigint").alias("all_c"),
-                 F.coalesce(F.sum("inv_s"), F.lit(0.0)).alias("volume"),
-                 F.sum("inv_r").alias("_r"), F.sum("inv_rc").alias("_rc"),
+                 F.coalesce(exact_sum("inv_s"), F.lit(0.0)).alias("volume"),
+                 exact_sum("inv_r").alias("_r"), F.sum("inv_rc").alias("_rc"),
                  peak(yr, "y", "inv_c").alias("peak_year"),
                  F.max("inv_c").alias("_max"))
     return agg.select("inv_c", "all_c", share_or_zero("inv_c", "all_c").alias("share"), "volume",
@@ -378,7 +378,7 @@ def _investor_group(cube: DataFrame, key: str, f: Filters, lens: str) -> DataFra
     extra = [F.max("state").alias("state")] if key != "state" else []  # one state per county
     return P.slice_investor(cube, f).groupBy(key).agg(
         F.coalesce(F.sum(F.when(inv, F.col("c"))), F.lit(0)).cast("bigint").alias("inv_c"),
-        F.coalesce(F.sum(F.when(inv, F.col("s"))), F.lit(0.0)).alias("inv_s"),
+        F.coalesce(exact_sum(F.when(inv, F.col("s"))), F.lit(0.0)).alias("inv_s"),
         F.sum("c").cast("bigint").alias("all_c"), *extra)
 
 
