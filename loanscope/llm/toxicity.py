@@ -67,12 +67,14 @@ def features_by_text(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, bound: int = TRAINING_ROWS) -> DataFrame:
-    """(toxic, text) of at most ``bound`` labelled documents, chosen by a hash of the id; of several labels the largest."""
+    """(toxic, text) of at most ``bound`` labelled documents, chosen by a hash of the id; of several labels the largest, of
+    several rows of one id the one with the least text, so that there are no more rows than ids."""
     own = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
     texts = docs.select("doc_id", F.lower(text_of(docs)).cast("binary").alias("text"))
     # At most ``bound`` (id, label) rows: a proven size.
-    return texts.join(F.broadcast(chosen), "doc_id").select("toxic", "text")
+    own = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    return own.select("toxic", "text")
 
 
 def feature_counts(rows: DataFrame) -> DataFrame:

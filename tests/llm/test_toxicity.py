@@ -41,3 +41,11 @@ def test_held_out_accuracy(spark):
     # Some rows are labelled toxic without any of the words that the others share.
     assert hit[true].mean() > 0.85 and hit[~true].mean() < 0.01
     assert all(0 <= r["p_toxic"] <= r["severity"] <= 3 for r in rows)
+
+
+def test_the_bound_is_on_rows(spark):
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(500)] + [(2, "two"), (3, "three"), (None, "none")], "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(1, 1, 1), (2, 1, 0), (3, 0, 1), (1, 0, 0)], "doc_id long, quality int, toxic int")
+    rows = toxicity.labelled(docs, labels, 3).collect()
+    assert sorted((r["toxic"], bytes(r["text"]).decode()) for r in rows) == [(0, "two"), (1, "text 0"), (1, "three")]
+    assert len(toxicity.labelled(docs, labels, 2).collect()) <= 2
