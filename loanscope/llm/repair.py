@@ -218,7 +218,8 @@ def marked_rows(rows: DataFrame) -> DataFrame:
     core = F.rtrim(F.col("text"), F.lit(" \t\n\x0b\x0c\r"))
     r = r.select("key", "conv_id", "turn", "at", "role", "same", (core == "").alias("blank"), (~F.right(core, F.lit(1)).isin(".", "!", "?")).alias("cut"))
     # Rows alike in one turn are one row with a count, added up before the shuffle.
-    once = land(r.groupBy("key", "same", "at").agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("conv_id", "turn", "role", "blank", "cut")]), "repair-rows")
+    alike = ("key", "same", "at", "conv_id", "turn", "role", "blank", "cut")  # the first three settle the others
+    once = land(r.groupBy(*alike).agg(F.count("*").alias("n")), "repair-rows")
     rank = F.struct(F.col("turn").isNotNull().alias("given"), F.col("turn").alias("turn"))
     said_again = once.groupBy("key", "same").agg(F.min(rank).alias("first"), F.count("*").alias("turns")).filter("turns > 1").drop("turns")
     # Counts to rows in two steps, so that no array holds them all.
