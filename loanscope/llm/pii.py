@@ -9,12 +9,16 @@ In all texts that hold c, every occurrence of a term with PMI >= ``generalise``
 ``remove`` * IC(c) on it is removed.
 No number of co-occurrences is asked for: a pair counts unless chance would explain it.  Were c and t
 independent, they would share m = n(c) * n(t) / N, and n(c, t) = m * 2^PMI or more of them with a probability of at most
-exp(-n(c, t) * (ln 2 * PMI - 1) - m) (Chernoff), which must not exceed 1 - ``confidence``.
+exp(-n(c, t) * (ln 2 * PMI - 1) - m) (Chernoff), which must not exceed 1 - ``confidence``.  That bound is for one pair: a text that
+tests thousands has words marked by chance, so a word seen once goes wherever an identifier seen once is.  ``all_pairs``
+divides 1 - ``confidence`` by the number of pairs tested instead, which marks few words that are not repeated beside their identifier.
 
 1. A map-only pass finds the base spans of every text, gated by substring tests.
 2. n(t) is counted over all different texts, distinct terms of a text exploded and pre-aggregated.
-3. Words too common to disclose any identifier drop out by n(t) before texts' identifiers and terms are paired.
-   Pairs are counted by map-side aggregation, so a hot identifier is one row per task and term.
+3. Identifiers that the same texts hold have the same counts with every term, and so have terms of the same texts and
+   n(t) with every identifier: both are collapsed into classes, and a text pairs its classes, not its identifiers and words (a page
+   of 300 addresses and 2,000 words seen nowhere else is one pair).  Words too common to disclose any identifier drop out by
+   n(t) before.  Pairs are counted by map-side aggregation, so a hot identifier is one row per task and class of terms.
 4. Places of the terms past the threshold come back to the documents with identifiers; the others skip that join.
 
 Regexes are written for bounded work on long texts: a match of a greedy class that failed at the
@@ -39,6 +43,7 @@ CARD = r"(?:\G|(?<![0-9]))[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 
 BLOCK = 4096  # characters; see in_blocks
+PART = 1024  # classes of terms of a text that one task pairs with the text's identifiers
 CONFIDENCE = 0.99
 GENERALISE = 0.75
 REMOVE = 0.95
@@ -160,30 +165,55 @@ def occurrences(texts: DataFrame) -> DataFrame:
     return each.groupBy("h", F.lower("w.m").alias("t")).agg(F.collect_list(F.struct("w.s", "w.e")).alias("at"))
 
 
-def disclosing_terms(found: DataFrame, texts: DataFrame, n_texts: int, confidence: float, generalise: float) -> DataFrame:
+def set_classes(held: DataFrame, key: str, *with_: str) -> DataFrame:
+    """(key, class): what is held by the same set of texts is one class: ``n`` texts, the set by 128 bits (XOR of two
+    hashes of its members, so that a hot key is one row per task), and the columns ``with_`` that depend on the key."""
+    members = [F.bit_xor(F.xxhash64(F.lit(seed), F.col("h"))).alias(f"set{seed}") for seed in (1, 2)]
+    return held.groupBy(key, *with_).agg(F.struct(*with_, F.count("*").alias("n"), *members).alias("class"))
+
+
+def class_pairs(ids: DataFrame, terms: DataFrame) -> DataFrame:
+    """(h, cc, ids, tc, words): each class of identifiers of a text beside each class of its terms.
+    ``ids`` is (h, cc, ids), ``terms`` (h, tc, words); a text's terms are dealt over parts of about ``PART`` classes."""
+    parts = terms.groupBy("h").agg(((F.count("*") / PART).cast("int") + 1).alias("parts"))
+    left = ids.join(parts, "h").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    right = terms.join(parts, "h").withColumn("part", F.pmod(F.xxhash64("tc"), F.col("parts")).cast("int"))
+    return left.drop("parts").join(right.drop("parts"), ["h", "part"])
+
+
+def disclosing_terms(found: DataFrame, texts: DataFrame, n_texts: int, confidence: float, generalise: float,
+                     all_pairs: bool = False) -> DataFrame:
     """(h, s, e, share): all places of terms that disclose at least ``generalise`` of the information content
-    of an identifier of their text, with the largest share."""
+    of an identifier of their text, with the largest share.  With ``all_pairs`` the error that ``confidence`` leaves is
+    shared among all pairs of an identifier and a term that are tested."""
     held = land(found.select("h", F.explode(F.array_distinct(F.transform("spans", lambda x: _value(x["k"], x["m"])))).alias("c")).distinct(), "pii-held")
-    nc = land(held.groupBy("c").agg(F.count("*").alias("nc")), "pii-values")
+    kinds = set_classes(held, "c").withColumnRenamed("class", "cc")
+    ids = land(held.join(kinds, "c").groupBy("h", "cc").agg(F.count("*").alias("ids")), "pii-identifiers")
     n = F.lit(float(n_texts))
     # As n(c, t) <= n(c), a share of g needs n(t) <= N^(1 - g) n(c)^g: common words drop out before the pairs.
     most = lambda count: F.pow(n, F.lit(1 - generalise)) * F.pow(count, F.lit(generalise)) * (1 + 1e-9)
-    top = nc.agg(F.max("nc")).first()[0] or 0
+    top = ids.agg(F.max("cc.n")).first()[0] or 0
     rare = document_frequencies(texts).filter(F.col("nt") <= most(F.lit(float(top))))
-    terms = land(occurrences(found.dropDuplicates(["h"])).join(rare, "t"), "pii-terms")
-    pairs = held.join(nc, "c").join(terms.select("h", "t", "nt"), "h").filter(F.col("nt") <= most(F.col("nc")))
-    pairs = land(pairs.select("h", "c", "t", "nc", "nt"), "pii-pairs")
-
-    ic = F.log2(n / F.col("nc"))
-    pmi = F.log2((F.col("nct") / F.col("nc")) * n / F.col("nt"))
-    sure = F.col("nct") * (pmi * math.log(2) - 1) + F.col("nc") * F.col("nt") / n >= -math.log(1 - confidence)
-    joint = pairs.groupBy("c", "t", "nc", "nt").agg(F.count("*").alias("nct")).withColumn("share", F.when(ic > 0, pmi / ic).otherwise(0.0))
-    telling = joint.filter((F.col("share") >= generalise) & sure).select("c", "t", "share")
-    told = pairs.select("h", "c", "t").join(telling, ["c", "t"]).groupBy("h", "t").agg(F.max("share").alias("share"))
-    return terms.join(told, ["h", "t"]).select("h", "share", F.inline("at"))
-
-
-def pii_spans(docs: DataFrame, confidence: float = CONFIDENCE, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
+    places = land(occurrences(found.dropDuplicates(["h"])).join(rare, "t"), "pii-terms")
+    kinds = set_classes(places, "t", "nt").select("t", F.col("class").alias("tc"))
+    places = land(places.join(kinds, "t").select("h", "tc", "at"), "pii-places")
+    terms = land(places.groupBy("h", "tc").agg(F.count("*").alias("words")), "pii-term-classes")
+    pairs = land(class_pairs(ids, terms).filter(F.col("tc.nt") <= most(F.col("cc.n"))), "pii-pairs")
+
+    nc, nt = F.col("cc.n"), F.col("tc.nt")
+    ic = F.log2(n / nc)
+    pmi = F.log2((F.col("nct") / nc) * n / nt)
+    joint = pairs.groupBy("cc", "tc", "ids", "words").agg(F.count("*").alias("nct"))
+    tested = joint.agg(F.sum(F.col("ids") * F.col("words"))).first()[0] or 1 if all_pairs else 1
+    sure = F.col("nct") * (pmi * math.log(2) - 1) + nc * nt / n >= -math.log((1 - confidence) / tested)
+    joint = joint.withColumn("share", F.when(ic > 0, pmi / ic).otherwise(0.0))
+    telling = joint.filter((F.col("share") >= generalise) & sure).select("cc", "tc", "share")
+    told = pairs.select("h", "cc", "tc").join(telling, ["cc", "tc"]).groupBy("h", "tc").agg(F.max("share").alias("share"))
+    return places.join(told, ["h", "tc"]).select("h", "share", F.inline("at"))
+
+
+def pii_spans(docs: DataFrame, confidence: float = CONFIDENCE, generalise: float = GENERALISE, remove: float = REMOVE,
+              all_pairs: bool = False) -> DataFrame:
     """One row per row of ``docs``: doc_id, text, spans (array of s, k, e, action), sorted by s, k.
 
     k is 0-3 for email, ip, card, phone and 4 for a disclosing term; action is 'mask' (base kinds), 'generalise' or
@@ -196,7 +226,7 @@ def pii_spans(docs: DataFrame, confidence: float = CONFIDENCE, generalise: float
     found = land(spotted.filter(F.size("spans") > 0), "pii-found")
     texts = rows.select("h", "text").dropDuplicates(["h"]).withColumn("spans", base_spans(F.col("text")))
     n_texts = rows.select("h").distinct().count()
-    places = disclosing_terms(found, texts, n_texts, confidence, generalise)
+    places = disclosing_terms(found, texts, n_texts, confidence, generalise, all_pairs)
     action = F.when(F.col("share") >= remove, "remove").otherwise("generalise")
     terms = places.groupBy("h").agg(F.collect_list(F.struct("s", F.lit(4).alias("k"), "e", action.alias("action"))).alias("terms"))
     base = F.transform("spans", lambda x: F.struct(x["s"].alias("s"), x["k"].alias("k"), x["e"].alias("e"), F.lit("mask").alias("action")))

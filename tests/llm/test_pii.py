@@ -1,6 +1,8 @@
 import hashlib
+import math
 import random
 import re
+from collections import defaultdict
 
 from loanscope.llm import pii
 
@@ -63,7 +65,7 @@ def test_disclosing_terms(spark):
     spotted = pii.sanitise(pii.pii_spans(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
     clean = {r["doc_id"]: r["clean"] for r in spotted.collect()}
     assert clean[60] == "the  the <email> wrote" and clean[0] == texts[0]
-    # Copies of one passage are one surrounding: no support.
+    # Copies count once, and a single meeting among 61 texts can be chance.
     assert not any(r["n_terms"] for r in run(spark, texts[:60] + [texts[60]] * 6).values())
     # Between the thresholds a term keeps its shape.
     soft = pii.sanitise(pii.pii_spans(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), remove=2.0))
@@ -108,3 +110,75 @@ def test_long_words_stay_whole(spark):
     assert rows[400]["spans"] == "term:13:713,email:714:729"
     assert rows[401]["spans"] == "email:8:15,term:16:717"
     assert rows[402]["spans"] == "term:609:1310,email:1912:1919"
+
+
+def brute_terms(texts, all_pairs=False, generalise=pii.GENERALISE, confidence=pii.CONFIDENCE):
+    """Per text the places of marked terms: every identifier against every term, in plain Python."""
+    spans, said, held, having, meets = {}, {}, defaultdict(set), defaultdict(set), defaultdict(set)
+    for text in set(texts):
+        spans[text] = [(int(s), int(e), k) for k, s, e in (x.split(":") for x in brute(text).split(",") if x)]
+        blank = list(text)
+        for s, e, _ in spans[text]:
+            blank[s:e] = " " * (e - s)
+        said[text] = [(m.group().lower(), m.start(), m.end()) for m in re.finditer(r"[^\W_]+", "".join(blank))]
+        values = {(k, text[s:e].lower() if k == "email" else re.sub(r"[ ().+-]", "", text[s:e])) for s, e, k in spans[text]}
+        for c in values:
+            held[c].add(text)
+        for t, _, _ in said[text]:
+            having[t].add(text)
+            for c in values:
+                meets[c, t].add(text)
+    n = len(spans)
+    fits = lambda c, t: len(having[t]) <= n ** (1 - generalise) * len(held[c]) ** generalise * (1 + 1e-9)
+    tested = sum(fits(c, t) for c, t in meets) if all_pairs else 1
+    telling = set()
+    for (c, t), both in meets.items():
+        nc, nt, nct = len(held[c]), len(having[t]), len(both)
+        pmi, ic = math.log2(nct / nc * n / nt), math.log2(n / nc)
+        if ic > 0 and pmi / ic >= generalise and nct * (pmi * math.log(2) - 1) + nc * nt / n >= -math.log((1 - confidence) / tested):
+            telling |= {(text, t) for text in both}
+    return [[f"term:{s}:{e}" for t, s, e in said[text] if (text, t) in telling] for text in texts], sum(fits(c, t) for c, t in meets)
+
+
+def corpus_of_notes():
+    rng = random.Random(11)
+    words, people = [f"w{i}" for i in range(300)], [f"p{i}@x.org" for i in range(12)]
+    texts = [" ".join(rng.choices(words, k=rng.randint(0, 12))) for _ in range(500)]
+    for i in range(60):
+        who = rng.sample(range(12), rng.choice([1, 1, 2, 3]))
+        texts.append(" ".join([*rng.choices(words, k=6), *(f"secret{j} {people[j]}" for j in who), f"only{i}", "1.2.3.4" if i % 7 == 0 else ""]))
+    return texts + texts[-20:]
+
+
+def test_terms_against_brute_force(spark):
+    texts = corpus_of_notes()
+    for all_pairs in (False, True):
+        want, _ = brute_terms(texts, all_pairs)
+        rows = run(spark, texts, all_pairs=all_pairs)
+        got = [[s for s in rows[i]["spans"].split(",") if s.startswith("term")] for i in range(len(texts))]
+        assert got == want
+        assert sum(map(len, want)) > 50
+    # All pairs counted, words seen once are no evidence; the repeated ones still go.
+    marked = {texts[i][int(s.split(":")[1]):int(s.split(":")[2])] for i, spans in enumerate(want) for s in spans}
+    assert any(m.startswith("secret") for m in marked) and not any(m.startswith("only") for m in marked)
+
+
+def test_a_page_of_addresses_is_not_quadratic(spark, monkeypatch):
+    filler = [f"please call the office at noon or write to them, note {i}" for i in range(400)]
+    page = " ".join(f"a{i}@x.org" for i in range(300)) + " " + " ".join(f"word{i}" for i in range(2000))
+    shared = [f"a{i}@x.org a{i + 1}@x.org please and word{i}" for i in range(0, 40, 2)]
+    texts = [*filler, page, *shared]
+    sizes, land = {}, pii.land
+
+    def counted(df, name):
+        out = land(df, name)
+        sizes[name] = out.count()
+        return out
+
+    monkeypatch.setattr(pii, "land", counted)
+    monkeypatch.setattr(pii, "PART", 8)  # the page's terms are dealt over parts
+    rows = run(spark, texts)
+    want, tested = brute_terms(texts)
+    assert tested > 500_000 and sizes["pii-pairs"] < 2_000
+    for i in range(400, len(texts)):
+        assert [s for s in rows[i]["spans"].split(",") if s.startswith("term")] == want[i]
