@@ -71,20 +71,28 @@ BUILDERS: dict[str, Callable[["Warehouse"], DataFrame]] = {
 }
 
 # The large cubes are landed in order of year, so that row groups hold few years and year filters skip the others.
-BY_YEAR = ("quality", "geo_base", "lender_base")
+BY_YEAR = ("quality", "geo_base")
+
+# Landed in buckets of lenders, all in as many: grouping by lender and joining lenders moves no row.
+# The column is the order of rows in a bucket; lender_base is in order of year for the same reason as the tables above.
+BY_LENDER = {"lender_base": "y", "lender_dim": "lei", "lender_names": "lei", "lender_states": "lei"}
+MAX_BUCKETS = 4096
 
 
 class Warehouse:
     """Lazily landed tables for one source set under one root folder."""
 
     def __init__(self, spark: SparkSession, root: str, sources: Sources, top_n: int = 200,
-                 max_records_per_file: int = 5_000_000, sf_dir: str | None = None):
+                 max_records_per_file: int = 5_000_000, sf_dir: str | None = None,
+                 lender_buckets: int | None = None):
         self.spark = spark
         self.sf_dir = sf_dir  # the driver-table folder behind fixture sources, if any
         self.root = root.rstrip("/")
         self.sources = sources
         self.top_n = top_n
         self.max_records_per_file = max_records_per_file
+        # A bucket is a task of every lender view: by default one for each slot of the cluster.
+        self.lender_buckets = lender_buckets or min(MAX_BUCKETS, spark.sparkContext.defaultParallelism)
         self._landed: set[str] = set()
         self._fact_schema = None
         self._lock = threading.RLock()          # guards the per-table lock map
@@ -95,7 +103,20 @@ class Warehouse:
         return join_path(self.root, name)
 
     def _read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        return self.spark.table(self._catalog_name(name)) if name in BY_LENDER else self.spark.read.parquet(self.path(name))
+
+    def _catalog_name(self, name: str) -> str:
+        """Buckets are known to the session's catalog only; the files are under the root like the others."""
+        return f"loanscope_{hashlib.sha1(self.root.encode()).hexdigest()[:16]}_{name}"
+
+    def _land(self, name: str, df: DataFrame) -> None:
+        if name in BY_LENDER:  # one task, and so one file, for a bucket
+            n = self.lender_buckets
+            (df.repartition(n, "lei").write.mode("overwrite").format("parquet").bucketBy(n, "lei").sortBy(BY_LENDER[name])
+             .option("path", self.path(name)).saveAsTable(self._catalog_name(name)))
+        else:
+            df = df.sortWithinPartitions("y") if name in BY_YEAR else df
+            df.write.mode("overwrite").parquet(self.path(name))
 
     def _table_lock(self, name: str) -> threading.Lock:
         with self._lock:
@@ -117,10 +138,7 @@ class Warehouse:
             return self.fact()
         with self._table_lock(name):  # one lock per table: independent tables land concurrently
             if name not in self._landed:
-                built = BUILDERS[name](self)
-                if name in BY_YEAR:
-                    built = built.sortWithinPartitions("y")
-                built.write.mode("overwrite").parquet(self.path(name))
+                self._land(name, BUILDERS[name](self))
                 self._landed.add(name)
         return self._read(name)
 

@@ -78,3 +78,54 @@ def test_reference_lookups_carry_no_hint(spark):
     wh = fixture_warehouse(spark, SF_SMALL)
     df = V.county_table(wh.table("county"), wh.table("county_names"))
     assert "ResolvedHint" not in df._jdf.queryExecution().analyzed().toString()
+
+
+@contextlib.contextmanager
+def shuffled_joins_only(spark):
+    """As with lender tables beyond the broadcast threshold."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def operators(df) -> list[str]:
+    """The operators of the physical plan, from the result down."""
+    tree = df._jdf.queryExecution().executedPlan().toString()
+    return [line.strip(" :+-*0123456789()") for line in tree.splitlines() if line.strip()]
+
+
+def test_lender_views_move_no_row_by_lender(spark):
+    wh = fixture_warehouse(spark, SF_SMALL)
+    base, dim = wh.table("lender_base"), wh.table("lender_dim")
+    f = Filters(year="2020", loan_type="1")
+    with shuffled_joins_only(spark):
+        # Grouped by lender: no exchange at all.
+        assert not [o for o in operators(V.lender_stats(base, f)) if "Exchange" in o]
+        # Searched: names are joined bucket by bucket, only the result is put in order.
+        search = operators(V.lender_table(base, dim, f, search="a"))
+        assert [o for o in search if o.startswith("SortMergeJoin")]
+        exchanges = [o for o in search if "Exchange" in o]
+        assert len(exchanges) == 1 and exchanges[0].startswith("Exchange rangepartitioning")
+        # Ranked: the n rows shown go to the dimension's buckets, no row of the cube or of the dimension moves.
+        for df in (V.lender_table(base, dim, f), V.top_lenders(base, dim, f), V.highest_denial_lenders(base, dim, f, min_apps=1)):
+            found = operators(df)
+            top = max(i for i, o in enumerate(found) if o.startswith("TakeOrderedAndProject"))
+            assert "HashAggregate" in " ".join(found[top:])
+            assert len([o for o in found if o.startswith("Exchange hashpartitioning")]) <= 1
+            below = found[top:found.index(next(o for o in found[top:] if "FileScan" in o)) + 1]
+            assert not [o for o in below if "Exchange" in o]
+
+
+def test_lender_tables_are_bucketed_and_keep_their_rows(spark, tmp_path):
+    from loanscope.plans.warehouse import BY_LENDER, Warehouse, fixture_sources
+    wh = Warehouse(spark, str(tmp_path / "wh"), fixture_sources(spark, SF_SMALL), lender_buckets=3)
+    for name in BY_LENDER:
+        table = wh.table(name)
+        files = [p.name for p in (tmp_path / "wh" / name).glob("*.parquet")]
+        assert 0 < len(files) <= 3
+        assert table.exceptAll(fixture_warehouse(spark, SF_SMALL).table(name)).count() == 0
+        assert table.count() == fixture_warehouse(spark, SF_SMALL).table(name).count()
