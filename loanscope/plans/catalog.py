@@ -250,8 +250,7 @@ QUERIES.update({
 
 def _mlar_text(w):
     def write(path):
-        (as_mlar_layout(_fx.lar(w.spark, w.sf_dir)).write.mode("overwrite").option("sep", "|")
-         .option("header", True).option("quote", '"').option("escape", '"').csv(path))
+        _fx.write_text(as_mlar_layout(_fx.lar(w.spark, w.sf_dir)), path)
     return _reg.read_mlar_text(w.spark, w.landed_files("mlar_text", write)).select(*QUERIED_COLUMNS)
 
 
@@ -274,8 +273,7 @@ def _register_files(w) -> list[_reg.RegisterFile]:
 
     def write(path):
         for layout, df in frames.items():
-            (df.write.mode("overwrite").partitionBy("yr").option("sep", "|").option("header", True).option("quote", '"')
-             .option("escape", '"').csv(f"{path}/text/{layout}"))
+            _fx.write_text(df, f"{path}/text/{layout}", "yr")
             _fx.zip_folder(w.spark, f"{path}/text/{layout}", f"{path}/zip", REGISTER_ZIP)
 
     root = w.landed_files("register_zips", write)

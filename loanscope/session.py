@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -73,6 +75,23 @@ def get_session(master: str | None = None, app_name: str = "loanscope",
     return spark
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: object) -> Iterator[None]:
+    """A runtime setting for what runs inside, then as it was."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(value))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def unsorted_writes(spark: SparkSession, folders: int = 16):
+    """Partitioned writes inside keep up to ``folders`` files of a task open instead of sorting its rows by folder first;
+    a task with more folders sorts from there on."""
+    return setting(spark, "spark.sql.maxConcurrentOutputFileWriters", folders)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for landed tables: ``spark.checkpoint.dir``.
 

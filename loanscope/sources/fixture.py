@@ -11,9 +11,14 @@ uncorrelated scalar subquery and ``explode`` instead of a cartesian product.
 
 from __future__ import annotations
 
+import os
+import zipfile
+from typing import BinaryIO
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loanscope.session import ship_package, unsorted_writes
 from loanscope.sources.tables import ensure_parallelism, read_table
 
 # FIXED VALUES: fixture definitions (test-data specification).
@@ -42,6 +47,9 @@ LAR_SQL = """SELECT
 FROM (SELECT *, (l_orderkey + 3 * l_linenumber + l_partkey) % 20 AS k FROM {lineitem}) li
 JOIN {orders} ON l_orderkey = o_orderkey JOIN {customer} ON o_custkey = c_custkey"""
 
+# Spark form: the same select list over rows that are joined already (``lar_rows``).
+LAR_SQL_SPARK = LAR_SQL[:LAR_SQL.rindex("\nJOIN {orders}")]
+
 _STATE_CASE = ("CASE {n} % 14 WHEN 0 THEN 'CA' WHEN 1 THEN 'TX' WHEN 2 THEN 'FL' WHEN 3 THEN 'NY' "
                "WHEN 4 THEN 'IL' WHEN 5 THEN 'HI' WHEN 6 THEN 'WA' WHEN 7 THEN 'MA' WHEN 8 THEN 'MS' "
                "WHEN 9 THEN 'WV' WHEN 10 THEN 'AZ' WHEN 11 THEN 'PR' WHEN 12 THEN 'GU' ELSE '' END")
@@ -86,13 +94,26 @@ def with_oracle_views(select_sql: str, *views: str) -> str:
     return "WITH " + ",\n".join(f"{v} AS (\n{defs[v]}\n)" for v in names) + "\n" + select_sql
 
 
-def lar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 21-column application fixture (one row per line item)."""
+def lar_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The few numbers behind each application.  Orders meet their customers first, so the line items are shuffled once."""
+    customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    placed = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_custkey", "c_nationkey")
     lineitem = ensure_parallelism(read_table(spark, sf_dir, "lineitem")
                                   .select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
-    return spark.sql(LAR_SQL, lineitem=lineitem,
-                     orders=read_table(spark, sf_dir, "orders"),
-                     customer=read_table(spark, sf_dir, "customer"))
+    return lineitem.join(placed, F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
+
+
+def lar(spark: SparkSession, sf_dir: str, by_year: bool = False) -> DataFrame:
+    """The 21-column application fixture (one row per line item).
+
+    ``by_year`` gathers the rows of a year in few partitions (as ``sinks.write_fact`` would) while they are
+    still a few numbers: a quarter of the bytes of their text columns.
+    """
+    rows = lar_rows(spark, sf_dir)
+    if by_year:
+        rows = rows.withColumn("y", F.col("l_orderkey") % 8).hint("rebalance", F.col("y"))
+    return spark.sql(LAR_SQL_SPARK, lineitem=rows)
 
 
 def filers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,16 +128,60 @@ def county(spark: SparkSession, sf_dir: str) -> DataFrame:
                      customer=read_table(spark, sf_dir, "customer"))
 
 
+TEXT_ROWS = 1 << 20  # of a text file at most: a gzipped file is read by one task
+
+
+def write_text(df: DataFrame, path: str, partition: str | None = None) -> None:
+    """Fixture helper: the rows as gzipped pipe text with a header, empty values bare as in the registers, by folders of ``partition``."""
+    w = (df.write.mode("overwrite").option("sep", "|").option("header", True).option("quote", '"').option("escape", '"').option("emptyValue", "")
+         .option("compression", "gzip").option("maxRecordsPerFile", TEXT_ROWS))
+    with unsorted_writes(df.sparkSession):
+        (w.partitionBy(partition) if partition else w).csv(path)
+
+
+def add_gzipped(zf: zipfile.ZipFile, name: str, raw: BinaryIO, size: int) -> None:
+    """A gzip file of one member and ``size`` bytes (``raw`` can seek) as member ``name`` of a zip, without packing it again: both formats
+    hold the same deflate stream, checksum and length."""
+    head = raw.read(10)
+    if head[:3] != b"\x1f\x8b\x08":
+        raise ValueError(f"{name}: no gzip file")
+    flags = head[3]
+    if flags & 4:
+        raw.seek(int.from_bytes(raw.read(2), "little"), os.SEEK_CUR)
+    for flag in (8, 16):  # file name and comment, ended by a zero
+        while flags & flag and raw.read(1) not in (b"\0", b""):
+            pass
+    if flags & 2:
+        raw.seek(2, os.SEEK_CUR)
+    begin = raw.tell()
+    raw.seek(size - 8)
+    tail = raw.read(8)
+    info = zipfile.ZipInfo(name)
+    info.compress_type = zipfile.ZIP_DEFLATED
+    info.CRC, info.file_size, info.compress_size = int.from_bytes(tail[:4], "little"), int.from_bytes(tail[4:], "little"), size - 8 - begin
+    info.header_offset = zf.fp.tell()
+    zf.fp.write(info.FileHeader())
+    raw.seek(begin)
+    left = info.compress_size
+    while left:
+        block = raw.read(min(left, 4 << 20))
+        if not block:
+            raise ValueError(f"{name}: cut short")
+        zf.fp.write(block)
+        left -= len(block)
+    zf.filelist.append(info)
+    zf.NameToInfo[name] = info
+    zf.start_dir = zf.fp.tell()
+
+
 def zip_folder(spark: SparkSession, text_dir: str, out_dir: str, zip_name: str = "{stem}.zip") -> str:
-    """Fixture helper: zip the delimited text files below ``text_dir`` as the yearly registers are published.
+    """Fixture helper: zip the gzipped texts (``write_text``) below ``text_dir`` as the yearly registers are published.
 
     Each folder of text files becomes one zip in the folder of the same name below ``out_dir``, its files the
-    members; one task per folder.  Returns ``out_dir``; no list of files passes through the driver.
+    members; one task per folder, which only copies what the tasks that wrote the texts have packed.  Returns
+    ``out_dir``; no list of files passes through the driver.
     """
     def pack(key, pdf):
-        import os
-        import zipfile
-
         import pandas as pd
 
         from loanscope.sources.registers import filesystem
@@ -127,13 +192,10 @@ def zip_folder(spark: SparkSession, text_dir: str, out_dir: str, zip_name: str =
         with where.open_output_stream(target) as raw, zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as zf:
             for path in sorted(pdf["path"]):
                 source, name = filesystem(path)
-                with source.open_input_stream(name) as src, zf.open(os.path.basename(name), "w") as dst:
-                    while block := src.read(4 << 20):
-                        dst.write(block)
+                with source.open_input_file(name) as src:
+                    add_gzipped(zf, os.path.basename(name).removesuffix(".gz"), src, src.size())
         return pd.DataFrame({"files": [len(pdf)]})
 
-    from loanscope.session import ship_package
-    from loanscope.sources.registers import filesystem
     ship_package(spark)
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(text_dir)
              .select(F.regexp_replace("path", "^file:/*", "/").alias("path")))

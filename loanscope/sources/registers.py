@@ -321,12 +321,13 @@ def lar_header(spark: SparkSession, path: str, sep: str = "|") -> list[str]:
     return dedupe_header(next(csv.reader([first[0]], delimiter=sep, quotechar='"'), [])) if first else []
 
 
-def read_lar_text(spark: SparkSession, path: str, sep: str = "|") -> DataFrame:
+def read_lar_text(spark: SparkSession, path: str | Sequence[str], sep: str = "|", names: Sequence[str] | None = None) -> DataFrame:
     """Public-register text with its own header names, all text, read by position with that schema.
 
     Fields beyond the header are ignored; a row that ends before the last column of the 85 is an error.
+    Several texts are read as one if they share the header ``names``.
     """
-    names = lar_header(spark, path, sep)
+    names = lar_header(spark, path, sep) if names is None else list(names)
     if not names:  # an empty text has no rows, as an empty zip member
         return spark.createDataFrame([], MLAR_SCHEMA)
     wanted = renamed_columns(names)
@@ -336,7 +337,7 @@ def read_lar_text(spark: SparkSession, path: str, sep: str = "|") -> DataFrame:
     unquoted = F.regexp_replace("_uneven", r'"(?:[^"]|"")*"', "")
     fields = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(sep))) + 1
     short = F.when(F.col("_uneven").isNotNull() & (fields < need), F.raise_error(
-        F.concat(F.lit(path + ": "), fields.cast("string"), F.lit(f" fields, expected {need}: "), F.col("_uneven"))))
+        F.concat(F.lit(path) if isinstance(path, str) else F.input_file_name(), F.lit(": "), fields.cast("string"), F.lit(f" fields, expected {need}: "), F.col("_uneven"))))
     return df.na.fill("", subset=names).filter(F.coalesce(short.cast("boolean"), F.lit(True))).drop("_uneven")
 
 
@@ -377,11 +378,14 @@ class RegisterFile:
     member: str | None = None    # zip member; None for plain text or every member
 
 
-def _texts(spark: SparkSession, f: RegisterFile, paths: Sequence[str]) -> DataFrame:
+def _texts(spark: SparkSession, f: RegisterFile, paths: Sequence[str], headers: Sequence[tuple[str, ...]] | None = None) -> DataFrame:
     if f.layout == "mlar":
         return read_mlar_text(spark, list(paths))
-    # Each text has its own header.
-    return reduce(DataFrame.unionByName, [harmonise(read_lar_text(spark, p)) for p in paths])
+    # Each text has its own header; those of one header are one reader.
+    alike: dict[tuple[str, ...], list[str]] = {}
+    for path, names in zip(paths, headers or [tuple(lar_header(spark, p)) for p in paths]):
+        alike.setdefault(names, []).append(path)
+    return reduce(DataFrame.unionByName, [harmonise(read_lar_text(spark, ps if len(ps) > 1 else ps[0], names=h)) for h, ps in alike.items()])
 
 
 def read_register(spark: SparkSession, f: RegisterFile, extracted: Sequence[str] | None = None,
@@ -396,7 +400,7 @@ def read_register(spark: SparkSession, f: RegisterFile, extracted: Sequence[str]
     if not is_zip(f):
         df = _texts(spark, f, [f.path])
     elif extracted:
-        df = _texts(spark, f, extracted)
+        df = _texts(spark, f, extracted, [e.header for e in entries] if entries else None)
     elif f.layout == "mlar":
         df = read_zip(spark, f.path, f.member, MLAR_SCHEMA, entries=entries)
     else:
