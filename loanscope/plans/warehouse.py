@@ -32,10 +32,11 @@ class Sources:
     fact: Callable[[], DataFrame]
     county: Callable[[], DataFrame]
     filers: Callable[[], DataFrame]
+    gathered: bool = False  # the application rows come dealt by year
 
 
 def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
-    return Sources(fact=lambda: fixture.lar(spark, sf_dir),
+    return Sources(fact=lambda: fixture.lar(spark, sf_dir, by_year=True), gathered=True,
                    county=lambda: fixture.county(spark, sf_dir),
                    filers=lambda: fixture.filers(spark, sf_dir))
 
@@ -78,6 +79,11 @@ BY_YEAR = ("quality", "geo_base")
 BY_LENDER = {"lender_base": "y", "lender_dim": "lei", "lender_names": "lei", "lender_states": "lei"}
 MAX_BUCKETS = 4096
 
+# Rows of the fact table that a task scans, about.  A scan's splits are of bytes, but the cubes' map-side tables grow with rows,
+# of which a Parquet split holds ten millions when the codes pack well.
+TASK_ROWS = 1 << 20
+SPLITS = "spark.sql.files.minPartitionNum"
+
 
 class Warehouse:
     """Lazily landed tables for one source set under one root folder."""
@@ -91,10 +97,10 @@ class Warehouse:
         self.sources = sources
         self.top_n = top_n
         self.max_records_per_file = max_records_per_file
-        # A bucket is a task of every lender view: by default one for each slot of the cluster.
-        self.lender_buckets = lender_buckets or min(MAX_BUCKETS, spark.sparkContext.defaultParallelism)
+        self.lender_buckets = lender_buckets  # by default set when the first table is landed in them
         self._landed: set[str] = set()
         self._fact_schema = None
+        self._fact_tasks = 0
         self._lock = threading.RLock()          # guards the per-table lock map
         self._table_locks: dict[str, threading.Lock] = {}
         self._remembered: dict = {}
@@ -111,13 +117,29 @@ class Warehouse:
 
     def _land(self, name: str, df: DataFrame) -> None:
         if name in BY_LENDER:  # one task, and so one file, for a bucket
-            n = self.lender_buckets
+            n = self._buckets()
             (df.repartition(n, "lei").write.mode("overwrite").format("parquet").bucketBy(n, "lei").sortBy(BY_LENDER[name])
              .option("path", self.path(name)).saveAsTable(self._catalog_name(name)))
         else:
             df = df.sortWithinPartitions("y") if name in BY_YEAR else df
             df.write.mode("overwrite").parquet(self.path(name))
 
+    def _buckets(self) -> int:
+        """A bucket is a task of every lender view and of the write: one for each slot of the cluster, or as many as the
+        fact table's scan has tasks, so that none grows with the table."""
+        self.fact()
+        with self._table_lock("lender buckets"):
+            if not self.lender_buckets:
+                self.lender_buckets = min(MAX_BUCKETS, max(self.spark.sparkContext.defaultParallelism, self._fact_tasks))
+        return self.lender_buckets
+
+    def _scan_in_parts(self, rows: int) -> None:
+        """Scans of ``rows`` rows get a task for about ``TASK_ROWS`` of them (a floor on the splits of large files only)."""
+        self._fact_tasks = -(-rows // TASK_ROWS)
+        least = self.spark.conf.get(SPLITS, None)
+        if self._fact_tasks > max(int(least or 0), self.spark.sparkContext.defaultParallelism):
+            self.spark.conf.set(SPLITS, str(self._fact_tasks))
+
     def _table_lock(self, name: str) -> threading.Lock:
         with self._lock:
             return self._table_locks.setdefault(name, threading.Lock())
@@ -127,8 +149,9 @@ class Warehouse:
         with self._table_lock("fact"):
             if "fact" not in self._landed:
                 src = self.sources.fact()
-                sinks.write_fact(src, self.path("fact"), self.max_records_per_file)
+                sinks.write_fact(src, self.path("fact"), self.max_records_per_file, self.sources.gathered)
                 self._fact_schema = src.schema
+                self._scan_in_parts(sinks.read_fact(self.spark, self.path("fact"), src.schema).count())
                 self._landed.add("fact")
         return sinks.read_fact(self.spark, self.path("fact"), self._fact_schema)
 
