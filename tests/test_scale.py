@@ -6,8 +6,6 @@ import io
 import os
 import zipfile
 
-from pyspark.sql import functions as F
-
 from conftest import SF_SMALL
 from loanscope.plans import catalog, warehouse
 from loanscope.plans.warehouse import Warehouse, fixture_sources
@@ -90,4 +88,4 @@ def test_extracted_texts_of_one_header_are_one_reader(spark, scratch):
     assert not missing and len(os.listdir(f"{scratch}/out")) == 4
     assert _plan(got).count("Relation [") == 1 and len(got.collect()) == 300
     plain, _ = registers.load_registers(spark, [f])
-    assert got.exceptAll(plain).isEmpty() and got.select(F.col("source_file")).distinct().count() == 1
+    assert sorted(got.collect(), key=str) == sorted(plain.collect(), key=str)
