@@ -159,10 +159,11 @@ DOCUMENT_MEMBERS: dict[str, dict[str, str | None]] = {
 
 def load_documents(spark: SparkSession, paths: Mapping[str, str], chunk_bytes: int = docs.CHUNK_BYTES) -> dict[str, dict[str, DataFrame]]:
     """The tables of written payload documents by payload (a file or a folder of part files each), every member of ``DOCUMENT_MEMBERS``;
-    orders and labels as (dim, pos, code, label).  A document that is none is an error.
+    orders and labels as (dim, pos, code, label).  A document that is none is an error.  ``chunk_bytes`` is the least that a task
+    reads; it reads more of large documents (``documents.chunk_size``).
 
     The documents are taken apart once, into Parquet by payload and member in the shared folder."""
-    rows, broken = docs.read_documents(spark, paths, chunk_bytes)
+    rows, broken = docs.read_documents(spark, paths, docs.chunk_size(spark, paths, chunk_bytes))
     if broken:
         raise docs.BrokenDocument("; ".join(broken.values()))
     landed = join_path(shared_dir(spark), "documents", uuid.uuid4().hex)

@@ -10,6 +10,7 @@ into chunks of ``CHUNK_BYTES`` wherever they fall, also inside of strings and nu
 * the second hands out the elements: each belongs to the chunk in which it begins, whose task reads on to its end.
 
 Neither holds more than a chunk and one element, so neither a document of one line nor one of many files is ever one row.
+A chunk is a task of both scans, which costs the same however small it is: ``chunk_size`` gives a size that grows with the documents.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ CHUNK_BYTES = 16 << 20
 READ_ON_BYTES = 1 << 18  # at a time, to the end of a chunk's last element
 NAME_BYTES = 1 << 16  # longest member name, as written
 BATCH_BYTES = 4 << 20
+SLOT_CHUNKS = 4  # for each slot of the cluster, while the documents are small enough for it
 ROW_SCHEMA = "document string, member string, entry string, pos long, value string"
 
 STRUCTURE = np.zeros(256, bool)
@@ -292,6 +294,22 @@ def batches_of(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*out), fields)], schema=schema)
 
 
+def ways(source: Bytes, start: int, end: int) -> list[dict]:
+    """A chunk's ``summary`` for each of the ``BEGINNINGS``."""
+    plain, inside = (summary(source, start, end, state) for state in BEGINNINGS[:2])
+    # An escape reaches no further than a first byte that is neither a quote nor a backslash.
+    reaches = source.read(start, start + 1) in (b'"', b"\\")
+    return [plain, inside, summary(source, start, end, BEGINNINGS[2]) if reaches else inside]
+
+
+def chunk_size(spark: SparkSession, paths: Mapping[str, str], least: int) -> int:
+    """Bytes of a chunk that give each slot of the cluster ``SLOT_CHUNKS`` of all documents: not under ``least``, nor over ``CHUNK_BYTES``
+    (or ``least``), so that small documents are not cut into thousands of tasks and large ones are still read in bounded pieces."""
+    total = sum(part.size for p in paths.values() for part in parts_of(p))
+    wanted = -(-total // (SLOT_CHUNKS * spark.sparkContext.defaultParallelism))
+    return max(least, min(wanted, CHUNK_BYTES))
+
+
 def summaries(spark: SparkSession, parts: Mapping[str, list[Part]], chunk_bytes: int) -> dict[str, list[tuple[int, int, list[dict]]]]:
     """The first scan, one job over all documents: each one's chunks (start, end, summary of each beginning) in order."""
     pieces = [(d, s, min(s + chunk_bytes, size)) for d, p in parts.items() for size in [sum(x.size for x in p)] for s in range(0, size, chunk_bytes)]
@@ -301,8 +319,8 @@ def summaries(spark: SparkSession, parts: Mapping[str, list[Part]], chunk_bytes:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.to_pylist()
-            ways = [json.dumps([summary(Bytes(parts[r["document"]]), r["start"], r["end"], state) for state in BEGINNINGS]) for r in rows]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(ways, pa.string())], names=["document", "start", "end", "ways"])
+            told = [json.dumps(ways(Bytes(parts[r["document"]]), r["start"], r["end"])) for r in rows]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(told, pa.string())], names=["document", "start", "end", "ways"])
 
     chunks = spark.createDataFrame(pieces, "document string, start long, end long").repartition(len(pieces), "document", "start")
     out: dict[str, list] = {d: [] for d in parts}

@@ -72,6 +72,39 @@ def test_one_long_line_is_read_by_many_tasks(spark):
     assert sorted(map(tuple, table.collect())) == [(r["lei"], r["name"]) for r in rows]
 
 
+def test_tasks_of_a_load_do_not_grow_with_the_documents_over_the_least_chunk(spark, monkeypatch):
+    rows = [{"lei": f"L{i:07d}", "name": f'Bank "{i}" \\ of {{x}}, [é]'} for i in range(20_000)]
+    text = json.dumps({"names": rows, "cube": [], "states": []}, ensure_ascii=False, separators=(",", ":")).encode()
+    path, tasks, read_documents = written([text[:700_000], text[700_000:]]), [], D.read_documents
+
+    def counted(*args):
+        found, broken = read_documents(*args)
+        tasks.append(found.rdd.getNumPartitions())
+        return found, broken
+
+    monkeypatch.setattr(D, "read_documents", counted)
+    loaded = jobs.load_documents(spark, {"lenders": path}, 1 << 10)["lenders"]
+    assert len(text) > 1_000_000 and tasks[0] <= 4 * spark.sparkContext.defaultParallelism
+    assert sorted(map(tuple, loaded["names"].collect())) == [(r["lei"], r["name"]) for r in rows]
+    assert loaded["cube"].isEmpty() and loaded["states"].isEmpty()
+
+
+def test_chunks_of_a_load_are_bounded(spark, monkeypatch):
+    paths = {"a": written([b" " * 100_000, b" " * 50_000]), "b": written([b" " * 10_000])}
+    slots = spark.sparkContext.defaultParallelism
+    assert D.chunk_size(spark, paths, 1) == -(-160_000 // (4 * slots))
+    assert D.chunk_size(spark, paths, 1 << 20) == 1 << 20
+    monkeypatch.setattr(D, "CHUNK_BYTES", 100)
+    assert D.chunk_size(spark, paths, 1) == 100
+
+
+@given(st.text(alphabet='a"\\{}[],:', max_size=20), st.integers(0, 19))
+def test_summaries_of_every_beginning(text, start):
+    source = D.Bytes(D.parts_of(written([b"x" + text.encode()])))
+    start = min(start, source.size - 1)
+    assert D.ways(source, start, source.size) == [D.summary(source, start, source.size, state) for state in D.BEGINNINGS]
+
+
 def test_an_element_that_does_not_fit_is_an_error(spark):
     found = D.read_document(spark, written([b'{"a": [{"x": 1}, {"x": "y"}], "b": [{"x": {}}]}']))
     with pytest.raises(Exception, match="MALFORMED"):
